@@ -194,12 +194,336 @@ MERCHANT = _MERCHANT.format(avg="avg(amount)")
 MERCHANT_ROUNDED = _MERCHANT.format(avg="round(avg(amount), 2)")
 
 
+_FLAG_BASE = "transaction_id, sender_phone, recipient_phone, amount, initiated_at, channel, region"
+
+_FRAUD = """
+vc AS (
+  SELECT sender_phone, _date, count(*) AS daily_txn_count FROM {src}
+  GROUP BY sender_phone, _date HAVING count(*) > {vel}
+),
+f_velocity AS (
+  SELECT p.transaction_id, p.sender_phone, p.recipient_phone, p.amount, p.initiated_at, p.channel, p.region,
+    'VELOCITY_ANOMALY' AS flag_pattern, CAST(vc.daily_txn_count AS VARCHAR) AS flag_detail_1,
+    CAST(NULL AS DOUBLE) AS flag_detail_2
+  FROM {src} p JOIN vc ON p.sender_phone = vc.sender_phone AND p._date = vc._date
+),
+sa AS (SELECT sender_phone, avg(amount) AS avg_amount_7d FROM pass GROUP BY sender_phone),
+f_spike AS (
+  SELECT p.transaction_id, p.sender_phone, p.recipient_phone, p.amount, p.initiated_at, p.channel, p.region,
+    'AMOUNT_SPIKE' AS flag_pattern, CAST(round(p.amount, 2) AS VARCHAR) AS flag_detail_1,
+    round(sa.avg_amount_7d, 2) AS flag_detail_2
+  FROM {src} p JOIN sa ON p.sender_phone = sa.sender_phone
+  WHERE p.amount > sa.avg_amount_7d * 5.0
+),
+gaps AS (
+  SELECT *, CASE WHEN prev_txn_time IS NOT NULL THEN
+      (floor(epoch(initiated_at)) - floor(epoch(prev_txn_time))) / 60.0 END AS minutes_since_prev
+  FROM (
+    SELECT *, lag(initiated_at) OVER (PARTITION BY sender_phone, recipient_phone, _date
+                                      ORDER BY initiated_at, transaction_id) AS prev_txn_time
+    FROM {src} WHERE transaction_type = 'TRANSFER'
+  )
+),
+f_rapid AS (
+  SELECT transaction_id, sender_phone, recipient_phone, amount, initiated_at, channel, region,
+    'RAPID_TRANSFER' AS flag_pattern, CAST(round(minutes_since_prev, 1) AS VARCHAR) AS flag_detail_1,
+    CAST(NULL AS DOUBLE) AS flag_detail_2
+  FROM gaps WHERE minutes_since_prev < {rapid}
+),
+f_off AS (
+  SELECT transaction_id, sender_phone, recipient_phone, amount, initiated_at, channel, region,
+    'OFF_HOURS_LARGE' AS flag_pattern, CAST(_hour AS VARCHAR) AS flag_detail_1,
+    amount AS flag_detail_2
+  FROM {src} WHERE NOT _is_peak_hour AND amount >= 100000
+),
+f_all AS (
+  SELECT * FROM f_velocity UNION ALL SELECT * FROM f_spike
+  UNION ALL SELECT * FROM f_rapid UNION ALL SELECT * FROM f_off
+),
+flags AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY
+      CASE flag_pattern WHEN 'VELOCITY_ANOMALY' THEN 0 WHEN 'AMOUNT_SPIKE' THEN 1
+                        WHEN 'RAPID_TRANSFER' THEN 2 ELSE 3 END) AS rn
+    FROM f_all
+  ) WHERE rn = 1
+)"""
+
+
+def _fraud(src: str = "pass", vel: int = P.VELOCITY_THRESHOLD) -> str:
+    return "," + _FRAUD.format(src=src, vel=vel, rapid=P.RAPID_MINUTES)
+
+
+_DAY = f"""
+day_pass AS (SELECT * FROM pass WHERE _date = DATE '{P.DAY}')"""
+
+_PHONES = """
+phones AS (SELECT transaction_id, sender_raw AS sender_phone, recipient_raw AS recipient_phone
+           FROM raw WHERE _batch_id = 'batch-1')"""
+
+
+def _mask(c: str) -> str:
+    k = _canon(c)
+    return (
+        f"CASE WHEN {c} IS NULL THEN NULL WHEN length({k}) >= 9 "
+        f"THEN substr({k}, 1, 2) || 'XXXXX' || right({k}, 3) ELSE 'XXXXX' END"
+    )
+
+
+def _share(col: str, src: str) -> str:
+    return (
+        f"SELECT {col}, count(*) AS txn_count, "
+        f"round(count(*) / sum(count(*)) OVER () * 100, 1) AS pct FROM {src} GROUP BY {col}"
+    )
+
+
+_RULES = f"""
+    coalesce(amount > 0, false) AS _quality_amount_positive,
+    coalesce(amount < 50000000, false) AS _quality_amount_reasonable,
+    coalesce(currency = 'XOF', false) AS _quality_currency_xof,
+    coalesce(status IN {_STATUSES}, false) AS _quality_valid_status,
+    sender_phone IS NOT NULL AS _quality_has_sender,
+    initiated_at IS NOT NULL AS _quality_has_initiated_at,
+    coalesce(fee >= 0, false) AS _quality_fee_non_negative,
+    CASE WHEN amount > 0 AND status IN {_STATUSES} AND initiated_at IS NOT NULL
+         THEN 'PASS' ELSE 'FAIL' END AS _quality_flag"""
+
+_SEVEN_DAYS = "DATE '2024-01-24'"
+
+_PAGE_GOOD = "amount > 0 AND fee >= 0 AND sender_raw IS NOT NULL AND initiated_at IS NOT NULL"
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["daily_summary"] = with_silver("SELECT * FROM daily", "," + DAILY)
-    q["daily_summary_rounded"] = with_silver("SELECT * FROM daily", "," + DAILY_ROUNDED)
-    q["merchant_activity"] = with_silver("SELECT * FROM merchant", "," + MERCHANT)
-    q["merchant_activity_rounded"] = with_silver("SELECT * FROM merchant", "," + MERCHANT_ROUNDED)
-    q["bronze_land"] = with_bronze("SELECT * FROM bronze")
-    q["silver"] = with_silver("SELECT * FROM silver")
+    S, B = with_silver, with_bronze
+    d, m = "," + DAILY, "," + MERCHANT
+    # sources / landing
+    q["bronze_land"] = B("SELECT * FROM bronze")
+    q["staging_view"] = B(
+        "SELECT * EXCLUDE (sender_phone, recipient_phone, raw_payload), "
+        "sender_phone AS sender_token, recipient_phone AS recipient_token FROM bronze"
+    )
+    q["flatten_pages"] = B(
+        "SELECT transaction_id, external_id, transaction_type, amount, currency, fee, "
+        f"{_canon('sender_raw')} AS sender_phone, {_canon('recipient_raw')} AS recipient_phone, "
+        "merchant_code, merchant_name, merchant_category, status, failure_reason, "
+        "initiated_at, completed_at, channel, agent_code, region "
+        f"FROM raw WHERE _batch_id = 'batch-1' AND {_PAGE_GOOD}"
+    )
+    q["quarantine_pages"] = B(
+        "SELECT * FROM (SELECT transaction_id, CASE WHEN amount <= 0 THEN 'bad_amount' "
+        "WHEN fee < 0 THEN 'bad_fee' WHEN sender_raw IS NULL THEN 'missing_sender' "
+        "WHEN initiated_at IS NULL THEN 'bad_initiated_at' END AS reason "
+        "FROM raw WHERE _batch_id = 'batch-1') WHERE reason IS NOT NULL"
+    )
+    q["high_water_mark"] = B("SELECT max(initiated_at) AS high_water_mark FROM bronze")
+    q["incremental_batch"] = B(
+        "SELECT b.* FROM bronze b WHERE b.initiated_at > (SELECT max(initiated_at) FROM ex) "
+        "AND NOT EXISTS (SELECT 1 FROM ex WHERE ex.transaction_id = b.transaction_id)",
+        f", ex AS (SELECT * FROM bronze WHERE initiated_at < TIMESTAMP '{P.LANDED_UNTIL}')",
+    )
+    q["retention_keep"] = S("SELECT * FROM silver WHERE _date IS NULL OR _date >= DATE '2024-01-15'")
+    q["retention_expired"] = S("SELECT * FROM silver WHERE _date < DATE '2024-01-15'")
+    # privacy
+    q["phone_canonical"] = B(
+        f"SELECT transaction_id, {_canon('sender_phone')} AS sender_canonical, "
+        f"{_canon('recipient_phone')} AS recipient_canonical FROM phones",
+        "," + _PHONES,
+    )
+    prefixes = "('77', '78', '76', '70', '75')"
+    q["phone_prefix_check"] = B(
+        f"SELECT transaction_id, substr({_canon('sender_phone')}, 1, 2) IN {prefixes} AS sender_known_prefix, "
+        f"substr({_canon('recipient_phone')}, 1, 2) IN {prefixes} AS recipient_known_prefix FROM phones",
+        "," + _PHONES,
+    )
+    q["tokenize_phones"] = B(
+        f"SELECT transaction_id, {_hmac(_canon('sender_phone'), P.SECRET)} AS sender_phone, "
+        f"{_hmac(_canon('recipient_phone'), P.SECRET)} AS recipient_phone FROM phones",
+        "," + _PHONES,
+    )
+    q["mask_phones"] = B(
+        f"SELECT transaction_id, {_mask('sender_phone')} AS sender_phone_masked, "
+        f"{_mask('recipient_phone')} AS recipient_phone_masked FROM phones",
+        "," + _PHONES,
+    )
+    # silver
+    q["range_half_open"] = B(
+        f"SELECT * FROM bronze WHERE initiated_at >= TIMESTAMP '{P.SLICE_START}' "
+        f"AND initiated_at < TIMESTAMP '{P.SLICE_END}'"
+    )
+    q["dedup_latest"] = S("SELECT * FROM dedup")
+    q["quality_rules"] = B(f"SELECT transaction_id, _batch_id, {_RULES} FROM bronze")
+    q["silver"] = S("SELECT * FROM silver")
+    q["enrich_time"] = S(
+        "SELECT transaction_id, _date, _hour, _day_of_week, _is_weekend, _is_peak_hour FROM silver"
+    )
+    q["amount_bucket"] = S("SELECT transaction_id, amount, _amount_bucket FROM silver")
+    q["latency"] = S(
+        "SELECT transaction_id, initiated_at, completed_at, _processing_latency_seconds FROM silver"
+    )
+    q["range_closed"] = S(
+        f"SELECT * FROM silver WHERE _date >= DATE '{P.SLICE_START}' AND _date <= DATE '{P.SLICE_END}'"
+    )
+    q["quality_report"] = S(
+        "SELECT count(*) AS total_rows, count(*) FILTER (WHERE _quality_flag = 'PASS') AS passing, "
+        "count(*) FILTER (WHERE _quality_flag = 'FAIL') AS failing, "
+        "count(*) FILTER (WHERE status = 'FAILED') AS failed_txns, "
+        "count(*) FILTER (WHERE status = 'REVERSED') AS reversed_txns, "
+        "min(amount) AS min_amount, max(amount) AS max_amount, avg(amount) AS avg_amount, "
+        "sum(amount) AS total_volume_xof, min(_date) AS earliest_date, max(_date) AS latest_date "
+        "FROM silver"
+    )
+    q["quality_failures"] = S(
+        "SELECT count(*) AS total_rows, count(*) FILTER (WHERE _quality_flag = 'FAIL') AS failing, "
+        "round(count(*) FILTER (WHERE _quality_flag = 'FAIL') / count(*) * 100, 2) AS fail_pct, "
+        "count(*) FILTER (WHERE _quality_flag = 'FAIL' AND NOT _quality_amount_positive) AS fail_amount_positive, "
+        "count(*) FILTER (WHERE _quality_flag = 'FAIL' AND NOT _quality_valid_status) AS fail_valid_status, "
+        "count(*) FILTER (WHERE _quality_flag = 'FAIL' AND NOT _quality_has_initiated_at) AS fail_has_initiated_at "
+        "FROM silver"
+    )
+    q["normalize_metrics"] = S(
+        "SELECT r AS rows_read, w AS rows_written, r - w AS duplicates_removed, f AS quality_failures, "
+        "f AS rows_with_warnings, CASE WHEN w > 0 THEN round((w - f) / w * 100, 2) ELSE 0.0 END AS quality_pass_rate "
+        "FROM (SELECT (SELECT count(*) FROM bronze) AS r, count(*) AS w, "
+        "count(*) FILTER (WHERE _quality_flag = 'FAIL') AS f FROM silver)"
+    )
+    q["failure_sample"] = S(
+        "SELECT * FROM silver WHERE _quality_flag = 'FAIL' ORDER BY transaction_id LIMIT 20"
+    )
+    q["silver_sample"] = S(
+        "SELECT transaction_id, amount, status, _date, _hour, _day_of_week, _is_weekend, "
+        "_is_peak_hour, _amount_bucket, _is_merchant_txn, _processing_latency_seconds, "
+        "_quality_flag FROM silver ORDER BY transaction_id LIMIT 20"
+    )
+    # gold
+    q["daily_summary"] = S("SELECT * FROM daily", d)
+    q["daily_summary_rounded"] = S("SELECT * FROM daily", "," + DAILY_ROUNDED)
+    q["merchant_activity"] = S("SELECT * FROM merchant", m)
+    q["merchant_activity_rounded"] = S("SELECT * FROM merchant", "," + MERCHANT_ROUNDED)
+    # fraud
+    q["sender_day_counts"] = S("SELECT * FROM vc", _fraud())
+    q["sender_recent_avg"] = S(
+        "SELECT sender_phone, avg(amount) AS avg_amount_7d FROM pass "
+        "WHERE initiated_at >= TIMESTAMP '2024-01-24' GROUP BY sender_phone"
+    )
+    q["transfer_gaps"] = S(
+        "SELECT transaction_id, sender_phone, recipient_phone, initiated_at, prev_txn_time, "
+        "minutes_since_prev FROM gaps",
+        _fraud(),
+    )
+    q["fraud_velocity"] = S("SELECT * FROM f_velocity", _fraud())
+    q["fraud_velocity_day"] = S("SELECT * FROM f_velocity", "," + _DAY + _fraud("day_pass", 3))
+    q["fraud_amount_spike"] = S("SELECT * FROM f_spike", _fraud())
+    q["fraud_rapid_transfer"] = S("SELECT * FROM f_rapid", _fraud())
+    q["fraud_off_hours"] = S("SELECT * FROM f_off", _fraud())
+    q["fraud_flags_all"] = S("SELECT * FROM f_all", _fraud())
+    q["fraud_flags"] = S("SELECT * FROM flags", _fraud())
+    q["fraud_flags_day"] = S("SELECT * FROM flags", "," + _DAY + _fraud("day_pass"))
+    # checks
+    q["check_unique"] = B(
+        "SELECT transaction_id, count(*) AS n_records FROM bronze WHERE transaction_id IS NOT NULL "
+        "GROUP BY transaction_id HAVING count(*) > 1"
+    )
+    q["check_unique_silver"] = S(
+        "SELECT transaction_id, count(*) AS n_records FROM silver WHERE transaction_id IS NOT NULL "
+        "GROUP BY transaction_id HAVING count(*) > 1"
+    )
+    q["check_not_null"] = B(
+        "SELECT transaction_id, _batch_id, amount, initiated_at FROM bronze "
+        "WHERE transaction_id IS NULL OR amount IS NULL OR initiated_at IS NULL"
+    )
+    q["check_accepted_values"] = B(
+        f"SELECT transaction_id, _batch_id, status FROM bronze "
+        f"WHERE status IS NOT NULL AND status NOT IN {_STATUSES}"
+    )
+    q["check_accepted_types"] = B(
+        "SELECT transaction_id, _batch_id, transaction_type FROM bronze WHERE transaction_type IS NOT NULL "
+        "AND transaction_type NOT IN ('PAYMENT', 'TRANSFER', 'WITHDRAWAL', 'DEPOSIT', 'REFUND')"
+    )
+    q["check_accepted_range"] = B(
+        "SELECT transaction_id, _batch_id, amount FROM bronze "
+        "WHERE amount IS NOT NULL AND NOT (amount > 0 AND amount < 50000000)"
+    )
+    q["check_success_rate_range"] = S(
+        "SELECT * FROM daily WHERE success_rate IS NOT NULL AND NOT (success_rate >= 0 AND success_rate <= 100)",
+        d,
+    )
+    q["check_at_least_one"] = S(
+        "SELECT count(transaction_count) AS n_non_null FROM daily HAVING count(transaction_count) = 0", d
+    )
+    # reports
+    q["bronze_range"] = B(
+        "SELECT min(initiated_at) AS min_initiated_at, max(initiated_at) AS max_initiated_at FROM bronze"
+    )
+    for key, cols in (
+        ("status_distribution", "status"),
+        ("channel_region", "channel, region"),
+        ("type_distribution", "transaction_type"),
+        ("channel_distribution", "channel"),
+        ("region_distribution", "region"),
+    ):
+        q[key] = B(f"SELECT {cols}, count(*) AS txn_count FROM bronze GROUP BY {cols}")
+    q["amount_stats"] = B(
+        "SELECT count(*) AS txn_count, sum(amount) AS total_volume, avg(amount) AS avg_amount, "
+        "median(amount) AS median_amount, min(amount) AS min_amount, max(amount) AS max_amount FROM bronze"
+    )
+    q["type_share"] = B(_share("transaction_type", "bronze"))
+    q["region_share"] = B(_share("region", "bronze"))
+    q["top_regions"] = B(_share("region", "bronze") + " ORDER BY txn_count DESC, region LIMIT 5")
+    q["duplicate_report"] = B(
+        "SELECT count(*) AS total_rows, count(DISTINCT transaction_id) AS unique_ids, "
+        "count(*) - count(DISTINCT transaction_id) AS duplicates FROM bronze"
+    )
+    q["batch_audit"] = B("SELECT DISTINCT _batch_id, _ingested_at, _source_file FROM bronze")
+    q["bucket_distribution"] = S(_share("_amount_bucket", "silver"))
+    q["peak_offpeak"] = S(
+        "SELECT _is_peak_hour, count(*) AS txn_count, sum(amount) AS total_volume_xof, "
+        "avg(amount) AS avg_amount_xof FROM silver GROUP BY _is_peak_hour"
+    )
+    q["summary_last_7d"] = S(f"SELECT * FROM daily WHERE _date >= {_SEVEN_DAYS}", d)
+    q["kpi_last_7d"] = S(
+        "SELECT CAST(sum(transaction_count) AS BIGINT) AS total_txns, sum(total_volume_xof) AS total_volume, "
+        "avg(success_rate) AS avg_success_rate, sum(total_fees_xof) AS total_fees, "
+        f"avg(avg_latency_seconds) AS avg_latency FROM daily WHERE _date >= {_SEVEN_DAYS}",
+        d,
+    )
+    q["region_performance"] = S(
+        "SELECT region, CAST(sum(transaction_count) AS BIGINT) AS txn_count, "
+        "sum(total_volume_xof) AS volume_xof, avg(success_rate) AS avg_success_pct "
+        "FROM daily GROUP BY region",
+        d,
+    )
+    for key, rate in (
+        ("dashboard_region_7d", "avg(success_rate)"),
+        ("dashboard_region_7d_rounded", "round(avg(success_rate), 1)"),
+    ):
+        q[key] = S(
+            "SELECT _date, region, CAST(sum(transaction_count) AS BIGINT) AS txns, "
+            f"sum(total_volume_xof) AS volume_xof, {rate} AS success_pct FROM daily "
+            f"WHERE _date >= {_SEVEN_DAYS} GROUP BY _date, region",
+            d,
+        )
+    q["top_merchants"] = S(
+        "SELECT merchant_name, merchant_category, sum(total_volume_xof) AS total_volume, "
+        "CAST(sum(transaction_count) AS BIGINT) AS txn_count, avg(avg_transaction_xof) AS avg_txn, "
+        "CAST(sum(unique_customers) AS BIGINT) AS customers FROM merchant "
+        "GROUP BY merchant_name, merchant_category "
+        "ORDER BY total_volume DESC, merchant_name NULLS FIRST, merchant_category NULLS FIRST LIMIT 10",
+        m,
+    )
+    q["flag_breakdown"] = S(
+        "SELECT flag_pattern, count(*) AS flag_count FROM flags GROUP BY flag_pattern", _fraud()
+    )
+    q["top_flags"] = S("SELECT * FROM flags ORDER BY amount DESC, transaction_id LIMIT 50", _fraud())
+    q["velocity_detail"] = S(
+        "SELECT transaction_id, sender_phone, amount, flag_detail_1, region, channel FROM flags "
+        "WHERE flag_pattern = 'VELOCITY_ANOMALY' "
+        "ORDER BY CAST(flag_detail_1 AS INTEGER) DESC, transaction_id LIMIT 20",
+        _fraud(),
+    )
+    q["spike_detail"] = S(
+        "SELECT transaction_id, sender_phone, amount, flag_detail_1, flag_detail_2, region FROM flags "
+        "WHERE flag_pattern = 'AMOUNT_SPIKE' ORDER BY amount DESC, transaction_id LIMIT 20",
+        _fraud(),
+    )
     return q
