@@ -31,9 +31,18 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _canonical_sql(c: str) -> str:
+    return (
+        f"regexp_replace(replace(replace({c}, '{COUNTRY_PREFIX}', ''), ' ', ''), "
+        r"'^\\s+|\\s+$', '')"
+    )
+
+
 def phone_canonical(c: str | Column) -> Column:
     """Drop the country prefix and every space, then strip outer whitespace."""
-    cleaned = F.replace(F.replace(_col(c), F.lit(COUNTRY_PREFIX), F.lit("")), F.lit(" "), F.lit(""))
+    if isinstance(c, str):
+        return F.expr(_canonical_sql(f"`{c}`"))
+    cleaned = F.replace(F.replace(c, F.lit(COUNTRY_PREFIX), F.lit("")), F.lit(" "), F.lit(""))
     return F.regexp_replace(cleaned, r"^\s+|\s+$", "")
 
 

@@ -15,17 +15,20 @@ AMOUNT_BUCKETS = ("MICRO", "SMALL", "MEDIUM", "LARGE", "XLARGE")
 QUALITY_FLAGS = ("PASS", "FAIL")
 
 
+RULE_SQL = {
+    "amount_positive": "amount > 0",
+    "amount_reasonable": f"amount < {AMOUNT_CAP}",
+    "currency_xof": f"currency = '{HOME_CURRENCY}'",
+    "valid_status": "status IN (" + ", ".join(f"'{v}'" for v in VALID_STATUSES) + ")",
+    "has_sender": "sender_phone IS NOT NULL",
+    "has_initiated_at": "initiated_at IS NOT NULL",
+    "fee_non_negative": "fee >= 0",
+}
+
+
 def rules() -> dict[str, Column]:
     """The seven named row rules, in their fixed order."""
-    return {
-        "amount_positive": F.col("amount") > 0,
-        "amount_reasonable": F.col("amount") < AMOUNT_CAP,
-        "currency_xof": F.col("currency") == HOME_CURRENCY,
-        "valid_status": F.col("status").isin(*VALID_STATUSES),
-        "has_sender": F.col("sender_phone").isNotNull(),
-        "has_initiated_at": F.col("initiated_at").isNotNull(),
-        "fee_non_negative": F.col("fee") >= 0,
-    }
+    return {name: F.expr(sql) for name, sql in RULE_SQL.items()}
 
 
 # Rules that decide PASS/FAIL; the others are advisory only.

@@ -26,6 +26,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .silver import passing
 
 # Default thresholds and pattern names.
@@ -50,6 +51,13 @@ BASE_COLUMNS = (
     "region",
 )
 FLAG_COLUMNS = BASE_COLUMNS + ("flag_pattern", "flag_detail_1", "flag_detail_2")
+INPUT_COLUMNS = BASE_COLUMNS + (
+    "transaction_type",
+    "_date",
+    "_hour",
+    "_is_peak_hour",
+    "_quality_flag",
+)
 
 
 def day_slice(silver: DataFrame, day: date | datetime | str | None = None) -> DataFrame:
@@ -187,6 +195,18 @@ def off_hours_large(
     return _flags(rows, OFF_HOURS, F.col("_hour"), F.col("amount"))
 
 
+def fraud_input(silver: DataFrame, share: bool = True) -> DataFrame:
+    """PASS rows, pruned to the columns the four patterns read.
+
+    With ``share`` the frame is checkpointed once into the shared checkpoint
+    folder, so the four pattern branches read it instead of each recomputing
+    Silver (their pruned sub-plans differ, so Spark cannot reuse one exchange
+    for all of them).
+    """
+    base = passing(silver).select(*INPUT_COLUMNS)
+    return cut_lineage(base) if share else base
+
+
 def all_flags(
     silver: DataFrame,
     day: date | datetime | str | None = None,
@@ -197,8 +217,10 @@ def all_flags(
     rapid_minutes: float = RAPID_TRANSFER_WINDOW_MINUTES,
     off_hours_amount: float = OFF_HOURS_LARGE_AMOUNT,
     drop_null_sender: bool = False,
+    share: bool = True,
 ) -> DataFrame:
     """Every (transaction, pattern) match, before one-per-transaction selection."""
+    silver = fraud_input(silver, share)
     parts = [
         velocity(silver, day, velocity_threshold),
         amount_spike(silver, day, spike_factor, spike_since, spike_upper),

@@ -21,7 +21,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.quality import CRITICAL, rule_column, rules
+from ..functions.quality import CRITICAL, RULE_SQL, rule_column
 
 DEDUP_KEY = ("transaction_id",)
 DEDUP_ORDER = ("_ingested_at", "_batch_id")
@@ -63,7 +63,7 @@ def dedup_latest(
     broken by ``_batch_id`` and finally by a hash of the whole row, so the
     survivor is the same on every run and every re-executed task.
     """
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    row_hash = F.expr("xxhash64(" + ", ".join(f"`{c}`" for c in df.columns) + ")")
     w = Window.partitionBy(*key).orderBy(
         *[F.col(c).desc_nulls_last() for c in order], row_hash.desc()
     )
@@ -78,7 +78,11 @@ def quality_columns(
     rule_set: dict[str, Column] | None = None, critical: Sequence[str] = CRITICAL
 ) -> dict[str, Column]:
     """Rule booleans (NULL predicate -> False) and the PASS/FAIL flag."""
-    rule_set = rule_set if rule_set is not None else rules()
+    if rule_set is None:
+        out = {rule_column(n): F.expr(f"coalesce({sql}, false)") for n, sql in RULE_SQL.items()}
+        passed = " AND ".join(f"coalesce({RULE_SQL[n]}, false)" for n in critical)
+        out["_quality_flag"] = F.expr(f"CASE WHEN {passed} THEN 'PASS' ELSE 'FAIL' END")
+        return out
     out = {rule_column(n): F.coalesce(p, F.lit(False)) for n, p in rule_set.items()}
     passed = None
     for name in critical:
@@ -96,38 +100,27 @@ def with_quality(
     return df.withColumns(quality_columns(rule_set, critical))
 
 
-def amount_bucket(c: str | Column = "amount") -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    expr = None
-    for bound, name in BUCKET_BOUNDS:
-        expr = F.when(c < bound, name) if expr is None else expr.when(c < bound, name)
-    return expr.otherwise(TOP_BUCKET)
-
-
-def is_peak_hour(hour: Column) -> Column:
-    expr = None
-    for lo, hi in PEAK_HOURS:
-        part = hour.between(lo, hi)
-        expr = part if expr is None else expr | part
-    return expr
+def amount_bucket(c: str = "amount") -> Column:
+    arms = " ".join(f"WHEN {c} < {bound} THEN '{name}'" for bound, name in BUCKET_BOUNDS)
+    return F.expr(f"CASE {arms} ELSE '{TOP_BUCKET}' END")
 
 
 def enrich(df: DataFrame) -> DataFrame:
     """Time, amount and latency columns (NULL time keeps NULL flags)."""
-    t = F.col("initiated_at")
-    hour = F.hour(t)
-    dow = F.dayofweek(t)
+    peak = " OR ".join(f"hour(initiated_at) BETWEEN {lo} AND {hi}" for lo, hi in PEAK_HOURS)
+    weekend = ", ".join(str(d) for d in WEEKEND_DAYS)
     return df.withColumns(
         {
-            "_date": F.to_date(t),
-            "_hour": hour,
-            "_day_of_week": dow,
+            "_date": F.expr("to_date(initiated_at)"),
+            "_hour": F.expr("hour(initiated_at)"),
+            "_day_of_week": F.expr("dayofweek(initiated_at)"),
             "_amount_bucket": amount_bucket("amount"),
-            "_is_weekend": dow.isin(*WEEKEND_DAYS),
-            "_is_peak_hour": is_peak_hour(hour),
-            "_is_merchant_txn": F.col("merchant_code").isNotNull(),
-            "_processing_latency_seconds": F.unix_timestamp(F.col("completed_at"))
-            - F.unix_timestamp(t),
+            "_is_weekend": F.expr(f"dayofweek(initiated_at) IN ({weekend})"),
+            "_is_peak_hour": F.expr(f"({peak})"),
+            "_is_merchant_txn": F.expr("merchant_code IS NOT NULL"),
+            "_processing_latency_seconds": F.expr(
+                "unix_timestamp(completed_at) - unix_timestamp(initiated_at)"
+            ),
         }
     )
 

@@ -85,3 +85,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def cut_lineage(df, eager: bool = True):
+    """Checkpoint ``df`` into the shared checkpoint folder (never a local one).
+
+    Used where one computed frame feeds several branches of a plan: the
+    branches then read the reliable checkpoint instead of recomputing (and
+    re-shuffling) the whole upstream, and a lost executor does not force a
+    recompute from the source.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)

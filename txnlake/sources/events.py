@@ -9,7 +9,7 @@ deduplication has work to do.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.privacy import canonical_phones, tokenize_phones
@@ -53,107 +53,87 @@ REDELIVERY_EVERY = 50
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one driver table; spread it over the cores if it has too few splits.
 
-
-def _pad(c: Column, n: int) -> Column:
-    return F.lpad(c.cast("string"), n, "0")
-
-
-def _mod(n: int) -> Column:
-    return F.col("event_id") % n
-
-
-def _type_column() -> Column:
-    expr = None
-    for event, txn in TYPE_BY_EVENT.items():
-        cond = F.col("event_type") == event
-        expr = F.when(cond, txn) if expr is None else expr.when(cond, txn)
-    return expr.otherwise(OTHER_TYPE)
+    Parquet splits by row group, so a small file written as one row group is
+    read by one task however many cores there are. Only then is the scan
+    round-robin repartitioned to the default parallelism (the exchange is
+    reused by every consumer of the frame). A large table with many splits is
+    read as is, without the extra shuffle.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
-def _status_column() -> Column:
-    return (
-        F.when(_mod(73) == 0, "UNKNOWN")
-        .when(_mod(12) == 0, "FAILED")
-        .when(_mod(25) == 0, "PENDING")
-        .when(_mod(40) == 7, "REVERSED")
-        .otherwise("SUCCESS")
-    )
+def _case(col: str, mapping: dict[str, str], other: str) -> str:
+    arms = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {arms} ELSE '{other}' END"
 
 
-def _channel_column() -> Column:
-    m = _mod(20)
-    return F.when(m < 13, "USSD").when(m < 18, "APP").when(m == 18, "WEB").otherwise("AGENT")
+# The recipe as SQL expressions over one event row. Each string is parsed on
+# the JVM side, so building the plan costs one call per column instead of one
+# per sub-expression.
+_STATUS = (
+    "CASE WHEN event_id % 73 = 0 THEN 'UNKNOWN' WHEN event_id % 12 = 0 THEN 'FAILED' "
+    "WHEN event_id % 25 = 0 THEN 'PENDING' WHEN event_id % 40 = 7 THEN 'REVERSED' "
+    "ELSE 'SUCCESS' END"
+)
+_CHANNEL = (
+    "CASE WHEN event_id % 20 < 13 THEN 'USSD' WHEN event_id % 20 < 18 THEN 'APP' "
+    "WHEN event_id % 20 = 18 THEN 'WEB' ELSE 'AGENT' END"
+)
+_RAW_EXPRS = (
+    "concat('OM', lpad(CAST(event_id AS STRING), 12, '0')) AS transaction_id",
+    "CASE WHEN event_id % 10 < 3 THEN concat('EXT-', lpad(CAST(event_id AS STRING), 12, '0')) END"
+    " AS external_id",
+    _case("event_type", TYPE_BY_EVENT, OTHER_TYPE) + " AS transaction_type",
+    "CASE WHEN event_id % 97 = 0 THEN 0.0D ELSE CAST(floor(value * 400) AS DOUBLE) END AS amount",
+    "CASE WHEN event_id % 89 = 0 THEN 'EUR' ELSE 'XOF' END AS currency",
+    "CASE WHEN event_id % 83 = 0 THEN -1.0D ELSE CAST(floor(value * 4) AS DOUBLE) END AS fee",
+    "CASE WHEN event_id % 79 = 0 THEN CAST(NULL AS STRING) ELSE concat("
+    "CASE WHEN event_id % 7 = 0 THEN '+221 ' ELSE '' END, '77', "
+    "lpad(CAST(user_id AS STRING), 7, '0')) END AS sender_phone",
+    "concat('78', lpad(CAST(CAST(get_json_object(props, '$.k') AS INT) % 5 AS STRING), 7, '0'))"
+    " AS recipient_phone",
+    "CASE WHEN event_id % 5 < 3 THEN concat('MERCH', lpad(CAST(event_id % 25 AS STRING), 5, '0'))"
+    " END AS merchant_code",
+    "CASE WHEN event_id % 5 < 3 THEN concat('Merchant ', CAST(event_id % 25 AS STRING)) END"
+    " AS merchant_name",
+    "CASE WHEN event_id % 5 = 0 THEN 'FOOD' WHEN event_id % 5 = 1 THEN 'TRANSPORT' "
+    "WHEN event_id % 5 = 2 THEN 'RETAIL' END AS merchant_category",
+    "status",
+    "CASE WHEN status = 'FAILED' THEN 'INSUFFICIENT_FUNDS' END AS failure_reason",
+    "CASE WHEN event_id % 71 = 0 THEN NULL ELSE ts END AS initiated_at",
+    "CASE WHEN status = 'PENDING' THEN NULL "
+    "ELSE timestampadd(SECOND, CAST(event_id % 30 + 1 AS INT), ts) END AS completed_at",
+    "channel",
+    "CASE WHEN channel = 'AGENT' THEN concat('AG', lpad(CAST(event_id % 100 AS STRING), 5, '0'))"
+    " END AS agent_code",
+    "concat('Region ', CAST(user_id % 11 AS STRING)) AS region",
+    "props AS raw_payload",
+    "ts + INTERVAL 1 HOUR AS _ingested_at",
+    "concat('events/', date_format(ts, 'yyyy-MM-dd')) AS _source_file",
+    "'batch-1' AS _batch_id",
+)
 
 
 def raw_transactions(events: DataFrame) -> DataFrame:
     """One raw transaction per event, first delivery (``batch-1``)."""
-    e = F.col("event_id")
-    ts = F.col("ts")
-    status = _status_column()
-    channel = _channel_column()
-    sender = F.when(_mod(79) == 0, F.lit(None).cast("string")).otherwise(
-        F.concat(
-            F.when(_mod(7) == 0, F.lit("+221 ")).otherwise(F.lit("")),
-            F.lit("77"),
-            _pad(F.col("user_id"), 7),
-        )
-    )
-    k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    merchant = _mod(5) < 3
-    category = F.when(_mod(5) == 0, "FOOD").when(_mod(5) == 1, "TRANSPORT").when(
-        _mod(5) == 2, "RETAIL"
-    )
-    return (
-        events.select(*EVENT_COLUMNS)
-        .withColumn("status", status)
-        .withColumn("channel", channel)
-        .select(
-            F.concat(F.lit("OM"), _pad(e, 12)).alias("transaction_id"),
-            F.when(_mod(10) < 3, F.concat(F.lit("EXT-"), _pad(e, 12))).alias("external_id"),
-            _type_column().alias("transaction_type"),
-            F.when(_mod(97) == 0, F.lit(0.0))
-            .otherwise(F.floor(F.col("value") * 400).cast("double"))
-            .alias("amount"),
-            F.when(_mod(89) == 0, "EUR").otherwise("XOF").alias("currency"),
-            F.when(_mod(83) == 0, F.lit(-1.0))
-            .otherwise(F.floor(F.col("value") * 4).cast("double"))
-            .alias("fee"),
-            sender.alias("sender_phone"),
-            F.concat(F.lit("78"), _pad(k % 5, 7)).alias("recipient_phone"),
-            F.when(merchant, F.concat(F.lit("MERCH"), _pad(_mod(25), 5))).alias("merchant_code"),
-            F.when(merchant, F.concat(F.lit("Merchant "), _mod(25).cast("string"))).alias(
-                "merchant_name"
-            ),
-            category.alias("merchant_category"),
-            F.col("status"),
-            F.when(F.col("status") == "FAILED", "INSUFFICIENT_FUNDS").alias("failure_reason"),
-            F.when(_mod(71) == 0, F.lit(None)).otherwise(ts)
-            .alias("initiated_at"),
-            F.when(F.col("status") == "PENDING", F.lit(None))
-            .otherwise(F.timestamp_add("SECOND", (e % 30 + 1).cast("int"), ts))
-            .alias("completed_at"),
-            F.col("channel"),
-            F.when(F.col("channel") == "AGENT", F.concat(F.lit("AG"), _pad(_mod(100), 5))).alias(
-                "agent_code"
-            ),
-            F.concat(F.lit("Region "), (F.col("user_id") % 11).cast("string")).alias("region"),
-            F.col("props").alias("raw_payload"),
-            (ts + F.expr("INTERVAL 1 HOUR")).alias("_ingested_at"),
-            F.concat(F.lit("events/"), F.date_format(ts, "yyyy-MM-dd")).alias("_source_file"),
-            F.lit("batch-1").alias("_batch_id"),
-        )
-    )
+    return events.selectExpr(
+        *EVENT_COLUMNS, f"{_STATUS} AS status", f"{_CHANNEL} AS channel"
+    ).selectExpr(*_RAW_EXPRS)
 
 
 def redelivery(events: DataFrame) -> DataFrame:
     """A second, later delivery (``batch-2``) of every 50th transaction."""
-    again = events.filter(F.col("event_id") % REDELIVERY_EVERY == 0)
+    again = events.filter(f"event_id % {REDELIVERY_EVERY} = 0")
     return raw_transactions(again).withColumns(
         {
-            "amount": F.col("amount") + 1,
-            "_ingested_at": F.col("_ingested_at") + F.expr("INTERVAL 1 HOUR"),
+            "amount": F.expr("amount + 1"),
+            "_ingested_at": F.expr("_ingested_at + INTERVAL 1 HOUR"),
             "_batch_id": F.lit("batch-2"),
         }
     )
