@@ -51,6 +51,7 @@ PAGE = T.StructType(
         T.StructField("page", T.LongType()),
         T.StructField("totalCount", T.LongType()),
         T.StructField("hasMore", T.BooleanType()),
+        T.StructField("_corrupt", T.StringType()),  # set when the text is not JSON
     ]
 )
 
@@ -114,7 +115,12 @@ def build_pages(raw: DataFrame, page_size: int = 1000, body_col: str = "body") -
 
 
 def _elements(pages: DataFrame, body_col: str) -> DataFrame:
-    parsed = pages.select("*", F.from_json(F.col(body_col), PAGE).alias("_doc"))
+    parsed = pages.select(
+        "*",
+        F.from_json(
+            F.col(body_col), PAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+        ).alias("_doc"),
+    )
     return parsed.select(
         "*", F.posexplode_outer("_doc.transactions").alias("_pos", "_tx")
     )
@@ -127,7 +133,7 @@ def _reason() -> Column:
     started = tx["initiatedAt"].try_cast("timestamp")
     completed = tx["completedAt"].try_cast("timestamp")
     return (
-        F.when(F.col("_doc").isNull(), "not_json")
+        F.when(F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull(), "not_json")
         .when(tx.isNull(), "no_transactions")
         .when(tx["id"].isNull(), "missing_id")
         .when(tx["type"].isNull(), "missing_type")
