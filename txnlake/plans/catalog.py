@@ -46,6 +46,12 @@ def merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
 FRAUD_ARGS = dict(velocity_threshold=P.VELOCITY_THRESHOLD, rapid_minutes=P.RAPID_MINUTES)
 
 
+def fraud_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PASS rows for the fraud patterns, checkpointed once (each pattern reads
+    them on both sides of its join, or in two windows)."""
+    return fraud.fraud_input(silver(spark, sf_dir))
+
+
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fraud.detect_all(silver(spark, sf_dir), None, **FRAUD_ARGS)
 
@@ -133,7 +139,7 @@ def _reg() -> dict[str, Query]:
         .filter(F.col("daily_txn_count") > P.VELOCITY_THRESHOLD)
     )
     q["sender_recent_avg"] = lambda s, d: fraud.sender_mean(silver(s, d), since="2024-01-24")
-    q["transfer_gaps"] = lambda s, d: fraud.transfer_gaps(silver(s, d)).select(
+    q["transfer_gaps"] = lambda s, d: fraud.transfer_gaps(fraud_rows(s, d)).select(
         "transaction_id",
         "sender_phone",
         "recipient_phone",
@@ -141,11 +147,11 @@ def _reg() -> dict[str, Query]:
         "prev_txn_time",
         "minutes_since_prev",
     )
-    q["fraud_velocity"] = lambda s, d: fraud.velocity(silver(s, d), None, P.VELOCITY_THRESHOLD)
-    q["fraud_velocity_day"] = lambda s, d: fraud.velocity(silver(s, d), P.DAY, 3)
-    q["fraud_amount_spike"] = lambda s, d: fraud.amount_spike(silver(s, d), None, P.SPIKE_FACTOR)
+    q["fraud_velocity"] = lambda s, d: fraud.velocity(fraud_rows(s, d), None, P.VELOCITY_THRESHOLD)
+    q["fraud_velocity_day"] = lambda s, d: fraud.velocity(fraud_rows(s, d), P.DAY, 3)
+    q["fraud_amount_spike"] = lambda s, d: fraud.amount_spike(fraud_rows(s, d), None, P.SPIKE_FACTOR)
     q["fraud_rapid_transfer"] = lambda s, d: fraud.rapid_transfer(
-        silver(s, d), None, P.RAPID_MINUTES
+        fraud_rows(s, d), None, P.RAPID_MINUTES
     )
     q["fraud_off_hours"] = lambda s, d: fraud.off_hours_large(
         silver(s, d), None, P.OFF_HOURS_AMOUNT

@@ -6,7 +6,7 @@ designed around:
 
 * AQE on, with partition coalescing and skew-join splitting, so hot senders or
   merchants are split at runtime and small join sides are broadcast only after
-  their real (measured) size is known.
+  their real (measured) size is known (static size estimates never broadcast).
 * dynamic partition overwrite, so rewriting one ``_date`` leaves the others.
 * UTC session clock, so ``to_date`` / ``hour`` / ``unix_timestamp`` do not
   depend on the machine.
@@ -26,6 +26,12 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on measured sizes: the static planner's estimates after
+    # filters and aggregates can be far off at scale, so it never broadcasts;
+    # AQE converts a join to broadcast once the real shuffle output of a side
+    # is known to be under the threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
