@@ -64,6 +64,13 @@ DEFAULT_CHANNEL = "USSD"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def _utc_ntz(text: Column) -> Column:
+    """ISO text with or without an offset -> UTC wall time (TIMESTAMP_NTZ),
+    independent of the session time zone."""
+    local_wall = text.try_cast("timestamp").cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local_wall)
+
+
 def _iso(c: Column) -> Column:
     return F.concat(F.date_format(c, ISO_FORMAT), F.lit("Z"))
 
@@ -75,7 +82,7 @@ def build_pages(raw: DataFrame, page_size: int = 1000, body_col: str = "body") -
     page holds at most ``page_size`` ids (twice that with re-deliveries): the
     grouping never gathers an unbounded group.
     """
-    page_no = F.floor(F.substring(F.col("transaction_id"), 3, 64).cast("long") / page_size)
+    page_no = F.floor(F.substring(F.col("transaction_id"), 3, 64).try_cast("long") / page_size)
     element = F.struct(
         F.col("transaction_id").alias("id"),
         F.col("external_id").alias("externalId"),
@@ -168,8 +175,8 @@ def _rows(good: DataFrame, secret: str | bytes | None, redact: bool) -> DataFram
         tx["merchantCategory"].alias("merchant_category"),
         F.coalesce(tx["status"], F.lit(DEFAULT_STATUS)).alias("status"),
         tx["failureReason"].alias("failure_reason"),
-        tx["initiatedAt"].try_cast("timestamp").cast("timestamp_ntz").alias("initiated_at"),
-        tx["completedAt"].try_cast("timestamp").cast("timestamp_ntz").alias("completed_at"),
+        _utc_ntz(tx["initiatedAt"]).alias("initiated_at"),
+        _utc_ntz(tx["completedAt"]).alias("completed_at"),
         F.coalesce(tx["channel"], F.lit(DEFAULT_CHANNEL)).alias("channel"),
         tx["agentCode"].alias("agent_code"),
         tx["region"].alias("region"),

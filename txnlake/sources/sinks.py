@@ -38,8 +38,10 @@ def append(
     """Append rows (new columns are allowed; read back with ``mergeSchema``)."""
     obs = Observation("append")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-    writer = observed.write.mode("append").format(fmt)
     parts = _partitions(partition_by)
+    if parts:
+        observed = observed.hint("rebalance", *parts)
+    writer = observed.write.mode("append").format(fmt)
     if parts:
         writer = writer.partitionBy(*parts)
     writer.save(path)
