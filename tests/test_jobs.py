@@ -51,3 +51,20 @@ def test_stream_landing_equals_batch(spark):
     expected = normalize(pages.flatten_pages(pg).withColumns(audit))
     cols = [c for c in expected.columns if c not in ("_ingested_at", "_source_file", "_batch_id")]
     assert _same(silver, expected, cols)
+
+
+def test_run_day_and_named_tables(spark):
+    from txnlake.plans.params import AS_OF
+
+    paths = LakePaths(tempfile.mkdtemp(prefix="lake-"))
+    out = jobs.run_day(spark, paths, catalog.bronze(spark, SF), "2024-01-16", days_back=2, velocity_threshold=3)
+    assert out["ingest"]["rows_written"] == 1020
+    assert out["normalize"]["rows_read"] == out["normalize"]["rows_written"] + out["normalize"]["duplicates_removed"]
+    names = jobs.register_tables(spark, paths)
+    assert "gold.daily_summary" in names and "silver.normalized_transactions" in names
+    got = spark.sql(
+        "SELECT _date, region, SUM(transaction_count) AS txns FROM gold.daily_summary "
+        f"WHERE _date >= date_sub(DATE '{AS_OF}', 30) GROUP BY _date, region"
+    )
+    silver = spark.table("silver.normalized_transactions")
+    assert got.agg(F.sum("txns")).first()[0] == silver.filter("_quality_flag = 'PASS'").count()

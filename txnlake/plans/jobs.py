@@ -194,3 +194,66 @@ def retention_job(
     """Expired Silver date partitions (to drop), as a frame of dates."""
     silver = sinks.read_table(spark, paths.silver)
     return lifecycle.retention_expired(silver, as_of, days).select("_date").distinct()
+
+
+# Layer schemas and their comments.
+LAYER_COMMENTS = {
+    "bronze": "Raw transactions - append-only, schema-on-read",
+    "silver": "Normalized, deduplicated, quality-checked transactions",
+    "gold": "Business aggregates and fraud detection",
+}
+
+
+def register_tables(spark: SparkSession, paths: LakePaths) -> list[str]:
+    """Create the three layer schemas and name the stored tables in them.
+
+    Schemas are one-part names (``bronze``, ``silver``, ``gold``) located in the
+    lake root; every table is an external parquet table over its folder, so
+    ``spark.table("gold.daily_summary")`` and plain SQL work on the layers.
+    Returns the names that were registered (tables not written yet are skipped).
+    """
+    for schema, comment in LAYER_COMMENTS.items():
+        location = paths._p(schema)
+        spark.sql(
+            f"CREATE SCHEMA IF NOT EXISTS {schema} COMMENT '{comment}' LOCATION '{location}'"
+        )
+    tables = {
+        "bronze.raw_transactions": paths.bronze,
+        "silver.normalized_transactions": paths.silver,
+        "gold.daily_summary": paths.gold_daily,
+        "gold.merchant_activity": paths.gold_merchant,
+        "gold.fraud_flags": paths.flags,
+    }
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    done = []
+    for name, path in tables.items():
+        p = hadoop(path)
+        if not p.getFileSystem(conf).exists(p):
+            continue
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+        # partitions written after the table was created become visible here
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(name)
+        done.append(name)
+    return done
+
+
+def run_day(
+    spark: SparkSession,
+    paths: LakePaths,
+    landed: DataFrame,
+    as_of: date | datetime | str,
+    days_back: int = 1,
+    gold_days: int = 30,
+    **thresholds,
+) -> dict:
+    """One scheduled run: land, normalise the last ``days_back`` days, rebuild
+    Gold for ``gold_days`` and flag the day before ``as_of``."""
+    end = datetime.fromisoformat(_day(as_of))
+    start = end - timedelta(days=days_back)
+    out = {"ingest": ingest_bronze(landed, paths)}
+    out["normalize"] = normalize_job(spark, paths, start, end)
+    out["aggregate"] = aggregate_job(spark, paths, as_of, gold_days)
+    out["detect"] = detect_job(spark, paths, end - timedelta(days=1), **thresholds)
+    return out
