@@ -147,9 +147,15 @@ def transfer_gaps(
         rows = rows.filter(F.col("sender_phone").isNotNull())
     group = ["sender_phone", "recipient_phone", "_date"]
     t = F.col("initiated_at")
-    rows = rows.withColumn(
-        "_bucket", F.floor(F.unix_timestamp(t) / bucket_seconds)
+    # Wall-clock seconds since 1970-01-01 (no time zone involved, so buckets are
+    # monotonic in initiated_at in every session).
+    wall = (
+        F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long") * 86400
+        + F.hour(t) * 3600
+        + F.minute(t) * 60
+        + F.second(t)
     )
+    rows = rows.withColumn("_bucket", F.floor(wall / bucket_seconds))
     in_bucket = Window.partitionBy(*group, "_bucket").orderBy(t, F.col("transaction_id"))
     rows = rows.withColumn("_prev_in_bucket", F.lag(t).over(in_bucket))
 
