@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .silver import passing
+from .stats import attach_median
 
 DAILY_KEYS = ("_date", "region", "channel", "_is_weekend", "_is_peak_hour")
 MERCHANT_KEYS = ("merchant_code", "merchant_name", "merchant_category", "_date")
+MEDIAN = "median_transaction_xof"
 
 
 def _count_if(cond: Column) -> Column:
@@ -39,28 +41,32 @@ def daily_summary(
     rounded: bool = False,
     approx: bool = False,
     updated_at: datetime | str | None = None,
+    median: str = "distributed",
 ) -> DataFrame:
     """KPIs per (date, region, channel, weekend, peak hour) over PASS rows.
 
     ``rounded=True`` gives the SQL-model variant (mean to 2 dp, latency to
     1 dp). Ratios use ``try_divide`` so an empty denominator yields NULL.
+    ``median``: ``"distributed"`` (exact, no group gathered in one task, see
+    ``stats.grouped_median``), ``"builtin"`` (exact ``median``, one task per
+    group at the final merge) or ignored when ``approx`` (fixed-size sketch).
     """
     is_merchant = F.col("_is_merchant_txn")
     avg_amount = F.avg("amount")
     avg_latency = F.avg("_processing_latency_seconds")
-    median = (
-        F.percentile_approx("amount", 0.5, 10_000).cast("double")
-        if approx
-        else F.median("amount")
-    )
+    rows = passing(silver)
+    inline_median = []
+    if approx:
+        inline_median = [F.percentile_approx("amount", 0.5, 10_000).cast("double").alias(MEDIAN)]
+    elif median == "builtin":
+        inline_median = [F.median("amount").alias(MEDIAN)]
     out = (
-        passing(silver)
-        .groupBy(*DAILY_KEYS)
+        rows.groupBy(*DAILY_KEYS)
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
             F.sum("amount").alias("total_volume_xof"),
             (F.round(avg_amount, 2) if rounded else avg_amount).alias("avg_transaction_xof"),
-            median.alias("median_transaction_xof"),
+            *inline_median,
             F.sum("fee").alias("total_fees_xof"),
             _count_if(is_merchant).alias("merchant_txn_count"),
             _count_if(F.col("status") == "FAILED").alias("failed_count"),
@@ -80,6 +86,8 @@ def daily_summary(
             }
         )
     )
+    if not inline_median:
+        out = attach_median(out, rows, DAILY_KEYS, "amount", MEDIAN)
     if updated_at is not None:
         out = out.withColumn("_updated_at", F.lit(updated_at).cast("timestamp"))
     return out

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.quality import CRITICAL, rule_column
 from .silver import passing
+from .stats import attach_median
 
 AS_OF_DAYS = 7
 
@@ -71,14 +72,15 @@ def top_values(df: DataFrame, col: str, n: int = 5) -> DataFrame:
 
 
 def amount_stats(df: DataFrame) -> DataFrame:
-    return df.agg(
+    """Count, sum, mean, exact median, min and max of ``amount`` (one row)."""
+    stats = df.agg(
         F.count(F.lit(1)).alias("txn_count"),
         F.sum("amount").alias("total_volume"),
         F.avg("amount").alias("avg_amount"),
-        F.median("amount").alias("median_amount"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
     )
+    return attach_median(stats, df, [], "amount", "median_amount")
 
 
 def batch_audit(bronze: DataFrame) -> DataFrame:
