@@ -16,12 +16,21 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .silver import passing
 from .stats import attach_median
 
 DAILY_KEYS = ("_date", "region", "channel", "_is_weekend", "_is_peak_hour")
 MERCHANT_KEYS = ("merchant_code", "merchant_name", "merchant_category", "_date")
 MEDIAN = "median_transaction_xof"
+DAILY_INPUTS = (
+    "amount",
+    "fee",
+    "status",
+    "merchant_code",
+    "_is_merchant_txn",
+    "_processing_latency_seconds",
+)
 
 
 def _count_if(cond: Column) -> Column:
@@ -42,6 +51,7 @@ def daily_summary(
     approx: bool = False,
     updated_at: datetime | str | None = None,
     median: str = "distributed",
+    share: bool = False,
 ) -> DataFrame:
     """KPIs per (date, region, channel, weekend, peak hour) over PASS rows.
 
@@ -50,11 +60,16 @@ def daily_summary(
     ``median``: ``"distributed"`` (exact, no group gathered in one task, see
     ``stats.grouped_median``), ``"builtin"`` (exact ``median``, one task per
     group at the final merge) or ignored when ``approx`` (fixed-size sketch).
+    ``share=True`` checkpoints the PASS rows once (pruned to the columns used)
+    so the aggregate and the median branch do not both recompute Silver; use it
+    when Silver is derived in the same plan rather than read from its table.
     """
     is_merchant = F.col("_is_merchant_txn")
     avg_amount = F.avg("amount")
     avg_latency = F.avg("_processing_latency_seconds")
     rows = passing(silver)
+    if share and not approx and median == "distributed":
+        rows = cut_lineage(rows.select(*DAILY_KEYS, *DAILY_INPUTS))
     inline_median = []
     if approx:
         inline_median = [F.percentile_approx("amount", 0.5, 10_000).cast("double").alias(MEDIAN)]

@@ -36,7 +36,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.daily_summary(silver(spark, sf_dir))
+    return gold.daily_summary(silver(spark, sf_dir), share=True)
 
 
 def merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +126,9 @@ def _reg() -> dict[str, Query]:
     q["silver_sample"] = lambda s, d: reports.silver_sample(silver(s, d))
     # gold
     q["daily_summary"] = daily
-    q["daily_summary_rounded"] = lambda s, d: gold.daily_summary(silver(s, d), rounded=True)
+    q["daily_summary_rounded"] = lambda s, d: gold.daily_summary(
+        silver(s, d), rounded=True, share=True
+    )
     q["merchant_activity"] = merchant
     q["merchant_activity_rounded"] = lambda s, d: gold.merchant_activity(
         silver(s, d), rounded=True
