@@ -290,6 +290,36 @@ _RULES = f"""
 
 _SEVEN_DAYS = "DATE '2024-01-24'"
 
+def _json_field(key: str, expr: str, nullable: bool = True) -> str:
+    item = f"'\"{key}\":' || CAST(to_json({expr}) AS VARCHAR)"
+    return f"CASE WHEN {expr} IS NOT NULL THEN {item} END" if nullable else item
+
+
+_PAYLOAD = (
+    "'{' || concat_ws(',', "
+    + ", ".join(
+        [
+            _json_field("id", "transaction_id", False),
+            _json_field("externalId", "external_id"),
+            _json_field("type", "transaction_type", False),
+            _json_field("amount", "CAST(amount AS VARCHAR)", False),
+            _json_field("currency", "currency", False),
+            _json_field("fee", "CAST(fee AS VARCHAR)", False),
+            _json_field("merchantCode", "merchant_code"),
+            _json_field("merchantName", "merchant_name"),
+            _json_field("merchantCategory", "merchant_category"),
+            _json_field("status", "status", False),
+            _json_field("failureReason", "failure_reason"),
+            _json_field("initiatedAt", "strftime(initiated_at, '%Y-%m-%dT%H:%M:%S.%fZ')", False),
+            _json_field("completedAt", "strftime(completed_at, '%Y-%m-%dT%H:%M:%S.%fZ')"),
+            _json_field("channel", "channel", False),
+            _json_field("agentCode", "agent_code"),
+            _json_field("region", "region"),
+        ]
+    )
+    + ") || '}'"
+)
+
 _PAGE_GOOD = "amount > 0 AND fee >= 0 AND sender_raw IS NOT NULL AND initiated_at IS NOT NULL"
 
 
@@ -316,6 +346,11 @@ def oracle_sql() -> dict[str, str]:
         "WHEN initiated_at IS NULL THEN 'bad_initiated_at' END AS reason "
         "FROM raw WHERE _batch_id = 'batch-1') WHERE reason IS NOT NULL"
     )
+    q["payload_redacted"] = B(
+        f"SELECT transaction_id, {_hmac(_canon('sender_raw'), P.SECRET)} AS sender_phone, "
+        f"{_hmac(_canon('recipient_raw'), P.SECRET)} AS recipient_phone, {_PAYLOAD} AS raw_payload "
+        f"FROM raw WHERE _batch_id = 'batch-1' AND {_PAGE_GOOD}"
+    )
     q["high_water_mark"] = B("SELECT max(initiated_at) AS high_water_mark FROM bronze")
     q["incremental_batch"] = B(
         "SELECT b.* FROM bronze b WHERE b.initiated_at > (SELECT max(initiated_at) FROM ex) "
