@@ -18,7 +18,7 @@ def land(
     records: DataFrame,
     ingested_at: datetime | str,
     batch_id: str,
-    source_prefix: str = "orange-money-api/",
+    source_prefix: str = "payments-api/",
 ) -> DataFrame:
     """Add the audit columns and fix the Bronze column order.
 
