@@ -163,8 +163,8 @@ daily AS (
     count(DISTINCT merchant_code) AS unique_merchants,
     sum(CASE WHEN _is_merchant_txn THEN amount END) AS merchant_volume_xof,
     {lat} AS avg_latency_seconds,
-    round((count(*) - count(CASE WHEN status = 'FAILED' THEN 1 END)) / count(*) * 100, 2) AS success_rate,
-    round(count(CASE WHEN _is_merchant_txn THEN 1 END) / count(*) * 100, 2) AS merchant_share_pct
+    sround((count(*) - count(CASE WHEN status = 'FAILED' THEN 1 END)) / count(*) * 100, 2) AS success_rate,
+    sround(count(CASE WHEN _is_merchant_txn THEN 1 END) / count(*) * 100, 2) AS merchant_share_pct
   FROM pass
   GROUP BY _date, region, channel, _is_weekend, _is_peak_hour
 )"""
@@ -178,8 +178,8 @@ merchant AS (
     sum(fee) AS total_fees_xof,
     count(DISTINCT sender_phone) AS unique_customers,
     count(CASE WHEN status = 'FAILED' THEN 1 END) AS failed_count,
-    round((count(*) - count(CASE WHEN status = 'FAILED' THEN 1 END)) / count(*) * 100, 2) AS success_rate,
-    round(CASE WHEN count(DISTINCT sender_phone) = 0 THEN NULL
+    sround((count(*) - count(CASE WHEN status = 'FAILED' THEN 1 END)) / count(*) * 100, 2) AS success_rate,
+    sround(CASE WHEN count(DISTINCT sender_phone) = 0 THEN NULL
                ELSE count(*) / count(DISTINCT sender_phone) END, 2) AS avg_txn_per_customer
   FROM pass
   WHERE _is_merchant_txn
@@ -188,10 +188,10 @@ merchant AS (
 
 DAILY = _DAILY.format(avg="avg(amount)", lat="avg(_processing_latency_seconds)")
 DAILY_ROUNDED = _DAILY.format(
-    avg="round(avg(amount), 2)", lat="round(avg(_processing_latency_seconds), 1)"
+    avg="sround(avg(amount), 2)", lat="sround(avg(_processing_latency_seconds), 1)"
 )
 MERCHANT = _MERCHANT.format(avg="avg(amount)")
-MERCHANT_ROUNDED = _MERCHANT.format(avg="round(avg(amount), 2)")
+MERCHANT_ROUNDED = _MERCHANT.format(avg="sround(avg(amount), 2)")
 
 
 _FLAG_BASE = "transaction_id, sender_phone, recipient_phone, amount, initiated_at, channel, region"
@@ -210,8 +210,8 @@ f_velocity AS (
 sa AS (SELECT sender_phone, avg(amount) AS avg_amount_7d FROM pass GROUP BY sender_phone),
 f_spike AS (
   SELECT p.transaction_id, p.sender_phone, p.recipient_phone, p.amount, p.initiated_at, p.channel, p.region,
-    'AMOUNT_SPIKE' AS flag_pattern, CAST(round(p.amount, 2) AS VARCHAR) AS flag_detail_1,
-    round(sa.avg_amount_7d, 2) AS flag_detail_2
+    'AMOUNT_SPIKE' AS flag_pattern, CAST(sround(p.amount, 2) AS VARCHAR) AS flag_detail_1,
+    sround(sa.avg_amount_7d, 2) AS flag_detail_2
   FROM {src} p JOIN sa ON p.sender_phone = sa.sender_phone
   WHERE p.amount > sa.avg_amount_7d * 5.0
 ),
@@ -226,7 +226,7 @@ gaps AS (
 ),
 f_rapid AS (
   SELECT transaction_id, sender_phone, recipient_phone, amount, initiated_at, channel, region,
-    'RAPID_TRANSFER' AS flag_pattern, CAST(round(minutes_since_prev, 1) AS VARCHAR) AS flag_detail_1,
+    'RAPID_TRANSFER' AS flag_pattern, CAST(sround(minutes_since_prev, 1) AS VARCHAR) AS flag_detail_1,
     CAST(NULL AS DOUBLE) AS flag_detail_2
   FROM gaps WHERE minutes_since_prev < {rapid}
 ),
@@ -273,7 +273,7 @@ def _mask(c: str) -> str:
 def _share(col: str, src: str) -> str:
     return (
         f"SELECT {col}, count(*) AS txn_count, "
-        f"round(count(*) / sum(count(*)) OVER () * 100, 1) AS pct FROM {src} GROUP BY {col}"
+        f"sround(count(*) / sum(count(*)) OVER () * 100, 1) AS pct FROM {src} GROUP BY {col}"
     )
 
 
@@ -323,7 +323,43 @@ _PAYLOAD = (
 _PAGE_GOOD = "amount > 0 AND fee >= 0 AND sender_raw IS NOT NULL AND initiated_at IS NOT NULL"
 
 
+def _expand_round(sql: str) -> str:
+    """Rewrite ``sround(x, d)`` into DuckDB SQL with Spark's rounding.
+
+    Spark rounds a double HALF_UP on its shortest decimal form (1.025 -> 1.03);
+    DuckDB rounds the binary value (1.0249999999999999 -> 1.02). Going through
+    the shortest text form and a DECIMAL reproduces Spark.
+    """
+    out, i, tag = [], 0, "sround("
+    while True:
+        j = sql.find(tag, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        k, depth, comma = j + len(tag), 1, -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        expr = _expand_round(sql[j + len(tag) : comma])
+        digits = sql[comma + 1 : k - 1].strip()
+        out.append(
+            f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+        )
+        i = k
+
+
 def oracle_sql() -> dict[str, str]:
+    return {k: _expand_round(v) for k, v in _oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     S, B = with_silver, with_bronze
     d, m = "," + DAILY, "," + MERCHANT
@@ -410,7 +446,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["quality_failures"] = S(
         "SELECT count(*) AS total_rows, count(*) FILTER (WHERE _quality_flag = 'FAIL') AS failing, "
-        "round(count(*) FILTER (WHERE _quality_flag = 'FAIL') / count(*) * 100, 2) AS fail_pct, "
+        "sround(count(*) FILTER (WHERE _quality_flag = 'FAIL') / count(*) * 100, 2) AS fail_pct, "
         "count(*) FILTER (WHERE _quality_flag = 'FAIL' AND NOT _quality_amount_positive) AS fail_amount_positive, "
         "count(*) FILTER (WHERE _quality_flag = 'FAIL' AND NOT _quality_valid_status) AS fail_valid_status, "
         "count(*) FILTER (WHERE _quality_flag = 'FAIL' AND NOT _quality_has_initiated_at) AS fail_has_initiated_at "
@@ -418,7 +454,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["normalize_metrics"] = S(
         "SELECT r AS rows_read, w AS rows_written, r - w AS duplicates_removed, f AS quality_failures, "
-        "f AS rows_with_warnings, CASE WHEN w > 0 THEN round((w - f) / w * 100, 2) ELSE 0.0 END AS quality_pass_rate "
+        "f AS rows_with_warnings, CASE WHEN w > 0 THEN sround((w - f) / w * 100, 2) ELSE 0.0 END AS quality_pass_rate "
         "FROM (SELECT (SELECT count(*) FROM bronze) AS r, count(*) AS w, "
         "count(*) FILTER (WHERE _quality_flag = 'FAIL') AS f FROM silver)"
     )
@@ -530,7 +566,7 @@ def oracle_sql() -> dict[str, str]:
     )
     for key, rate in (
         ("dashboard_region_7d", "avg(success_rate)"),
-        ("dashboard_region_7d_rounded", "round(avg(success_rate), 1)"),
+        ("dashboard_region_7d_rounded", "sround(avg(success_rate), 1)"),
     ):
         q[key] = S(
             "SELECT _date, region, CAST(sum(transaction_count) AS BIGINT) AS txns, "
