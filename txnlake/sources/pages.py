@@ -200,11 +200,20 @@ def flatten_pages(
 
 
 def quarantine_pages(pages: DataFrame, body_col: str = "body") -> DataFrame:
-    """Rejected elements (and non-JSON pages) with the first failing reason."""
+    """Rejected elements (and non-JSON pages) with the first failing reason.
+
+    Each row carries the rejected element's own JSON (``raw_text``), so its size
+    is bounded by one element; the full page text is kept only for a page that
+    is not JSON at all. Other columns of ``pages`` (e.g. a page number) are kept.
+    """
     el = _elements(pages, body_col).withColumn("reason", _reason())
+    extra = [c for c in pages.columns if c != body_col]
     return el.filter(F.col("reason").isNotNull()).select(
+        *extra,
         F.col("_tx.id").alias("transaction_id"),
         F.col("_pos").alias("position"),
         "reason",
-        F.col(body_col).alias("page_body"),
+        F.when(F.col("reason") == "not_json", F.col(body_col))
+        .otherwise(F.to_json(F.col("_tx")))
+        .alias("raw_text"),
     )
