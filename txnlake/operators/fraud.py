@@ -165,10 +165,9 @@ def transfer_gaps(
         *group, "_bucket", F.lag("_bucket_last").over(by_bucket).alias("_prev_bucket_last")
     )
     keys = group + ["_bucket"]
-    cond = [rows[k].eqNullSafe(prev_bucket[k]) for k in keys]
-    joined = rows.join(prev_bucket, cond, "inner").select(
-        rows["*"], prev_bucket["_prev_bucket_last"]
-    )
+    r, b = rows.alias("r"), prev_bucket.alias("b")
+    cond = [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    joined = r.join(b, cond, "inner").select("r.*", F.col("b._prev_bucket_last"))
     prev = F.coalesce(F.col("_prev_in_bucket"), F.col("_prev_bucket_last"))
     gap = (F.unix_timestamp(t) - F.unix_timestamp(prev)) / 60
     return joined.withColumn("prev_txn_time", prev).withColumn(

@@ -61,11 +61,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reused by every consumer of the frame). A large table with many splits is
     read as is, without the extra shuffle.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    key = (spark.sparkContext.applicationId, path, cores)
+    if key not in _FEW_SPLITS:
+        _FEW_SPLITS[key] = df.rdd.getNumPartitions() < cores
+    return df.repartition(cores) if _FEW_SPLITS[key] else df
+
+
+# (application, path, cores) -> whether the scan has fewer splits than cores;
+# the answer only steers parallelism, so a stale entry never changes results.
+_FEW_SPLITS: dict[tuple, bool] = {}
 
 
 def _case(col: str, mapping: dict[str, str], other: str) -> str:
