@@ -44,6 +44,13 @@ CLUSTER_CONF = {
 }
 
 
+# Initial shuffle width on a cluster. AQE merges small shuffle partitions up to
+# the advisory size but does not split evenly large ones, so the start must be
+# wide enough for the biggest shuffle: the dedup of ~30 TB of Bronze rows over
+# 32768 partitions is ~1 GB per task before AQE coalescing of smaller stages.
+CLUSTER_SHUFFLE_PARTITIONS = 32768
+
+
 def get_spark(
     master: str | None = None,
     app_name: str = "txnlake",
@@ -55,9 +62,12 @@ def get_spark(
     if master:
         builder = builder.master(master)
     conf = dict(CLUSTER_CONF)
+    local = bool(master and master.startswith("local"))
+    if shuffle_partitions is None and not local:
+        shuffle_partitions = CLUSTER_SHUFFLE_PARTITIONS
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master and master.startswith("local"):
+    if local:
         conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra_conf or {})
     for key, value in conf.items():
