@@ -2,9 +2,8 @@
 
 The column recipe is a fixed test fixture: every derived column is a pure
 function of one event row, so the mapping is a single narrow projection (no
-shuffle) that runs on each scan split. A second projection of the same scan
-re-delivers every 50th event one hour later as ``batch-2`` so that keep-latest
-deduplication has work to do.
+shuffle) over one scan. Every 50th event is exploded into a second, later
+delivery (``batch-2``) so that keep-latest deduplication has work to do.
 """
 
 from __future__ import annotations
@@ -127,22 +126,36 @@ _RAW_EXPRS = (
 )
 
 
-def raw_transactions(events: DataFrame) -> DataFrame:
-    """One raw transaction per event, first delivery (``batch-1``)."""
+def raw_transactions(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One raw transaction per event, first delivery (``batch-1``).
+
+    ``keep`` names extra input columns carried through unchanged.
+    """
     return events.selectExpr(
-        *EVENT_COLUMNS, f"{_STATUS} AS status", f"{_CHANNEL} AS channel"
-    ).selectExpr(*_RAW_EXPRS)
-
-
-def redelivery(events: DataFrame) -> DataFrame:
-    """A second, later delivery (``batch-2``) of every 50th transaction."""
-    again = events.filter(f"event_id % {REDELIVERY_EVERY} = 0")
-    return raw_transactions(again).withColumns(
-        {
-            "amount": F.expr("amount + 1"),
-            "_ingested_at": F.expr("_ingested_at + INTERVAL 1 HOUR"),
-            "_batch_id": F.lit("batch-2"),
-        }
+        *EVENT_COLUMNS, *keep, f"{_STATUS} AS status", f"{_CHANNEL} AS channel"
+    ).selectExpr(*_RAW_EXPRS, *keep)
+
+
+def with_redelivery(events: DataFrame) -> DataFrame:
+    """Every event once, and every 50th a second time one hour later.
+
+    One scan: each event row is exploded into its delivery numbers, and the
+    second delivery (``batch-2``) carries amount + 1 and a later ingest time.
+    """
+    deliveries = events.withColumn(
+        "_delivery",
+        F.explode(F.expr(f"IF(event_id % {REDELIVERY_EVERY} = 0, array(1, 2), array(1))")),
+    )
+    return (
+        raw_transactions(deliveries, keep=("_delivery",))
+        .withColumns(
+            {
+                "amount": F.expr("amount + (_delivery - 1)"),
+                "_ingested_at": F.expr("_ingested_at + (_delivery - 1) * INTERVAL 1 HOUR"),
+                "_batch_id": F.expr("concat('batch-', CAST(_delivery AS STRING))"),
+            }
+        )
+        .drop("_delivery")
     )
 
 
@@ -152,7 +165,7 @@ def bronze_from_events(events: DataFrame, secret: str | bytes | None = None) ->
     Phones are canonicalised at the edge exactly as the source model does
     before landing; with ``secret`` they are then replaced by HMAC tokens.
     """
-    bronze = raw_transactions(events).unionByName(redelivery(events))
+    bronze = with_redelivery(events)
     if secret is None:
         return canonical_phones(bronze)
     return tokenize_phones(bronze, secret)
