@@ -68,3 +68,16 @@ def test_run_day_and_named_tables(spark):
     )
     silver = spark.table("silver.normalized_transactions")
     assert got.agg(F.sum("txns")).first()[0] == silver.filter("_quality_flag = 'PASS'").count()
+
+
+def test_check_job_stores_failures(spark):
+    paths = LakePaths(tempfile.mkdtemp(prefix="lake-"))
+    jobs.ingest_bronze(catalog.bronze(spark, SF), paths)
+    jobs.normalize_job(spark, paths)
+    jobs.aggregate_job(spark, paths, "2024-01-31", 30)
+    got = jobs.check_job(spark, paths, "run-1")
+    assert got["bronze_transaction_id_unique"] == 20  # re-delivered ids
+    assert got["silver_transaction_id_unique"] == 0
+    assert got["bronze_status_accepted"] > 0 and got["daily_success_rate_range"] == 0
+    stored = spark.read.parquet(paths.root + "/checks")
+    assert stored.filter("_check = 'bronze_transaction_id_unique'").count() == 20

@@ -257,3 +257,44 @@ def run_day(
     out["aggregate"] = aggregate_job(spark, paths, as_of, gold_days)
     out["detect"] = detect_job(spark, paths, end - timedelta(days=1), **thresholds)
     return out
+
+
+def check_job(spark: SparkSession, paths: LakePaths, run_id: str) -> dict:
+    """Run the layer data checks; store each failing check's rows.
+
+    Returns the number of violating rows per check (0 = passed). Failures are
+    kept under ``<root>/checks/_check=<name>/_run_id=<run_id>``.
+    """
+    from ..functions.quality import AMOUNT_BUCKETS, QUALITY_FLAGS, TRANSACTION_TYPES, VALID_STATUSES
+    from ..operators import checks
+
+    bronze = sinks.read_table(spark, paths.bronze, merge_schema=True).drop(EVENT_DATE)
+    silver = sinks.read_table(spark, paths.silver)
+    daily = sinks.read_table(spark, paths.gold_daily)
+    merchant = sinks.read_table(spark, paths.gold_merchant)
+    suite = {
+        "bronze_transaction_id_unique": checks.violations_unique(bronze, "transaction_id"),
+        "bronze_not_null": checks.violations_not_null(
+            bronze, ["transaction_id", "amount", "initiated_at"]
+        ),
+        "bronze_amount_range": checks.violations_range(bronze, "amount", 0, 50_000_000, False),
+        "bronze_status_accepted": checks.violations_accepted(bronze, "status", VALID_STATUSES),
+        "bronze_type_accepted": checks.violations_accepted(
+            bronze, "transaction_type", TRANSACTION_TYPES
+        ),
+        "silver_transaction_id_unique": checks.violations_unique(silver, "transaction_id"),
+        "silver_not_null": checks.violations_not_null(silver, ["transaction_id", "_quality_flag", "_date"]),
+        "silver_flag_accepted": checks.violations_accepted(silver, "_quality_flag", QUALITY_FLAGS),
+        "silver_bucket_accepted": checks.violations_accepted(silver, "_amount_bucket", AMOUNT_BUCKETS),
+        "daily_not_null": checks.violations_not_null(daily, ["_date", "transaction_count"]),
+        "daily_count_at_least_one": checks.at_least_one(daily, "transaction_count"),
+        "daily_success_rate_range": checks.violations_range(daily, "success_rate", 0, 100),
+        "merchant_code_not_null": checks.violations_not_null(merchant, "merchant_code"),
+        "merchant_success_rate_range": checks.violations_range(merchant, "success_rate", 0, 100),
+    }
+    out = {}
+    for name, violations in suite.items():
+        # each check's rows are written as JSON text so one folder holds all shapes
+        rows = violations.select(F.to_json(F.struct("*")).alias("row"))
+        out[name] = sinks.store_failures(rows, paths._p("checks"), name, run_id)["rows_written"]
+    return out
