@@ -81,3 +81,16 @@ def test_check_job_stores_failures(spark):
     assert got["bronze_status_accepted"] > 0 and got["daily_success_rate_range"] == 0
     stored = spark.read.parquet(paths.root + "/checks")
     assert stored.filter("_check = 'bronze_transaction_id_unique'").count() == 20
+
+
+def test_daily_entry_points(spark):
+    paths = LakePaths(tempfile.mkdtemp(prefix="lake-"))
+    rows = catalog.bronze(spark, SF)
+    landed = jobs.ingest_daily(spark, paths, rows, "2024-01-16", days_back=1)
+    want = rows.filter("to_date(initiated_at) BETWEEN DATE '2024-01-15' AND DATE '2024-01-16'").count()
+    assert landed["rows_written"] == want
+    m = jobs.normalize_daily(spark, paths, "2024-01-16", days_back=1)
+    assert m["rows_written"] == jobs.read_silver(spark, paths).count()
+    assert {r._date.isoformat() for r in jobs.read_silver(spark, paths).select("_date").distinct().collect()} == {"2024-01-15"}
+    assert jobs.aggregate_daily(spark, paths, "2024-01-16")["daily_summary_rows"] > 0
+    assert jobs.detect_daily(spark, paths, "2024-01-16", velocity_threshold=2)["flags"] >= 0

@@ -298,3 +298,46 @@ def check_job(spark: SparkSession, paths: LakePaths, run_id: str) -> dict:
         rows = violations.select(F.to_json(F.struct("*")).alias("row"))
         out[name] = sinks.store_failures(rows, paths._p("checks"), name, run_id)["rows_written"]
     return out
+
+
+# --- daily entry points (clock replaced by ``as_of``) --------------------------
+
+
+def ingest_daily(
+    spark: SparkSession,
+    paths: LakePaths,
+    rows: DataFrame,
+    as_of: date | datetime | str,
+    days_back: int = 1,
+) -> dict:
+    """Land the rows whose event day is in ``[as_of - days_back, as_of]``.
+
+    Both ends are inclusive, like the source system's daily fetch.
+    """
+    end = F.to_date(F.lit(_day(as_of)))
+    start = F.date_sub(end, days_back)
+    day = F.to_date("initiated_at")
+    return ingest_bronze(rows.filter((day >= start) & (day <= end)), paths)
+
+
+def normalize_daily(
+    spark: SparkSession, paths: LakePaths, as_of: date | datetime | str, days_back: int = 1
+) -> dict:
+    """Normalise ``[as_of - days_back, as_of)`` (midnight bounds) into Silver."""
+    end = datetime.fromisoformat(_day(as_of))
+    return normalize_job(spark, paths, end - timedelta(days=days_back), end)
+
+
+def aggregate_daily(
+    spark: SparkSession, paths: LakePaths, as_of: date | datetime | str, days_back: int = 30
+) -> dict:
+    """Rebuild Gold for the last ``days_back`` days."""
+    return aggregate_job(spark, paths, as_of, days_back)
+
+
+def detect_daily(
+    spark: SparkSession, paths: LakePaths, as_of: date | datetime | str, **thresholds
+) -> dict:
+    """Flag the day before ``as_of`` (the source system's default target)."""
+    day = datetime.fromisoformat(_day(as_of)) - timedelta(days=1)
+    return detect_job(spark, paths, day, **thresholds)
