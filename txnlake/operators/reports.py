@@ -25,6 +25,18 @@ def _since(as_of: date | datetime | str, days: int) -> Column:
     return F.date_sub(F.to_date(F.lit(str(as_of)[:10])), days)
 
 
+def mean_of_rounded(c: str, digits: int = 2) -> Column:
+    """Exact mean of a column holding values rounded to ``digits`` decimals.
+
+    The values are summed as integers (units of 10^-digits), so the sum does
+    not depend on the order rows arrive in; one final division gives the
+    correctly rounded mean, identical on every run and partitioning.
+    """
+    scale = 10**digits
+    total = F.sum(F.round(F.col(c) * scale).cast("long"))
+    return total / (F.count(c) * scale)
+
+
 def _share(counts: DataFrame, count_col: str, digits: int = 1) -> DataFrame:
     total = counts.select(F.sum(count_col)).scalar()
     return counts.withColumn("pct", F.round(F.col(count_col) / total * 100, digits))
@@ -227,7 +239,7 @@ def kpi_last_days(
     return daily.filter(F.col("_date") >= _since(as_of, days)).agg(
         F.sum("transaction_count").alias("total_txns"),
         F.sum("total_volume_xof").alias("total_volume"),
-        F.avg("success_rate").alias("avg_success_rate"),
+        mean_of_rounded("success_rate").alias("avg_success_rate"),
         F.sum("total_fees_xof").alias("total_fees"),
         F.avg("avg_latency_seconds").alias("avg_latency"),
     )
@@ -239,7 +251,7 @@ def region_performance(daily: DataFrame) -> DataFrame:
         .agg(
             F.sum("transaction_count").alias("txn_count"),
             F.sum("total_volume_xof").alias("volume_xof"),
-            F.avg("success_rate").alias("avg_success_pct"),
+            mean_of_rounded("success_rate").alias("avg_success_pct"),
         )
         .orderBy(F.col("txn_count").desc(), F.col("region").asc_nulls_first())
     )
@@ -271,7 +283,7 @@ def dashboard_region(
     rounded: bool = False,
 ) -> DataFrame:
     """Volume by day and region over the last ``days`` days."""
-    rate = F.avg("success_rate")
+    rate = mean_of_rounded("success_rate")
     return (
         daily.filter(F.col("_date") >= _since(as_of, days))
         .groupBy("_date", "region")

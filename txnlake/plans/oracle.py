@@ -290,6 +290,11 @@ _RULES = f"""
 
 _SEVEN_DAYS = "DATE '2024-01-24'"
 
+# mean of 2-decimal success rates from an exact integer sum (see reports.mean_of_rounded)
+_MEAN_RATE = (
+    "CAST(sum(CAST(round(success_rate * 100) AS BIGINT)) AS DOUBLE) / (count(success_rate) * 100)"
+)
+
 def _json_field(key: str, expr: str, nullable: bool = True) -> str:
     item = f"'\"{key}\":' || CAST(to_json({expr}) AS VARCHAR)"
     return f"CASE WHEN {expr} IS NOT NULL THEN {item} END" if nullable else item
@@ -554,19 +559,19 @@ def _oracle_sql() -> dict[str, str]:
     q["summary_last_7d"] = S(f"SELECT * FROM daily WHERE _date >= {_SEVEN_DAYS}", d)
     q["kpi_last_7d"] = S(
         "SELECT CAST(sum(transaction_count) AS BIGINT) AS total_txns, sum(total_volume_xof) AS total_volume, "
-        "avg(success_rate) AS avg_success_rate, sum(total_fees_xof) AS total_fees, "
+        f"{_MEAN_RATE} AS avg_success_rate, sum(total_fees_xof) AS total_fees, "
         f"avg(avg_latency_seconds) AS avg_latency FROM daily WHERE _date >= {_SEVEN_DAYS}",
         d,
     )
     q["region_performance"] = S(
         "SELECT region, CAST(sum(transaction_count) AS BIGINT) AS txn_count, "
-        "sum(total_volume_xof) AS volume_xof, avg(success_rate) AS avg_success_pct "
+        f"sum(total_volume_xof) AS volume_xof, {_MEAN_RATE} AS avg_success_pct "
         "FROM daily GROUP BY region",
         d,
     )
     for key, rate in (
-        ("dashboard_region_7d", "avg(success_rate)"),
-        ("dashboard_region_7d_rounded", "sround(avg(success_rate), 1)"),
+        ("dashboard_region_7d", _MEAN_RATE),
+        ("dashboard_region_7d_rounded", f"sround({_MEAN_RATE}, 1)"),
     ):
         q[key] = S(
             "SELECT _date, region, CAST(sum(transaction_count) AS BIGINT) AS txns, "
