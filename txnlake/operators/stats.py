@@ -36,20 +36,27 @@ def grouped_median(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     ranged = counts.repartitionByRange(*keys, value).withColumn("_pid", F.spark_partition_id())
-    slice_w = (
-        Window.partitionBy("_pid", *keys)
+    slice_key = ["_pid", *keys]
+    running = (
+        Window.partitionBy(*slice_key)
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = ranged.withColumn("_cum", F.sum("_n").over(slice_w))
-    slices = local.groupBy("_pid", *keys).agg(F.sum("_n").alias("_slice_n"))
+    # both windows share the (partition, group) partitioning: one exchange
+    local = ranged.withColumns(
+        {
+            "_cum": F.sum("_n").over(running),
+            "_slice_n": F.sum("_n").over(Window.partitionBy(*slice_key)),
+        }
+    )
+    # the last row of a slice carries the slice total: one row per slice
+    slices = local.filter(F.col("_cum") == F.col("_slice_n")).select(*slice_key, "_slice_n")
     before_w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1
     )
     group_w = Window.partitionBy(*keys)
     offsets = slices.select(
-        "_pid",
-        *keys,
+        *slice_key,
         F.coalesce(F.sum("_slice_n").over(before_w), F.lit(0)).alias("_off"),
         F.sum("_slice_n").over(group_w).alias("_total"),
     )
