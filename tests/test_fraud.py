@@ -138,3 +138,14 @@ def test_bucketed_gaps_equal_plain_lag(spark, events, bucket):
     )
     want = {(r.transaction_id, r.m) for r in plain.collect()}
     assert got == want
+
+
+def test_join_checked_both_paths(spark):
+    from txnlake.operators.joins import join_checked
+
+    big = spark.range(0, 1000).withColumn("k", F.col("id") % 7)
+    small = spark.range(0, 7).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 10)
+    a = join_checked(big, small, "k", max_rows=100)
+    b = join_checked(big, small, "k", max_rows=3)
+    assert a.count() == b.count() == 1000
+    assert sorted(a.select("id", "v").collect()) == sorted(b.select("id", "v").collect())

@@ -8,9 +8,10 @@ Scale notes:
 
 * velocity / amount spike are "aggregate, then join back". The aggregate is
   partial on the map side, so a sender holding a third of all rows is
-  combined before the shuffle; the join side is the (filtered) aggregate,
-  which AQE broadcasts only when its measured size is under the threshold and
-  otherwise sort-merge joins with skew splitting of the hot sender's rows.
+  combined before the shuffle. The aggregate side is computed first and
+  broadcast only when its row count is under a bound (``join_checked``), so
+  the rows are not shuffled at all; above the bound the join is a sort-merge
+  join where AQE splits the hot sender's partition.
 * rapid transfer needs each transfer's predecessor in time within
   (sender, recipient, day). A plain ``lag`` window would put a hot pair into
   one task, so the day is split into time buckets: ``lag`` runs inside each
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .joins import join_checked
 from .silver import passing
 
 # Default thresholds and pattern names.
@@ -90,7 +92,7 @@ def velocity(
         .filter(F.col("daily_txn_count") > threshold)
     )
     # Inner equi-join: NULL senders never match, as in the source system.
-    joined = rows.join(counts, ["sender_phone", "_date"], "inner")
+    joined = join_checked(rows, counts, ["sender_phone", "_date"], "inner")
     return _flags(joined, VELOCITY, F.col("daily_txn_count"), F.lit(None))
 
 
@@ -122,7 +124,7 @@ def amount_spike(
     """
     rows = day_slice(silver, day)
     means = sender_mean(silver, since, upper)
-    joined = rows.join(means, "sender_phone", "inner").filter(
+    joined = join_checked(rows, means, "sender_phone", "inner").filter(
         F.col("amount") > F.col("avg_amount_7d") * factor
     )
     return _flags(

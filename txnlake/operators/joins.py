@@ -1,0 +1,36 @@
+"""Join with a size-checked broadcast.
+
+A pre-aggregated side (per-sender counts or means) is usually far smaller than
+the rows it is joined to, but its size is only known after it is computed.
+With static broadcasts off, Spark would shuffle *both* sides before AQE can
+switch to a broadcast join, so the large side is shuffled for nothing.
+``join_checked`` computes the small side first (checkpointed into the shared
+checkpoint folder, so it is neither recomputed nor lost with an executor),
+counts it, and broadcasts it only under ``max_rows``; above that bound it falls
+back to the regular shuffle join, where AQE splits skewed keys.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..session import cut_lineage
+
+# Default bound: rows of a narrow aggregate (a key and one or two numbers)
+# that are safe to send to every executor.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def join_checked(
+    big: DataFrame,
+    small: DataFrame,
+    on: str | list[str] | Column | list[Column],
+    how: str = "inner",
+    max_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """``big.join(small, on, how)``, broadcasting ``small`` only if it is small."""
+    small = cut_lineage(small)
+    if small.count() <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
