@@ -116,3 +116,10 @@ def test_daily_counts_sum_to_pass_rows(spark):
     daily = gold.daily_summary(silver)
     total = daily.agg(F.sum("transaction_count")).first()[0]
     assert total == silver.filter("_quality_flag = 'PASS'").count()
+
+
+def test_sql_model_null_time_flags_false(spark):
+    rows = [("n", 1.0, "XOF", 0.0, "SUCCESS", "77", None, None, None, T0, "b")]
+    out = enrich(_rows(spark, rows), null_flags_false=True).first()
+    assert out._is_weekend is False and out._is_peak_hour is False
+    assert out._hour is None

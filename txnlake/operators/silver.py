@@ -105,17 +105,26 @@ def amount_bucket(c: str = "amount") -> Column:
     return F.expr(f"CASE {arms} ELSE '{TOP_BUCKET}' END")
 
 
-def enrich(df: DataFrame) -> DataFrame:
-    """Time, amount and latency columns (NULL time keeps NULL flags)."""
+def enrich(df: DataFrame, null_flags_false: bool = False) -> DataFrame:
+    """Time, amount and latency columns.
+
+    A NULL time keeps NULL weekend / peak flags; ``null_flags_false=True``
+    gives the SQL-model form, where they are FALSE.
+    """
     peak = " OR ".join(f"hour(initiated_at) BETWEEN {lo} AND {hi}" for lo, hi in PEAK_HOURS)
     weekend = ", ".join(str(d) for d in WEEKEND_DAYS)
+    if null_flags_false:
+        peak = f"coalesce({peak}, false)"
+        weekend_sql = f"coalesce(dayofweek(initiated_at) IN ({weekend}), false)"
+    else:
+        weekend_sql = f"dayofweek(initiated_at) IN ({weekend})"
     return df.withColumns(
         {
             "_date": F.expr("to_date(initiated_at)"),
             "_hour": F.expr("hour(initiated_at)"),
             "_day_of_week": F.expr("dayofweek(initiated_at)"),
             "_amount_bucket": amount_bucket("amount"),
-            "_is_weekend": F.expr(f"dayofweek(initiated_at) IN ({weekend})"),
+            "_is_weekend": F.expr(weekend_sql),
             "_is_peak_hour": F.expr(f"({peak})"),
             "_is_merchant_txn": F.expr("merchant_code IS NOT NULL"),
             "_processing_latency_seconds": F.expr(
@@ -134,6 +143,23 @@ def normalize(
     return enrich(with_quality(dedup_latest(in_time_range(bronze, start, end))))
 
 
+# Rules the SQL model keeps as columns (the flag still uses the critical three).
+SQL_MODEL_RULES = ("amount_positive", "amount_reasonable", "valid_status", "has_initiated_at")
+
+
+def normalize_sql_model(staging: DataFrame) -> DataFrame:
+    """Silver as the SQL model builds it from the staging view (34 columns).
+
+    Same dedup and flag; only four rule booleans; NULL times give FALSE
+    weekend / peak flags.
+    """
+    rules_sql = {n: RULE_SQL[n] for n in SQL_MODEL_RULES}
+    quality = {rule_column(n): F.expr(f"coalesce({sql}, false)") for n, sql in rules_sql.items()}
+    passed = " AND ".join(f"coalesce({RULE_SQL[n]}, false)" for n in CRITICAL)
+    quality["_quality_flag"] = F.expr(f"CASE WHEN {passed} THEN 'PASS' ELSE 'FAIL' END")
+    return enrich(dedup_latest(staging).withColumns(quality), null_flags_false=True)
+
+
 def in_date_range(
     df: DataFrame,
     start: date | datetime | str | None = None,

@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 from ..functions import privacy
 from ..functions.quality import TRANSACTION_TYPES, VALID_STATUSES, rule_column, rules
 from ..operators import checks, fraud, gold, reports
-from ..operators.silver import dedup_latest, in_date_range, in_time_range, normalize, with_quality
+from ..operators.silver import (
+    dedup_latest,
+    in_date_range,
+    in_time_range,
+    normalize,
+    normalize_sql_model,
+    with_quality,
+)
 from ..sources import lifecycle, pages
 from ..sources.events import bronze_from_events, raw_transactions, read_table
 from . import params as P
@@ -109,6 +116,7 @@ def _reg() -> dict[str, Query]:
         "transaction_id", "_batch_id", *[rule_column(n) for n in rules()], "_quality_flag"
     )
     q["silver"] = silver
+    q["silver_sql_model"] = lambda s, d: normalize_sql_model(lifecycle.staging_view(bronze(s, d)))
     q["enrich_time"] = lambda s, d: silver(s, d).select(
         "transaction_id", "_date", "_hour", "_day_of_week", "_is_weekend", "_is_peak_hour"
     )

@@ -430,6 +430,25 @@ def _oracle_sql() -> dict[str, str]:
     q["dedup_latest"] = S("SELECT * FROM dedup")
     q["quality_rules"] = B(f"SELECT transaction_id, _batch_id, {_RULES} FROM bronze")
     q["silver"] = S("SELECT * FROM silver")
+    q["silver_sql_model"] = S(
+        "SELECT * EXCLUDE (sender_phone, recipient_phone, raw_payload), "
+        "sender_phone AS sender_token, recipient_phone AS recipient_token, "
+        "coalesce(amount > 0, false) AS _quality_amount_positive, "
+        "coalesce(amount < 50000000, false) AS _quality_amount_reasonable, "
+        f"coalesce(status IN {_STATUSES}, false) AS _quality_valid_status, "
+        "initiated_at IS NOT NULL AS _quality_has_initiated_at, "
+        f"CASE WHEN amount > 0 AND status IN {_STATUSES} AND initiated_at IS NOT NULL "
+        "THEN 'PASS' ELSE 'FAIL' END AS _quality_flag, "
+        "CAST(initiated_at AS DATE) AS _date, CAST(hour(initiated_at) AS INTEGER) AS _hour, "
+        "CAST(dayofweek(initiated_at) + 1 AS INTEGER) AS _day_of_week, "
+        "CASE WHEN amount < 1000 THEN 'MICRO' WHEN amount < 5000 THEN 'SMALL' "
+        "WHEN amount < 20000 THEN 'MEDIUM' WHEN amount < 100000 THEN 'LARGE' ELSE 'XLARGE' END AS _amount_bucket, "
+        "coalesce((dayofweek(initiated_at) + 1) IN (1, 7), false) AS _is_weekend, "
+        "coalesce(hour(initiated_at) BETWEEN 9 AND 12 OR hour(initiated_at) BETWEEN 15 AND 18, false) AS _is_peak_hour, "
+        "merchant_code IS NOT NULL AS _is_merchant_txn, "
+        "CAST(floor(epoch(completed_at)) - floor(epoch(initiated_at)) AS BIGINT) AS _processing_latency_seconds "
+        "FROM dedup"
+    )
     q["enrich_time"] = S(
         "SELECT transaction_id, _date, _hour, _day_of_week, _is_weekend, _is_peak_hour FROM silver"
     )
