@@ -37,6 +37,17 @@ def mean_of_rounded(c: str, digits: int = 2) -> Column:
     return total / (F.count(c) * scale)
 
 
+def exact_mean(c: str) -> Column:
+    """Mean with an exact DECIMAL(38,18) sum and one final division.
+
+    Decimal addition is exact, so the result does not depend on the order in
+    which partitions are combined (a plain double ``avg`` does, in its last
+    bits). Each double enters the sum by its shortest decimal form.
+    """
+    total = F.sum(F.col(c).cast("decimal(38,18)"))
+    return total.cast("double") / F.count(c)
+
+
 def _share(counts: DataFrame, count_col: str, digits: int = 1) -> DataFrame:
     total = counts.select(F.sum(count_col)).scalar()
     return counts.withColumn("pct", F.round(F.col(count_col) / total * 100, digits))
@@ -241,7 +252,7 @@ def kpi_last_days(
         F.sum("total_volume_xof").alias("total_volume"),
         mean_of_rounded("success_rate").alias("avg_success_rate"),
         F.sum("total_fees_xof").alias("total_fees"),
-        F.avg("avg_latency_seconds").alias("avg_latency"),
+        exact_mean("avg_latency_seconds").alias("avg_latency"),
     )
 
 
@@ -264,7 +275,7 @@ def top_merchants(merchant: DataFrame, n: int = 10) -> DataFrame:
         .agg(
             F.sum("total_volume_xof").alias("total_volume"),
             F.sum("transaction_count").alias("txn_count"),
-            F.avg("avg_transaction_xof").alias("avg_txn"),
+            exact_mean("avg_transaction_xof").alias("avg_txn"),
             F.sum("unique_customers").alias("customers"),
         )
         .orderBy(

@@ -290,6 +290,12 @@ _RULES = f"""
 
 _SEVEN_DAYS = "DATE '2024-01-24'"
 
+def _exact_mean(c: str) -> str:
+    """Mean over an exact DECIMAL sum; doubles enter by their shortest text form
+    (as Spark casts them), see reports.exact_mean."""
+    return f"CAST(sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count({c})"
+
+
 # mean of 2-decimal success rates from an exact integer sum (see reports.mean_of_rounded)
 _MEAN_RATE = (
     "CAST(sum(CAST(round(success_rate * 100) AS BIGINT)) AS DOUBLE) / (count(success_rate) * 100)"
@@ -579,7 +585,7 @@ def _oracle_sql() -> dict[str, str]:
     q["kpi_last_7d"] = S(
         "SELECT CAST(sum(transaction_count) AS BIGINT) AS total_txns, sum(total_volume_xof) AS total_volume, "
         f"{_MEAN_RATE} AS avg_success_rate, sum(total_fees_xof) AS total_fees, "
-        f"avg(avg_latency_seconds) AS avg_latency FROM daily WHERE _date >= {_SEVEN_DAYS}",
+        f"{_exact_mean('avg_latency_seconds')} AS avg_latency FROM daily WHERE _date >= {_SEVEN_DAYS}",
         d,
     )
     q["region_performance"] = S(
@@ -600,7 +606,8 @@ def _oracle_sql() -> dict[str, str]:
         )
     q["top_merchants"] = S(
         "SELECT merchant_name, merchant_category, sum(total_volume_xof) AS total_volume, "
-        "CAST(sum(transaction_count) AS BIGINT) AS txn_count, avg(avg_transaction_xof) AS avg_txn, "
+        "CAST(sum(transaction_count) AS BIGINT) AS txn_count, "
+        f"{_exact_mean('avg_transaction_xof')} AS avg_txn, "
         "CAST(sum(unique_customers) AS BIGINT) AS customers FROM merchant "
         "GROUP BY merchant_name, merchant_category "
         "ORDER BY total_volume DESC, merchant_name NULLS FIRST, merchant_category NULLS FIRST LIMIT 10",
