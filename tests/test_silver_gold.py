@@ -123,3 +123,18 @@ def test_sql_model_null_time_flags_false(spark):
     out = enrich(_rows(spark, rows), null_flags_false=True).first()
     assert out._is_weekend is False and out._is_peak_hour is False
     assert out._hour is None
+
+
+def test_report_means_do_not_depend_on_partitioning(spark):
+    from txnlake.operators.reports import exact_mean, mean_of_rounded
+
+    vals = [(i, round((i * 7919 % 1000) / 3.0, 2), (i * 104729 % 997) / 7.0) for i in range(500)]
+    df = spark.createDataFrame(vals, "i long, rate double, x double")
+    results = {
+        tuple(df.repartition(n, "i").agg(mean_of_rounded("rate").alias("r"), exact_mean("x").alias("m")).first())
+        for n in (1, 3, 7, 16)
+    }
+    assert len(results) == 1
+    r, m = results.pop()
+    assert abs(r - sum(v[1] for v in vals) / 500) < 1e-9
+    assert abs(m - sum(v[2] for v in vals) / 500) < 1e-9
