@@ -21,6 +21,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -224,12 +225,11 @@ def register_tables(spark: SparkSession, paths: LakePaths) -> list[str]:
         "gold.merchant_activity": paths.gold_merchant,
         "gold.fraud_flags": paths.flags,
     }
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     done = []
     for name, path in tables.items():
-        p = hadoop(path)
-        if not p.getFileSystem(conf).exists(p):
+        try:
+            spark.read.parquet(path).schema  # noqa: B018 - fails when nothing is written yet
+        except AnalysisException:
             continue
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
         # partitions written after the table was created become visible here
