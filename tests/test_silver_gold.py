@@ -138,3 +138,17 @@ def test_report_means_do_not_depend_on_partitioning(spark):
     r, m = results.pop()
     assert abs(r - sum(v[1] for v in vals) / 500) < 1e-9
     assert abs(m - sum(v[2] for v in vals) / 500) < 1e-9
+
+
+def test_money_as_decimal_gives_same_marts(spark):
+    from txnlake.plans import catalog
+
+    bronze = catalog.bronze(spark, "/root/testdata/sf0.001")
+    as_double = gold.daily_summary(normalize(bronze))
+    as_decimal = gold.daily_summary(normalize(bronze, money_decimal=True))
+    assert dict(as_decimal.dtypes)["total_volume_xof"].startswith("decimal")
+    keys = list(gold.DAILY_KEYS)
+    cols = ["transaction_count", "total_volume_xof", "total_fees_xof", "median_transaction_xof", "success_rate"]
+    a = {tuple(r[k] for k in keys): tuple(float(r[c]) for c in cols) for r in as_double.collect()}
+    b = {tuple(r[k] for k in keys): tuple(float(r[c]) for c in cols) for r in as_decimal.collect()}
+    assert a == b

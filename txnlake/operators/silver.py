@@ -134,13 +134,27 @@ def enrich(df: DataFrame, null_flags_false: bool = False) -> DataFrame:
     )
 
 
+MONEY_DECIMAL = "decimal(18,2)"
+
+
 def normalize(
     bronze: DataFrame,
     start: datetime | str | None = None,
     end: datetime | str | None = None,
+    money_decimal: bool = False,
 ) -> DataFrame:
-    """Full Silver frame (Bronze 22 + 7 rules + flag + 8 derived = 38 columns)."""
-    return enrich(with_quality(dedup_latest(in_time_range(bronze, start, end))))
+    """Full Silver frame (Bronze 22 + 7 rules + flag + 8 derived = 38 columns).
+
+    ``money_decimal=True`` stores ``amount`` and ``fee`` as ``decimal(18,2)``
+    so that sums of cent values are exact and independent of summation order
+    (the source keeps them as doubles, which is the default here).
+    """
+    silver = enrich(with_quality(dedup_latest(in_time_range(bronze, start, end))))
+    if money_decimal:
+        silver = silver.withColumns(
+            {c: F.col(c).cast(MONEY_DECIMAL) for c in ("amount", "fee")}
+        )
+    return silver
 
 
 # Rules the SQL model keeps as columns (the flag still uses the critical three).
