@@ -5,10 +5,10 @@ line) as they arrive. Each micro-batch, in ``foreachBatch``:
 
 1. flattens the pages (good rows to Bronze, rejected elements to quarantine);
 2. re-normalises exactly the Silver ``_date`` partitions that the batch
-   touched: the batch's event dates are semi-joined against Bronze (a small,
-   calendar-bounded broadcast that also drives dynamic partition pruning),
-   deduplicated with everything already landed for those days, and written
-   with dynamic partition overwrite.
+   touched: the batch's distinct event days (a calendar-bounded list of
+   values) become a static partition filter on Bronze, so only those day
+   folders are read, deduplicated with everything already landed for those
+   days, and written with dynamic partition overwrite.
 
 Late or re-delivered rows therefore correct their day in Silver on the next
 trigger; keep-latest dedup makes a replayed micro-batch harmless. Progress is
@@ -38,21 +38,21 @@ def page_stream(spark: SparkSession, source_dir: str, max_files: int | None = No
     return reader.load(source_dir).withColumnRenamed("value", "body")
 
 
-def renormalize_dates(spark: SparkSession, paths: LakePaths, dates: DataFrame) -> dict:
-    """Rebuild the Silver partitions for the event dates in ``dates``.
+def renormalize_dates(spark: SparkSession, paths: LakePaths, dates: list) -> dict:
+    """Rebuild the Silver partitions for the given event dates.
 
-    ``dates`` has one column ``_event_date``; its size is bounded by the
-    number of calendar days a batch spans, so it is broadcast.
+    ``dates`` is a list of ``datetime.date`` (``None`` for rows without an
+    event time). The list is bounded by the calendar days a batch spans, and
+    as literal values it becomes a static partition filter, so only those day
+    folders of Bronze are read (a join with a frame of dates would not be
+    pruned: dynamic pruning needs a selective filter on the other side).
     """
+    days = [d for d in dates if d is not None]
+    cond = F.col(EVENT_DATE).isin(*days) if days else F.lit(False)
+    if any(d is None for d in dates):
+        cond = cond | F.col(EVENT_DATE).isNull()
     bronze = sinks.read_table(spark, paths.bronze, merge_schema=True)
-    dated = F.broadcast(dates.filter(F.col(EVENT_DATE).isNotNull()))
-    known = bronze.join(dated, EVENT_DATE, "left_semi")
-    # Rows without an event time live in the default partition (pruned by the
-    # IS NULL filter); they are rebuilt only when the batch brought some.
-    nulls = F.broadcast(dates.filter(F.col(EVENT_DATE).isNull()))
-    null_rows = bronze.filter(F.col(EVENT_DATE).isNull())
-    undated = null_rows.join(nulls, null_rows[EVENT_DATE].eqNullSafe(nulls[EVENT_DATE]), "left_semi")
-    affected = known.unionByName(undated).drop(EVENT_DATE)
+    affected = bronze.filter(cond).drop(EVENT_DATE)
     return sinks.overwrite_partitions(normalize(affected), paths.silver, "_date")
 
 
@@ -72,8 +72,9 @@ def process_batch(
         ingest_bronze(landed, paths)
         rejected = pages.quarantine_pages(batch, "body").withColumn("_batch_id", F.lit(batch_id))
         sinks.overwrite_partitions(rejected, paths.quarantine, "_batch_id")
-        dates = rows.select(F.to_date("initiated_at").alias(EVENT_DATE)).distinct()
-        renormalize_dates(spark, paths, dates)
+        # distinct event days of the batch: a handful of values, one per day
+        days = rows.select(F.to_date("initiated_at").alias(EVENT_DATE)).distinct()
+        renormalize_dates(spark, paths, [r[EVENT_DATE] for r in days.collect()])
     finally:
         batch.unpersist()
 
