@@ -85,3 +85,12 @@ def test_checks(spark):
     assert checks.violations_range(df, "amount", 0, 50_000_000, inclusive=True).count() == 0
     assert checks.at_least_one(df, "empty").count() == 1
     assert checks.at_least_one(df, "id").count() == 0
+
+
+def test_key_pads_redacted_in_explain(spark, capsys):
+    df = _one(spark, ["771234567"]).select(privacy.tokenize("phone", "my-secret").alias("t"))
+    df.explain(True)
+    out = capsys.readouterr().out
+    inner, outer = privacy._hmac_pads("my-secret")
+    assert inner.hex().upper()[:32] not in out.upper()
+    assert "redacted" in out
