@@ -64,18 +64,18 @@ def get_spark(
     if master:
         builder = builder.master(master)
     conf = dict(CLUSTER_CONF)
-    local = bool(master and master.startswith("local"))
-    if shuffle_partitions is None and not local:
-        shuffle_partitions = CLUSTER_SHUFFLE_PARTITIONS
-    if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if local:
+    if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # shuffle width is a runtime setting: decide it from the actual master
+    if shuffle_partitions is None and not spark.sparkContext.master.startswith("local"):
+        shuffle_partitions = CLUSTER_SHUFFLE_PARTITIONS
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     ensure_checkpoint_dir(spark)
     return spark
 
