@@ -49,9 +49,6 @@ def statistics(text: str | None) -> list[float]:
     letters, spaces, digits = without(LETTERS), without(SPACES), without(DIGITS)
     marks = without(MARKS)
     symbols = size - letters - spaces - digits - marks
-    no_letter = sum(c for w, c in counts.items() if not w.translate(None, DIGITS + MARKS))
-    shouted = sum(c for w, c in counts.items() if len(w) > 1 and w.isupper())
-    odd_end = sum(c for w, c in counts.items() if w[-1:] in b"!#$%&*|~^=+_<>@{}[]\\/")
     chars = max(n, 1)
     most = counts.most_common(1)[0][1] if n else 0
     return [
@@ -66,11 +63,6 @@ def statistics(text: str | None) -> list[float]:
         marks / size,
         symbols / size,
         spaces / size,
-        no_letter / chars,
-        shouted / chars,
-        odd_end / chars,
-        sum(1 for w in counts if len(w) == 1) / max(kinds, 1),
-        sum(c for w, c in counts.items() if len(w) <= 3) / chars,
         np.log1p(n_lines),
         len(set(lines)) / max(n_lines, 1),
         n / max(n_lines, 1),
@@ -81,7 +73,7 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-N_STATISTICS = 23
+N_STATISTICS = 18
 
 
 @dataclass
@@ -97,9 +89,10 @@ class Trees:
         total = np.full(len(x), self.prior)
         rows = np.arange(len(x))
         inner = self.feature.shape[1]
+        depth = (inner + 1).bit_length() - 1
         for f, t, leaf in zip(self.feature, self.threshold, self.leaf):
             node = np.zeros(len(x), dtype=np.int64)
-            while inner and node[0:1].size and node[0] < inner:
+            for _ in range(depth):
                 node = 2 * node + 1 + (x[rows, f[node]] > t[node])
             total += leaf[node - inner]
         return total

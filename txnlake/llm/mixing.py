@@ -85,9 +85,12 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), share_num: int = 3, shar
     )
 
 
-def mix(docs: DataFrame, seed: str = "mix", **params) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) for every document."""
+def mix(docs: DataFrame, seed: str = "mix", carry: bool = False, **params) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) for every document;
+    with ``carry`` also ``doc``, the whole row."""
+    whole = [F.struct(*[docs[c] for c in docs.columns]).alias("doc")] if carry else []
     rows = docs.select(
+        *whole,
         "doc_id",
         "source",
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD_PATTERN)), F.lit(0))
@@ -139,5 +142,13 @@ def mix(docs: DataFrame, seed: str = "mix", **params) -> DataFrame:
     last = (F.col("size_offset") + F.col("slot_offset") + F.col("rank")).cast("double")
     crossed = F.floor(start + rate * last) - F.floor(start + rate * (last - 1.0))
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target", crossed.cast("long").alias("copies")
+        *(["doc"] if carry else []), "doc_id", "source", "size", "source_size", "target",
+        crossed.cast("long").alias("copies"),
     )
+
+
+def mixture(docs: DataFrame, **params) -> DataFrame:
+    """The documents of the mixture, each as often as it was drawn."""
+    drawn = mix(docs, carry=True, **params).filter(F.col("copies") > 0)
+    copied = F.explode(F.array_repeat("doc", F.col("copies").cast("int")))
+    return drawn.select(copied.alias("doc")).select("doc.*")
