@@ -49,7 +49,7 @@ def chunk_ends(data: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
         part = np.frombuffer(data, np.uint8, min(STEP, len(data) - start) + start - before, before)
         part = part.astype(np.uint32) + np.uint32(1)
         h = part.copy()
-        for shift in range(1, WINDOW):
+        for shift in range(1, min(WINDOW, len(part))):
             h[shift:] += part[: len(part) - shift] * np.uint32(pow(0x01000193, shift, 1 << 32))
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x85EBCA6B)

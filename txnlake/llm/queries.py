@@ -127,7 +127,7 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 h AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS x FROM p),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY x) AS first_id FROM h)
 SELECT page_id, payload_bytes,
-  list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     CAST((CAST('0x' || substr(x, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT)
       >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT) + 1, 1)), 'string_agg', '')
     AS payload_digest,
@@ -139,8 +139,8 @@ FROM f
 _OP8 = """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL
-    OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL
+    OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
   ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
 reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach
@@ -191,14 +191,14 @@ WITH RECURSIVE d AS (
     'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) AS w FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w,
     'string_agg', ' ')]
-  ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> list_aggregate(w[i:i + 4],
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4],
     'string_agg', ' '))) END AS g FROM d),
 n AS (SELECT doc_id, len(g)::BIGINT AS n FROM s),
 x AS (SELECT doc_id, unnest(g) AS g FROM s),
-i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM x a JOIN x b
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM x a JOIN x b
   ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
 half AS (SELECT a, b FROM i JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
-  WHERE 100 * both >= 80 * (p.n + q.n - both)),
+  WHERE 100 * shared >= 80 * (p.n + q.n - shared)),
 link AS (SELECT a, b FROM half UNION SELECT b, a FROM half),
 reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach
   JOIN link ON reach.b = link.a)
