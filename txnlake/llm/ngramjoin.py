@@ -117,33 +117,93 @@ def _fold(words: np.ndarray, length: int) -> np.ndarray:
     return words
 
 
-def similar_pairs(left: pd.DataFrame, right: pd.DataFrame, same: bool,
-                  percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Keys of pairs of different components whose sizes and bitmaps allow the
-    similarity. Rows have key, n, component, bits; both sides sorted by n."""
-    need = 2 * percent  # 100 * I >= percent * (a + b - I)  =>  2 I (100 + percent) >= need (a + b)
-    for _, rows in right.groupby(right["bits"].str.len(), sort=False):
-        maps = np.stack([np.frombuffer(b, dtype=np.uint64) for b in rows["bits"]])
-        ids, sizes, comps = (rows[c].to_numpy() for c in ("key", "n", "component"))
-        for r in left.itertuples(index=False):
-            low = np.searchsorted(sizes, -(-percent * r.n // 100))
-            high = np.searchsorted(sizes, 100 * r.n // percent, side="right")
-            if low >= high:
-                continue
-            own = np.frombuffer(r.bits, dtype=np.uint64)[None, :]
-            short = min(own.shape[1], maps.shape[1])
-            differ = np.bitwise_count(
-                _fold(own, short) ^ _fold(maps[low:high], short)
-            ).sum(axis=1, dtype=np.int64)
-            most = r.n + sizes[low:high] - differ  # twice the largest overlap
-            keep = (most * (100 + percent) >= need * (r.n + sizes[low:high])) & (
-                comps[low:high] != r.component
-            )
-            if same:
-                keep &= ids[low:high] > r.key
-            if keep.any():
-                b = ids[low:high][keep]
-                yield np.full(len(b), r.key), b
+def overlap_allowed(maps: np.ndarray, widths: np.ndarray, n: np.ndarray, i: np.ndarray,
+                    j: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether the bitmaps allow the similarity, for rows i and j.
+
+    Bits that differ are elements that are not shared, so twice the overlap is at
+    most n_i + n_j less their number. ``maps`` holds each row's packed bitmap.
+    """
+    out = np.zeros(len(i), dtype=bool)
+    for a, b in set(zip(widths[i].tolist(), widths[j].tolist())):
+        chosen = np.flatnonzero((widths[i] == a) & (widths[j] == b))
+        for at in range(0, len(chosen), 1 << 15):
+            k = chosen[at : at + (1 << 15)]
+            x = np.frombuffer(b"".join(maps[i[k]]), dtype=np.uint64).reshape(len(k), -1)
+            y = np.frombuffer(b"".join(maps[j[k]]), dtype=np.uint64).reshape(len(k), -1)
+            short = min(x.shape[1], y.shape[1])
+            differ = np.bitwise_count(_fold(x, short) ^ _fold(y, short)).sum(axis=1, dtype=np.int64)
+            total = n[i[k]] + n[j[k]]
+            out[k] = (total - differ) * (100 + percent) >= 2 * percent * total
+    return out
+
+
+def tile_pairs(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
+    """Distinct pairs (a, b) of keys that may be similar, for many tiles at once.
+
+    ``rows`` are whole tiles sorted by (h, p, q, n): each row is compared with
+    the next, the next but one and so on, all rows in step, until the tile or
+    the size band ends."""
+    key, n, comp, side = (rows[c].to_numpy() for c in ("key", "n", "component", "side"))
+    starts = (rows[["h", "p", "q"]] != rows[["h", "p", "q"]].shift()).any(axis=1).to_numpy()
+    tile = np.cumsum(starts)
+    two_sided = (rows["p"] != rows["q"]).to_numpy()
+    found = [np.zeros((0, 2), dtype=np.int64)]
+    held, at, step = 0, np.arange(len(rows)), 1
+
+    def distinct(pairs: list[np.ndarray]) -> np.ndarray:
+        """One index pair for each pair of keys."""
+        both = np.concatenate(pairs)
+        a, b = key[both[:, 0]], key[both[:, 1]]
+        frame = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return both[~frame.duplicated().to_numpy()]
+
+    out = []
+
+    def flush():
+        both = distinct(found)
+        widths = rows["bits"].str.len().to_numpy()
+        keep = overlap_allowed(rows["bits"].to_numpy(), widths, n, both[:, 0], both[:, 1], percent)
+        out.append(both[keep])
+
+    while len(at):
+        at = at[at + step < len(rows)]
+        other = at + step
+        near = (tile[at] == tile[other]) & (100 * n[at] >= percent * n[other])
+        at, other = at[near], other[near]
+        wanted = (comp[at] != comp[other]) & (~two_sided[at] | (side[at] != side[other]))
+        if wanted.any():
+            found.append(np.stack([at[wanted], other[wanted]], axis=1))
+            held += len(found[-1])
+        if held > 1 << 20:
+            flush()
+            found, held = found[:1], 0
+        step += 1
+    flush()
+    both = distinct(out)
+    a, b = key[both[:, 0]], key[both[:, 1]]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def allowed_pairs(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) whose sizes and bitmaps allow the similarity."""
+
+    @F.pandas_udf("boolean")
+    def allowed(n: pd.Series, x: pd.Series, m: pd.Series, y: pd.Series) -> pd.Series:
+        maps, sizes = pd.concat([x, y]), pd.concat([n, m]).to_numpy()
+        i = np.arange(len(n))
+        return pd.Series(overlap_allowed(
+            maps.to_numpy(), maps.str.len().to_numpy(), sizes, i, i + len(n), percent
+        ))
+
+    side = lambda p: classes.select(
+        F.col("key").alias(p), F.col("n").alias("n_" + p), F.col("bits").alias("bits_" + p)
+    )
+    return (
+        pairs.join(side("a"), "a").join(side("b"), "b")
+        .filter(allowed("n_a", "bits_a", "n_b", "bits_b")).select("a", "b")
+    )
+
 
 def shingle_classes(docs: DataFrame, last: np.ndarray) -> DataFrame:
     """(doc_id, n, key, prefix, bits) of every row; no prefix for empty sets."""
@@ -231,8 +291,12 @@ def shared_only(rows: DataFrame) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) whose exact intersection reaches the similarity."""
+def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) whose exact intersection reaches the similarity. Only the
+    sets that the pairs name are moved."""
+    pairs = stored(pairs, "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = stored(sets_of(docs, ends), "sets")
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -305,17 +369,7 @@ def candidate_pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def pairs(group: pd.DataFrame):
-            p, q = group["p"].iloc[0], group["q"].iloc[0]
-            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            if group["component"].nunique() > 1:
-                left = group[group["side"] == p]
-                right = left if p == q else group[group["side"] == q]
-                found += similar_pairs(left, right, p == q)
-            x, y = (np.concatenate(v) for v in zip(*found))
-            return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-
-        rest = None
+        rest = None  # the last tile so far may go on in the next batch
         for batch in batches:
             batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             if not len(batch):
@@ -323,11 +377,9 @@ def candidate_pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
             ids = batch[["h", "p", "q"]]
             last = (ids == ids.iloc[-1]).all(axis=1).to_numpy()
             rest = batch[last]
-            done = [pairs(g) for _, g in batch[~last].groupby(["h", "p", "q"], sort=False)]
-            if done:
-                yield pd.concat(done).drop_duplicates()
+            yield tile_pairs(batch[~last].reset_index(drop=True))
         if rest is not None:
-            yield pairs(rest)
+            yield tile_pairs(rest.reset_index(drop=True))
 
     return (
         dealt.repartition("h", "p", "q").sortWithinPartitions("h", "p", "q", "n", "key")
@@ -354,8 +406,6 @@ def link(docs: DataFrame) -> DataFrame:
                     .select("h", "key", "n")),
         "shared",
     )
-    sets = stored(sets_of(docs, shared.select("key").distinct()), "sets")
-
     # first round: each class against the smallest of its tile
     smallest = shared.groupBy("h").agg(F.min(F.struct("n", "key")).alias("s")).select(
         "h", F.col("s.n").alias("s_n"), F.col("s.key").alias("s_key")
@@ -366,7 +416,7 @@ def link(docs: DataFrame) -> DataFrame:
         .select(F.least("key", "s_key").alias("a"), F.greatest("key", "s_key").alias("b"))
         .distinct()
     )
-    links = stored(verified(stars, sets), "links")
+    links = stored(verified(allowed_pairs(stars, classes), docs), "links")
     groups = components(links)
 
     # second round: pairs of a tile that are not connected yet
@@ -377,7 +427,7 @@ def link(docs: DataFrame) -> DataFrame:
         F.min("component").alias("c0"), F.max("component").alias("c1")
     ).filter("c0 < c1").select("h")
     tiles = left.join(open_tiles, "h", "left_semi").join(classes.select("key", "bits"), "key")
-    more = stored(verified(candidate_pairs(tiles), sets), "links")
+    more = stored(verified(candidate_pairs(tiles), docs), "links")
     groups = components(links.unionByName(more))
 
     lowest = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("low"))
