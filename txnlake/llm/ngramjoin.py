@@ -291,6 +291,17 @@ def shared_only(rows: DataFrame) -> DataFrame:
     )
 
 
+def distinct_tiles(shared: DataFrame) -> DataFrame:
+    """One shingle (h) of all that have the same classes: near copies share about
+    a hundred, which would bring the same pairs together again."""
+    members = shared.groupBy("h").agg(
+        F.bit_xor(F.xxhash64("key")).alias("x"),
+        F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"),
+        F.count("*").alias("members"),
+    )
+    return members.groupBy("x", "y", "members").agg(F.min("h").alias("h")).select("h")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) whose exact intersection reaches the similarity. Only the
     sets that the pairs name are moved."""
@@ -392,20 +403,20 @@ def link(docs: DataFrame) -> DataFrame:
     its text, its group of linked classes and that group's smallest id."""
     last = common_shingles(docs)
     rows = stored(shingle_classes(docs, last), "shingles")
-    classes = rows.filter("n > 0").groupBy("key", "n").agg(
-        F.first("prefix").alias("prefix"), F.first("bits").alias("bits")
-    )
-    classes = stored(classes, "shingle-classes")
+    words = rows.filter("n > 0")
+    prefixes = words.groupBy("key", "n").agg(F.first("prefix").alias("prefix"))
+    classes = words.groupBy("key", "n").agg(F.first("bits").alias("bits"))
 
     @F.pandas_udf("array<long>")
     def unpacked(packed: pd.Series) -> pd.Series:
         return pd.Series([np.frombuffer(p, dtype=np.int64) for p in packed], dtype=object)
 
     shared = stored(
-        shared_only(classes.select(F.explode(unpacked("prefix")).alias("h"), "key", "n")
+        shared_only(prefixes.select(F.explode(unpacked("prefix")).alias("h"), "key", "n")
                     .select("h", "key", "n")),
         "shared",
     )
+    shared = stored(shared.join(distinct_tiles(shared), "h", "left_semi"), "tiles")
     # first round: each class against the smallest of its tile
     smallest = shared.groupBy("h").agg(F.min(F.struct("n", "key")).alias("s")).select(
         "h", F.col("s.n").alias("s_n"), F.col("s.key").alias("s_key")
