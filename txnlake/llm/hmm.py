@@ -36,7 +36,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fold, stored
@@ -274,6 +274,20 @@ def word_counts(training: DataFrame) -> DataFrame:
     )
 
 
+def frequent_words(counts: DataFrame, most: int = COMMON) -> DataFrame:
+    """(word, n) of the words above the count that at most ``most`` words reach.
+    The count is found by running up how many words have each count, so no task
+    sends the driver more than it keeps."""
+    having = counts.groupBy("n").agg(F.count("*").alias("words"))
+    above = having.select(
+        "n", F.sum("words").over(Window.orderBy(F.desc("n"))).alias("reached")
+    ).filter(F.col("reached") <= most)
+    least = above.agg(F.min("n")).first()[0]
+    return counts.select("word", "n").filter(
+        F.col("n") >= least if least is not None else F.lit(False)
+    )
+
+
 def baum_welch_pass(training: DataFrame, model: Model) -> Model:
     """The model after one pass over all training texts."""
     k = len(model.first)
@@ -331,8 +345,7 @@ def score(docs: DataFrame, states: int = STATES, passes: int = 2) -> DataFrame:
     log_class = np.log10(per_class)
     log_class[CLASSES] = 0.0  # the end is alone in its class
     common = {
-        bytes(r.word): float(np.log10(r.n + 0.5))
-        for r in counts.orderBy(F.desc("n"), "word").limit(COMMON).select("word", "n").collect()
+        bytes(r.word): float(np.log10(r.n + 0.5)) for r in frequent_words(counts).collect()
     }
     start = [
         r.text
