@@ -74,8 +74,11 @@ def capture_digests(captures: DataFrame) -> DataFrame:
     firsts = rows.filter(F.col("record_type") == "response").select(
         F.col("record_id").alias("first_id"), F.col("page_id").alias("refers_to")
     )
-    return rows.join(firsts, "first_id", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    # responses refer to nothing: only revisits are joined
+    refers = F.col("first_id").isNotNull()
+    return rows.filter(refers).join(firsts, "first_id", "left").select(*columns).unionByName(
+        rows.filter(~refers).withColumn("refers_to", F.lit(None).cast("long")).select(*columns)
     )
 
 

@@ -53,7 +53,10 @@ class Model:
 
 def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
     """Folded text in windows that end between words (a longer word is a window)."""
-    folded = " " + " ".join(WORDS.findall((text or "").lower())) + " "
+    words = WORDS.findall((text or "").lower())
+    if not words:
+        return []
+    folded = " " + " ".join(words) + " "
     out, at, end = [], 0, len(folded) - 1
     while at < end:
         stop = folded.rfind(" ", at + 1, at + size + 1)
