@@ -72,7 +72,7 @@ def compressor(content: bytes):
     import zstandard as z
 
     params = z.ZstdCompressionParameters(
-        format=z.FORMAT_ZSTD1_MAGICLESS, window_log=16, chain_log=16, hash_log=16, search_log=2,
+        format=z.FORMAT_ZSTD1_MAGICLESS, window_log=16, chain_log=16, hash_log=16, search_log=4,
         min_match=6, target_length=16, strategy=z.STRATEGY_GREEDY, write_content_size=0,
         write_checksum=0, write_dict_id=0,
     )
@@ -152,7 +152,8 @@ def train(texts: list[str | None], labels: list[int]) -> Model:
     y = np.array(labels, dtype=float)
     if not 0 < y.sum() < len(y):
         return Model(b"", b"", None)
-    half = np.arange(len(y)) % 2 == 0
+    # every other text of each class
+    half = np.where(y == 1, np.cumsum(y == 1), np.cumsum(y == 0)) % 2 == 1
     texts = np.array(texts, dtype=object)
     marked = telling_words([WORDS.findall((t or "").lower()) for t in texts[half]], y[half])
     listed = b""
@@ -168,7 +169,11 @@ def train(texts: list[str | None], labels: list[int]) -> Model:
     ordinary = [w for text, label in zip(texts[half], y[half]) if not label for w in windows(text)]
     # both dictionaries know ordinary text, so only what is toxic makes a gain
     plain = trained(ordinary, ORDINARY_BYTES)
-    model = Model(plain + trained(toxic, TOXIC_BYTES) + listed + b" ", plain, None)
+    telling = trained(toxic, TOXIC_BYTES) + listed + b" "
+    # bytes that no text holds keep the ordinary content as far from the window
+    # in one dictionary as in the other, so that it costs the same in both
+    filler = np.random.default_rng(1).integers(0xF8, 0x100, len(telling), dtype=np.uint8)
+    model = Model(plain + telling, plain + filler.tobytes(), None)
     a, b = compressor(model.ordinary), compressor(model.toxic)
     x = np.array([features(gains(a, b, t)) for t in texts[~half]])
     model.weights = fit_logistic(x, y[~half])
