@@ -45,6 +45,8 @@ OFTEN = 32  # prefixes that a shingle begins before it may be put last
 LAST = 1 << 16  # shingles put last, at most
 BLOCK = 1024  # classes of a tile's block
 FILTER_BITS = 1 << 24
+CENTRES = 8  # of a tile with at least LARGE classes, besides the smallest
+LARGE = 16
 
 
 class WordHashes(dict):
@@ -417,13 +419,28 @@ def link(docs: DataFrame) -> DataFrame:
         "shared",
     )
     shared = stored(shared.join(distinct_tiles(shared), "h", "left_semi"), "tiles")
-    # first round: each class against the smallest of its tile
-    smallest = shared.groupBy("h").agg(F.min(F.struct("n", "key")).alias("s")).select(
-        "h", F.col("s.n").alias("s_n"), F.col("s.key").alias("s_key")
+    # first round: each class against the smallest of its tile, and in a large
+    # tile against a few more, by hash
+    smallest = F.min(F.struct("n", "key"))
+    drawn = [
+        F.min(F.struct(F.xxhash64("key", F.lit(seed)), "n", "key")) for seed in range(CENTRES)
+    ]
+    pick = lambda c: F.struct(c["n"].alias("s_n"), c["key"].alias("s_key"))
+    centres = (
+        shared.groupBy("h")
+        .agg(F.count("*").alias("members"), smallest.alias("c"),
+             *[c.alias(f"c{i}") for i, c in enumerate(drawn)])
+        .select("h", F.explode(F.when(
+            F.col("members") >= LARGE,
+            F.array_distinct(F.array(pick(F.col("c")),
+                                     *[pick(F.col(f"c{i}")) for i in range(CENTRES)])),
+        ).otherwise(F.array(pick(F.col("c"))))).alias("s"))
+        .select("h", "s.*")
     )
     stars = (
-        shared.join(smallest, "h")
-        .filter((F.col("key") != F.col("s_key")) & (100 * F.col("s_n") >= PERCENT * F.col("n")))
+        shared.join(centres, "h")
+        .filter((F.col("key") != F.col("s_key"))
+                & (100 * F.least("s_n", "n") >= PERCENT * F.greatest("s_n", "n")))
         .select(F.least("key", "s_key").alias("a"), F.greatest("key", "s_key").alias("b"))
         .distinct()
     )
