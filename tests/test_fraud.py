@@ -140,12 +140,15 @@ def test_bucketed_gaps_equal_plain_lag(spark, events, bucket):
     assert got == want
 
 
-def test_join_checked_both_paths(spark):
-    from txnlake.operators.joins import join_checked
-
-    big = spark.range(0, 1000).withColumn("k", F.col("id") % 7)
-    small = spark.range(0, 7).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 10)
-    a = join_checked(big, small, "k", max_rows=100)
-    b = join_checked(big, small, "k", max_rows=3)
-    assert a.count() == b.count() == 1000
-    assert sorted(a.select("id", "v").collect()) == sorted(b.select("id", "v").collect())
+def test_spike_history_starts_at_the_given_day(spark):
+    old = [{"transaction_id": f"o{i}", "initiated_at": "2023-06-01 10:00:00", "amount": 10.0}
+           for i in range(20)]
+    new = [{"transaction_id": f"n{i}", "initiated_at": "2024-01-15 10:00:00", "amount": 1000.0}
+           for i in range(3)]
+    rows = spark.createDataFrame(old + new).select(
+        "transaction_id", F.col("initiated_at").cast("timestamp_ntz").alias("initiated_at"),
+        "amount", F.lit("771234567").alias("sender_phone"), F.lit("PASS").alias("_quality_flag"),
+    ).withColumn("_date", F.to_date("initiated_at"))
+    mean = lambda **k: fraud.sender_mean(rows, **k).first().avg_amount_7d
+    assert mean() < 200
+    assert mean(since="2024-01-08") == 1000.0

@@ -22,7 +22,6 @@ COUNTRY_PREFIX = "+221"
 KNOWN_PREFIXES = ("77", "78", "76", "70", "75")
 MASK_FILL = "XXXXX"
 TOKEN_LENGTH = 16
-DEFAULT_SECRET = "dev-secret-change-in-production"
 
 _BLOCK = 64  # SHA-256 block size in bytes
 
@@ -61,7 +60,7 @@ def _hmac_pads(secret: str | bytes) -> tuple[bytes, bytes]:
     return inner, outer
 
 
-def tokenize(c: str | Column, secret: str | bytes = DEFAULT_SECRET) -> Column:
+def tokenize(c: str | Column, secret: str | bytes) -> Column:
     """First 16 hex chars of HMAC-SHA256(secret, value); NULL stays NULL."""
     inner, outer = _hmac_pads(secret)
     msg = F.encode(_col(c), "UTF-8")
@@ -89,7 +88,7 @@ def canonical_phones(
 
 def tokenize_phones(
     df: DataFrame,
-    secret: str | bytes = DEFAULT_SECRET,
+    secret: str | bytes,
     cols: Iterable[str] = ("sender_phone", "recipient_phone"),
 ) -> DataFrame:
     """Replace canonical phones by their tokens (pseudonymisation at the edge)."""

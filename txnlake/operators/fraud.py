@@ -8,10 +8,9 @@ Scale notes:
 
 * velocity / amount spike are "aggregate, then join back". The aggregate is
   partial on the map side, so a sender holding a third of all rows is
-  combined before the shuffle. The aggregate side is computed first and
-  broadcast only when its row count is under a bound (``join_checked``), so
-  the rows are not shuffled at all; above the bound the join is a sort-merge
-  join where AQE splits the hot sender's partition.
+  combined before the shuffle. The join is a plain one: AQE broadcasts the
+  aggregate only if its measured size is under the threshold, and otherwise
+  splits a hot sender's partition of the sort-merge join.
 * rapid transfer needs each transfer's predecessor in time within
   (sender, recipient, day). A plain ``lag`` window would put a hot pair into
   one task, so the day is split into time buckets: ``lag`` runs inside each
@@ -28,7 +27,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .joins import join_checked
 from .silver import passing
 
 # Default thresholds and pattern names.
@@ -92,7 +90,7 @@ def velocity(
         .filter(F.col("daily_txn_count") > threshold)
     )
     # Inner equi-join: NULL senders never match, as in the source system.
-    joined = join_checked(rows, counts, ["sender_phone", "_date"], "inner")
+    joined = rows.join(counts, ["sender_phone", "_date"], "inner")
     return _flags(joined, VELOCITY, F.col("daily_txn_count"), F.lit(None))
 
 
@@ -104,7 +102,9 @@ def sender_mean(
     """Mean PASS amount per sender over ``since <= initiated_at < upper``."""
     hist = passing(silver)
     if since is not None:
-        hist = hist.filter(F.col("initiated_at") >= F.lit(str(since)).cast("timestamp_ntz"))
+        start = F.lit(str(since)).cast("timestamp_ntz")
+        # the date predicate prunes the partitions of a stored table
+        hist = hist.filter((F.col("initiated_at") >= start) & (F.col("_date") >= F.to_date(start)))
     if upper is not None:
         hist = hist.filter(F.col("initiated_at") < F.lit(str(upper)).cast("timestamp_ntz"))
     return hist.groupBy("sender_phone").agg(F.avg("amount").alias("avg_amount_7d"))
@@ -124,7 +124,7 @@ def amount_spike(
     """
     rows = day_slice(silver, day)
     means = sender_mean(silver, since, upper)
-    joined = join_checked(rows, means, "sender_phone", "inner").filter(
+    joined = rows.join(means, "sender_phone", "inner").filter(
         F.col("amount") > F.col("avg_amount_7d") * factor
     )
     return _flags(

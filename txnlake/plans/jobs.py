@@ -177,7 +177,11 @@ def detect_job(
     detected_at: datetime | str | None = None,
     **thresholds,
 ) -> dict:
-    """Flag one day's transactions and store them under that day."""
+    """Flag one day's transactions and store them under that day. Spikes are held
+    against the seven days before the day and all later rows, unless
+    ``spike_since`` says otherwise."""
+    start = date.fromisoformat(str(day)[:10]) - timedelta(days=7)
+    thresholds.setdefault("spike_since", start)
     silver = sinks.read_table(spark, paths.silver)
     flags = fraud.detect_all(
         silver, day, detected_at=detected_at or day, share=False, **thresholds
@@ -197,11 +201,10 @@ def retention_job(
     return lifecycle.retention_expired(silver, as_of, days).select("_date").distinct()
 
 
-# Layer schemas and their comments.
 LAYER_COMMENTS = {
-    "bronze": "Raw transactions - append-only, schema-on-read",
-    "silver": "Normalized, deduplicated, quality-checked transactions",
-    "gold": "Business aggregates and fraud detection",
+    "bronze": "Transactions as delivered, with audit columns; rows are only added",
+    "silver": "One row per transaction with typed columns and quality flags",
+    "gold": "Daily and merchant summaries, and fraud flags",
 }
 
 

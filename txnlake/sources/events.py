@@ -52,26 +52,9 @@ REDELIVERY_EVERY = 50
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table; spread it over the cores if it has too few splits.
-
-    Parquet splits by row group, so a small file written as one row group is
-    read by one task however many cores there are. Only then is the scan
-    round-robin repartitioned to the default parallelism (the exchange is
-    reused by every consumer of the frame). A large table with many splits is
-    read as is, without the extra shuffle.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    key = (spark.sparkContext.applicationId, path, cores)
-    if key not in _FEW_SPLITS:
-        _FEW_SPLITS[key] = df.rdd.getNumPartitions() < cores
-    return df.repartition(cores) if _FEW_SPLITS[key] else df
-
-
-# (application, path, cores) -> whether the scan has fewer splits than cores;
-# the answer only steers parallelism, so a stale entry never changes results.
-_FEW_SPLITS: dict[tuple, bool] = {}
+    """Scan one driver table. How it is split is the reader's setting
+    (``spark.sql.files.maxPartitionBytes``)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(col: str, mapping: dict[str, str], other: str) -> str:

@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def _metrics(obs: Observation, names: Sequence[str]) -> dict:
-    """Observed values; an input the optimizer proved empty reports zeros."""
+def _metrics(obs: Observation, names: Sequence[str], df: DataFrame) -> dict:
+    """Observed values. An input that is empty may be folded away with its
+    observation and reports zeros; any other lost observation is an error."""
     try:
         return dict(obs.get)
-    except Exception:  # noqa: BLE001 - plan folded to an empty relation
+    except Exception:
+        if not df.isEmpty():
+            raise
         return {n: 0 for n in names}
 
 
@@ -45,7 +48,7 @@ def append(
     if parts:
         writer = writer.partitionBy(*parts)
     writer.save(path)
-    return _metrics(obs, ["rows_written"])
+    return _metrics(obs, ["rows_written"], df)
 
 
 def overwrite_partitions(
@@ -78,7 +81,7 @@ def overwrite_partitions(
         .partitionBy(*parts)
         .save(path)
     )
-    return _metrics(obs, ["rows_written", *metrics])
+    return _metrics(obs, ["rows_written", *metrics], df)
 
 
 def store_failures(violations: DataFrame, path: str, check: str, run_id: str) -> dict:
