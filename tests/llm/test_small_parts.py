@@ -186,3 +186,21 @@ def test_tile_links_against_all_pairs():
     i, j = pcadedup.tile_links(both, both, axes, 0.95, True)
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(
         np.triu(u @ u.T >= 0.95, 1)))))
+
+
+def test_shingle_sets_count_distinct_windows_whatever_the_slice():
+    texts = ["", None, " \n", "one two", "a b c d e", "a a a a a a a", "A b\x0bC  d e f é", "x" * 500 + " y",
+             " ".join(f"w{i % 50}" for i in range(400))] * 3
+    sets = list(ngramjoin.shingle_sets(texts))
+    assert len(sets) == len(texts)
+    for text, got in zip(texts, sets):
+        words = (text or "").encode().lower().split()
+        k = min(5, len(words))
+        want = {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set()
+        assert len(got) == len(want)
+        assert (ngramjoin.shingle_set(text) == got).all()
+    long = " ".join(texts[-1:] * 3).encode()
+    for size in (1, 7, 64):
+        at, hashes = ngramjoin.word_hashes(long, size)
+        whole = ngramjoin.word_hashes(long)
+        assert (at == whole[0]).all() and (hashes == whole[1]).all()

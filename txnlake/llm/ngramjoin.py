@@ -15,10 +15,10 @@ signatures differ are at least so many elements that are not shared. Pairs that
 may still reach the similarity are verified by exact intersection of the sorted
 arrays.
 
-Only the components are asked for, so a first round verifies each class against
-the smallest one of its tiles, and the full comparison is left with pairs that
-those links have not already connected. Thousands of near copies then need about
-one comparison each.
+Only the components are asked for, so a few rounds verify each class against
+some centres of its tiles, and the full comparison is left with pairs that those
+links have not already connected. Thousands of near copies then need a few
+comparisons each. Before sets are moved, a wider bitmap bounds the pairs again.
 
 Edge cases: null texts and texts without words have an empty set and are linked
 with nothing; fewer words than a shingle has are one shingle; repeated rows and
@@ -29,7 +29,8 @@ another id can; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -45,40 +46,94 @@ OFTEN = 32  # prefixes that a shingle begins before it may be put last
 LAST = 1 << 16  # shingles put last, at most
 BLOCK = 1024  # classes of a tile's block
 FILTER_BITS = 1 << 24
+SLICE = 1 << 16  # bytes of text hashed at once
+WIDE = 4  # bits of a wide bitmap for each element, at least
+ROUNDS = 3  # of comparison with centres before the full one
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+SPACES = np.array([bool(SPACE.match(bytes([i]))) for i in range(256)])
 CENTRES = 8  # of a tile with at least LARGE classes, besides the smallest
 LARGE = 16
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 1 << 18:
-            self[word] = h
-        return h
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_set(text: str | None, hashes: WordHashes, size: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles (as unsigned 64-bit)."""
-    words = (text or "").encode().lower().split()
-    n = len(words)
-    if not n:
-        return np.zeros(0, dtype=np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=n)
-    k = min(size, n)
-    h = np.full(n - k + 1, k, dtype=np.uint64)
-    for i in range(k):
-        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + w[i : n - k + 1 + i])
-    return np.unique(h)
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, 64-bit hash) of each word: the sum of its bytes' hashes, each
+    mixed with its place in the word."""
+    at = np.flatnonzero(~SPACES[data])
+    if not len(at):
+        return at, np.zeros(0, dtype=np.uint64)
+    starts = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+    lengths = np.diff(starts, append=len(at))
+    place = np.arange(len(at)) - np.repeat(starts, lengths)
+    each = _mixed(((place << 8) + data[at] + 1).astype(np.uint64))
+    return at[starts], _mixed(np.add.reduceat(each, starts) + lengths.astype(np.uint64))
+
+
+def word_hashes(text: bytes, size: int = SLICE) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, hash) of each word, slice by slice: no temporary array grows
+    with a long text but the words themselves."""
+    out, at = [], 0
+    while at < len(text):
+        gap = SPACE.search(text, at + size)
+        end = gap.start() if gap else len(text)
+        first, hashes = _word_hashes(np.frombuffer(text, np.uint8, end - at, at))
+        out.append((first + at, hashes))
+        at = end
+    if not out:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    return np.concatenate([x for x, _ in out]), np.concatenate([h for _, h in out])
+
+
+def _shingles(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all windows of ``size`` words."""
+    h = np.full(len(words) - size + 1, size, dtype=np.uint64)
+    for i in range(size):
+        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + words[i : len(h) + i])
+    return h
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    s = np.sort(hashes)
+    new = np.ones(len(s), dtype=bool)
+    np.not_equal(s[1:], s[:-1], out=new[1:])
+    return s[new]
+
+
+def shingle_sets(texts: Iterable[str | None], size: int = WORDS) -> Iterator[np.ndarray]:
+    """Each text's sorted distinct shingle hashes (unsigned 64-bit); short texts
+    are hashed together, up to a slice at a time."""
+
+    def chunk(parts: list[bytes]) -> Iterator[np.ndarray]:
+        at, words = word_hashes(b"\n".join(parts))
+        ends = np.searchsorted(at, np.cumsum([len(x) + 1 for x in parts]))
+        windows = _shingles(words, size) if len(words) >= size else words[:0]
+        start = 0
+        for end in ends.tolist():
+            if 0 < end - start < size:
+                yield _shingles(words[start:end], end - start)
+            else:
+                yield _distinct(windows[start : max(start, end - size + 1)])
+            start = end
+
+    parts, held = [], 0
+    for text in texts:
+        parts.append((text or "").encode().lower())
+        held += len(parts[-1])
+        if held > SLICE:
+            yield from chunk(parts)
+            parts, held = [], 0
+    if parts:
+        yield from chunk(parts)
+
+
+def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of one text's shingles."""
+    return next(shingle_sets([text], size))
 
 
 def set_key(hashes: np.ndarray) -> int:
@@ -101,10 +156,11 @@ def prefix(hashes: np.ndarray, last: np.ndarray, percent: int = PERCENT) -> np.n
     return np.concatenate([hashes[~late], hashes[late]])[:m]
 
 
-def bitmap(hashes: np.ndarray) -> bytes:
-    """One bit for each hash modulo a power of two of at least the set's size."""
+def bitmap(hashes: np.ndarray, load: int = 1) -> bytes:
+    """One bit for each hash modulo a power of two of at least ``load`` times the
+    set's size."""
     bits = 64
-    while bits < len(hashes):
+    while bits < load * len(hashes):
         bits *= 2
     out = np.zeros(bits, dtype=np.uint8)
     out[hashes & np.uint64(bits - 1)] = 1
@@ -188,7 +244,7 @@ def tile_pairs(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
 
 
 def allowed_pairs(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) whose sizes and bitmaps allow the similarity."""
+    """Pairs (a, b) whose sizes and wide bitmaps allow the similarity."""
 
     @F.pandas_udf("boolean")
     def allowed(n: pd.Series, x: pd.Series, m: pd.Series, y: pd.Series) -> pd.Series:
@@ -199,7 +255,7 @@ def allowed_pairs(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT)
         ))
 
     side = lambda p: classes.select(
-        F.col("key").alias(p), F.col("n").alias("n_" + p), F.col("bits").alias("bits_" + p)
+        F.col("key").alias(p), F.col("n").alias("n_" + p), F.col("wide").alias("bits_" + p)
     )
     return (
         pairs.join(side("a"), "a").join(side("b"), "b")
@@ -208,15 +264,14 @@ def allowed_pairs(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT)
 
 
 def shingle_classes(docs: DataFrame, last: np.ndarray) -> DataFrame:
-    """(doc_id, n, key, prefix, bits) of every row; no prefix for empty sets."""
+    """(doc_id, n, key, prefix, bits, wide) of every row; no prefix for empty sets."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.iloc[at : at + 1000]
-                sets = [shingle_set(t, hashes) for t in part["text"]]
+                sets = list(shingle_sets(part["text"]))
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].to_numpy() if not part["doc_id"].isna().any()
                     else part["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None),
@@ -224,10 +279,11 @@ def shingle_classes(docs: DataFrame, last: np.ndarray) -> DataFrame:
                     "key": [set_key(s) for s in sets],
                     "prefix": [prefix(s, last).tobytes() if len(s) else None for s in sets],
                     "bits": [bitmap(s) if len(s) else None for s in sets],
+                    "wide": [bitmap(s, WIDE) if len(s) else None for s in sets],
                 })
 
     return docs.select("doc_id", "text").mapInPandas(
-        classes, f"doc_id {id_type}, n long, key long, prefix binary, bits binary"
+        classes, f"doc_id {id_type}, n long, key long, prefix binary, bits binary, wide binary"
     )
 
 
@@ -236,7 +292,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
     are counted before the shuffle; a bounded list reaches the driver."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, none = WordHashes(), np.zeros(0, dtype=np.uint64)
+        none = np.zeros(0, dtype=np.uint64)
         held, size = [], 0
 
         def counted() -> pd.DataFrame:
@@ -244,8 +300,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
             return pd.DataFrame({"h": h.view(np.int64), "n": n.astype(np.int64)})
 
         for batch in batches:
-            for text in batch["text"]:
-                s = shingle_set(text, hashes)
+            for s in shingle_sets(batch["text"]):
                 if len(s):
                     held.append(prefix(s, none))
                     size += len(held[-1])
@@ -343,11 +398,10 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, wanted = WordHashes(), shared.value
+        wanted = shared.value
         for batch in batches:
             out = {}
-            for text in batch["text"]:
-                s = shingle_set(text, hashes)
+            for s in shingle_sets(batch["text"]):
                 key = set_key(s)
                 slot = key % FILTER_BITS
                 if len(s) and wanted[slot >> 3] >> (slot & 7) & 1:
@@ -364,6 +418,42 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
+def star_pairs(rows: DataFrame, step: int) -> DataFrame:
+    """Distinct (a, b) of a tile's members and its centres in other components.
+
+    ``rows``: (h, key, n, component). Centres are one member of the largest
+    component, the smallest of the components' members and, in a tile of at
+    least LARGE members, members of a few more components drawn by hash, other
+    ones in each step."""
+    drawn = F.struct(F.xxhash64("key", F.lit(step)).alias("x"), "n", "key", "component")
+    parts = rows.groupBy("h", "component").agg(
+        F.count("*").alias("members"), F.min(drawn).alias("one")
+    )
+    pick = lambda c: F.struct(*[c[x].alias(f"s_{x}") for x in ("n", "key", "component")])
+    few = [pick(F.col("largest")["one"]), pick(F.col("smallest"))]
+    centres = (
+        parts.groupBy("h").agg(
+            F.sum("members").alias("members"),
+            F.max(F.struct("members", "one")).alias("largest"),
+            F.min(F.struct("one.n", "one.key", "one.component")).alias("smallest"),
+            *[F.min(F.struct(F.xxhash64("component", F.lit(step), F.lit(i)), "one")).alias(f"c{i}")
+              for i in range(CENTRES)],
+        )
+        .select("h", F.explode(F.array_distinct(F.when(
+            F.col("members") >= LARGE,
+            F.array(*few, *[pick(F.col(f"c{i}")["one"]) for i in range(CENTRES)]),
+        ).otherwise(F.array(*few)))).alias("s"))
+        .select("h", "s.*")
+    )
+    return (
+        rows.join(centres, "h")
+        .filter((F.col("component") != F.col("s_component"))
+                & (100 * F.least("s_n", "n") >= PERCENT * F.greatest("s_n", "n")))
+        .select(F.least("key", "s_key").alias("a"), F.greatest("key", "s_key").alias("b"))
+        .distinct()
+    )
+
+
 def candidate_pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """Distinct (a, b) of different components that meet in a tile and may be
     similar. ``rows``: (h, key, n, component, bits)."""
@@ -407,7 +497,6 @@ def link(docs: DataFrame) -> DataFrame:
     rows = stored(shingle_classes(docs, last), "shingles")
     words = rows.filter("n > 0")
     prefixes = words.groupBy("key", "n").agg(F.first("prefix").alias("prefix"))
-    classes = words.groupBy("key", "n").agg(F.first("bits").alias("bits"))
 
     @F.pandas_udf("array<long>")
     def unpacked(packed: pd.Series) -> pd.Series:
@@ -419,44 +508,29 @@ def link(docs: DataFrame) -> DataFrame:
         "shared",
     )
     shared = stored(shared.join(distinct_tiles(shared), "h", "left_semi"), "tiles")
-    # first round: each class against the smallest of its tile, and in a large
-    # tile against a few more, by hash
-    smallest = F.min(F.struct("n", "key"))
-    drawn = [
-        F.min(F.struct(F.xxhash64("key", F.lit(seed)), "n", "key")) for seed in range(CENTRES)
-    ]
-    pick = lambda c: F.struct(c["n"].alias("s_n"), c["key"].alias("s_key"))
-    centres = (
-        shared.groupBy("h")
-        .agg(F.count("*").alias("members"), smallest.alias("c"),
-             *[c.alias(f"c{i}") for i, c in enumerate(drawn)])
-        .select("h", F.explode(F.when(
-            F.col("members") >= LARGE,
-            F.array_distinct(F.array(pick(F.col("c")),
-                                     *[pick(F.col(f"c{i}")) for i in range(CENTRES)])),
-        ).otherwise(F.array(pick(F.col("c"))))).alias("s"))
-        .select("h", "s.*")
+    classes = stored(
+        words.join(shared.select("key").distinct(), "key", "left_semi").groupBy("key", "n")
+        .agg(F.first("bits").alias("bits"), F.first("wide").alias("wide")),
+        "classes",
     )
-    stars = (
-        shared.join(centres, "h")
-        .filter((F.col("key") != F.col("s_key"))
-                & (100 * F.least("s_n", "n") >= PERCENT * F.greatest("s_n", "n")))
-        .select(F.least("key", "s_key").alias("a"), F.greatest("key", "s_key").alias("b"))
-        .distinct()
-    )
-    links = stored(verified(allowed_pairs(stars, classes), docs), "links")
-    groups = components(links)
 
-    # second round: pairs of a tile that are not connected yet
-    left = shared.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key")
-    )
-    open_tiles = left.groupBy("h").agg(
-        F.min("component").alias("c0"), F.max("component").alias("c1")
-    ).filter("c0 < c1").select("h")
-    tiles = left.join(open_tiles, "h", "left_semi").join(classes.select("key", "bits"), "key")
-    more = stored(verified(candidate_pairs(tiles), docs), "links")
-    groups = components(links.unionByName(more))
+    links = groups = None
+    for step in range(ROUNDS + 1):
+        left = shared.withColumn("component", F.col("key")) if groups is None else (
+            shared.join(groups.withColumnRenamed("node", "key"), "key", "left")
+            .withColumn("component", F.coalesce("component", "key"))
+        )
+        open_tiles = left.groupBy("h").agg(
+            F.min("component").alias("c0"), F.max("component").alias("c1")
+        ).filter("c0 < c1").select("h")
+        tiles = left.join(open_tiles, "h", "left_semi")
+        if step < ROUNDS:
+            pairs = star_pairs(tiles, step)
+        else:  # all pairs of a tile that are not connected yet
+            pairs = candidate_pairs(tiles.join(classes.select("key", "bits"), "key"))
+        found = stored(verified(allowed_pairs(pairs, classes), docs), "links")
+        links = found if links is None else links.unionByName(found)
+        groups = stored(components(links), "groups")
 
     lowest = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("low"))
     merged = groups.withColumnRenamed("node", "key").join(lowest, "key")
@@ -491,8 +565,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("long")
     def key_of(texts: pd.Series) -> pd.Series:
-        hashes = WordHashes()
-        sets = (shingle_set(t, hashes) for t in texts)
+        sets = shingle_sets(texts)
         return pd.Series([set_key(s) if len(s) else None for s in sets], dtype="Int64")
 
     keyed = docs.withColumn("__set_key", key_of("text"))
