@@ -65,13 +65,54 @@ def test_flatten_and_quarantine(spark):
     q = {(r.transaction_id, r.reason) for r in pages.quarantine_pages(df).collect()}
     assert q == {
         ("OM3", "bad_amount"), ("OM4", "bad_amount"), ("OM5", "bad_initiated_at"),
-        ("OM6", "bad_fee"), ("OM7", "missing_sender"), (None, "no_transactions"), (None, "not_json"),
-    }
+        ("OM6", "bad_fee"), ("OM7", "missing_sender"), (None, "not_json"),
+    }  # an empty transaction list is a normal page
     redacted = pages.flatten_pages(df, secret="s").collect()
     assert all("msisdn" not in r.raw_payload for r in redacted)
     assert all(len(r.sender_phone) == 16 for r in redacted)
 
 
+def test_page_edge_values(spark):
+    good = {
+        "id": "A0", "type": "PAYMENT", "amount": 100.5, "extra": {"k": [1, "x"]},
+        "sender": {"msisdn": "771234567", "name": "Awa"}, "recipient": {"msisdn": "781234567"},
+        "initiatedAt": "2024-01-15T10:00:00",
+    }
+    cases = {
+        "A1": ({"completedAt": ""}, None),
+        "A2": ({"initiatedAt": "12:30"}, "bad_initiated_at"),
+        "A3": ({"initiatedAt": "2024"}, "bad_initiated_at"),
+        "A4": ({"amount": "5d"}, "bad_amount"),
+        "A5": ({"amount": "NaN"}, "bad_amount"),
+        "A6": ({"currency": None}, "bad_currency"),
+        "A7": ({"fee": None}, "bad_fee"),
+        "A8": ({"initiatedAt": "2024-01-15"}, None),
+        "A9": ({"initiatedAt": "2024-01-15T05:00:00-05:00"}, None),
+        "B1": ({"amount": "1e999"}, "bad_amount"),
+        "B2": ({"completedAt": "soon"}, "bad_completed_at"),
+    }
+    items = [good, *[good | {"id": k} | change for k, (change, _) in cases.items()], None, 5]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([(_page(items),), (_page([]),), ('{"page": 1}',)], "body string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = {r.transaction_id: r for r in pages.flatten_pages(df).collect()}
+        kept = pages.quarantine_pages(df, secret="s").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert set(rows) == {"A0", *[k for k, (_, reason) in cases.items() if reason is None]}
+    assert rows["A0"].initiated_at.hour == 10 and rows["A9"].initiated_at == rows["A0"].initiated_at
+    assert rows["A8"].initiated_at.hour == 0 and rows["A1"].completed_at is None
+    assert json.loads(rows["A0"].raw_payload) == good
+    assert {(r.transaction_id, r.reason) for r in kept if r.transaction_id} == {
+        (k, reason) for k, (_, reason) in cases.items() if reason
+    }
+    assert sorted(r.reason for r in kept if not r.transaction_id) == [
+        "no_transactions", "not_an_object", "not_an_object"
+    ]
+    assert all("Awa" not in (r.raw_text or "") and "771234567" not in (r.raw_text or "") for r in kept)
+
+
 def test_checks(spark):
     df = spark.createDataFrame(
         [("a", 0.0, "SUCCESS", None), ("a", 5.0, "BAD", None), (None, 50_000_000.0, None, None), ("b", 1.0, "FAILED", None)],

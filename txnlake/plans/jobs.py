@@ -86,7 +86,7 @@ def ingest_pages(
     rows = pages.flatten_pages(api_pages, body_col, secret)
     landed = lifecycle.land(rows, ingested_at, batch_id)
     metrics = ingest_bronze(landed, paths)
-    rejected = pages.quarantine_pages(api_pages, body_col).withColumn("_batch_id", F.lit(batch_id))
+    rejected = pages.quarantine_pages(api_pages, body_col, secret).withColumn("_batch_id", F.lit(batch_id))
     metrics["rows_quarantined"] = sinks.overwrite_partitions(
         rejected, paths.quarantine, "_batch_id"
     )["rows_written"]

@@ -6,8 +6,11 @@ per-field defaults and ``try_cast`` parsing. Every element is either a good
 row or a quarantined row with a reason, never silently lost; a page that is
 not JSON at all is quarantined as one row.
 
-Fields that must be numbers or times are read as strings first, so a value of
-the wrong type becomes a reason instead of an error or a silent NULL.
+Each element keeps its own JSON text, which is the stored payload; its fields
+are parsed from that text as strings first, so a value of the wrong type becomes
+a reason instead of an error or a silent NULL. Only an absent key has a default:
+an explicit null currency or fee is a reason. An empty completion time counts as
+absent, an empty transaction list is a normal page.
 """
 
 from __future__ import annotations
@@ -47,7 +50,7 @@ ELEMENT = T.StructType(
 
 PAGE = T.StructType(
     [
-        T.StructField("transactions", T.ArrayType(ELEMENT)),
+        T.StructField("transactions", T.ArrayType(T.StringType())),  # each element's own text
         T.StructField("page", T.LongType()),
         T.StructField("totalCount", T.LongType()),
         T.StructField("hasMore", T.BooleanType()),
@@ -64,13 +67,38 @@ DEFAULT_CHANNEL = "USSD"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+# Fixed patterns: ISO dates and times, plain decimal numbers.
+ISO_TIME = (
+    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2}(:\d{2})?)?)?$"
+)
+ISO_OFFSET = r"([T ].*)(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def _instant(text: Column) -> Column:
+    """ISO text -> timestamp, text without an offset read as UTC; else NULL."""
+    full = F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
+    zoned = F.when(full.rlike(ISO_OFFSET), full).otherwise(F.concat(full, F.lit("Z")))
+    return F.when(text.rlike(ISO_TIME), zoned.try_cast("timestamp"))
+
+
 def _utc_ntz(text: Column) -> Column:
     """ISO text with or without an offset -> UTC wall time (TIMESTAMP_NTZ),
     independent of the session time zone."""
-    local_wall = text.try_cast("timestamp").cast("timestamp_ntz")
+    local_wall = _instant(text).cast("timestamp_ntz")
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local_wall)
 
 
+def _number(text: Column) -> Column:
+    """Plain decimal text -> finite double; anything else NULL."""
+    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
+
+
+def _completed(tx: Column) -> Column:
+    return F.when(tx["completedAt"] != "", tx["completedAt"])
+
+
 def _iso(c: Column) -> Column:
     return F.concat(F.date_format(c, ISO_FORMAT), F.lit("Z"))
 
@@ -128,28 +156,33 @@ def _elements(pages: DataFrame, body_col: str) -> DataFrame:
             F.col(body_col), PAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
         ).alias("_doc"),
     )
-    return parsed.select(
-        "*", F.posexplode_outer("_doc.transactions").alias("_pos", "_tx")
+    return (
+        parsed.filter(F.coalesce(F.size("_doc.transactions") != 0, F.lit(True)))
+        .select("*", F.posexplode_outer("_doc.transactions").alias("_pos", "_txt"))
+        .withColumns({
+            "_tx": F.from_json("_txt", ELEMENT), "_keys": F.json_object_keys("_txt"),
+        })
     )
 
 
 def _reason() -> Column:
     tx = F.col("_tx")
-    amount = tx["amount"].try_cast("double")
-    fee = F.coalesce(tx["fee"].try_cast("double"), F.when(tx["fee"].isNull(), F.lit(DEFAULT_FEE)))
-    started = tx["initiatedAt"].try_cast("timestamp")
-    completed = tx["completedAt"].try_cast("timestamp")
+    amount = _number(tx["amount"])
+    fee = _number(tx["fee"])
+    null_given = lambda k: F.array_contains("_keys", k) & tx[k].isNull()
     return (
         F.when(F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull(), "not_json")
-        .when(tx.isNull(), "no_transactions")
+        .when(F.col("_pos").isNull(), "no_transactions")
+        .when(tx.isNull() | F.col("_keys").isNull(), "not_an_object")
         .when(tx["id"].isNull(), "missing_id")
         .when(tx["type"].isNull(), "missing_type")
         .when(amount.isNull() | (amount <= 0), "bad_amount")
-        .when(fee.isNull() | (fee < 0), "bad_fee")
+        .when(null_given("currency"), "bad_currency")
+        .when(null_given("fee") | (tx["fee"].isNotNull() & fee.isNull()) | (fee < 0), "bad_fee")
         .when(tx["sender"]["msisdn"].isNull(), "missing_sender")
         .when(tx["recipient"]["msisdn"].isNull(), "missing_recipient")
-        .when(started.isNull(), "bad_initiated_at")
-        .when(tx["completedAt"].isNotNull() & completed.isNull(), "bad_completed_at")
+        .when(_instant(tx["initiatedAt"]).isNull(), "bad_initiated_at")
+        .when(_completed(tx).isNotNull() & _instant(_completed(tx)).isNull(), "bad_completed_at")
     )
 
 
@@ -160,14 +193,14 @@ def _rows(good: DataFrame, secret: str | bytes | None, redact: bool) -> DataFram
         canon = phone_canonical(c)
         return canon if secret is None else tokenize(canon, secret)
 
-    payload = tx.dropFields("sender", "recipient") if redact else tx
+    payload = F.to_json(tx.dropFields("sender", "recipient")) if redact else F.col("_txt")
     return good.select(
         tx["id"].alias("transaction_id"),
         tx["externalId"].alias("external_id"),
         tx["type"].alias("transaction_type"),
-        tx["amount"].try_cast("double").alias("amount"),
+        _number(tx["amount"]).alias("amount"),
         F.coalesce(tx["currency"], F.lit(DEFAULT_CURRENCY)).alias("currency"),
-        F.coalesce(tx["fee"].try_cast("double"), F.lit(DEFAULT_FEE)).alias("fee"),
+        F.coalesce(_number(tx["fee"]), F.lit(DEFAULT_FEE)).alias("fee"),
         phone(tx["sender"]["msisdn"]).alias("sender_phone"),
         phone(tx["recipient"]["msisdn"]).alias("recipient_phone"),
         tx["merchantCode"].alias("merchant_code"),
@@ -176,11 +209,11 @@ def _rows(good: DataFrame, secret: str | bytes | None, redact: bool) -> DataFram
         F.coalesce(tx["status"], F.lit(DEFAULT_STATUS)).alias("status"),
         tx["failureReason"].alias("failure_reason"),
         _utc_ntz(tx["initiatedAt"]).alias("initiated_at"),
-        _utc_ntz(tx["completedAt"]).alias("completed_at"),
+        _utc_ntz(_completed(tx)).alias("completed_at"),
         F.coalesce(tx["channel"], F.lit(DEFAULT_CHANNEL)).alias("channel"),
         tx["agentCode"].alias("agent_code"),
         tx["region"].alias("region"),
-        F.to_json(payload).alias("raw_payload"),
+        payload.alias("raw_payload"),
     )
 
 
@@ -199,21 +232,30 @@ def flatten_pages(
     return _rows(good, secret, redact=secret is not None)
 
 
-def quarantine_pages(pages: DataFrame, body_col: str = "body") -> DataFrame:
+def quarantine_pages(
+    pages: DataFrame, body_col: str = "body", secret: str | bytes | None = None
+) -> DataFrame:
     """Rejected elements (and non-JSON pages) with the first failing reason.
 
     Each row carries the rejected element's own JSON (``raw_text``), so its size
     is bounded by one element; the full page text is kept only for a page that
-    is not JSON at all. Other columns of ``pages`` (e.g. a page number) are kept.
+    is not JSON at all. With ``secret`` no personal data is stored: the
+    sender/recipient objects are removed, and only the SHA-256 of text that
+    cannot be parsed is kept. Other columns of ``pages`` (e.g. a page number)
+    are kept.
     """
     el = _elements(pages, body_col).withColumn("reason", _reason())
     extra = [c for c in pages.columns if c != body_col]
+    text = F.when(F.col("reason") == "not_json", F.col(body_col)).otherwise(F.col("_txt"))
+    if secret is not None:
+        text = F.when(
+            F.col("reason").isin("not_json", "not_an_object"),
+            F.concat(F.lit("sha256:"), F.sha2(text, 256)),
+        ).otherwise(F.to_json(F.col("_tx").dropFields("sender", "recipient")))
     return el.filter(F.col("reason").isNotNull()).select(
         *extra,
         F.col("_tx.id").alias("transaction_id"),
         F.col("_pos").alias("position"),
         "reason",
-        F.when(F.col("reason") == "not_json", F.col(body_col))
-        .otherwise(F.to_json(F.col("_tx")))
-        .alias("raw_text"),
+        text.alias("raw_text"),
     )

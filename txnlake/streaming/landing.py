@@ -70,7 +70,7 @@ def process_batch(
         ingested_at = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
         landed = lifecycle.land(rows, ingested_at, batch_id)
         ingest_bronze(landed, paths)
-        rejected = pages.quarantine_pages(batch, "body").withColumn("_batch_id", F.lit(batch_id))
+        rejected = pages.quarantine_pages(batch, "body", secret).withColumn("_batch_id", F.lit(batch_id))
         sinks.overwrite_partitions(rejected, paths.quarantine, "_batch_id")
         # distinct event days of the batch: a handful of values, one per day
         days = rows.select(F.to_date("initiated_at").alias(EVENT_DATE)).distinct()
