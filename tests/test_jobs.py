@@ -87,11 +87,14 @@ def test_daily_entry_points(spark):
     paths = LakePaths(tempfile.mkdtemp(prefix="lake-"))
     rows = catalog.bronze(spark, SF)
     landed = jobs.ingest_daily(spark, paths, rows, "2024-01-16", days_back=1)
-    want = rows.filter("to_date(initiated_at) BETWEEN DATE '2024-01-15' AND DATE '2024-01-16'").count()
+    want = rows.filter(
+        "initiated_at IS NULL OR to_date(initiated_at) BETWEEN DATE '2024-01-15' AND DATE '2024-01-16'"
+    ).count()
     assert landed["rows_written"] == want
     m = jobs.normalize_daily(spark, paths, "2024-01-16", days_back=1)
     assert m["rows_written"] == jobs.read_silver(spark, paths).count()
-    assert {r._date.isoformat() for r in jobs.read_silver(spark, paths).select("_date").distinct().collect()} == {"2024-01-15"}
+    days = {str(r._date) for r in jobs.read_silver(spark, paths).select("_date").distinct().collect()}
+    assert days == {"2024-01-15", "None"}  # rows without a time are kept
     assert jobs.aggregate_daily(spark, paths, "2024-01-16")["daily_summary_rows"] > 0
     assert jobs.detect_daily(spark, paths, "2024-01-16", velocity_threshold=2)["flags"] >= 0
 
@@ -117,3 +120,55 @@ def test_stream_late_redelivery_corrects_old_days(spark):
     assert set(after) == set(before)  # no new rows, only corrections
     assert changed == late_ids
     assert all(after[k] == before[k] + 5 for k in changed)
+
+
+def _delivery(spark, rows, batch):
+    """Bronze rows (id, amount, time) on top of one row of the fixture."""
+    base = catalog.bronze(spark, SF).limit(1)
+    new = spark.createDataFrame(rows, "id string, paid double, at string").coalesce(1)
+    return base.crossJoin(new).withColumns({
+        "transaction_id": F.col("id"), "amount": F.col("paid"),
+        "initiated_at": F.col("at").cast("timestamp_ntz"), "_batch_id": F.lit(batch),
+        "_ingested_at": F.lit(f"2024-01-2{batch} 00:00:00").cast("timestamp_ntz"),
+    }).select(base.columns)
+
+
+def test_corrections_leave_no_old_rows(spark):
+    paths = LakePaths(tempfile.mkdtemp(prefix="lake-"))
+    first = _delivery(spark, [("A", 100.0, "2024-01-15 10:00:00"), ("B", 10.0, None),
+                              ("C", 30.0, "2024-01-14 10:00:00")], "1")
+    for _ in range(2):  # landing a batch again adds nothing
+        jobs.ingest_bronze(first, paths)
+    assert jobs.read_bronze(spark, paths).count() == 3
+    jobs.normalize_job(spark, paths, "2024-01-15", "2024-01-16")
+    jobs.normalize_job(spark, paths, "2024-01-14", "2024-01-15")
+    jobs.ingest_bronze(_delivery(spark, [("A", 200.0, "2024-01-16 09:00:00"),
+                                         ("B", 20.0, "2024-01-16 08:00:00")], "2"), paths)
+    jobs.normalize_job(spark, paths, "2024-01-16", "2024-01-17")
+    want = {("A", 200.0, "2024-01-16"), ("B", 20.0, "2024-01-16"), ("C", 30.0, "2024-01-14")}
+    read = lambda: {
+        (r.transaction_id, r.amount, str(r._date)) for r in jobs.read_silver(spark, paths).collect()
+    }
+    assert read() == want and jobs.read_silver(spark, paths).count() == 3
+    jobs.normalize_job(spark, paths, "2024-01-15", "2024-01-16")  # an old day again
+    assert read() == want and jobs.read_silver(spark, paths).count() == 3
+
+
+def test_empty_results_replace_old_ones(spark):
+    from txnlake.sources import sinks
+
+    path = tempfile.mkdtemp(prefix="sink-") + "/t"
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, None)], "x int, d string")
+    df = df.withColumn("d", F.col("d").cast("date"))
+    sinks.overwrite_partitions(df, path, "d")
+    chosen = lambda v: v in (None, "2024-01-01")
+    sinks.overwrite_partitions(df.filter("x = 1"), path, "d", replaces=chosen)
+    assert {r.x for r in spark.read.parquet(path).collect()} == {1, 2}
+    sinks.overwrite_partitions(df.filter("x > 5"), path, "d", replaces=chosen)
+    assert {r.x for r in spark.read.parquet(path).collect()} == {2}
+    bad = spark.createDataFrame([("r",)], "row string")
+    checks = path + "-checks"
+    assert sinks.store_failures(bad, checks, "c", "run-1")["rows_written"] == 1
+    assert sinks.store_failures(bad, checks, "c", "run-2")["rows_written"] == 1
+    assert sinks.store_failures(bad.filter("row = 'x'"), checks, "c", "run-1")["rows_written"] == 0
+    assert {r._run_id for r in spark.read.parquet(checks).collect()} == {"run-2"}

@@ -5,15 +5,16 @@ writes with the sinks, and returns its metrics from observations on the same
 pass. Layers live under one root folder, which on a cluster is a shared file
 system path:
 
-    <root>/bronze/raw_transactions        append-only, partitioned by _event_date
+    <root>/bronze/raw_transactions        partitioned by _event_date and batch
     <root>/silver/normalized_transactions  partitioned by _date
     <root>/gold/daily_summary              partitioned by _date
     <root>/gold/merchant_activity          partitioned by _date
     <root>/gold/fraud_flags                partitioned by _date
     <root>/quarantine/pages                rejected API elements
 
-Re-running any job for the same dates replaces exactly those date partitions,
-so jobs are idempotent and a lost run can simply be repeated.
+Re-running any job for the same dates (ingest: the same batch) replaces exactly
+those partitions, those left without rows included, so jobs are idempotent and a
+lost run can simply be repeated.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from ..operators.silver import in_date_range, in_time_range, normalize
 from ..sources import lifecycle, pages, sinks
 
 EVENT_DATE = "_event_date"
+BATCH_PART = "_batch_part"
 
 
 @dataclass(frozen=True)
@@ -69,9 +71,14 @@ def _day(d: date | datetime | str) -> str:
 
 
 def ingest_bronze(bronze_rows: DataFrame, paths: LakePaths) -> dict:
-    """Append landed rows to Bronze, partitioned by event date."""
-    out = bronze_rows.withColumn(EVENT_DATE, F.to_date("initiated_at"))
-    return sinks.append(out, paths.bronze, EVENT_DATE)
+    """Land rows in Bronze, partitioned by event date and batch: landing a batch
+    again replaces its rows of each day instead of adding them twice."""
+    out = bronze_rows.withColumns({
+        EVENT_DATE: F.to_date("initiated_at"),
+        # the prefix keeps the folder name text whatever the id looks like
+        BATCH_PART: F.concat(F.lit("b-"), F.coalesce(F.col("_batch_id").cast("string"), F.lit(""))),
+    })
+    return sinks.overwrite_partitions(out, paths.bronze, [EVENT_DATE, BATCH_PART])
 
 
 def ingest_pages(
@@ -93,6 +100,19 @@ def ingest_pages(
     return metrics
 
 
+def bronze_days(spark: SparkSession, paths: LakePaths, days: list | None) -> DataFrame:
+    """Bronze rows of the given event days (None in the list: rows without an
+    event time; no list: all). The days are a static partition filter."""
+    df = sinks.read_table(spark, paths.bronze, merge_schema=True)
+    if days is not None:
+        dated = [d for d in days if d is not None]
+        cond = F.col(EVENT_DATE).isin(*dated) if dated else F.lit(False)
+        if None in days:
+            cond = cond | F.col(EVENT_DATE).isNull()
+        df = df.filter(cond)
+    return df.drop(EVENT_DATE, BATCH_PART)
+
+
 def read_bronze(
     spark: SparkSession,
     paths: LakePaths,
@@ -105,7 +125,65 @@ def read_bronze(
         df = df.filter(F.col(EVENT_DATE) >= F.to_date(F.lit(_day(start))))
     if end is not None:
         df = df.filter(F.col(EVENT_DATE) <= F.to_date(F.lit(_day(end))))
-    return in_time_range(df, start, end).drop(EVENT_DATE)
+    return in_time_range(df, start, end).drop(EVENT_DATE, BATCH_PART)
+
+
+def affected_days(spark: SparkSession, paths: LakePaths, days: list) -> list:
+    """``days`` and every other day of Silver that holds an id which Bronze has in
+    these days, until no day is added.
+
+    A correction may move a transaction to another day (or give it its first
+    time); its old Silver day must be written again, or the id would be in two.
+    Only ids and dates are read; the days, at most the partitions of Silver, are
+    what reaches the driver."""
+    days = set(days)
+    if not sinks.exists(spark, paths.silver):
+        return list(days)
+    silver = sinks.read_table(spark, paths.silver).select("transaction_id", "_date")
+    while True:
+        ids = bronze_days(spark, paths, list(days)).select("transaction_id").distinct()
+        dated = [d for d in days if d is not None]
+        here = F.col("_date").isNull() if None in days else F.lit(False)
+        if dated:
+            here = here | F.coalesce(F.col("_date").isin(*dated), F.lit(False))
+        more = silver.filter(~here).join(ids, "transaction_id", "left_semi")
+        found = {r["_date"] for r in more.select("_date").distinct().collect()}
+        if not found:
+            return list(days)
+        days |= found
+
+
+def _range_days(spark: SparkSession, paths: LakePaths, start, end) -> list:
+    """Whole event days of Bronze or Silver in ``[start, end)``, and None."""
+    first = _day(start) if start is not None else ""
+    last = str(end).replace("T", " ") if end is not None else "~"  # a midnight bound leaves its day out
+    chosen = lambda v: v is not None and first <= v and v + " 00:00:00" < last
+    names = [
+        folder.rsplit("=", 1)[1]
+        for path, column in ((paths.bronze, EVENT_DATE), (paths.silver, "_date"))
+        for folder in sinks.partition_folders(spark, path, column, chosen)
+    ]
+    return [date.fromisoformat(n) for n in sorted(set(names))] + [None]
+
+
+def normalize_days(
+    spark: SparkSession, paths: LakePaths, days: list | None, observed: Observation | None = None
+) -> dict:
+    """Write the Silver days again that the given event days of Bronze affect
+    (no list: all)."""
+    if days is not None:
+        days = affected_days(spark, paths, days)
+    bronze = bronze_days(spark, paths, days)
+    if observed is not None:
+        bronze = bronze.observe(observed, F.count(F.lit(1)).alias("rows_read"))
+    names = None if days is None else {None if d is None else str(d) for d in days}
+    return sinks.overwrite_partitions(
+        normalize(bronze),
+        paths.silver,
+        "_date",
+        metrics={"quality_failures": F.count_if(F.col("_quality_flag") == "FAIL")},
+        replaces=lambda v: names is None or v in names,
+    )
 
 
 def normalize_job(
@@ -114,19 +192,19 @@ def normalize_job(
     start: datetime | str | None = None,
     end: datetime | str | None = None,
 ) -> dict:
-    """Bronze range -> Silver date partitions; metrics from one pass."""
+    """Bronze range -> Silver date partitions; metrics from one pass.
+
+    Whole days are written: those of the range, the rows without a time, and the
+    days from which a correction takes a transaction away."""
     read_obs = Observation("bronze_read")
-    bronze = read_bronze(spark, paths, start, end).observe(
-        read_obs, F.count(F.lit(1)).alias("rows_read")
-    )
-    silver = normalize(bronze)
-    m = sinks.overwrite_partitions(
-        silver,
-        paths.silver,
-        "_date",
-        metrics={"quality_failures": F.count_if(F.col("_quality_flag") == "FAIL")},
-    )
-    rows_read = read_obs.get["rows_read"]
+    days = None if start is None and end is None else _range_days(spark, paths, start, end)
+    m = normalize_days(spark, paths, days, read_obs)
+    try:
+        rows_read = read_obs.get["rows_read"]
+    except Exception:
+        if m["rows_written"]:
+            raise
+        rows_read = 0
     written, failures = m["rows_written"], m["quality_failures"]
     return {
         "rows_read": rows_read,
@@ -158,11 +236,14 @@ def aggregate_job(
     end = datetime.fromisoformat(_day(as_of))
     start = end - timedelta(days=days_back)
     silver = read_silver(spark, paths, start, end)
+    inside = lambda v: v is not None and _day(start) <= v <= _day(end)
     daily = sinks.overwrite_partitions(
-        gold.daily_summary(silver, rounded=rounded, updated_at=as_of), paths.gold_daily
+        gold.daily_summary(silver, rounded=rounded, updated_at=as_of), paths.gold_daily,
+        replaces=inside,
     )
     merchant = sinks.overwrite_partitions(
-        gold.merchant_activity(silver, rounded=rounded, updated_at=as_of), paths.gold_merchant
+        gold.merchant_activity(silver, rounded=rounded, updated_at=as_of), paths.gold_merchant,
+        replaces=inside,
     )
     return {
         "daily_summary_rows": daily["rows_written"],
@@ -186,7 +267,7 @@ def detect_job(
     flags = fraud.detect_all(
         silver, day, detected_at=detected_at or day, share=False, **thresholds
     ).withColumn("_date", F.to_date("initiated_at"))
-    m = sinks.overwrite_partitions(flags, paths.flags, "_date")
+    m = sinks.overwrite_partitions(flags, paths.flags, "_date", replaces=_day(day).__eq__)
     return {"flags": m["rows_written"]}
 
 
@@ -271,7 +352,7 @@ def check_job(spark: SparkSession, paths: LakePaths, run_id: str) -> dict:
     from ..functions.quality import AMOUNT_BUCKETS, QUALITY_FLAGS, TRANSACTION_TYPES, VALID_STATUSES
     from ..operators import checks
 
-    bronze = sinks.read_table(spark, paths.bronze, merge_schema=True).drop(EVENT_DATE)
+    bronze = sinks.read_table(spark, paths.bronze, merge_schema=True).drop(EVENT_DATE, BATCH_PART)
     silver = sinks.read_table(spark, paths.silver)
     daily = sinks.read_table(spark, paths.gold_daily)
     merchant = sinks.read_table(spark, paths.gold_merchant)
@@ -313,14 +394,15 @@ def ingest_daily(
     as_of: date | datetime | str,
     days_back: int = 1,
 ) -> dict:
-    """Land the rows whose event day is in ``[as_of - days_back, as_of]``.
+    """Land the rows whose event day is in ``[as_of - days_back, as_of]``, and
+    those without an event time, which the quality rules mark later.
 
     Both ends are inclusive, like the source system's daily fetch.
     """
     end = F.to_date(F.lit(_day(as_of)))
     start = F.date_sub(end, days_back)
     day = F.to_date("initiated_at")
-    return ingest_bronze(rows.filter((day >= start) & (day <= end)), paths)
+    return ingest_bronze(rows.filter(day.isNull() | ((day >= start) & (day <= end))), paths)
 
 
 def normalize_daily(

@@ -9,9 +9,10 @@ re-run of the same days is idempotent). Write metrics come from an
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,6 +33,62 @@ def _partitions(partition_by: str | Sequence[str] | None) -> list[str]:
     return [partition_by] if isinstance(partition_by, str) else list(partition_by)
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _partition_files(
+    spark: SparkSession, path: str, column: str, chosen: Callable[[str | None], bool]
+) -> dict[str, frozenset[str]]:
+    """File names by partition folder, of the first partition column's values
+    (text, None for NULL) that ``chosen`` takes. A table not written yet: none."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return {}
+    out = {}
+    for entry in fs.listStatus(root):
+        name = entry.getPath().getName()
+        if not entry.isDirectory() or not name.startswith(column + "="):
+            continue
+        value = unquote(name.split("=", 1)[1])
+        if chosen(None if value == NULL_PARTITION else value):
+            found, names = fs.listFiles(entry.getPath(), True), set()
+            while found.hasNext():
+                names.add(found.next().getPath().getName())
+            out[entry.getPath().toString()] = frozenset(names)
+    return out
+
+
+def _drop_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for folder in folders:
+        p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(conf).delete(p, True)
+
+
+def partition_folders(
+    spark: SparkSession, path: str, column: str, chosen: Callable[[str | None], bool]
+) -> list[str]:
+    """Folders of the partitions whose value ``chosen`` takes."""
+    return sorted(_partition_files(spark, path, column, chosen))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything was written at ``path``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(root)
+
+
+def drop_partitions(
+    spark: SparkSession, path: str, column: str, chosen: Callable[[str | None], bool]
+) -> list[str]:
+    """Delete the partitions whose value ``chosen`` takes; their folders."""
+    gone = partition_folders(spark, path, column, chosen)
+    _drop_folders(spark, gone)
+    return gone
+
+
 def append(
     df: DataFrame,
     path: str,
@@ -57,12 +114,18 @@ def overwrite_partitions(
     partition_by: str | Sequence[str] = "_date",
     fmt: str = "parquet",
     metrics: dict | None = None,
+    replaces: Callable[[str | None], bool] | None = None,
 ) -> dict:
     """Replace only the partitions present in ``df`` (dynamic overwrite).
 
     ``metrics`` maps names to extra aggregate Columns observed on the same pass.
+    ``replaces`` tells which values of the first partition column (text, None for
+    NULL) the frame stands for: those that got no rows are deleted after the
+    write, so nothing of an earlier run is left in them.
     """
     metrics = metrics or {}
+    spark, first = df.sparkSession, _partitions(partition_by)[0]
+    before = _partition_files(spark, path, first, replaces) if replaces else {}
     obs = Observation("overwrite")
     observed = df.observe(
         obs,
@@ -81,13 +144,19 @@ def overwrite_partitions(
         .partitionBy(*parts)
         .save(path)
     )
+    if before:
+        now = _partition_files(spark, path, first, replaces)
+        _drop_folders(spark, [f for f, names in before.items() if now.get(f) == names])
     return _metrics(obs, ["rows_written", *metrics], df)
 
 
 def store_failures(violations: DataFrame, path: str, check: str, run_id: str) -> dict:
     """Keep the rows of a failed check (one folder per check and run)."""
     tagged = violations.withColumns({"_check": F.lit(check), "_run_id": F.lit(run_id)})
-    return overwrite_partitions(tagged, path, ["_check", "_run_id"])
+    out = overwrite_partitions(tagged, path, ["_check", "_run_id"])
+    if not out["rows_written"]:  # the check passes now
+        drop_partitions(violations.sparkSession, f"{path}/_check={check}", "_run_id", run_id.__eq__)
+    return out
 
 
 def read_table(spark, path: str, merge_schema: bool = False, fmt: str = "parquet") -> DataFrame:

@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.silver import normalize
-from ..plans.jobs import EVENT_DATE, LakePaths, ingest_bronze
+from ..plans.jobs import EVENT_DATE, LakePaths, ingest_bronze, normalize_days
 from ..sources import lifecycle, pages, sinks
 
 
@@ -39,21 +38,14 @@ def page_stream(spark: SparkSession, source_dir: str, max_files: int | None = No
 
 
 def renormalize_dates(spark: SparkSession, paths: LakePaths, dates: list) -> dict:
-    """Rebuild the Silver partitions for the given event dates.
+    """Rebuild the Silver partitions that the given event dates affect.
 
     ``dates`` is a list of ``datetime.date`` (``None`` for rows without an
-    event time). The list is bounded by the calendar days a batch spans, and
-    as literal values it becomes a static partition filter, so only those day
-    folders of Bronze are read (a join with a frame of dates would not be
-    pruned: dynamic pruning needs a selective filter on the other side).
+    event time). As literal values they are a static partition filter, so only
+    those day folders of Bronze are read (a join with a frame of dates would not
+    be pruned: dynamic pruning needs a selective filter on the other side).
     """
-    days = [d for d in dates if d is not None]
-    cond = F.col(EVENT_DATE).isin(*days) if days else F.lit(False)
-    if any(d is None for d in dates):
-        cond = cond | F.col(EVENT_DATE).isNull()
-    bronze = sinks.read_table(spark, paths.bronze, merge_schema=True)
-    affected = bronze.filter(cond).drop(EVENT_DATE)
-    return sinks.overwrite_partitions(normalize(affected), paths.silver, "_date")
+    return normalize_days(spark, paths, dates)
 
 
 def process_batch(
