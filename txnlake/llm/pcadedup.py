@@ -190,8 +190,8 @@ def near_duplicates(table: DataFrame, threshold: float = 0.95, tile: int = TILE)
         x = unit_rows(np.stack([np.frombuffer(b) for b in vectors])) @ axes[:, :lead]
         return pd.Series(list(x), dtype=object)
 
-    # cells: quantiles of the first axis, then of the second within each; about
-    # `tile` vectors a cell, and cells above that are cut into several tiles
+    # cells: quantiles of the first axis crossed with quantiles of the second, both
+    # over all vectors; cells above `tile` vectors are cut into several tiles
     placed = classes.withColumn("x", leading("vector"))
     n = classes.count()
     side = max(1, int(np.sqrt(n / tile)))
