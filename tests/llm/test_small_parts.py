@@ -139,6 +139,32 @@ def test_main_text():
     assert html_text.main_text("<div><p>a b</p><p>c</div><footer>f") == "a b\nc"
 
 
+def passage(start, stop):
+    lines = [f"Words of the body that go on for some length, one after the other, part {i}."
+             for i in range(start, stop)]
+    return "".join(f"<p>{x}</p>" for x in lines), "\n".join(lines)
+
+
+@pytest.mark.parametrize("page, whole", [
+    ("<div class=content>{body}</div>{card}", False),
+    ("<div>{body}</div>{card}", False),
+    ("{card}<div>{body}</div>", False),
+    ("{body}{card}", False),
+    ("<div><div>{body}</div><div>{card}</div></div>", False),
+    ("<article>{body}</article><article>{rest}</article>", True),
+    ("<article>{body}</article>{rest}", True),
+    ("<div><div>{body}</div><div>{rest}</div></div>", True),
+    ("{links}<article>{body}</article>", False),
+])
+def test_content_region_goes_by_text(page, whole):
+    (body, expected), (rest, more) = passage(0, 6), passage(6, 10)
+    card = f"<article><h3>Card</h3>{passage(10, 11)[0]}</article>"
+    links = "<div>" + "".join(f"<p><a href=/{i}>Link {i}</a></p>" for i in range(60)) + "</div>"
+    html = page.format(body=body, rest=rest, card=card, links=links)
+    got = html_text.main_text(f"<html><body><nav>Menu</nav>{html}</body></html>")
+    assert got == (f"{expected}\n{more}" if whole else expected)
+
+
 def test_warc_parser_goes_by_length():
     import io
 

@@ -5,9 +5,12 @@ element) that carry their text, their number of tags, the content container
 they stand in and whether a menu, header, footer, sidebar, notice, advert,
 form or reader comment encloses them. The text-to-tag ratio of the lines is
 smoothed with a Gaussian, lines above the page's threshold form the content
-cluster, and the container that holds most of the cluster's text is the
-content region: all its lines that no boilerplate element encloses are kept,
-short ones too.
+cluster, and the containers that hold most of the cluster's dense text are the
+content region: all their lines that no boilerplate element encloses are kept,
+short ones too. Tags and class names decide only among containers that hold
+most of it: articles, then named containers, with their siblings that carry
+content; without any, the smallest container that holds nearly all, without
+article cards that hold little.
 
 Edge cases: a null or empty page has an empty text; unclosed and misnested tags
 are closed by the parser's rules below; repeated rows are extracted each; an
@@ -119,7 +122,9 @@ class LineEvents(HTMLParser):
         if tag in CONTAINERS:
             article = article or tag in ("article", "main")
             kind = 0
-            if tag in ("article", "main") or role in ("main", "article"):
+            if tag == "main" or role == "main":
+                kind = 3
+            elif tag == "article" or role == "article":
                 kind = 2
             elif named and CONTENT_HINT.search(named):
                 kind = 1
@@ -183,6 +188,82 @@ def smoothed(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
+def clusters(ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lines of the content cluster, and its dense lines: where a few lines are
+    far above the others, the first threshold refuses none, the second does."""
+    level = smoothed(ratios)
+    mean, std = level.mean(), level.std()
+    low = min(mean - std, mean / 2)
+    return level >= low, level >= max(low, min(mean, std) - 1e-9 * mean)
+
+
+def below(parents: list[int], held: list[int], weights: np.ndarray) -> np.ndarray:
+    """Sum of the weights of the lines below each container."""
+    mass = np.zeros(len(parents))
+    for container, weight in zip(held, weights):
+        while weight and container >= 0:
+            mass[container] += weight
+            container = parents[container]
+    return mass
+
+
+def outermost(parents: list[int], chosen: list[bool]) -> list[int]:
+    under = [False] * len(parents)  # parents come before their children
+    for c, parent in enumerate(parents):
+        under[c] = parent >= 0 and (under[parent] or chosen[parent])
+    return [c for c, x in enumerate(chosen) if x and not under[c]]
+
+
+def content_region(parents, kinds, held, sizes, content, dense) -> list[bool]:
+    """Which containers lie in the content region, by the lines' text, the
+    cluster's and its dense text."""
+    mass, dense_mass = below(parents, held, sizes * content), below(parents, held, sizes * dense)
+    text = below(parents, held, sizes)
+    total = dense_mass[0]
+    region, cards = [], set()
+    for least in (2, 1):
+        tops = outermost(parents, [k >= least and m > 0 for k, m in zip(kinds, text)])
+        if sum(dense_mass[tops]) > total / 2:
+            best = max(tops, key=lambda c: (dense_mass[c], -c))
+            above, much = parents[best], dense_mass[best] / 2
+            if above >= 0 and sum(sizes[dense & (np.array(held) == above)]) >= much:
+                region = [above]  # as much text stands beside it
+            else:
+                # its like beside it, and what holds nearly as much anywhere
+                region = [best] + [
+                    c for c in range(1, len(parents))
+                    if (c in tops or parents[c] == above) and (
+                        dense_mass[c] >= much
+                        or (parents[c] == above and kinds[c] == kinds[best] and text[c] > 0)
+                    )
+                ]
+            break
+    else:
+        tops = outermost(parents, [k >= 2 and m > 0 for k, m in zip(kinds, text)])
+        if sum(dense_mass[tops]) < total / 3:
+            cards = {c for c in tops if kinds[c] == 2}
+            for c in cards:
+                lost = mass[c]
+                while c >= 0:
+                    mass[c] -= lost
+                    c = parents[c]
+        # descend while one child holds nearly all of the content
+        at = 0
+        while True:
+            child = max(
+                (c for c, parent in enumerate(parents) if parent == at and c not in cards),
+                key=lambda c: mass[c], default=None,
+            )
+            if child is None or mass[child] < 0.9 * mass[at]:
+                break
+            at = child
+        region = [at]
+    inside = [False] * len(parents)
+    for c, parent in enumerate(parents):
+        inside[c] = c not in cards and (c in region or (parent >= 0 and inside[parent]))
+    return inside
+
+
 def main_text(html: str | None) -> str:
     """The content region's lines, joined by one line feed."""
     if not html:
@@ -198,40 +279,13 @@ def main_text(html: str | None) -> str:
     ]
     if not kept:
         return ""
-    ratios = np.array([len(text) / tags for _, text, tags in kept])
-    level = smoothed(ratios)
-    content = level >= level.mean() - level.std()
-    # text of the content cluster below each container
-    mass = np.zeros(len(events.containers))
-    for (container, text, _), chosen in zip(kept, content):
-        if chosen:
-            while container >= 0:
-                mass[container] += len(text)
-                container = events.containers[container][0]
-    region = 0
-    marked = [c for c, (_, kind) in enumerate(events.containers) if kind and mass[c] > 0]
-    if marked:
-        # a marked container, the better kind first, then the one with most content
-        region = max(marked, key=lambda c: (events.containers[c][1], mass[c], -c))
-    else:
-        # descend while one child holds nearly all of the content
-        while True:
-            child = max(
-                (c for c, (parent, _) in enumerate(events.containers) if parent == region and c),
-                key=lambda c: mass[c], default=None,
-            )
-            if child is None or mass[child] < 0.9 * mass[region]:
-                break
-            region = child
-
-    def inside(container: int) -> bool:
-        while container >= 0:
-            if container == region:
-                return True
-            container = events.containers[container][0]
-        return False
-
-    return "\n".join(text for container, text, _ in kept if inside(container))
+    parents = [parent for parent, _ in events.containers]
+    kinds = [kind for _, kind in events.containers]
+    held = [container for container, _, _ in kept]
+    sizes = np.array([len(text) for _, text, _ in kept], dtype=float)
+    content, dense = clusters(np.array([len(text) / tags for _, text, tags in kept]))
+    inside = content_region(parents, kinds, held, sizes, content, dense)
+    return "\n".join(text for container, text, _ in kept if inside[container])
 
 
 def main_text_column(html: Column) -> Column:
