@@ -165,6 +165,25 @@ def test_content_region_goes_by_text(page, whole):
     assert got == (f"{expected}\n{more}" if whole else expected)
 
 
+@pytest.mark.parametrize("page", [
+    "<div id=wrapper class='has-sidebar'><article>{body}</article>{side}{comments}</div>",
+    "<div class='page with-menu'><div class=menu>Home</div><div>{body}</div>{comments}</div>",
+    "<div class='layout sidebar-right'><main>{body}</main></div>",
+    "<form><div>{body}</div><input name=a><button>Go</button></form>",
+    "<div class='page with-comments'><article>{body}</article>{comments}</div>",
+    # names that do count
+    "<article>{body}</article><div class=comments>{long}</div>",
+    "<div>{body}</div><div class=comments><article>{long}</article></div>",
+    "<div>{body}</div><div class=sidebar>{long}</div>",
+    "<article>{body}</article><form class=newsletter>{side}</form>",
+])
+def test_names_and_forms_around_the_content_do_not_count(page):
+    body, expected = passage(0, 6)
+    html = page.format(body=body, long=passage(6, 13)[0], side="<div class=sidebar>Side</div>",
+                       comments=f"<section id=comments>{passage(13, 15)[0]}</section>")
+    assert html_text.main_text(f"<html><body><nav>Menu</nav>{html}</body></html>") == expected
+
+
 def test_warc_parser_goes_by_length():
     import io
 

@@ -3,7 +3,8 @@
 The standard library's parser streams events; they become lines (one per block
 element) that carry their text, their number of tags, the content container
 they stand in and whether a menu, header, footer, sidebar, notice, advert,
-form or reader comment encloses them. The text-to-tag ratio of the lines is
+form or reader comment encloses them. A form or a name of that kind does not
+count on an element around the article or most of the page's dense text. The text-to-tag ratio of the lines is
 smoothed with a Gaussian, lines above the page's threshold form the content
 cluster, and the containers that hold most of the cluster's dense text are the
 content region: all their lines that no boilerplate element encloses are kept,
@@ -45,11 +46,15 @@ BLOCKS = frozenset(
     "main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br".split()
 )
 BOILERPLATE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|cookies?|consent|"
+    r"(?:^|[\s_-])(ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|cookies?|consent|"
     r"disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|"
     r"pagination|pager|popup|promo|promoted|related|replies|reply|share|sharing|sidebar|social|"
     r"sponsor|sponsored|subscribe|toolbar|widget)(?=$|[\s_-])"
 )
+# Names that wrappers of a whole page carry too (has-sidebar, with-menu).
+LAYOUT_NAME = frozenset(
+    "footer header masthead menu nav navbar navigation sidebar toolbar".split()
+)
 BOILERPLATE_ROLE = frozenset(
     "banner complementary contentinfo navigation search form alert alertdialog dialog menu "
     "menubar toolbar".split()
@@ -58,19 +63,20 @@ CONTENT_HINT = re.compile(r"(?:^|[\s_-])(?:article|articlebody|content|entry|mai
 
 
 class Line:
-    __slots__ = ("text", "tags", "container", "boiler")
+    __slots__ = ("text", "tags", "container", "boiler", "mark")
 
-    def __init__(self, container: int, boiler: bool):
-        self.text, self.tags, self.container, self.boiler = [], 1, container, boiler
+    def __init__(self, container: int, boiler: bool, mark: int):
+        self.text, self.tags = [], 1
+        self.container, self.boiler, self.mark = container, boiler, mark
 
 
 class Open:
     """An open element and what holds inside it."""
 
-    __slots__ = ("tag", "container", "boiler", "skipped", "in_p", "in_article")
+    __slots__ = ("tag", "container", "boiler", "mark", "skipped", "in_p", "in_article")
 
-    def __init__(self, tag, container, boiler, skipped, in_p, in_article):
-        self.tag, self.container, self.boiler = tag, container, boiler
+    def __init__(self, tag, container, boiler, mark, skipped, in_p, in_article):
+        self.tag, self.container, self.boiler, self.mark = tag, container, boiler, mark
         self.skipped, self.in_p, self.in_article = skipped, in_p, in_article
 
 
@@ -79,10 +85,14 @@ class LineEvents(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.line = Line(0, False)
+        self.line = Line(0, False, -1)
         self.lines = [self.line]
-        self.containers: list[tuple[int, int]] = [(-1, 0)]  # parent, rank of its kind
-        self.open = [Open("", 0, False, False, False, False)]
+        # parent, rank of its kind, mark around it, whether its name is boilerplate
+        self.containers: list[tuple[int, int, int, bool]] = [(-1, 0, -1, False)]
+        # elements that a name or form makes boilerplate unless they hold the
+        # content: mark around it, whether its name is that of a page's layout
+        self.marks: list[tuple[int, bool]] = []
+        self.open = [Open("", 0, False, -1, False, False, False)]
 
     def updatepos(self, i, j):  # line numbers are not needed
         return j
@@ -103,6 +113,7 @@ class LineEvents(HTMLParser):
     def _push(self, tag, attrs):
         above = self.open[-1]
         container, boiler, article = above.container, above.boiler, above.in_article
+        mark = above.mark
         named = role = ""
         for k, v in attrs:
             if k in ("class", "id"):
@@ -113,12 +124,16 @@ class LineEvents(HTMLParser):
                 boiler = True
         if not boiler:
             boiler = (
-                tag in BOILERPLATE
+                (tag in BOILERPLATE and tag != "form")
                 or (tag == "header" and not article)
-                or role in BOILERPLATE_ROLE
-                or (named != "" and tag not in ("body", "html", "header")
-                    and BOILERPLATE_NAME.search(named) is not None)
+                or (role in BOILERPLATE_ROLE and role != "form")
             )
+        found = () if named == "" or tag in ("body", "html", "header") else [
+            x.group(1) for x in BOILERPLATE_NAME.finditer(named)
+        ]
+        if not boiler and (found or tag == "form" or role == "form"):
+            self.marks.append((mark, LAYOUT_NAME.issuperset(found)))
+            mark = len(self.marks) - 1
         if tag in CONTAINERS:
             article = article or tag in ("article", "main")
             kind = 0
@@ -128,13 +143,13 @@ class LineEvents(HTMLParser):
                 kind = 2
             elif named and CONTENT_HINT.search(named):
                 kind = 1
-            self.containers.append((container, kind))
+            self.containers.append((container, kind, above.mark, bool(found)))
             container = len(self.containers) - 1
             in_p = False  # a paragraph does not reach into a container
         else:
             in_p = above.in_p or tag == "p"
         skipped = above.skipped or tag in SKIPPED
-        self.open.append(Open(tag, container, boiler, skipped, in_p, article))
+        self.open.append(Open(tag, container, boiler, mark, skipped, in_p, article))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -162,10 +177,10 @@ class LineEvents(HTMLParser):
     def _new_line(self):
         top, line = self.open[-1], self.line
         if line.text:
-            self.line = line = Line(top.container, top.boiler)
+            self.line = line = Line(top.container, top.boiler, top.mark)
             self.lines.append(line)
         else:
-            line.container, line.boiler = top.container, top.boiler
+            line.container, line.boiler, line.mark = top.container, top.boiler, top.mark
 
     def handle_data(self, data):
         top = self.open[-1]
@@ -175,7 +190,8 @@ class LineEvents(HTMLParser):
             if self.line.text:
                 self.line.text.append(data)
             return
-        if self.line.container != top.container or self.line.boiler != top.boiler:
+        line = self.line
+        if line.container != top.container or line.boiler != top.boiler or line.mark != top.mark:
             self._new_line()
         self.line.text.append(data)
 
@@ -264,6 +280,59 @@ def content_region(parents, kinds, held, sizes, content, dense) -> list[bool]:
     return inside
 
 
+def marks_that_hold(events: LineEvents, lines) -> list[bool]:
+    """For each mark whether the text below it is boilerplate. A mark does not
+    count if its element holds main or the largest article (unless more text, or
+    half as much for names such as comments, stands outside all marks), nor if a
+    form or a layout's name holds most of the cluster's dense text."""
+    around = [above for above, _ in events.marks]
+    under = [x[3] for x in lines]
+    sizes = np.array([len(x[1]) for x in lines], dtype=float)
+    sizes *= clusters(np.array([len(x[1]) / x[2] for x in lines]))[1]
+    own = below(around, under, sizes)
+    total = sizes.sum()
+    counts = [True] * len(around)
+
+    def release(mark: int) -> None:
+        while mark >= 0:
+            counts[mark] = False
+            mark = around[mark]
+
+    def covered() -> list[bool]:
+        found = []  # marks come before those inside them
+        for above, x in zip(around, counts):
+            found.append(x or (above >= 0 and found[above]))
+        return found
+
+    def free() -> float:
+        """Dense text that no mark makes boilerplate."""
+        found = covered()
+        return sum(w for w, m in zip(sizes, under) if m < 0 or not found[m])
+
+    mass = below([x[0] for x in events.containers], [x[0] for x in lines], sizes)
+    best = None
+    for c, (_, kind, mark, named) in enumerate(events.containers):
+        if kind == 3 and not named:
+            release(mark)
+        elif kind == 2 and not named and mass[c] and (best is None or mass[c] > mass[best]):
+            best = c
+    if best is not None:
+        at, layouts = events.containers[best][2], []
+        while at >= 0:
+            layouts.append(events.marks[at][1])
+            at = around[at]
+        if mass[best] >= (1 if all(layouts) else 2) * free():
+            release(events.containers[best][2])
+    for m, (_, layout) in enumerate(events.marks):
+        if layout and counts[m] and own[m] > total / 2 and own[m] > 2 * free():
+            counts[m] = False
+    if not free():  # nothing is left: the name is that of the whole
+        for m in range(len(around)):
+            if own[m] > total / 2:
+                counts[m] = False
+    return covered()
+
+
 def main_text(html: str | None) -> str:
     """The content region's lines, joined by one line feed."""
     if not html:
@@ -273,19 +342,22 @@ def main_text(html: str | None) -> str:
     events.close()
     texts = [" ".join("".join(x.text).split()) for x in events.lines]
     kept = [
-        (x.container, text, x.tags)
+        (x.container, text, x.tags, x.mark)
         for x, text in zip(events.lines, texts)
         if text and not x.boiler
     ]
+    if any(mark >= 0 for _, _, _, mark in kept):
+        marked = marks_that_hold(events, kept)
+        kept = [x for x in kept if x[3] < 0 or not marked[x[3]]]
     if not kept:
         return ""
-    parents = [parent for parent, _ in events.containers]
-    kinds = [kind for _, kind in events.containers]
-    held = [container for container, _, _ in kept]
-    sizes = np.array([len(text) for _, text, _ in kept], dtype=float)
-    content, dense = clusters(np.array([len(text) / tags for _, text, tags in kept]))
+    parents = [x[0] for x in events.containers]
+    kinds = [x[1] for x in events.containers]
+    held = [x[0] for x in kept]
+    sizes = np.array([len(x[1]) for x in kept], dtype=float)
+    content, dense = clusters(np.array([len(x[1]) / x[2] for x in kept]))
     inside = content_region(parents, kinds, held, sizes, content, dense)
-    return "\n".join(text for container, text, _ in kept if inside[container])
+    return "\n".join(x[1] for x in kept if inside[x[0]])
 
 
 def main_text_column(html: Column) -> Column:
