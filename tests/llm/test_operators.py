@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from txnlake.llm import (
-    bpe, fuzzyhash, gbdt, graph, hmm, html_text, mixing, ngramjoin, pcadedup, queries, toxicity,
+    bpe, common, fuzzyhash, gbdt, graph, hmm, html_text, mixing, ngramjoin, pcadedup, queries, toxicity,
     warc,
 )
 
@@ -252,6 +252,21 @@ def test_classifiers_and_pages(docs, none, spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_labelled_sample_is_bounded_by_rows(spark):
+    rows = [(i, f"text {i}") for i in range(20, 60)] + [(25, "again")] * 300 + [(26, None)] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, i % 2) for i in range(60)] + [(25, 0), (None, 1)], "doc_id long, quality int"
+    )
+    present = [i for i in range(20, 60) if zlib.crc32(str(i).encode()) % 5]
+    text = {i: "again" if i == 25 else f"text {i}" for i in present}
+    for limit in (10, 1000):  # ids that docs does not hold take no place
+        got = common.labelled_sample(docs, labels, "quality", limit).collect()
+        assert len(got) == min(limit, len(present)) == len({r.id_ for r in got})
+        assert all((r.text, r.y) == (text[r.id_], r.id_ % 2) for r in got)
+    assert 25 in text and 26 in text
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     folder = str(tmp_path)
     docs.write.parquet(folder + "/documents.parquet")

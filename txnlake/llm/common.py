@@ -39,20 +39,27 @@ def fold(doc_id: Column) -> Column:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, limit: int
 ) -> DataFrame:
-    """(text, y) of at most ``limit`` labelled training documents.
+    """(id_, text, y) of at most ``limit`` labelled training documents.
 
-    Labels are taken only from ids whose fold is not 0. The bounded sample is
-    the ``limit`` ids with the smallest hash, so it is the same in every run;
-    null ids, null labels are left out, repeated ids count once (largest
-    label). Only the bounded id list is broadcast.
+    Labels are taken only from ids whose fold is not 0 and that ``docs`` holds.
+    The bounded sample is the ``limit`` such ids with the smallest hash, so it is
+    the same in every run; null ids, null labels are left out, repeated ids count
+    once, in the labels (largest label) and in the documents (smallest text).
+    Only the bounded id list is broadcast.
     """
+    texts = docs.select(F.col("doc_id").alias("id_"), F.col("text"))
     ids = (
         labels.select(F.col("doc_id").alias("id_"), F.col(label).cast("int").alias("y"))
         .filter(F.col("id_").isNotNull() & F.col("y").isNotNull() & (fold(F.col("id_")) != 0))
         .groupBy("id_")
         .agg(F.max("y").alias("y"))
+        .join(texts.select("id_").distinct(), "id_", "left_semi")
         .orderBy(F.xxhash64("id_"), "id_")
         .limit(limit)
     )
-    texts = docs.select(F.col("doc_id").alias("id_"), F.col("text"))
-    return texts.join(F.broadcast(ids), "id_").select("id_", "text", "y")
+    return (
+        texts.join(F.broadcast(ids), "id_")
+        .groupBy("id_", "y")
+        .agg(F.min("text").alias("text"))
+        .select("id_", "text", "y")
+    )
