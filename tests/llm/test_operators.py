@@ -283,3 +283,78 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert Counter(r.decoded_sha256 for r in got) == expected
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, folder).columns == docs.columns
+
+
+def python_mixture(rows):
+    """Copies of each (doc_id, text, source), weights 5, 2, 1 by source."""
+    digest = lambda x: int(hashlib.md5(x.encode()).hexdigest()[:8], 16)
+    size = lambda r: len(r[1].encode().split())
+    sources = sorted({r[2] for r in rows})
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sources)}
+    held = {s: sum(size(r) for r in rows if r[2] == s) for s in sources}
+    left, weights, level = 1.5 * sum(held.values()), sum(weight.values()), None
+    for s in sorted(sources, key=lambda s: (held[s] / weight[s], s)):
+        if left / weights * weight[s] < 2 * held[s]:
+            level = left / weights
+            break
+        left, weights = left - 2 * held[s], weights - weight[s]
+    out = []
+    for s in sources:
+        most = 2.0 * held[s]
+        rate = (most if level is None else min(level * weight[s], most)) / held[s]
+        start, order = digest("mix#" + s) / 2**32, lambda r: (
+            size(r), digest(f"mix|{r[0]}") % 256, digest(f"mix|{r[0]}"), r[0])
+        for k, r in enumerate(sorted((r for r in rows if r[2] == s), key=order), 1):
+            out += [r] * int(np.floor(start + rate * k) - np.floor(start + rate * (k - 1.0)))
+    return out
+
+
+def test_pipeline_against_plain_loops(spark, tmp_path):
+    rnd = np.random.default_rng(5)
+    word = lambda: "".join(rnd.choice(list("aeioulnrst"), rnd.integers(2, 8)))
+    rows, labels = [], []
+    for i in range(300):
+        words = [word() for _ in range(50)]
+        if i % 4 == 0:  # toxic
+            for at in rnd.integers(0, 50, 5):
+                words[at] = str(rnd.choice(["blockhead", "nitwits", "dimwitted"]))
+        if i % 4 == 1:  # poor
+            words = [str(rnd.choice(["$$$", "!!!", "A1", "#"])) + str(k) for k in range(50)]
+        text = " ".join(words)
+        if i % 4 == 3 and i % 3 == 0:  # a near copy of the clean text before
+            text = rows[-1][1] + " more"
+        rows.append((i, text, f"s{i % 5 % 3}"))
+        labels.append((i, int(i % 4 != 1), int(i % 4 == 0)))
+    folder = str(tmp_path)
+    spark.createDataFrame(
+        [(i, t, "en", s, len(t), "x") for i, t, s in rows], DOC
+    ).write.parquet(folder + "/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        folder + "/labels.parquet")
+    table = spark.read.parquet(folder + "/documents.parquet")
+    marks = spark.read.parquet(folder + "/labels.parquet")
+
+    model = toxicity.fit(table, marks)
+    mild = [r for r in rows if toxicity.score_texts(model, [r[1]])[0] < queries.TOXIC_CUT]
+    trees = gbdt.fit(table.filter(F.col("doc_id").isin([r[0] for r in mild])), marks)
+    good = [r for r in mild if trees.probability(
+        np.array([gbdt.statistics(r[1])], dtype=float))[0] >= queries.QUALITY_CUT]
+    sets, label = [], list(range(len(good)))
+    for _, text, _ in good:
+        w = text.lower().split()
+        sets.append({tuple(w[p : p + 5]) for p in range(len(w) - 4)})
+    for p, a in enumerate(sets):
+        for q, b in enumerate(sets[:p]):
+            if 100 * len(a & b) >= 80 * len(a | b) and label[p] != label[q]:
+                old, new = max(label[p], label[q]), min(label[p], label[q])
+                label = [new if x == old else x for x in label]
+    single = [r for p, r in enumerate(good) if label[p] == p]  # ids ascend
+    # every stage has rows to refuse and to keep
+    assert len(rows) > len(mild) > len(good) > len(single) > 50
+    tok, expected = bpe.tokenizer(PATH), Counter()
+    for i, text, _ in python_mixture(single):
+        ids = tok.encode(text, add_special_tokens=False).ids
+        expected[(i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                  hashlib.sha256(text.encode()).hexdigest())] += 1
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == expected
