@@ -23,11 +23,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back,
-    so that later branches neither recompute it nor depend on one executor."""
+    so that later branches neither recompute it nor depend on one executor.
+    ``options`` are the writer's."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

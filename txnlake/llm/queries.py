@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, fuzzyhash, gbdt, hmm, html_text, mixing, ngramjoin, pcadedup, toxicity, warc,
+    bpe, fuzzyhash, gbdt, hmm, html_text, mixing, ngramjoin, packing, pcadedup, phrases, spelling,
+    toxicity, warc,
 )
 from .common import fold, shared_path, table
 
@@ -115,10 +116,27 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_bpe, op2_html_text, op3_hidden_markov, op4_quality_trees, op5_warc, op6_toxicity,
-        op7_fuzzy_hash, op8_pca_dedup, op9_mix_sources, op10_shingle_join,
+        op7_fuzzy_hash, op8_pca_dedup, op9_mix_sources, op10_shingle_join, op11_packing,
+        op12_phrases, op13_spelling,
     )
     return {f.__name__: f for f in found}
 
@@ -212,8 +230,35 @@ FROM n
 """
 
 
+_OP12 = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+g AS (SELECT lang, w[i:i + k - 1] AS w FROM s, range(1, 6) AS t(k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, w, count(*)::HUGEINT AS f FROM g GROUP BY lang, w HAVING count(*) >= 100),
+c AS (SELECT lang, w, f AS a FROM f WHERE len(w) >= 2),
+cut AS (SELECT lang, w, a, unnest(range(1, len(w))) AS k FROM c),
+scored AS (
+  SELECT cut.lang, cut.w, a, k, x.f AS l, y.f AS r, n, 1000 * a * n // (x.f * y.f) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.w = cut.w[1:k]
+    JOIN f y ON y.lang = cut.lang AND y.w = cut.w[k + 1:] JOIN total ON total.lang = cut.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang
+  AND len(c.w) = len(b.w) + 1 AND c.a >= b.a AND (c.w[1:len(b.w)] = b.w OR c.w[2:] = b.w))),
+phrases AS (SELECT *, list_aggregate(w, 'string_agg', ' ') AS phrase FROM kept)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM phrases
+QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_warc": _OP5, "op8_pca_dedup": _OP8, "op9_mix_sources": _OP9,
-        "op10_shingle_join": _OP10,
+        "op10_shingle_join": _OP10, "op12_phrases": _OP12,
     }
