@@ -219,4 +219,9 @@ def _reg() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
-    return _reg()
+    from . import lake_queries as lake  # its jobs take their input from this module
+
+    stored = (
+        lake.landing_streams, lake.landing_one_batch, lake.landing_again, lake.silver_corrected,
+    )
+    return _reg() | {f.__name__: f for f in stored}

@@ -5,16 +5,18 @@ writes with the sinks, and returns its metrics from observations on the same
 pass. Layers live under one root folder, which on a cluster is a shared file
 system path:
 
-    <root>/bronze/raw_transactions        partitioned by _event_date and batch
+    <root>/bronze/raw_transactions        partitioned by _event_date and landing attempt
     <root>/silver/normalized_transactions  partitioned by _date
     <root>/gold/daily_summary              partitioned by _date
     <root>/gold/merchant_activity          partitioned by _date
     <root>/gold/fraud_flags                partitioned by _date
     <root>/quarantine/pages                rejected API elements
+    <root>/landings                        log of landings (``sources.landings``)
+    <root>/index                           days of the landed ids (``sources.day_index``)
 
-Re-running any job for the same dates (ingest: the same batch) replaces exactly
-those partitions, those left without rows included, so jobs are idempotent and a
-lost run can simply be repeated.
+Re-running a job for the same dates replaces exactly those partitions, those left
+without rows included; landing the same delivery again replaces its rows key by key.
+So jobs are idempotent and a lost run can simply be repeated.
 """
 
 from __future__ import annotations
@@ -23,15 +25,15 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import fraud, gold
 from ..operators.silver import in_date_range, in_time_range, normalize
-from ..sources import lifecycle, pages, sinks
+from ..sources import day_index, landings, lifecycle, pages, schemas, sinks
+from ..sources.landings import ATTEMPT_PART
 
-EVENT_DATE = "_event_date"
-BATCH_PART = "_batch_part"
+EVENT_DATE = day_index.DAY
 
 
 @dataclass(frozen=True)
@@ -65,20 +67,51 @@ class LakePaths:
     def quarantine(self) -> str:
         return self._p("quarantine", "pages")
 
+    @property
+    def landings(self) -> str:
+        return self._p("landings")
+
+    @property
+    def index(self) -> str:
+        return self._p("index")
+
 
 def _day(d: date | datetime | str) -> str:
     return str(d)[:10]
 
 
-def ingest_bronze(bronze_rows: DataFrame, paths: LakePaths) -> dict:
-    """Land rows in Bronze, partitioned by event date and batch: landing a batch
-    again replaces its rows of each day instead of adding them twice."""
-    out = bronze_rows.withColumns({
-        EVENT_DATE: F.to_date("initiated_at"),
-        # the prefix keeps the folder name text whatever the id looks like
-        BATCH_PART: F.concat(F.lit("b-"), F.coalesce(F.col("_batch_id").cast("string"), F.lit(""))),
-    })
-    return sinks.overwrite_partitions(out, paths.bronze, [EVENT_DATE, BATCH_PART])
+def _row_key(columns: list[str]) -> Column:
+    """What identifies a delivered row: its id, or where that is NULL its own content."""
+    content = F.sha2(F.to_json(F.struct(*[c for c in columns if not c.startswith("_")])), 256)
+    return F.coalesce(F.concat(F.lit("id:"), "transaction_id"), F.concat(F.lit("row:"), content))
+
+
+def ingest_bronze(bronze_rows: DataFrame, paths: LakePaths, landing: str | Column | None = None) -> dict:
+    """Append rows to Bronze under their landing: what ``landing`` names, by default each
+    row's batch. Landing the same again replaces its rows by id and loses none; other
+    landings are never touched (``sources.landings``)."""
+    if landing is None:
+        landing = F.coalesce(F.col("_batch_id").cast("string"), F.lit(""))
+    elif isinstance(landing, str):
+        landing = F.lit(landing)
+    dated = schemas.require(bronze_rows, "bronze").withColumn(EVENT_DATE, F.to_date("initiated_at"))
+
+    def enter(rows: DataFrame, parts: dict[str, str]) -> None:
+        day_index.note_landing(rows, paths.index, "+".join(sorted(parts.values())))
+
+    return landings.publish(
+        dated, paths.bronze, f"{paths.landings}/bronze", landing, EVENT_DATE,
+        _row_key(bronze_rows.columns), before=enter,
+    )
+
+
+def quarantine(rejected: DataFrame, paths: LakePaths, landing: str) -> dict:
+    """Keep rejected page elements (with ``_batch_id``) under their landing."""
+    content = [c for c in rejected.columns if c != "_batch_id"]
+    key = F.sha2(F.to_json(F.struct(*content)), 256)
+    return landings.publish(
+        rejected, paths.quarantine, f"{paths.landings}/quarantine", F.lit(landing), "_batch_id", key
+    )
 
 
 def ingest_pages(
@@ -88,29 +121,29 @@ def ingest_pages(
     batch_id: str,
     secret: str | bytes | None = None,
     body_col: str = "body",
+    landing: str | None = None,
 ) -> dict:
     """Flatten API pages, land good rows in Bronze, keep rejected ones."""
     rows = pages.flatten_pages(api_pages, body_col, secret)
     landed = lifecycle.land(rows, ingested_at, batch_id)
-    metrics = ingest_bronze(landed, paths)
+    metrics = ingest_bronze(landed, paths, landing or batch_id)
     rejected = pages.quarantine_pages(api_pages, body_col, secret).withColumn("_batch_id", F.lit(batch_id))
-    metrics["rows_quarantined"] = sinks.overwrite_partitions(
-        rejected, paths.quarantine, "_batch_id"
-    )["rows_written"]
+    metrics["rows_quarantined"] = quarantine(rejected, paths, landing or batch_id)["rows_written"]
     return metrics
 
 
+def bronze_table(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """All of Bronze with its partition columns, without attempts that do not count."""
+    return landings.visible(spark, paths.bronze, f"{paths.landings}/bronze")
+
+
 def bronze_days(spark: SparkSession, paths: LakePaths, days: list | None) -> DataFrame:
     """Bronze rows of the given event days (None in the list: rows without an
     event time; no list: all). The days are a static partition filter."""
-    df = sinks.read_table(spark, paths.bronze, merge_schema=True)
+    df = bronze_table(spark, paths)
     if days is not None:
-        dated = [d for d in days if d is not None]
-        cond = F.col(EVENT_DATE).isin(*dated) if dated else F.lit(False)
-        if None in days:
-            cond = cond | F.col(EVENT_DATE).isNull()
-        df = df.filter(cond)
-    return df.drop(EVENT_DATE, BATCH_PART)
+        df = df.filter(day_index.on_days(EVENT_DATE, days))
+    return df.drop(EVENT_DATE, ATTEMPT_PART)
 
 
 def read_bronze(
@@ -120,41 +153,38 @@ def read_bronze(
     end: datetime | str | None = None,
 ) -> DataFrame:
     """Bronze rows with ``start <= initiated_at < end`` (event-date partitions pruned)."""
-    df = sinks.read_table(spark, paths.bronze, merge_schema=True)
+    df = bronze_table(spark, paths)
     if start is not None:
         df = df.filter(F.col(EVENT_DATE) >= F.to_date(F.lit(_day(start))))
     if end is not None:
         df = df.filter(F.col(EVENT_DATE) <= F.to_date(F.lit(_day(end))))
-    return in_time_range(df, start, end).drop(EVENT_DATE, BATCH_PART)
+    return in_time_range(df, start, end).drop(EVENT_DATE, ATTEMPT_PART)
 
 
 def affected_days(spark: SparkSession, paths: LakePaths, days: list) -> list:
-    """``days`` and every other day of Silver that holds an id which Bronze has in
-    these days, until no day is added.
-
-    A correction may move a transaction to another day (or give it its first
-    time); its old Silver day must be written again, or the id would be in two.
-    Only ids and dates are read; the days, at most the partitions of Silver, are
-    what reaches the driver."""
-    days = set(days)
-    if not sinks.exists(spark, paths.silver):
-        return list(days)
-    silver = sinks.read_table(spark, paths.silver).select("transaction_id", "_date")
-    while True:
-        ids = bronze_days(spark, paths, list(days)).select("transaction_id").distinct()
-        dated = [d for d in days if d is not None]
-        here = F.col("_date").isNull() if None in days else F.lit(False)
-        if dated:
-            here = here | F.coalesce(F.col("_date").isin(*dated), F.lit(False))
-        more = silver.filter(~here).join(ids, "transaction_id", "left_semi")
-        found = {r["_date"] for r in more.select("_date").distinct().collect()}
-        if not found:
-            return list(days)
-        days |= found
+    """``days`` and the days that unsettled corrections connect with them: a correction
+    may move a transaction to another day (or give it its first time), and its old
+    Silver day must be written again, or the id would be in two. Read from the files
+    of ``sources.day_index``, no table is scanned."""
+    noted = day_index.unsettled(spark, paths.index)
+    pairs = [p for found in noted.values() for p in found]
+    texts = day_index.days_to_write(pairs, [None if d is None else str(d) for d in days])
+    return [None if d is None else date.fromisoformat(d) for d in sorted(texts, key=str)]
+
+
+def moved_rows(spark: SparkSession, paths: LakePaths, days: list) -> DataFrame | None:
+    """Bronze rows on other days than ``days`` of ids that are also on these days: only
+    the days that hold such ids are read."""
+    ids = day_index.moved(spark, paths.index, days).select("transaction_id", "other")
+    others = {r["other"] for r in ids.select("other").distinct().collect()} - set(days)
+    if not others:
+        return None
+    ids = ids.select("transaction_id").distinct()
+    return bronze_days(spark, paths, list(others)).join(ids, "transaction_id", "left_semi")
 
 
 def _range_days(spark: SparkSession, paths: LakePaths, start, end) -> list:
-    """Whole event days of Bronze or Silver in ``[start, end)``, and None."""
+    """Whole event days of Bronze or Silver in ``[start, end)``."""
     first = _day(start) if start is not None else ""
     last = str(end).replace("T", " ") if end is not None else "~"  # a midnight bound leaves its day out
     chosen = lambda v: v is not None and first <= v and v + " 00:00:00" < last
@@ -163,7 +193,7 @@ def _range_days(spark: SparkSession, paths: LakePaths, start, end) -> list:
         for path, column in ((paths.bronze, EVENT_DATE), (paths.silver, "_date"))
         for folder in sinks.partition_folders(spark, path, column, chosen)
     ]
-    return [date.fromisoformat(n) for n in sorted(set(names))] + [None]
+    return [date.fromisoformat(n) for n in sorted(set(names))]
 
 
 def normalize_days(
@@ -171,19 +201,27 @@ def normalize_days(
 ) -> dict:
     """Write the Silver days again that the given event days of Bronze affect
     (no list: all)."""
+    noted = day_index.unsettled(spark, paths.index)
     if days is not None:
         days = affected_days(spark, paths, days)
     bronze = bronze_days(spark, paths, days)
     if observed is not None:
         bronze = bronze.observe(observed, F.count(F.lit(1)).alias("rows_read"))
+    elsewhere = moved_rows(spark, paths, days) if days is not None else None
+    if elsewhere is None:
+        silver = normalize(bronze)
+    else:
+        silver = normalize(bronze.unionByName(elsewhere)).filter(day_index.on_days("_date", days))
     names = None if days is None else {None if d is None else str(d) for d in days}
-    return sinks.overwrite_partitions(
-        normalize(bronze),
+    metrics = sinks.overwrite_partitions(
+        schemas.require(silver, "silver"),
         paths.silver,
         "_date",
         metrics={"quality_failures": F.count_if(F.col("_quality_flag") == "FAIL")},
         replaces=lambda v: names is None or v in names,
     )
+    day_index.settle(spark, paths.index, noted, names)
+    return metrics
 
 
 def normalize_job(
@@ -238,11 +276,11 @@ def aggregate_job(
     silver = read_silver(spark, paths, start, end)
     inside = lambda v: v is not None and _day(start) <= v <= _day(end)
     daily = sinks.overwrite_partitions(
-        gold.daily_summary(silver, rounded=rounded, updated_at=as_of), paths.gold_daily,
+        schemas.require(gold.daily_summary(silver, rounded=rounded, updated_at=as_of), "daily_summary"), paths.gold_daily,
         replaces=inside,
     )
     merchant = sinks.overwrite_partitions(
-        gold.merchant_activity(silver, rounded=rounded, updated_at=as_of), paths.gold_merchant,
+        schemas.require(gold.merchant_activity(silver, rounded=rounded, updated_at=as_of), "merchant_activity"), paths.gold_merchant,
         replaces=inside,
     )
     return {
@@ -267,7 +305,7 @@ def detect_job(
     flags = fraud.detect_all(
         silver, day, detected_at=detected_at or day, share=False, **thresholds
     ).withColumn("_date", F.to_date("initiated_at"))
-    m = sinks.overwrite_partitions(flags, paths.flags, "_date", replaces=_day(day).__eq__)
+    m = sinks.overwrite_partitions(schemas.require(flags, "fraud_flags"), paths.flags, "_date", replaces=_day(day).__eq__)
     return {"flags": m["rows_written"]}
 
 
@@ -352,7 +390,7 @@ def check_job(spark: SparkSession, paths: LakePaths, run_id: str) -> dict:
     from ..functions.quality import AMOUNT_BUCKETS, QUALITY_FLAGS, TRANSACTION_TYPES, VALID_STATUSES
     from ..operators import checks
 
-    bronze = sinks.read_table(spark, paths.bronze, merge_schema=True).drop(EVENT_DATE, BATCH_PART)
+    bronze = bronze_days(spark, paths, None)
     silver = sinks.read_table(spark, paths.silver)
     daily = sinks.read_table(spark, paths.gold_daily)
     merchant = sinks.read_table(spark, paths.gold_merchant)
@@ -399,10 +437,13 @@ def ingest_daily(
 
     Both ends are inclusive, like the source system's daily fetch.
     """
-    end = F.to_date(F.lit(_day(as_of)))
-    start = F.date_sub(end, days_back)
+    last = date.fromisoformat(_day(as_of))
+    first = last - timedelta(days=days_back)
     day = F.to_date("initiated_at")
-    return ingest_bronze(rows.filter(day.isNull() | ((day >= start) & (day <= end))), paths)
+    chosen = rows.filter(day.isNull() | ((day >= F.lit(first)) & (day <= F.lit(last))))
+    # a batch's share of one range: other ranges of the batch are landings of their own
+    landing = F.concat_ws("@", F.col("_batch_id").cast("string"), F.lit(f"{first}_{last}"))
+    return ingest_bronze(chosen, paths, landing)
 
 
 def normalize_daily(

@@ -628,4 +628,32 @@ def _oracle_sql() -> dict[str, str]:
         "WHERE flag_pattern = 'AMOUNT_SPIKE' ORDER BY amount DESC, transaction_id LIMIT 20",
         _fraud(),
     )
+    # stored layers
+    landed = "transaction_id, amount, initiated_at"
+    number = "CAST(substr(transaction_id, 3) AS BIGINT)"
+    q["landing_streams"] = B(
+        f"SELECT {landed}, 'stream-' || CASE WHEN ({number} // {P.PAGE_SIZE}) % 2 = 0 THEN 'a' ELSE 'b' END "
+        f"|| '-00000000' AS _batch_id FROM raw WHERE _batch_id = 'batch-1' AND {_PAGE_GOOD}"
+    )
+    q["landing_one_batch"] = B(
+        f"SELECT {landed}, 'one' AS _batch_id FROM bronze, "
+        f"(VALUES (DATE '{P.SLICE_START}'), (DATE '{P.SLICE_END}')) AS t(d) WHERE initiated_at IS NULL "
+        "OR CAST(initiated_at AS DATE) BETWEEN d - 3 AND d"
+    )
+    moved = (
+        ", moved AS (SELECT transaction_id, amount, "
+        "coalesce(initiated_at, completed_at, _ingested_at) + INTERVAL 15 DAY AS at FROM bronze "
+        f"WHERE _batch_id = 'batch-2' AND coalesce(initiated_at, completed_at, _ingested_at) "
+        f"+ INTERVAL 15 DAY < TIMESTAMP '{P.AS_OF}')"
+    )
+    either = (
+        "SELECT b.transaction_id, coalesce(m.amount, b.amount) AS amount, "
+        "CASE WHEN m.at IS NULL THEN b.initiated_at ELSE m.at END AS initiated_at, {more} "
+        "FROM bronze b LEFT JOIN moved m USING (transaction_id) WHERE b._batch_id = 'batch-1'"
+    )
+    q["landing_again"] = B(either.format(more="b._batch_id"), moved)
+    q["silver_corrected"] = B(
+        either.format(more="CAST(CASE WHEN m.at IS NULL THEN b.initiated_at ELSE m.at END AS DATE) AS _date"),
+        moved,
+    )
     return q

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -107,6 +108,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df, eager: bool = True):
     """Checkpoint ``df`` into the shared checkpoint folder (never a local one).
 

@@ -15,6 +15,8 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from . import schemas
+
 
 def _metrics(obs: Observation, names: Sequence[str], df: DataFrame) -> dict:
     """Observed values. An input that is empty may be folded away with its
@@ -41,9 +43,7 @@ def _partition_files(
 ) -> dict[str, frozenset[str]]:
     """File names by partition folder, of the first partition column's values
     (text, None for NULL) that ``chosen`` takes. A table not written yet: none."""
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
+    fs, root = _file_system(spark, path)
     if not fs.exists(root):
         return {}
     out = {}
@@ -60,11 +60,58 @@ def _partition_files(
     return out
 
 
-def _drop_folders(spark: SparkSession, folders: Sequence[str]) -> None:
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
+def _file_system(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), root
+
+
+def drop_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Delete folders (or files) with all they hold; missing ones are left out."""
     for folder in folders:
-        p = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        p.getFileSystem(conf).delete(p, True)
+        fs, p = _file_system(spark, folder)
+        fs.delete(p, True)
+
+
+def escape_partition(value: str) -> str:
+    """A partition value as Spark writes it in a folder name."""
+    return "".join(
+        f"%{ord(c):02X}" if ord(c) < 0x20 or ord(c) == 0x7F or c in "\"#%'*/:=?\\{[]^" else c
+        for c in value
+    )
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, replacing an earlier one."""
+    fs, p = _file_system(spark, path)
+    stream = fs.create(p, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None where there is none."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def read_texts(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The small files of a folder by name; none where it does not exist."""
+    fs, root = _file_system(spark, folder)
+    if not fs.exists(root):
+        return {}
+    out = {}
+    for entry in fs.listStatus(root):
+        name = entry.getPath().getName()
+        if entry.isDirectory() or name.startswith((".", "_")):
+            continue
+        out[name] = read_text(spark, entry.getPath().toString())
+    return out
 
 
 def partition_folders(
@@ -76,8 +123,8 @@ def partition_folders(
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether anything was written at ``path``."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(root)
+    fs, root = _file_system(spark, path)
+    return fs.exists(root)
 
 
 def drop_partitions(
@@ -85,7 +132,7 @@ def drop_partitions(
 ) -> list[str]:
     """Delete the partitions whose value ``chosen`` takes; their folders."""
     gone = partition_folders(spark, path, column, chosen)
-    _drop_folders(spark, gone)
+    drop_folders(spark, gone)
     return gone
 
 
@@ -95,7 +142,8 @@ def append(
     partition_by: str | Sequence[str] | None = None,
     fmt: str = "parquet",
 ) -> dict:
-    """Append rows (new columns are allowed; read back with ``mergeSchema``)."""
+    """Append rows; new columns are added to the table's schema (``sources.schemas``)."""
+    schemas.grow(df.sparkSession, path, df.schema, _partitions(partition_by))
     obs = Observation("append")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows_written"))
     parts = _partitions(partition_by)
@@ -125,6 +173,7 @@ def overwrite_partitions(
     """
     metrics = metrics or {}
     spark, first = df.sparkSession, _partitions(partition_by)[0]
+    schemas.grow(spark, path, df.schema, _partitions(partition_by))
     before = _partition_files(spark, path, first, replaces) if replaces else {}
     obs = Observation("overwrite")
     observed = df.observe(
@@ -146,7 +195,7 @@ def overwrite_partitions(
     )
     if before:
         now = _partition_files(spark, path, first, replaces)
-        _drop_folders(spark, [f for f, names in before.items() if now.get(f) == names])
+        drop_folders(spark, [f for f, names in before.items() if now.get(f) == names])
     return _metrics(obs, ["rows_written", *metrics], df)
 
 
@@ -159,8 +208,8 @@ def store_failures(violations: DataFrame, path: str, check: str, run_id: str) ->
     return out
 
 
-def read_table(spark, path: str, merge_schema: bool = False, fmt: str = "parquet") -> DataFrame:
+def read_table(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """A stored table by its kept schema, which saves reading file footers for it."""
+    schema = schemas.stored_schema(spark, path)
     reader = spark.read.format(fmt)
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
-    return reader.load(path)
+    return (reader.schema(schema) if schema is not None else reader).load(path)

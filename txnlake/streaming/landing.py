@@ -11,30 +11,44 @@ line) as they arrive. Each micro-batch, in ``foreachBatch``:
    days, and written with dynamic partition overwrite.
 
 Late or re-delivered rows therefore correct their day in Silver on the next
-trigger; keep-latest dedup makes a replayed micro-batch harmless. Progress is
-kept in the checkpoint location, which must be on shared storage.
+trigger. Each epoch of each stream is a landing of its own, so a second stream or a
+fresh checkpoint, whose epochs begin at 0 again, never touches earlier rows, and a
+replayed micro-batch replaces its own. Landing times are those of the arrived files,
+not of the wall clock, so a replay lands equal rows. Progress is kept in the checkpoint
+location, which must be on shared storage.
 ``trigger(availableNow=True)`` processes everything present and stops, which
 turns the same code into an incremental batch job.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+import json
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.jobs import EVENT_DATE, LakePaths, ingest_bronze, normalize_days
-from ..sources import lifecycle, pages, sinks
+from ..plans.jobs import EVENT_DATE, LakePaths, ingest_pages, normalize_days
+from ..sources import pages, sinks
+
+ARRIVED = "_arrived_at"
 
 
 def page_stream(spark: SparkSession, source_dir: str, max_files: int | None = None) -> DataFrame:
-    """Streaming frame of page documents (column ``body``)."""
+    """Streaming frame of page documents (column ``body``) with their file's time."""
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(source_dir).withColumnRenamed("value", "body")
+    return reader.load(source_dir).select(
+        F.col("value").alias("body"), F.col("_metadata.file_modification_time").alias(ARRIVED)
+    )
+
+
+def stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """The id a stream keeps over restarts, from its checkpoint; a fresh checkpoint has
+    a new one. Written before the first micro-batch runs."""
+    return json.loads(sinks.read_texts(spark, checkpoint_location)["metadata"])["id"]
 
 
 def renormalize_dates(spark: SparkSession, paths: LakePaths, dates: list) -> dict:
@@ -52,19 +66,25 @@ def process_batch(
     batch: DataFrame,
     epoch_id: int,
     paths: LakePaths,
+    stream: str,
     secret: str | bytes | None = None,
+    ingested_at: datetime | str | None = None,
 ) -> None:
+    """Land one micro-batch of the stream named ``stream``. Rows without a landing time
+    of their file need ``ingested_at``."""
     spark = batch.sparkSession
     batch = batch.persist()
     try:
-        batch_id = f"stream-{epoch_id:08d}"
-        rows = pages.flatten_pages(batch, "body", secret)
-        ingested_at = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-        landed = lifecycle.land(rows, ingested_at, batch_id)
-        ingest_bronze(landed, paths)
-        rejected = pages.quarantine_pages(batch, "body", secret).withColumn("_batch_id", F.lit(batch_id))
-        sinks.overwrite_partitions(rejected, paths.quarantine, "_batch_id")
+        if batch.isEmpty():
+            return
+        if ingested_at is None:
+            newest = F.max(F.col(ARRIVED)).cast("timestamp_ntz")
+            ingested_at = batch.agg(F.convert_timezone(F.current_timezone(), F.lit("UTC"), newest)).first()[0]
+        landing = f"stream-{stream}-{epoch_id:08d}"
+        body = batch.select("body")
+        ingest_pages(body, paths, ingested_at, landing, secret)
         # distinct event days of the batch: a handful of values, one per day
+        rows = pages.flatten_pages(body, "body", secret)
         days = rows.select(F.to_date("initiated_at").alias(EVENT_DATE)).distinct()
         renormalize_dates(spark, paths, [r[EVENT_DATE] for r in days.collect()])
     finally:
@@ -84,7 +104,9 @@ def start_landing(
     """Start the landing stream (``availableNow`` by default)."""
     writer = (
         page_stream(spark, source_dir, max_files)
-        .writeStream.foreachBatch(lambda df, eid: process_batch(df, eid, paths, secret))
+        .writeStream.foreachBatch(
+            lambda df, eid: process_batch(df, eid, paths, stream_id(spark, checkpoint_location), secret)
+        )
         .option("checkpointLocation", checkpoint_location)
     )
     if available_now:
