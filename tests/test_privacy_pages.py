@@ -4,6 +4,8 @@ import hashlib
 import hmac
 import json
 
+from pyspark.sql import functions as F
+
 from txnlake.functions import privacy
 from txnlake.operators import checks
 from txnlake.sources import pages
@@ -135,3 +137,54 @@ def test_key_pads_redacted_in_explain(spark, capsys):
     inner, outer = privacy._hmac_pads("my-secret")
     assert inner.hex().upper()[:32] not in out.upper()
     assert "redacted" in out
+
+
+def test_iso_times_like_fromisoformat(spark):
+    from datetime import datetime
+
+    dates = ["2024-01-15", "20240115", "2024-W03-1", "2024W037", "2020-W53-5", "2021-W53-5", "2024-W03",
+             "2024W03", "2024-02-30", "2024", "2024-1-5", "0001-01-02", "9999-12-30", "2024-11-03"]
+    clocks = ["", "T10", "T10:05", "T1005", "T10:05:07", "T100507", "T10:05:07.5", "T10:05:07,123456789",
+              "T100507.25", "T1:2", "T25:00", "T10:0507", "T10:60", " 01:30:07.123456", "x10:05", "T"]
+    offsets = ["", "Z", "+01", "-0130", "+01:30", "+01:30:15", "-013015", "z", "+1"]
+    texts = [d + t + o for d in dates for t in clocks for o in offsets if t or not o]
+
+    def plain(text):
+        try:
+            v = datetime.fromisoformat(text)
+        except ValueError:
+            return None
+        return v.replace(tzinfo=None) - (v.utcoffset() or v - v)
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = {r.t: r.v for r in df.select("t", pages._utc_ntz(F.col("t")).alias("v")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {t: plain(t) for t in texts}
+    assert sum(v is not None for v in got.values()) > 500
+
+
+def test_redacted_payload_keeps_all_else(spark):
+    item = {
+        "id": "A1", "type": "PAYMENT", "amount": 20, "fee": 0.25, "big": 12345678901234567890, "none": None,
+        "nested": {"sender": {"kept": 1}, "list": [1, "x", {"k": True}]}, "sender": {"msisdn": "771234567"},
+        "recipient": {"msisdn": "781234567"}, "initiatedAt": "20240115T100000",
+    }
+    twice = '{"id":"A2","id":"A2","type":"PAYMENT","amount":1,"sender":{"msisdn":"770000001"},' \
+        '"recipient":{"msisdn":"780000001"},"initiatedAt":"2024-01-15T10"}'
+    body = '{"transactions":[' + json.dumps(item) + "," + twice + "]}"
+    rows = pages.flatten_pages(spark.createDataFrame([(body,)], "body string"), secret="s").collect()
+    kept = {r.transaction_id: json.loads(r.raw_payload) for r in rows}
+    assert kept["A1"] == {k: v for k, v in item.items() if k not in ("sender", "recipient")}
+    assert kept["A2"]["id"] == "A2" and "sender" not in kept["A2"]
+
+
+def test_pages_are_parsed_once(spark, capsys):
+    df = spark.createDataFrame([("{}",)], "body string")
+    for frame in (pages.flatten_pages(df, secret="s"), pages.quarantine_pages(df)):
+        frame.explain("extended")
+        plan = capsys.readouterr().out.split("== Physical Plan ==")[1]
+        assert plan.count("from_json") <= 2

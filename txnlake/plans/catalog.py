@@ -24,8 +24,8 @@ from ..operators.silver import (
     with_quality,
 )
 from ..sources import lifecycle, pages
-from ..sources.events import bronze_from_events, raw_transactions, read_table
-from . import params as P
+from ..sources.events import bronze_from_events, read_table, with_redelivery
+from . import page_fixture, params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,12 +64,12 @@ def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.build_pages(raw_transactions(events(spark, sf_dir)), P.PAGE_SIZE)
+    return page_fixture.api_pages(events(spark, sf_dir), P.PAGE_SIZE)
 
 
 def _phones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_transactions(events(spark, sf_dir))
-    return raw.select("transaction_id", "sender_phone", "recipient_phone")
+    raw = with_redelivery(events(spark, sf_dir))
+    return raw.select("transaction_id", "_batch_id", "sender_phone", "recipient_phone")
 
 
 def _reg() -> dict[str, Query]:
@@ -77,9 +77,9 @@ def _reg() -> dict[str, Query]:
     # sources / landing
     q["bronze_land"] = bronze
     q["staging_view"] = lambda s, d: lifecycle.staging_view(bronze(s, d))
-    q["flatten_pages"] = lambda s, d: pages.flatten_pages(api_pages(s, d)).drop("raw_payload")
+    q["flatten_pages"] = lambda s, d: pages.flatten_pages(api_pages(s, d))
     q["quarantine_pages"] = lambda s, d: pages.quarantine_pages(api_pages(s, d)).select(
-        "transaction_id", "reason"
+        "page", "transaction_id", "reason", "raw_text"
     )
     q["payload_redacted"] = lambda s, d: pages.flatten_pages(api_pages(s, d), secret=P.SECRET).select(
         "transaction_id", "sender_phone", "recipient_phone", "raw_payload"
@@ -96,18 +96,18 @@ def _reg() -> dict[str, Query]:
     )
     # privacy
     q["phone_canonical"] = lambda s, d: _phones(s, d).select(
-        "transaction_id",
+        "transaction_id", "_batch_id",
         privacy.phone_canonical("sender_phone").alias("sender_canonical"),
         privacy.phone_canonical("recipient_phone").alias("recipient_canonical"),
     )
     q["phone_prefix_check"] = lambda s, d: _phones(s, d).select(
-        "transaction_id",
+        "transaction_id", "_batch_id",
         privacy.phone_known_prefix("sender_phone").alias("sender_known_prefix"),
         privacy.phone_known_prefix("recipient_phone").alias("recipient_known_prefix"),
     )
     q["tokenize_phones"] = lambda s, d: privacy.tokenize_phones(_phones(s, d), P.SECRET)
     q["mask_phones"] = lambda s, d: privacy.mask_phones(_phones(s, d)).select(
-        "transaction_id", "sender_phone_masked", "recipient_phone_masked"
+        "transaction_id", "_batch_id", "sender_phone_masked", "recipient_phone_masked"
     )
     # silver
     q["range_half_open"] = lambda s, d: in_time_range(bronze(s, d), P.SLICE_START, P.SLICE_END)

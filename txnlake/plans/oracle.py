@@ -258,8 +258,8 @@ _DAY = f"""
 day_pass AS (SELECT * FROM pass WHERE _date = DATE '{P.DAY}')"""
 
 _PHONES = """
-phones AS (SELECT transaction_id, sender_raw AS sender_phone, recipient_raw AS recipient_phone
-           FROM raw WHERE _batch_id = 'batch-1')"""
+phones AS (SELECT transaction_id, _batch_id, sender_raw AS sender_phone, recipient_raw AS recipient_phone
+           FROM raw)"""
 
 
 def _mask(c: str) -> str:
@@ -301,37 +301,71 @@ _MEAN_RATE = (
     "CAST(sum(CAST(round(success_rate * 100) AS BIGINT)) AS DOUBLE) / (count(success_rate) * 100)"
 )
 
-def _json_field(key: str, expr: str, nullable: bool = True) -> str:
-    item = f"'\"{key}\":' || CAST(to_json({expr}) AS VARCHAR)"
-    return f"CASE WHEN {expr} IS NOT NULL THEN {item} END" if nullable else item
-
-
-_PAYLOAD = (
-    "'{' || concat_ws(',', "
-    + ", ".join(
-        [
-            _json_field("id", "transaction_id", False),
-            _json_field("externalId", "external_id"),
-            _json_field("type", "transaction_type", False),
-            _json_field("amount", "CAST(amount AS VARCHAR)", False),
-            _json_field("currency", "currency", False),
-            _json_field("fee", "CAST(fee AS VARCHAR)", False),
-            _json_field("merchantCode", "merchant_code"),
-            _json_field("merchantName", "merchant_name"),
-            _json_field("merchantCategory", "merchant_category"),
-            _json_field("status", "status", False),
-            _json_field("failureReason", "failure_reason"),
-            _json_field("initiatedAt", "strftime(initiated_at, '%Y-%m-%dT%H:%M:%S.%fZ')", False),
-            _json_field("completedAt", "strftime(completed_at, '%Y-%m-%dT%H:%M:%S.%fZ')"),
-            _json_field("channel", "channel", False),
-            _json_field("agentCode", "agent_code"),
-            _json_field("region", "region"),
-        ]
-    )
-    + ") || '}'"
+# --- API pages: the elements as text, and what is to be made of them ---------------
+
+_K = "CAST(substr(transaction_id, 3) AS BIGINT)"
+
+
+def _pair(key: str, expr: str, text: bool = True) -> str:
+    """A JSON member, left out where the value is NULL."""
+    value = f"CAST(to_json({expr}) AS VARCHAR)" if text else f"({expr})"
+    return f"CASE WHEN {expr} IS NOT NULL THEN '\"{key}\":' || {value} END"
+
+
+_UTC = "'%Y-%m-%dT%H:%M:%S.%fZ'"
+_MEMBERS = {
+    "id": _pair("id", "transaction_id"),
+    "externalId": _pair("externalId", "external_id"),
+    "type": _pair("type", "transaction_type"),
+    "amount": _pair("amount", "CAST(amount AS BIGINT)"),
+    "currency": _pair("currency", f"CASE WHEN {_K} % 17 <> 0 THEN currency END"),
+    "fee": _pair("fee", f"CASE WHEN {_K} % 19 <> 0 THEN CAST(fee AS BIGINT) END"),
+    "sender": _pair("sender", "CASE WHEN sender_raw IS NOT NULL THEN "
+                    f"'{{\"msisdn\":\"' || sender_raw || '\",\"name\":\"S' || {_K} || '\"}}' END", False),
+    "recipient": _pair("recipient", "'{\"msisdn\":\"' || recipient_raw || '\"}'", False),
+    "merchantCode": _pair("merchantCode", "merchant_code"),
+    "merchantName": _pair("merchantName", "merchant_name"),
+    "merchantCategory": _pair("merchantCategory", "merchant_category"),
+    "status": _pair("status", "status"),
+    "failureReason": _pair("failureReason", "failure_reason"),
+    "initiatedAt": _pair("initiatedAt", f"CASE {_K} % 4 WHEN 0 THEN strftime(initiated_at, '%Y%m%dT%H%M%S,%f') "
+                         "WHEN 1 THEN strftime(initiated_at + INTERVAL 90 MINUTE, '%Y-%m-%d %H:%M:%S.%f+01:30') "
+                         f"ELSE strftime(initiated_at, {_UTC}) END"),
+    "completedAt": _pair("completedAt", f"CASE WHEN {_K} % 23 = 0 THEN '' ELSE strftime(completed_at, {_UTC}) END"),
+    "channel": _pair("channel", "channel"),
+    "agentCode": _pair("agentCode", "agent_code"),
+    "region": _pair("region", "region"),
+}
+
+
+def _meta(inner: str) -> str:
+    return _pair("meta", f"CASE WHEN {_K} % 3 = 0 THEN '{{' || concat_ws(',', {inner}) || '}}' END", False)
+
+
+_ATTEMPT = f"'\"attempt\":' || ({_K} % 7)"
+_TAGS, _KEPT = "'\"tags\":[\"' || channel || '\",\"x\"]'", "'\"sender\":{\"kept\":true}'"
+
+
+def _object(members: list[str]) -> str:
+    return "'{' || concat_ws(',', " + ", ".join(members) + ") || '}'"
+
+
+# as the source sent it; and without the personal objects, keys in order of name
+_PAYLOAD = _object([*_MEMBERS.values(), _meta(f"{_ATTEMPT}, {_TAGS}, {_KEPT}")])
+_REDACTED = _object([
+    m for _, m in sorted({
+        **{k: m for k, m in _MEMBERS.items() if k not in ("sender", "recipient")},
+        "meta": _meta(f"{_ATTEMPT}, {_KEPT}, {_TAGS}"),
+    }.items())
+])
+
+_BROKEN_AMOUNT = f"replace({_PAYLOAD}, '\"amount\":', '\"amount\":\"x\",\"was\":')"
+_PAGE_REASON = (
+    f"CASE WHEN {_K} % 101 = 0 THEN 'not_an_object' WHEN {_K} % 103 = 0 OR amount <= 0 THEN 'bad_amount' "
+    f"WHEN {_K} % 19 <> 0 AND fee < 0 THEN 'bad_fee' WHEN sender_raw IS NULL THEN 'missing_sender' "
+    "WHEN initiated_at IS NULL THEN 'bad_initiated_at' END"
 )
-
-_PAGE_GOOD = "amount > 0 AND fee >= 0 AND sender_raw IS NOT NULL AND initiated_at IS NOT NULL"
+_PAGE_GOOD = f"{_PAGE_REASON} IS NULL"
 
 
 def _expand_round(sql: str) -> str:
@@ -381,22 +415,24 @@ def _oracle_sql() -> dict[str, str]:
         "sender_phone AS sender_token, recipient_phone AS recipient_token FROM bronze"
     )
     q["flatten_pages"] = B(
-        "SELECT transaction_id, external_id, transaction_type, amount, currency, fee, "
+        "SELECT transaction_id, external_id, transaction_type, amount, "
+        f"CASE WHEN {_K} % 17 = 0 THEN 'XOF' ELSE currency END AS currency, "
+        f"CASE WHEN {_K} % 19 = 0 THEN 0.0::DOUBLE ELSE fee END AS fee, "
         f"{_canon('sender_raw')} AS sender_phone, {_canon('recipient_raw')} AS recipient_phone, "
-        "merchant_code, merchant_name, merchant_category, status, failure_reason, "
-        "initiated_at, completed_at, channel, agent_code, region "
-        f"FROM raw WHERE _batch_id = 'batch-1' AND {_PAGE_GOOD}"
+        "merchant_code, merchant_name, merchant_category, status, failure_reason, initiated_at, "
+        f"CASE WHEN {_K} % 23 <> 0 THEN completed_at END AS completed_at, channel, agent_code, region, "
+        f"{_PAYLOAD} AS raw_payload FROM raw WHERE {_PAGE_GOOD}"
     )
     q["quarantine_pages"] = B(
-        "SELECT * FROM (SELECT transaction_id, CASE WHEN amount <= 0 THEN 'bad_amount' "
-        "WHEN fee < 0 THEN 'bad_fee' WHEN sender_raw IS NULL THEN 'missing_sender' "
-        "WHEN initiated_at IS NULL THEN 'bad_initiated_at' END AS reason "
-        "FROM raw WHERE _batch_id = 'batch-1') WHERE reason IS NOT NULL"
+        f"SELECT {_K} // {P.PAGE_SIZE} AS page, "
+        f"CASE WHEN {_K} % 101 <> 0 THEN transaction_id END AS transaction_id, {_PAGE_REASON} AS reason, "
+        f"CASE WHEN {_K} % 101 = 0 THEN '7' WHEN {_K} % 103 = 0 THEN {_BROKEN_AMOUNT} ELSE {_PAYLOAD} END AS raw_text "
+        f"FROM raw WHERE NOT ({_PAGE_GOOD})"
     )
     q["payload_redacted"] = B(
         f"SELECT transaction_id, {_hmac(_canon('sender_raw'), P.SECRET)} AS sender_phone, "
-        f"{_hmac(_canon('recipient_raw'), P.SECRET)} AS recipient_phone, {_PAYLOAD} AS raw_payload "
-        f"FROM raw WHERE _batch_id = 'batch-1' AND {_PAGE_GOOD}"
+        f"{_hmac(_canon('recipient_raw'), P.SECRET)} AS recipient_phone, {_REDACTED} AS raw_payload "
+        f"FROM raw WHERE {_PAGE_GOOD}"
     )
     q["high_water_mark"] = B("SELECT max(initiated_at) AS high_water_mark FROM bronze")
     q["incremental_batch"] = B(
@@ -408,23 +444,23 @@ def _oracle_sql() -> dict[str, str]:
     q["retention_expired"] = S("SELECT * FROM silver WHERE _date < DATE '2024-01-15'")
     # privacy
     q["phone_canonical"] = B(
-        f"SELECT transaction_id, {_canon('sender_phone')} AS sender_canonical, "
+        f"SELECT transaction_id, _batch_id, {_canon('sender_phone')} AS sender_canonical, "
         f"{_canon('recipient_phone')} AS recipient_canonical FROM phones",
         "," + _PHONES,
     )
     prefixes = "('77', '78', '76', '70', '75')"
     q["phone_prefix_check"] = B(
-        f"SELECT transaction_id, substr({_canon('sender_phone')}, 1, 2) IN {prefixes} AS sender_known_prefix, "
+        f"SELECT transaction_id, _batch_id, substr({_canon('sender_phone')}, 1, 2) IN {prefixes} AS sender_known_prefix, "
         f"substr({_canon('recipient_phone')}, 1, 2) IN {prefixes} AS recipient_known_prefix FROM phones",
         "," + _PHONES,
     )
     q["tokenize_phones"] = B(
-        f"SELECT transaction_id, {_hmac(_canon('sender_phone'), P.SECRET)} AS sender_phone, "
+        f"SELECT transaction_id, _batch_id, {_hmac(_canon('sender_phone'), P.SECRET)} AS sender_phone, "
         f"{_hmac(_canon('recipient_phone'), P.SECRET)} AS recipient_phone FROM phones",
         "," + _PHONES,
     )
     q["mask_phones"] = B(
-        f"SELECT transaction_id, {_mask('sender_phone')} AS sender_phone_masked, "
+        f"SELECT transaction_id, _batch_id, {_mask('sender_phone')} AS sender_phone_masked, "
         f"{_mask('recipient_phone')} AS recipient_phone_masked FROM phones",
         "," + _PHONES,
     )
@@ -630,10 +666,9 @@ def _oracle_sql() -> dict[str, str]:
     )
     # stored layers
     landed = "transaction_id, amount, initiated_at"
-    number = "CAST(substr(transaction_id, 3) AS BIGINT)"
     q["landing_streams"] = B(
-        f"SELECT {landed}, 'stream-' || CASE WHEN ({number} // {P.PAGE_SIZE}) % 2 = 0 THEN 'a' ELSE 'b' END "
-        f"|| '-00000000' AS _batch_id FROM raw WHERE _batch_id = 'batch-1' AND {_PAGE_GOOD}"
+        f"SELECT {landed}, 'stream-' || CASE WHEN ({_K} // {P.PAGE_SIZE}) % 2 = 0 THEN 'a' ELSE 'b' END "
+        f"|| '-00000000' AS _batch_id FROM raw WHERE {_PAGE_GOOD}"
     )
     q["landing_one_batch"] = B(
         f"SELECT {landed}, 'one' AS _batch_id FROM bronze, "

@@ -119,7 +119,7 @@ def raw_transactions(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     ).selectExpr(*_RAW_EXPRS, *keep)
 
 
-def with_redelivery(events: DataFrame) -> DataFrame:
+def with_redelivery(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every event once, and every 50th a second time one hour later.
 
     One scan: each event row is exploded into its delivery numbers, and the
@@ -130,7 +130,7 @@ def with_redelivery(events: DataFrame) -> DataFrame:
         F.explode(F.expr(f"IF(event_id % {REDELIVERY_EVERY} = 0, array(1, 2), array(1))")),
     )
     return (
-        raw_transactions(deliveries, keep=("_delivery",))
+        raw_transactions(deliveries, keep=("_delivery", *keep))
         .withColumns(
             {
                 "amount": F.expr("amount + (_delivery - 1)"),

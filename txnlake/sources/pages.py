@@ -1,4 +1,4 @@
-"""API page documents (JSON text) <-> transaction rows.
+"""API page documents (JSON text) -> transaction rows.
 
 ``flatten_pages`` is the distributed replacement of a driver-side parse loop:
 ``from_json`` with a declared schema, ``explode`` of the transaction list,
@@ -11,6 +11,13 @@ are parsed from that text as strings first, so a value of the wrong type becomes
 a reason instead of an error or a silent NULL. Only an absent key has a default:
 an explicit null currency or fee is a reason. An empty completion time counts as
 absent, an empty transaction list is a normal page.
+
+A page is parsed once and each of its elements once: elements are parsed inside the
+array, before it is exploded, so neither a filter nor a later column repeats it.
+
+A redacted payload is the element as a VARIANT without its ``sender`` and ``recipient``
+keys: unknown fields, numbers and nested values stay what they are. An element that is
+no VARIANT (a key given twice) keeps its declared fields.
 """
 
 from __future__ import annotations
@@ -64,29 +71,54 @@ DEFAULT_FEE = 0.0
 DEFAULT_STATUS = "SUCCESS"
 DEFAULT_CHANNEL = "USSD"
 
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-
 
-# Fixed patterns: ISO dates and times, plain decimal numbers.
-ISO_TIME = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2}(:\d{2})?)?)?$"
-)
-ISO_OFFSET = r"([T ].*)(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"
+# Fixed patterns: plain decimal numbers; ISO 8601 as ``datetime.fromisoformat`` reads it,
+# i.e. calendar or week date, any one separator, and a time with or without colons.
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_DATE = r"(\d{4}(-\d{2}-\d{2}|\d{4}|-W\d{2}(-\d)?|W\d{2}\d?))"
+_CLOCK = r"\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?|\d{2}(\d{2}([.,]\d+)?)?)?"
+_OFFSET = r"(Z|[+-]\d{2}(:?[0-5]\d(:?[0-5]\d)?)?)?"
+ISO_TIME = f"(?s)^{_DATE}(.{_CLOCK}{_OFFSET})?$"
+USUAL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
+WEEK = r"(?s)^(\d{4})-?W(\d{2})-?(\d?)"
+# (pattern, replacement), in this order: other ISO forms to the usual one
+_TO_USUAL = (
+    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+    (r"(?s)^(.{10}).", "$1T"),
+    (r"T(\d{2})(\d{2})(\d{2})", "T$1:$2:$3"),
+    (r"T(\d{2})(\d{2})(?!\d)", "T$1:$2"),
+    (r"^(.{10})$", "$1T00"),
+    (r"T(\d{2})(?!:)", "T$1:00"),
+    (r"T(\d{2}:\d{2})(?!:)", "T$1:00"),
+    (r"[.,](\d{1,6})\d*(?=[Z+-]|$)", ".$1"),
+    (r"(T[^Z+-]*)$", "$1Z"),
+    (r"(T.*[+-]\d{2})$", "$1:00"),
+    (r"(T.*[+-]\d{2})(\d{2})", "$1:$2"),
+    (r"(T.*[+-]\d{2}:\d{2})(\d{2})", "$1:$2"),
+)
 
 
-def _instant(text: Column) -> Column:
-    """ISO text -> timestamp, text without an offset read as UTC; else NULL."""
-    full = F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
-    zoned = F.when(full.rlike(ISO_OFFSET), full).otherwise(F.concat(full, F.lit("Z")))
-    return F.when(text.rlike(ISO_TIME), zoned.try_cast("timestamp"))
+def _calendar_date(text: Column) -> Column:
+    """Text that begins with a week date, with the calendar date instead."""
+    part = lambda g: F.regexp_extract(text, WEEK, g)
+    monday = F.date_trunc("week", F.concat(part(1), F.lit("-01-04")).try_cast("timestamp_ntz")).cast("date")
+    week, day = part(2).cast("int"), F.coalesce(F.when(part(3) != "", part(3)), F.lit("1")).cast("int")
+    # week 53 exists only where its Thursday is still in the year
+    there = (week >= 1) & day.between(1, 7) & (F.year(F.date_add(monday, week * 7 - 4)) == part(1).cast("int"))
+    found = F.when(there, F.date_add(monday, week * 7 - 8 + day).cast("string"))
+    return F.concat(found, F.regexp_replace(text, WEEK, ""))
 
 
 def _utc_ntz(text: Column) -> Column:
-    """ISO text with or without an offset -> UTC wall time (TIMESTAMP_NTZ),
-    independent of the session time zone."""
-    local_wall = _instant(text).cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local_wall)
+    """ISO text with or without an offset -> UTC wall time (TIMESTAMP_NTZ), independent
+    of the session time zone; text without an offset is UTC; anything else NULL.
+    Fractions are cut to microseconds; offsets have no fractions."""
+    other = F.when(text.rlike(WEEK), _calendar_date(text)).otherwise(text)
+    for pattern, replacement in _TO_USUAL:
+        other = F.regexp_replace(other, pattern, replacement)
+    usual = F.when(text.rlike(USUAL), text).when(text.rlike(ISO_TIME), other)
+    micros = F.unix_micros(usual.try_cast("timestamp"))
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def _number(text: Column) -> Column:
@@ -99,108 +131,85 @@ def _completed(tx: Column) -> Column:
     return F.when(tx["completedAt"] != "", tx["completedAt"])
 
 
-def _iso(c: Column) -> Column:
-    return F.concat(F.date_format(c, ISO_FORMAT), F.lit("Z"))
-
-
-def build_pages(raw: DataFrame, page_size: int = 1000, body_col: str = "body") -> DataFrame:
-    """Group raw transaction rows into API page documents.
-
-    The page number comes from the numeric part of the transaction id, so a
-    page holds at most ``page_size`` ids (twice that with re-deliveries): the
-    grouping never gathers an unbounded group.
-    """
-    page_no = F.floor(F.substring(F.col("transaction_id"), 3, 64).try_cast("long") / page_size)
-    element = F.struct(
-        F.col("transaction_id").alias("id"),
-        F.col("external_id").alias("externalId"),
-        F.col("transaction_type").alias("type"),
-        F.col("amount"),
-        F.col("currency"),
-        F.col("fee"),
-        F.struct(F.col("sender_phone").alias("msisdn"), F.lit(None).cast("string").alias("name")).alias(
-            "sender"
-        ),
-        F.struct(
-            F.col("recipient_phone").alias("msisdn"), F.lit(None).cast("string").alias("name")
-        ).alias("recipient"),
-        F.col("merchant_code").alias("merchantCode"),
-        F.col("merchant_name").alias("merchantName"),
-        F.col("merchant_category").alias("merchantCategory"),
-        F.col("status"),
-        F.col("failure_reason").alias("failureReason"),
-        _iso(F.col("initiated_at")).alias("initiatedAt"),
-        _iso(F.col("completed_at")).alias("completedAt"),
-        F.col("channel"),
-        F.col("agent_code").alias("agentCode"),
-        F.col("region"),
-    )
-    pages = raw.groupBy(page_no.alias("page")).agg(
-        F.collect_list(element).alias("transactions"), F.count(F.lit(1)).alias("totalCount")
-    )
-    last = pages.select(F.max("page")).scalar()
-    return pages.select(
-        "page",
-        F.to_json(
-            F.struct(
-                "transactions", "page", "totalCount", (F.col("page") < last).alias("hasMore")
-            )
-        ).alias(body_col),
-    )
-
-
 def _elements(pages: DataFrame, body_col: str) -> DataFrame:
-    parsed = pages.select(
-        "*",
-        F.from_json(
-            F.col(body_col), PAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-        ).alias("_doc"),
-    )
-    return (
-        parsed.filter(F.coalesce(F.size("_doc.transactions") != 0, F.lit(True)))
-        .select("*", F.posexplode_outer("_doc.transactions").alias("_pos", "_txt"))
-        .withColumns({
-            "_tx": F.from_json("_txt", ELEMENT), "_keys": F.json_object_keys("_txt"),
-        })
+    """A row for each element (column ``_el``), and one for a page without a list. All
+    parsing is done inside the array, so that it is done once."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = pages.withColumn("_doc", F.from_json(F.col(body_col), PAGE, options))
+
+    def fields(text: Column, place: Column) -> Column:
+        return F.struct(
+            place.cast("int").alias("pos"), text.alias("txt"), F.from_json(text, ELEMENT).alias("tx"),
+            F.json_object_keys(text).alias("keys"),
+        )
+
+    def values(e: Column) -> Column:
+        tx = e["tx"]
+        return F.struct(
+            e["pos"].alias("pos"), e["txt"].alias("txt"), tx.alias("tx"), e["keys"].alias("keys"),
+            _number(tx["amount"]).alias("amount"), _number(tx["fee"]).alias("fee"),
+            _utc_ntz(tx["initiatedAt"]).alias("initiated"), _utc_ntz(_completed(tx)).alias("completed"),
+            F.lit(None).cast("string").alias("page_reason"),
+        )
+
+    def page_only(reason: str) -> Column:
+        none = F.lit(None)
+        return F.array(F.struct(
+            none.cast("int").alias("pos"), none.cast("string").alias("txt"), none.cast(ELEMENT).alias("tx"),
+            none.cast("array<string>").alias("keys"), none.cast("double").alias("amount"),
+            none.cast("double").alias("fee"), none.cast("timestamp_ntz").alias("initiated"),
+            none.cast("timestamp_ntz").alias("completed"), F.lit(reason).alias("page_reason"),
+        ))
+
+    elements = (
+        F.when(F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull(), page_only("not_json"))
+        .when(F.col("_doc.transactions").isNull(), page_only("no_transactions"))
+        .otherwise(F.transform(F.transform("_doc.transactions", fields), values))
     )
+    return parsed.select(*pages.columns, F.explode(elements).alias("_el"))
 
 
 def _reason() -> Column:
-    tx = F.col("_tx")
-    amount = _number(tx["amount"])
-    fee = _number(tx["fee"])
-    null_given = lambda k: F.array_contains("_keys", k) & tx[k].isNull()
+    el, tx, keys = F.col("_el"), F.col("_el.tx"), F.col("_el.keys")
+    null_given = lambda k: F.array_contains(keys, k) & tx[k].isNull()
     return (
-        F.when(F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull(), "not_json")
-        .when(F.col("_pos").isNull(), "no_transactions")
-        .when(tx.isNull() | F.col("_keys").isNull(), "not_an_object")
+        F.when(el["page_reason"].isNotNull(), el["page_reason"])
+        .when(tx.isNull() | keys.isNull(), "not_an_object")
         .when(tx["id"].isNull(), "missing_id")
         .when(tx["type"].isNull(), "missing_type")
-        .when(amount.isNull() | (amount <= 0), "bad_amount")
+        .when(el["amount"].isNull() | (el["amount"] <= 0), "bad_amount")
         .when(null_given("currency"), "bad_currency")
-        .when(null_given("fee") | (tx["fee"].isNotNull() & fee.isNull()) | (fee < 0), "bad_fee")
+        .when(
+            null_given("fee") | (tx["fee"].isNotNull() & el["fee"].isNull()) | (el["fee"] < 0), "bad_fee"
+        )
         .when(tx["sender"]["msisdn"].isNull(), "missing_sender")
         .when(tx["recipient"]["msisdn"].isNull(), "missing_recipient")
-        .when(_instant(tx["initiatedAt"]).isNull(), "bad_initiated_at")
-        .when(_completed(tx).isNotNull() & _instant(_completed(tx)).isNull(), "bad_completed_at")
+        .when(el["initiated"].isNull(), "bad_initiated_at")
+        .when(_completed(tx).isNotNull() & el["completed"].isNull(), "bad_completed_at")
     )
 
 
-def _rows(good: DataFrame, secret: str | bytes | None, redact: bool) -> DataFrame:
-    tx = F.col("_tx")
+def redacted(text: Column, tx: Column) -> Column:
+    """An element's JSON without the personal objects; keys come in order of name."""
+    whole = F.try_parse_json(text).cast("map<string,variant>")
+    kept = F.map_filter(whole, lambda k, _: ~k.isin("sender", "recipient"))
+    return F.coalesce(F.to_json(kept), F.to_json(tx.dropFields("sender", "recipient")))
+
+
+def _rows(good: DataFrame, secret: str | bytes | None) -> DataFrame:
+    tx, text = F.col("_el.tx"), F.col("_el.txt")
 
     def phone(c: Column) -> Column:
         canon = phone_canonical(c)
         return canon if secret is None else tokenize(canon, secret)
 
-    payload = F.to_json(tx.dropFields("sender", "recipient")) if redact else F.col("_txt")
     return good.select(
         tx["id"].alias("transaction_id"),
         tx["externalId"].alias("external_id"),
         tx["type"].alias("transaction_type"),
-        _number(tx["amount"]).alias("amount"),
+        F.col("_el.amount").alias("amount"),
         F.coalesce(tx["currency"], F.lit(DEFAULT_CURRENCY)).alias("currency"),
-        F.coalesce(_number(tx["fee"]), F.lit(DEFAULT_FEE)).alias("fee"),
+        F.coalesce(F.col("_el.fee"), F.lit(DEFAULT_FEE)).alias("fee"),
         phone(tx["sender"]["msisdn"]).alias("sender_phone"),
         phone(tx["recipient"]["msisdn"]).alias("recipient_phone"),
         tx["merchantCode"].alias("merchant_code"),
@@ -208,12 +217,12 @@ def _rows(good: DataFrame, secret: str | bytes | None, redact: bool) -> DataFram
         tx["merchantCategory"].alias("merchant_category"),
         F.coalesce(tx["status"], F.lit(DEFAULT_STATUS)).alias("status"),
         tx["failureReason"].alias("failure_reason"),
-        _utc_ntz(tx["initiatedAt"]).alias("initiated_at"),
-        _utc_ntz(_completed(tx)).alias("completed_at"),
+        F.col("_el.initiated").alias("initiated_at"),
+        F.col("_el.completed").alias("completed_at"),
         F.coalesce(tx["channel"], F.lit(DEFAULT_CHANNEL)).alias("channel"),
         tx["agentCode"].alias("agent_code"),
         tx["region"].alias("region"),
-        payload.alias("raw_payload"),
+        (text if secret is None else redacted(text, tx)).alias("raw_payload"),
     )
 
 
@@ -227,9 +236,7 @@ def flatten_pages(
     Phones are canonicalised; with ``secret`` they are tokenised and the
     sender/recipient objects are removed from the stored payload.
     """
-    el = _elements(pages, body_col)
-    good = el.filter(_reason().isNull())
-    return _rows(good, secret, redact=secret is not None)
+    return _rows(_elements(pages, body_col).filter(_reason().isNull()), secret)
 
 
 def quarantine_pages(
@@ -241,21 +248,21 @@ def quarantine_pages(
     is bounded by one element; the full page text is kept only for a page that
     is not JSON at all. With ``secret`` no personal data is stored: the
     sender/recipient objects are removed, and only the SHA-256 of text that
-    cannot be parsed is kept. Other columns of ``pages`` (e.g. a page number)
+    cannot be parsed is kept (see ``redacted``). Other columns of ``pages`` (e.g. a page number)
     are kept.
     """
-    el = _elements(pages, body_col).withColumn("reason", _reason())
+    rejected = _elements(pages, body_col).withColumn("reason", _reason()).filter("reason IS NOT NULL")
     extra = [c for c in pages.columns if c != body_col]
-    text = F.when(F.col("reason") == "not_json", F.col(body_col)).otherwise(F.col("_txt"))
+    text = F.when(F.col("reason") == "not_json", F.col(body_col)).otherwise(F.col("_el.txt"))
     if secret is not None:
         text = F.when(
             F.col("reason").isin("not_json", "not_an_object"),
             F.concat(F.lit("sha256:"), F.sha2(text, 256)),
-        ).otherwise(F.to_json(F.col("_tx").dropFields("sender", "recipient")))
-    return el.filter(F.col("reason").isNotNull()).select(
+        ).otherwise(redacted(F.col("_el.txt"), F.col("_el.tx")))
+    return rejected.select(
         *extra,
-        F.col("_tx.id").alias("transaction_id"),
-        F.col("_pos").alias("position"),
+        F.col("_el.tx.id").alias("transaction_id"),
+        F.col("_el.pos").alias("position"),
         "reason",
         text.alias("raw_text"),
     )
