@@ -3,86 +3,99 @@
 Spark's ``median`` / ``percentile`` keep, per group, a map from distinct value
 to count, and the final merge of a group happens in one task. For a group that
 holds a large share of the rows that map (and its sort) sits on one executor.
-``grouped_median`` computes the same number with only distributed steps:
-
-1. count rows per (group, value) - a partial hash aggregate;
-2. range-partition those counts by (group, value), so a large group's values
-   are spread in order over many partitions;
-3. running counts inside each (partition, group) slice, plus per-slice totals
-   turned into offsets by a window over the (few) slices of each group;
-4. the value(s) at the middle positions are picked and interpolated exactly as
-   ``percentile(x, 0.5)`` does: ``lo + (hi - lo) * 0.5``.
-
-Every step works on the (group, value) counts, never on all rows of a group
-in one task.
+``grouped_median`` selects the middle values in narrowing steps instead:
+
+1. rows per (group, value) are counted - a partial hash aggregate;
+2. values are put into buckets by a function that never decreases with the value
+   and has a bounded number of results, and the counts of each group's buckets are
+   summed: at most that many rows per group, whatever its size;
+3. a running sum over a group's buckets finds the one that holds each middle
+   position; only its values go on, to a finer division between its least and its
+   greatest value, and then to a ranking of the values themselves;
+4. the two middle values are interpolated exactly as ``percentile(x, 0.5)`` does:
+   ``lo + (hi - lo) * 0.5``.
+
+Which rows meet where depends on their values alone: neither the number of
+partitions, nor their ids, nor the reuse of an exchange has a part in the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+COARSE = 64  # buckets for each factor e of the value
+FINE = 1 << 16  # divisions of one bucket
+
+
+def _coarse(v: Column) -> Column:
+    """Never decreases with ``v``; at most 2 * 710 * COARSE results for finite values.
+    NaN, which sorts last, gets the greatest."""
+    size = F.floor(F.least(F.log1p(F.abs(v)), F.lit(710.0)) * COARSE)
+    return F.when(F.isnan(v), F.lit(1 << 40)).when(v < 0, -size - 1).otherwise(size)
+
+
+def _fine(v: Column, least: Column, greatest: Column) -> Column:
+    """Never decreases with ``v`` in [least, greatest]; 0 where that cannot be divided."""
+    share = (v - least) / F.when(greatest > least, greatest - least)
+    return F.when(share.between(0.0, 1.0), F.floor(share * (FINE - 1))).otherwise(F.lit(0))
+
+
+def _step(parts: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """The row of ``parts`` that holds position ``_pos`` of each group, running over
+    ``by``; ``_pos`` is then counted from its first row on. ``parts`` has one row per
+    (keys, by) with its count ``_n``."""
+    upto = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = parts.withColumn("_upto", F.sum("_n").over(upto))
+    inside = (F.col("_upto") - F.col("_n") < F.col("_pos")) & (F.col("_pos") <= F.col("_upto"))
+    return found.filter(inside).withColumn("_pos", F.col("_pos") - F.col("_upto") + F.col("_n")).drop("_upto")
+
 
 def grouped_median(
     df: DataFrame, keys: Sequence[str], value: str, out: str = "median"
 ) -> DataFrame:
-    """One row per group of ``keys`` with the exact median of ``value``."""
-    keys = list(keys)
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ranged = counts.repartitionByRange(*keys, value).withColumn("_pid", F.spark_partition_id())
-    slice_key = ["_pid", *keys]
-    running = (
-        Window.partitionBy(*slice_key)
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    # both windows share the (partition, group) partitioning: one exchange
-    local = ranged.withColumns(
-        {
-            "_cum": F.sum("_n").over(running),
-            "_slice_n": F.sum("_n").over(Window.partitionBy(*slice_key)),
-        }
+    """One row per group of ``keys`` with the exact median of ``value``. NULL values are
+    left out; a group of NULL values only has no row."""
+    # short names of our own, so that no input column can clash
+    names = [f"_k{i}" for i in range(len(keys))]
+    values = df.select(
+        *[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)], F.col(f"`{value}`").cast("double").alias("_v")
+    ).filter(F.col("_v").isNotNull())
+    counts = values.groupBy(*names, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_b", _coarse(F.col("_v")))
+    buckets = counts.groupBy(*names, "_b").agg(
+        F.sum("_n").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_greatest")
     )
-    # the last row of a slice carries the slice total: one row per slice
-    slices = local.filter(F.col("_cum") == F.col("_slice_n")).select(*slice_key, "_slice_n")
-    before_w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    group_w = Window.partitionBy(*keys)
-    offsets = slices.select(
-        *slice_key,
-        F.coalesce(F.sum("_slice_n").over(before_w), F.lit(0)).alias("_off"),
-        F.sum("_slice_n").over(group_w).alias("_total"),
+    total = F.sum("_n").over(Window.partitionBy(*names))
+    # both middle positions, counted from 1; one and the same in a group of odd size
+    middle = F.array(F.floor((total + 1) / 2), F.floor(total / 2) + 1)
+    targets = _step(
+        buckets.withColumn("_two", middle).select(*buckets.columns, F.posexplode("_two").alias("_m", "_pos")),
+        [*names, "_m"], "_b",
+    ).drop("_n")
+
+    def same(left: str, right: str, columns: list[str]) -> Column:
+        cond = F.lit(True)
+        for c in columns:
+            cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+        return cond
+
+    near = counts.alias("c").join(targets.alias("t"), same("c", "t", [*names, "_b"])).select(
+        *[f"c.{n}" for n in names], "c._v", "c._n", "t._m", "t._pos",
+        _fine(F.col("c._v"), F.col("t._least"), F.col("t._greatest")).alias("_f"),
     )
-    l, o = local.alias("l"), offsets.alias("o")
-    cond = [F.col("l._pid") == F.col("o._pid")] + [
-        F.col(f"l.`{k}`").eqNullSafe(F.col(f"o.`{k}`")) for k in keys
-    ]
-    joined = l.join(o, cond, "inner").select(
-        *[F.col(f"l.`{k}`").alias(k) for k in keys],
-        F.col(f"l.`{value}`").alias(value),
-        "l._n",
-        "l._cum",
-        "o._off",
-        "o._total",
+    divisions = near.groupBy(*names, "_m", "_pos", "_f").agg(F.sum("_n").alias("_n"))
+    spot = _step(divisions, [*names, "_m"], "_f").drop("_n")
+    last = near.alias("c").join(spot.alias("t"), same("c", "t", [*names, "_m", "_f"])).select(
+        *[f"c.{n}" for n in names], "c._v", "c._n", "t._m", "t._pos"
     )
-    hi = F.col("_off") + F.col("_cum")  # last position (1-based) holding this value
-    lo = hi - F.col("_n") + 1
-    pos_lo = F.floor((F.col("_total") - 1) / 2) + 1
-    pos_hi = F.ceil((F.col("_total") - 1) / 2) + 1
-    picks = joined.select(
-        *keys,
-        F.when((lo <= pos_lo) & (pos_lo <= hi), F.col(value)).alias("_lo"),
-        F.when((lo <= pos_hi) & (pos_hi <= hi), F.col(value)).alias("_hi"),
-    ).filter(F.col("_lo").isNotNull() | F.col("_hi").isNotNull())
-    return picks.groupBy(*keys).agg(
-        (F.max("_lo") + (F.max("_hi") - F.max("_lo")) * 0.5).cast("double").alias(out)
+    picked = _step(last, [*names, "_m"], "_v")
+    lo = F.max(F.when(F.col("_m") == 0, F.col("_v")))
+    hi = F.max(F.when(F.col("_m") == 1, F.col("_v")))
+    return picked.groupBy(*names).agg((lo + (hi - lo) * 0.5).alias(out)).select(
+        *[F.col(n).alias(k) for n, k in zip(names, keys)], out
     )
 
 
