@@ -9,10 +9,13 @@
 * Phrases are counted inside distinct chunks, weighted by the chunk's frequency. A
   phrase belongs to the chunk in which it starts before the closing window (the last
   chunk of a text takes all its starts), so what lies in an overlap counts once.
-* Level by level: phrases of n words are counted by a 64-bit hash, and only where both
-  their phrases of n - 1 words may have reached ``min_count``, which a bitmap of fixed
-  size tells. Equal hashes can only raise a count, so no phrase is lost. A last pass
-  counts the words of the phrases that are left, exactly.
+* The dictionary keeps a 64-bit hash of each word, so that the passes that count work
+  on arrays. Level by level, phrases of n words are counted by a key of 96 bits, and
+  only where both their phrases of n - 1 words may have reached ``min_count``, which a
+  bitmap of fixed size tells; it errs to one side only, so no phrase is lost.
+* With its count, each key keeps the least of its places (a hash of chunk and offset).
+  One more pass over the dictionary reads the words of a frequent phrase at that place
+  only, so what it gives grows with the number of frequent phrases.
 * Scores are joins of the frequent phrases with themselves in decimals of 38 digits.
 
 A phrase inside a longer one with an equal count also lies inside one that is just one
@@ -40,7 +43,7 @@ from .common import stored
 MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
 EVERY = 32
 LOG2_BITS = 25  # 4 MB for each phrase length
-HELD_TOKENS = 1_500_000  # words that a task works on at once
+HELD_TOKENS = 2_000_000  # words that a task works on at once
 
 # What ends a piece; "." stands for all of them in the chunks.
 BORDERS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -141,123 +144,181 @@ def parse(docs: DataFrame, every: int = EVERY) -> DataFrame:
     )
 
 
+def coded(dictionary: DataFrame) -> DataFrame:
+    """The dictionary with the hashes of each chunk's words (``words``, 64 bits each, 0 for
+    a border) and of the chunk (``id``)."""
+
+    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            chunks = [c.encode().split(b" ") for c in batch["chunk"]]
+            ids, distinct = _numbered([t for c in chunks for t in c])
+            by_token = np.maximum(_token_hashes(distinct), np.uint64(1))
+            by_token[[i for i, t in enumerate(distinct) if t == BORDER]] = 0
+            ends = np.cumsum([len(c) for c in chunks])
+            batch["words"] = [w.tobytes() for w in np.split(by_token[ids].astype("<u8"), ends[:-1])]
+            batch["id"] = [xxhash.xxh32_intdigest(c) for c in batch["chunk"]]
+            yield batch
+
+    schema = "lang string, chunk string, ends boolean, freq long, words binary, id long"
+    return dictionary.select("lang", "chunk", "ends", "freq").mapInPandas(code, schema)
+
+
 class _Block:
     """Chunks of the dictionary laid end to end, as arrays over their words."""
 
-    def __init__(self, chunks: list[list[bytes]], langs: list[str], ends: list[bool], freqs: list[int]):
-        sizes = np.array([len(c) for c in chunks])
-        self.ids, self.distinct = _numbered([t for c in chunks for t in c])
-        by_token = _token_hashes(self.distinct)
-        self.token_hashes = by_token[self.ids]
-        self.langs, lang_of = np.unique(np.array(langs, dtype=object), return_inverse=True)
-        self.lang = np.repeat(lang_of, sizes)
+    def __init__(self, rows: pd.DataFrame):
+        self.rows = rows
+        self.words = np.frombuffer(b"".join(rows["words"]), dtype="<u8")
+        self.sizes = rows["words"].map(len).to_numpy() // 8
+        self.stop = np.cumsum(self.sizes)
+        self.langs, lang_of = np.unique(rows["lang"].to_numpy(dtype=object), return_inverse=True)
         seeds = np.array([xxhash.xxh64_intdigest(x.encode()) for x in self.langs], dtype=np.uint64)
-        self.seed = seeds[self.lang]
-        self.freq = np.repeat(np.array(freqs, dtype=np.int64), sizes)
-        stop = np.cumsum(sizes)
-        owned = stop - np.where(ends, 0, MAX_WORDS - 1)
-        place = np.arange(len(self.ids))
+        self.seed = np.repeat(seeds[lang_of], self.sizes)
+        self.lang = np.repeat(lang_of, self.sizes)
+        self.freq = np.repeat(rows["freq"].to_numpy(), self.sizes)
+        place = np.arange(len(self.words))
         # words that follow a place inside its piece and chunk, itself included
-        border = self.distinct.index(BORDER) if BORDER in self.distinct else -1
-        borders = np.append(np.flatnonzero(self.ids == border), len(place))
+        borders = np.append(np.flatnonzero(self.words == 0), len(place))
         following = borders[np.searchsorted(borders, place)]
-        self.room = np.minimum(following, np.repeat(stop, sizes)) - place
-        self.room[place >= np.repeat(owned, sizes)] *= -1  # starts that the next chunk owns
-
-    def phrases(self, n: int, bitsets: list[np.ndarray], log2_bits: int) -> tuple[np.ndarray, np.ndarray]:
+        self.room = np.minimum(following, np.repeat(self.stop, self.sizes)) - place
+        owned = self.stop - np.where(rows["ends"], 0, MAX_WORDS - 1)
+        self.room[place >= np.repeat(owned, self.sizes)] *= -1  # starts that the next chunk owns
+
+    def where(self, at: np.ndarray) -> np.ndarray:
+        """A 32-bit hash of chunk and offset of each place."""
+        chunk = np.searchsorted(self.stop, at, side="right")
+        offset = at - (self.stop - self.sizes)[chunk]
+        mixed = (self.rows["id"].to_numpy()[chunk].astype(np.uint64) + (offset.astype(np.uint64) << np.uint64(32)))
+        return ((mixed * _SPREAD) >> np.uint64(32)).astype(np.int64)
+
+    def phrases(self, n: int, bitsets: list[np.ndarray], log2_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places where a phrase of n words starts whose shorter phrases may be
-        frequent by ``bitsets`` (of 1, 2, ... words), and the hash of each place."""
+        frequent by ``bitsets`` (of 1, 2, ... words), and its key: 64 and 32 bits."""
         hashes, fits = self.seed, np.abs(self.room) >= 1
         for m in range(1, n + 1):
-            hashes = _longer(hashes, self.token_hashes, m)
+            hashes = _longer(hashes, self.words, m)
             fits &= np.abs(self.room) >= m
             if m == n:
                 break
             fits[fits] = holds(bitsets[m - 1], spots(hashes[fits], log2_bits))
             fits[:-1] &= fits[1:]  # the phrase of m words one place on
             fits[-1] = False
-        return np.flatnonzero(fits & (self.room > 0)), hashes
+        at = np.flatnonzero(fits & (self.room > 0))
+        check = ~self.seed[at]
+        for m in range(n):
+            check = (check + self.words[at + m]) * np.uint64(0xC2B2AE3D27D4EB4F)
+            check ^= check >> np.uint64(31)
+        return at, hashes[at].view(np.int64), (check >> np.uint64(32)).astype(np.int64)
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
-    chunks, langs, ends, freqs, size = [], [], [], [], 0
+    held, size = [], 0
     for batch in batches:
-        for lang, chunk, end, freq in zip(batch["lang"], batch["chunk"], batch["ends"], batch["freq"]):
-            tokens = chunk.encode().split(b" ")
-            chunks.append(tokens)
-            langs.append(lang)
-            ends.append(end)
-            freqs.append(freq)
-            size += len(tokens)
-            if size > HELD_TOKENS:
-                yield _Block(chunks, langs, ends, freqs)
-                chunks, langs, ends, freqs, size = [], [], [], [], 0
-    if chunks:
-        yield _Block(chunks, langs, ends, freqs)
-
-
-def _frequent_bits(
+        held.append(batch)
+        size += int(batch["words"].map(len).sum()) // 8
+        if size > HELD_TOKENS:
+            yield _Block(pd.concat(held, ignore_index=True))
+            held, size = [], 0
+    if size:
+        yield _Block(pd.concat(held, ignore_index=True))
+
+
+def _frequent(
     dictionary: DataFrame, n: int, packed: list[bytes], min_count: int, log2_bits: int
-) -> bytes:
-    """The bitmap of the phrases of n words that may occur ``min_count`` times."""
+) -> DataFrame:
+    """(h, c, f, place): keys of the phrases of n words that occur ``min_count`` times."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bitsets = [np.frombuffer(b, dtype=np.uint8) for b in packed]
         for block in _blocks(batches):
-            at, hashes = block.phrases(n, bitsets, log2_bits)
-            found, which = np.unique(hashes[at], return_inverse=True)
-            sums = np.bincount(which, block.freq[at], len(found))  # exact below 2 ** 53
-            yield pd.DataFrame({"h": found.view(np.int64), "n": sums.astype(np.int64)})
+            at, h, c = block.phrases(n, bitsets, log2_bits)
+            order = np.lexsort((c, h))
+            at, h, c = at[order], h[order], c[order]
+            new = np.ones(len(h), dtype=bool)
+            new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+            first = np.flatnonzero(new)
+            if len(first):
+                yield pd.DataFrame({
+                    "h": h[first], "c": c[first].astype(np.uint32).view(np.int32),
+                    "f": np.add.reduceat(block.freq[at], first),
+                    "place": np.minimum.reduceat(block.where(at), first),
+                })
+
+    words = dictionary.select("lang", "ends", "freq", "words", "id")
+    counted = words.mapInPandas(count, "h long, c int, f long, place long")
+    return (
+        counted.groupBy("h", "c").agg(F.sum("f").alias("f"), F.min("place").alias("place"))
+        .filter(F.col("f") >= min_count)
+    )
+
 
+def _spot_column(log2_bits: int):
     def spot(h: pd.Series) -> pd.Series:
         return pd.Series(spots(h.to_numpy().view(np.uint64), log2_bits))
 
-    counted = dictionary.mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    frequent = counted.filter(F.col("n") >= min_count)
-    return collect_bitset(frequent.select(F.pandas_udf(spot, "long")("h").alias("spot")), "spot", log2_bits)
+    return F.pandas_udf(spot, "long")
 
 
 def count_phrases(
     dictionary: DataFrame, min_count: int = MIN_COUNT, log2_bits: int = LOG2_BITS
 ) -> DataFrame:
     """(lang, phrase, f): phrases of 1 to 5 words that occur ``min_count`` times, and for
-    every lang the number of its words as the empty phrase. Runs a job for each phrase
-    length while it is built; ``dictionary`` should be a stored table."""
+    every lang the number of its words as the empty phrase. ``dictionary`` is a stored
+    table of ``coded``. Runs jobs for each phrase length while it is built."""
     packed: list[bytes] = []
+    levels = []
+    spot = _spot_column(log2_bits)
     for n in range(1, MAX_WORDS + 1):
-        packed.append(_frequent_bits(dictionary, n, packed, min_count, log2_bits))
+        found = stored(_frequent(dictionary, n, packed, min_count, log2_bits), f"frequent-{n}")
+        packed.append(collect_bitset(found.select(spot("h").alias("spot")), "spot", log2_bits))
+        levels.append(found.withColumn("words", F.lit(n)))
+    frequent = levels[0]
+    for more in levels[1:]:
+        frequent = frequent.unionByName(more)
+    # the places to read, a bitmap for all lengths
+    places = collect_bitset(
+        frequent.select(spot(F.col("h").bitwiseXOR(F.col("place"))).alias("spot")), "spot", log2_bits
+    )
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bitsets = [np.frombuffer(b, dtype=np.uint8) for b in packed]
+        chosen = np.frombuffer(places, dtype=np.uint8)
         for block in _blocks(batches):
-            words = block.room > 0
-            for k, lang in enumerate(block.langs):
-                own = words & (block.lang == k)
-                yield pd.DataFrame({"lang": [lang], "phrase": [""], "f": [int(block.freq[own].sum())]})
+            own = block.room > 0
+            totals = np.bincount(block.lang[own], block.freq[own], len(block.langs))
+            yield pd.DataFrame({
+                "lang": pd.Series(block.langs, dtype=object), "phrase": "", "words": 0,
+                "h": 0, "c": 0, "f": totals.astype(np.int64),
+            })
+            start = block.stop - block.sizes
             for n in range(1, MAX_WORDS + 1):
-                at, hashes = block.phrases(n, bitsets, log2_bits)
-                at = at[holds(bitsets[n - 1], spots(hashes[at], log2_bits))]
-                # exact groups: the lang and then a word at a time
-                group = block.lang[at].astype(np.int64)
-                for m in range(n):
-                    group = group * len(block.distinct) + block.ids[at + m]
-                    group = np.unique(group, return_inverse=True)[1]
-                sums = np.bincount(group, block.freq[at]).astype(np.int64)
-                first = np.zeros(len(sums), dtype=np.int64)
-                first[group] = at
+                at, h, c = block.phrases(n, bitsets, log2_bits)
+                here = holds(chosen, spots((h ^ block.where(at)).view(np.uint64), log2_bits))
+                at, h, c = at[here], h[here], c[here]
+                chunk = np.searchsorted(block.stop, at, side="right")
+                texts = block.rows["chunk"].to_numpy(dtype=object)
                 phrases = [
-                    b" ".join(block.distinct[t] for t in block.ids[i : i + n]).decode()
-                    for i in first.tolist()
+                    " ".join(texts[k].split(" ")[i : i + n])
+                    for k, i in zip(chunk.tolist(), (at - start[chunk]).tolist())
                 ]
-                langs = pd.Series(block.langs[block.lang[first]], dtype=object)
-                yield pd.DataFrame({"lang": langs, "phrase": pd.Series(phrases, dtype=object), "f": sums})
-
-    counted = dictionary.mapInPandas(count, "lang string, phrase string, f long")
-    return (
-        counted.groupBy("lang", "phrase")
-        .agg(F.sum("f").alias("f"))
-        .filter((F.col("f") >= min_count) | (F.col("phrase") == ""))
+                if phrases:
+                    yield pd.DataFrame({
+                        "lang": pd.Series(block.langs[block.lang[at]], dtype=object),
+                        "phrase": pd.Series(phrases, dtype=object), "words": n,
+                        "h": h, "c": c.astype(np.uint32).view(np.int32), "f": 0,
+                    })
+
+    found = dictionary.select("lang", "chunk", "ends", "freq", "words", "id").mapInPandas(
+        read, "lang string, phrase string, words int, h long, c int, f long"
+    )
+    found = stored(
+        found.groupBy("lang", "phrase", "words", "h", "c").agg(F.sum("f").alias("f")), "phrase-texts"
+    )
+    totals = found.filter(F.col("words") == 0).select("lang", "phrase", "f")
+    named = found.filter(F.col("words") > 0).drop("f").join(
+        frequent.select("h", "c", "words", "f"), ["h", "c", "words"]
     )
+    return named.select("lang", "phrase", "f").unionByName(totals)
 
 
 def collocations(counted: DataFrame, top: int = TOP) -> DataFrame:
@@ -312,5 +373,5 @@ def mine(
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of the ``top`` phrases of each lang.
     Runs the counting jobs while it is built."""
-    dictionary = stored(parse(docs, every), "chunks")
+    dictionary = stored(coded(parse(docs, every)), "chunks", compression="zstd")
     return collocations(stored(count_phrases(dictionary, min_count, log2_bits), "phrases"), top)
