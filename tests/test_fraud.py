@@ -57,8 +57,9 @@ def test_amount_spike_history_window(spark):
     today = [{"sender": "A", "amount": 50.0}]
     s = silver_of(spark, old + today)
     # unbounded history: mean = 60/11, 50 > 5 * 5.45 -> flagged
-    assert fraud.amount_spike(s, "2024-01-15").count() == 1
-    # history from 7 days back contains only the row itself -> not flagged
+    assert fraud.amount_spike(s, "2024-01-15", since="2023-01-01").count() == 1
+    # history from 7 days back, the default, contains only the row itself -> not flagged
+    assert fraud.amount_spike(s, "2024-01-15").count() == 0
     assert fraud.amount_spike(s, "2024-01-15", since="2024-01-08").count() == 0
 
 
@@ -152,3 +153,51 @@ def test_spike_history_starts_at_the_given_day(spark):
     mean = lambda **k: fraud.sender_mean(rows, **k).first().avg_amount_7d
     assert mean() < 200
     assert mean(since="2024-01-08") == 1000.0
+
+
+def test_rolling_spike_counts_the_days_before_and_the_day_so_far(spark):
+    import random
+
+    from txnlake.operators import fraud
+
+    rnd = random.Random(4)
+    rows = []
+    for i in range(900):
+        sender = "hot" if i % 3 else rnd.choice(["a", "b", None])
+        d, s = rnd.randrange(1, 22), rnd.randrange(0, 3000)
+        amount = float(rnd.choice([10, 12, 15, 900]))
+        at = f"2024-01-{d:02d} {s // 3600:02d}:{s // 60 % 60:02d}:{s % 60:02d}"
+        rows.append((f"T{i:04d}", sender, "r", amount, at, at[:10], "PASS" if rnd.random() < 0.9 else "FAIL"))
+    df = spark.createDataFrame(rows, "transaction_id string, sender_phone string, recipient_phone string, "
+                               "amount double, at string, d string, _quality_flag string").selectExpr(
+        "*", "cast(at as timestamp_ntz) as initiated_at", "cast(d as date) as _date", "'x' as channel", "'y' as region")
+    want = set()
+    for t, sender, _, amount, at, d, flag in rows:
+        if sender is None or flag != "PASS":
+            continue
+        history = [
+            r[3] for r in rows
+            if r[1] == sender and r[6] == "PASS" and (r[4], r[0]) <= (at, t)
+            and int(d[-2:]) - int(r[5][-2:]) <= 7
+        ]
+        if amount > sum(history) / len(history) * 3.0:
+            want.add(t)
+    for slot in (1, 300, 86400):
+        got = {r.transaction_id for r in fraud.rolling_spike(df, 3.0, slot_seconds=slot).collect()}
+        assert got == want
+    assert len(want) > 20
+
+
+def test_spike_history_is_seven_days(spark):
+    from txnlake.operators import fraud
+
+    rows = [("old", "2024-01-01", 1.0)] * 1 + [(f"o{i}", "2024-01-01", 10_000.0) for i in range(9)]
+    rows += [(f"n{i}", "2024-01-10", 10.0) for i in range(9)] + [("big", "2024-01-10", 900.0)]
+    df = spark.createDataFrame(rows, "transaction_id string, d string, amount double").selectExpr(
+        "transaction_id", "'s' as sender_phone", "'r' as recipient_phone", "amount",
+        "cast(d as timestamp_ntz) as initiated_at", "'x' as channel", "'y' as region",
+        "cast(d as date) as _date", "'PASS' as _quality_flag")
+    for day in (None, "2024-01-10"):
+        assert [r.transaction_id for r in fraud.amount_spike(df, day).collect()] == ["big"]
+    assert fraud.amount_spike(df, None, days=9).collect() == []
+    assert fraud.amount_spike(df, None, since="2023-12-01").collect() == []

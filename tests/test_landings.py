@@ -23,13 +23,17 @@ def test_two_streams_keep_each_others_rows(spark, tmp_path):
     pg.select(pages_part(0)).filter("body is not null").write.text(str(tmp_path / "a"))
     pg.select(pages_part(1)).filter("body is not null").write.text(str(tmp_path / "b"))
     for name in "ab":  # both begin at epoch 0
-        start_landing(spark, str(tmp_path / name), paths, str(tmp_path / f"ck-{name}")).awaitTermination()
+        start_landing(spark, str(tmp_path / name), paths, str(tmp_path / f"ck-{name}"), tokenize=False).awaitTermination()
     good = pages.flatten_pages(pg)
     assert rows_of(jobs.read_bronze(spark, paths)) == rows_of(good)
     # a fresh checkpoint lands the files again under its own name: nothing is lost
-    start_landing(spark, str(tmp_path / "a"), paths, str(tmp_path / "ck-new")).awaitTermination()
+    start_landing(spark, str(tmp_path / "a"), paths, str(tmp_path / "ck-new"), tokenize=False).awaitTermination()
     assert {r[0] for r in rows_of(jobs.read_silver(spark, paths))} == {r[0] for r in rows_of(good)}
-    assert jobs.read_silver(spark, paths).count() == good.count()
+    assert jobs.read_silver(spark, paths).count() == good.select("transaction_id").distinct().count()
+
+
+def _good(spark, rows, batch):
+    return _delivery(spark, rows, batch).withColumn("status", F.lit("SUCCESS"))
 
 
 def pages_part(k):
@@ -155,3 +159,77 @@ def test_schemas_grow_and_refuse(spark, tmp_path):
         schemas.require(bronze.drop("fee"), "bronze")
     with pytest.raises(schemas.SchemaMismatch, match="amount: string"):
         jobs.ingest_bronze(bronze.withColumn("amount", F.col("amount").cast("string")), LakePaths(path + "-lake"))
+
+
+def test_phones_are_tokenised_unless_turned_off(spark, tmp_path):
+    paths = LakePaths(str(tmp_path / "lake"))
+    body = catalog.api_pages(spark, SF).limit(1)
+    with pytest.raises(ValueError, match="secret"):
+        jobs.ingest_pages(body, paths, "2024-01-31", "b")
+    with pytest.raises(ValueError, match="secret"):
+        start_landing(spark, str(tmp_path), paths, str(tmp_path / "ck"))
+    jobs.ingest_pages(body, paths, "2024-01-31", "b", secret="s")
+    assert all(len(r.sender_phone) == 16 for r in jobs.read_bronze(spark, paths).collect())
+
+
+def test_incremental_keeps_late_rows_and_reads_touched_days(spark, tmp_path, capsys):
+    paths = LakePaths(str(tmp_path / "lake"))
+    first = _delivery(spark, [("A", 1.0, "2024-01-15 10:00:00"), ("B", 2.0, "2024-01-20 10:00:00")], "1")
+    assert jobs.ingest_incremental(spark, paths, first, "i1")["rows_written"] == 2
+    fetch = _delivery(spark, [
+        ("A", 1.0, "2024-01-15 10:00:00"),  # landed
+        ("L", 3.0, "2024-01-15 09:00:00"),  # late: before the high-water mark
+        ("N", 4.0, None), (None, 5.0, "2024-01-21 10:00:00"),
+        ("A", 9.0, "2024-01-15 10:00:00"),  # a correction
+    ], "2")
+    assert jobs.ingest_incremental(spark, paths, fetch, "i2")["rows_written"] == 4
+    assert jobs.ingest_incremental(spark, paths, fetch, "i3")["rows_written"] == 0
+    assert jobs.read_bronze(spark, paths).count() == 6
+    assert str(jobs.high_water_mark(spark, paths)) == "2024-01-21 10:00:00"
+    jobs.bronze_days(spark, paths, [day("2024-01-15"), None]).explain("formatted")
+    plan = capsys.readouterr().out
+    filters = [line for line in plan.splitlines() if line.startswith("PartitionFilters")]
+    assert any("_event_date" in line and "2024-01-15" in line for line in filters)
+
+
+def test_retention_deletes_from_every_layer(spark, tmp_path):
+    paths = LakePaths(str(tmp_path / "lake"))
+    jobs.ingest_bronze(_good(spark, [
+        ("A", 1000.0, "2024-01-15 10:00:00"), ("B", 2000.0, "2024-01-20 10:00:00"), ("N", 3.0, None)
+    ], "1"), paths)
+    jobs.normalize_job(spark, paths)
+    jobs.aggregate_job(spark, paths, "2024-01-31", 30)
+    with pytest.raises(ValueError):
+        jobs.apply_retention(spark, paths, "2024-03-01", 29)
+    gone = jobs.apply_retention(spark, paths, "2024-02-17", 30)  # keeps from 2024-01-18 on
+    assert {k: v for k, v in gone.items() if k in ("bronze", "silver")} == {
+        "bronze": ["2024-01-15"], "silver": ["2024-01-15"]
+    }
+    record = sinks.read_text(spark, paths.root + "/retention/2024-02-17.json")
+    assert json.loads(record) == gone and gone["daily_summary"] == ["2024-01-15"]
+    assert jobs.apply_retention(spark, paths, "2024-02-17", 30) == {}
+    assert sinks.read_text(spark, paths.root + "/retention/2024-02-17.json") == record
+    assert rows_of(jobs.read_bronze(spark, paths)) == [("B", 2000.0, "2024-01-20"), ("N", 3.0, "None")]
+    assert rows_of(jobs.read_silver(spark, paths)) == [("B", 2000.0, "2024-01-20"), ("N", 3.0, "None")]
+    left = spark.read.parquet(paths.index + "/days").collect()
+    assert {r.transaction_id for r in left} == {"B", "N"}
+
+
+def test_checks_in_a_date_range_and_again(spark, tmp_path):
+    paths = LakePaths(str(tmp_path / "lake"))
+    bad = _good(spark, [("A", -1.0, "2024-01-15 10:00:00"), ("B", 2.0, "2024-01-16 10:00:00"),
+                            ("B", 60_000_000.0, "2024-01-16 11:00:00")], "1")
+    jobs.ingest_bronze(bad, paths)
+    jobs.normalize_job(spark, paths)
+    jobs.aggregate_job(spark, paths, "2024-01-31", 30)
+    got = jobs.check_job(spark, paths, "run")
+    assert got["bronze_amount_range"] == 2 and got["bronze_transaction_id_unique"] == 1
+    assert got["silver_transaction_id_unique"] == 0 and got["daily_count_at_least_one"] == 0
+    assert jobs.check_job(spark, paths, "later", "2024-01-16", "2024-01-16")["bronze_amount_range"] == 1
+    # the same run again, after the bad row was corrected: nothing of it is left
+    jobs.ingest_bronze(bad.filter("transaction_id = 'A'").withColumn("amount", F.lit(5.0)), paths)
+    assert jobs.check_job(spark, paths, "run")["bronze_amount_range"] == 1
+    stored = spark.read.parquet(paths.root + "/checks").filter("_check = 'bronze_amount_range'")
+    assert sorted((r._run_id, json.loads(r.row)["transaction_id"]) for r in stored.collect()) == [
+        ("later", "B"), ("run", "B")
+    ]

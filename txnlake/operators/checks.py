@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -62,3 +62,50 @@ def at_least_one(df: DataFrame, col: str) -> DataFrame:
         df.agg(F.count(F.col(col)).alias("n_non_null"))
         .filter(F.col("n_non_null") == 0)
     )
+
+
+# --- all row rules of a layer in one pass ------------------------------------------
+
+
+def not_null(col: str) -> Column:
+    return F.col(col).isNull()
+
+
+def not_accepted(col: str, values: Sequence) -> Column:
+    """Outside ``values``; NULL passes."""
+    return F.col(col).isNotNull() & ~F.col(col).isin(*values)
+
+
+def outside(col: str, lo: float, hi: float, inclusive: bool = True) -> Column:
+    """Outside [lo, hi], or (lo, hi) when not inclusive; NULL passes."""
+    c = F.col(col)
+    ok = ((c >= lo) & (c <= hi)) if inclusive else ((c > lo) & (c < hi))
+    return c.isNotNull() & ~ok
+
+
+def counters(rules: dict[str, Column]) -> list[Column]:
+    """An aggregate for each rule: rows that break it."""
+    return [F.count_if(F.coalesce(broken, F.lit(False))).alias(name) for name, broken in rules.items()]
+
+
+def failed_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(check, row): a row of ``df``, as JSON text, for every rule that it breaks. Each
+    row's rules are evaluated in one array, so all of them take one pass."""
+    names = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
+    broken = df.select(F.struct("*").alias("r"), names.alias("names")).filter(F.size("names") > 0)
+    return broken.select(F.explode("names").alias("check"), F.to_json("r").alias("row"))
+
+
+def repeated(df: DataFrame, name: str, col: str) -> DataFrame:
+    """(check, row) for every value of ``col`` that occurs more than once."""
+    found = violations_unique(df.select(col), col)
+    return found.select(F.lit(name).alias("check"), F.to_json(F.struct("*")).alias("row"))
+
+
+def count_by_rule(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(check, n_failed) with a row for every rule, broken or not."""
+    counted = df.agg(*counters(rules))
+    pairs = F.array(*[
+        F.struct(F.lit(name).alias("check"), F.col(name).alias("n_failed")) for name in rules
+    ])
+    return counted.select(F.inline(pairs))

@@ -21,7 +21,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ VELOCITY_THRESHOLD = 20
 AMOUNT_SPIKE_FACTOR = 5.0
 OFF_HOURS_LARGE_AMOUNT = 100_000
 RAPID_TRANSFER_WINDOW_MINUTES = 10
+SPIKE_HISTORY_DAYS = 7
 VELOCITY = "VELOCITY_ANOMALY"
 SPIKE = "AMOUNT_SPIKE"
 RAPID = "RAPID_TRANSFER"
@@ -110,25 +111,107 @@ def sender_mean(
     return hist.groupBy("sender_phone").agg(F.avg("amount").alias("avg_amount_7d"))
 
 
+def _recent(silver: DataFrame, day: date | datetime | str | None, days: int) -> DataFrame:
+    """PASS rows of ``day`` and the ``days`` days before it (static bounds on the
+    partition column); all rows without a day."""
+    rows = passing(silver)
+    if day is None:
+        return rows
+    last = date.fromisoformat(str(day)[:10])
+    return rows.filter(F.col("_date").between(F.lit(last - timedelta(days=days)), F.lit(last)))
+
+
+def _day_number(c: Column) -> Column:
+    return F.datediff(c, F.lit("1970-01-01").cast("date"))
+
+
 def amount_spike(
     silver: DataFrame,
     day: date | datetime | str | None = None,
     factor: float = AMOUNT_SPIKE_FACTOR,
     since: datetime | str | None = None,
     upper: datetime | str | None = None,
+    days: int = SPIKE_HISTORY_DAYS,
 ) -> DataFrame:
-    """Rows above ``factor`` x the sender's mean over the history window.
+    """Rows above ``factor`` x the sender's mean amount.
 
-    The history includes the tested row itself (so with positive amounts a
-    sender with five or fewer rows can never be flagged).
+    The mean is taken over the row's day and the ``days`` days before it; with
+    ``since`` or ``upper`` over that fixed range instead. The history includes the
+    tested row itself (so with positive amounts a sender with five or fewer rows can
+    never be flagged). Amounts are summed per sender and day first, so the window sees
+    at most one row per sender and day.
     """
     rows = day_slice(silver, day)
-    means = sender_mean(silver, since, upper)
-    joined = rows.join(means, "sender_phone", "inner").filter(
-        F.col("amount") > F.col("avg_amount_7d") * factor
+    if since is not None or upper is not None:
+        joined = rows.join(sender_mean(silver, since, upper), "sender_phone", "inner")
+    else:
+        sums = _recent(silver, day, days).groupBy("sender_phone", "_date").agg(
+            F.sum("amount").alias("_sum"), F.count("amount").alias("_count")
+        )
+        span = Window.partitionBy("sender_phone").orderBy(_day_number(F.col("_date"))).rangeBetween(-days, 0)
+        means = sums.select(
+            "sender_phone", "_date",
+            (F.sum("_sum").over(span) / F.sum("_count").over(span)).alias("avg_amount_7d"),
+        )
+        joined = rows.join(means, ["sender_phone", "_date"], "inner")
+    return _flags(
+        joined.filter(F.col("amount") > F.col("avg_amount_7d") * factor),
+        SPIKE, F.round(F.col("amount"), 2), F.round(F.col("avg_amount_7d"), 2),
+    )
+
+
+def rolling_spike(
+    silver: DataFrame,
+    factor: float = AMOUNT_SPIKE_FACTOR,
+    days: int = SPIKE_HISTORY_DAYS,
+    slot_seconds: int = 300,
+) -> DataFrame:
+    """Rows above ``factor`` x the sender's mean amount up to and including the row: its
+    ``days`` days before, and its own day in order of (time, id).
+
+    A running mean over a sender's rows would hold a busy sender in one task. Here the
+    days before come from a range frame over per-day sums, the day's earlier slots from
+    a frame over per-slot sums, and only the rows of one slot of one day are ordered
+    together. Sums are exact decimals, so their order does not matter.
+    """
+    t, money = F.col("initiated_at"), F.col("amount").cast("decimal(18,2)")
+    second = F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    rows = passing(silver).filter(F.col("sender_phone").isNotNull() & F.col("_date").isNotNull()).select(
+        *BASE_COLUMNS, "_date", F.floor(second / slot_seconds).alias("_slot"), money.alias("_money")
+    )
+    slot = ["sender_phone", "_date", "_slot"]
+    slots = rows.groupBy(*slot).agg(F.sum("_money").alias("_sum"), F.count("_money").alias("_count"))
+    by_slot = Window.partitionBy("sender_phone", "_date").orderBy("_slot")
+    earlier = by_slot.rowsBetween(Window.unboundedPreceding, -1)
+    day_sums = slots.groupBy("sender_phone", "_date").agg(
+        F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count")
+    )
+    span = Window.partitionBy("sender_phone").orderBy(_day_number(F.col("_date"))).rangeBetween(-days, -1)
+
+    def upto(c: str, window) -> Column:
+        return F.coalesce(F.sum(c).over(window), F.lit(0))
+
+    before = slots.select(
+        *slot, upto("_sum", earlier).alias("_slots_sum"), upto("_count", earlier).alias("_slots_count")
+    ).join(
+        day_sums.select(
+            "sender_phone", "_date", upto("_sum", span).alias("_days_sum"),
+            upto("_count", span).alias("_days_count"),
+        ),
+        ["sender_phone", "_date"],
+    )
+    running = Window.partitionBy(*slot).orderBy(t, "transaction_id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
+    summed = rows.withColumns({
+        "_own_sum": F.sum("_money").over(running), "_own_count": F.count("_money").over(running)
+    }).join(before, slot)
+    total = F.col("_own_sum") + F.col("_slots_sum") + F.col("_days_sum")
+    count = F.col("_own_count") + F.col("_slots_count") + F.col("_days_count")
+    mean = total.cast("double") / count
     return _flags(
-        joined, SPIKE, F.round(F.col("amount"), 2), F.round(F.col("avg_amount_7d"), 2)
+        summed.withColumn("_mean", mean).filter(F.col("amount") > F.col("_mean") * factor),
+        SPIKE, F.round(F.col("amount"), 2), F.round(F.col("_mean"), 2),
     )
 
 
@@ -226,7 +309,10 @@ def all_flags(
     drop_null_sender: bool = False,
     share: bool = True,
 ) -> DataFrame:
-    """Every (transaction, pattern) match, before one-per-transaction selection."""
+    """Every (transaction, pattern) match, before one-per-transaction selection. With a
+    day and no fixed history only that day and the spike history are taken."""
+    if spike_since is None and spike_upper is None:
+        silver = _recent(silver, day, SPIKE_HISTORY_DAYS)
     silver = fraud_input(silver, share)
     parts = [
         velocity(silver, day, velocity_threshold),

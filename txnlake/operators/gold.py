@@ -59,7 +59,8 @@ def daily_summary(
     1 dp). Ratios use ``try_divide`` so an empty denominator yields NULL.
     ``median``: ``"distributed"`` (exact, no group gathered in one task, see
     ``stats.grouped_median``), ``"builtin"`` (exact ``median``, one task per
-    group at the final merge) or ignored when ``approx`` (fixed-size sketch).
+    group at the final merge), ``"none"`` (no median column, for reports that do not
+    ask for it) or ignored when ``approx`` (fixed-size sketch).
     ``share=True`` checkpoints the PASS rows once (pruned to the columns used)
     so the aggregate and the median branch do not both recompute Silver; use it
     when Silver is derived in the same plan rather than read from its table.
@@ -101,7 +102,7 @@ def daily_summary(
             }
         )
     )
-    if not inline_median:
+    if not inline_median and median != "none":
         out = attach_median(out, rows, DAILY_KEYS, "amount", MEDIAN)
     if updated_at is not None:
         out = out.withColumn("_updated_at", F.lit(updated_at).cast("timestamp"))

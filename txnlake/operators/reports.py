@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quality import CRITICAL, rule_column
-from .silver import passing
 from .stats import attach_median
 
 AS_OF_DAYS = 7
@@ -123,6 +122,11 @@ def duplicate_report(bronze: DataFrame, key: str = "transaction_id") -> DataFram
     ).withColumn("duplicates", F.col("total_rows") - F.col("unique_ids"))
 
 
+def bronze_sample(bronze: DataFrame, n: int = 10) -> DataFrame:
+    """First ``n`` landed rows by transaction id and landing time."""
+    return bronze.orderBy("transaction_id", "_ingested_at", "_batch_id").limit(n)
+
+
 # --- Silver --------------------------------------------------------------------
 
 
@@ -337,6 +341,3 @@ def spike_detail(flags: DataFrame, n: int = 20) -> DataFrame:
         .limit(n)
     )
 
-
-def passing_rows(silver: DataFrame) -> DataFrame:
-    return passing(silver)

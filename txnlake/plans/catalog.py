@@ -46,6 +46,14 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.daily_summary(silver(spark, sf_dir), share=True)
 
 
+def recent_daily(spark: SparkSession, sf_dir: str, days: int | None = reports.AS_OF_DAYS) -> DataFrame:
+    """The daily summary as dashboards need it: without the median, of the last days."""
+    rows = silver(spark, sf_dir)
+    if days is not None:
+        rows = rows.filter(F.col("_date") >= F.date_sub(F.to_date(F.lit(P.AS_OF)), days))
+    return gold.daily_summary(rows, median="none")
+
+
 def merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.merchant_activity(silver(spark, sf_dir))
 
@@ -72,6 +80,12 @@ def _phones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("transaction_id", "_batch_id", "sender_phone", "recipient_phone")
 
 
+def layer_rules():
+    from . import jobs  # which imports the stored layers
+
+    return jobs.layer_rules()
+
+
 def _reg() -> dict[str, Query]:
     q: dict[str, Query] = {}
     # sources / landing
@@ -158,8 +172,14 @@ def _reg() -> dict[str, Query]:
         "minutes_since_prev",
     )
     q["fraud_velocity"] = lambda s, d: fraud.velocity(fraud_rows(s, d), None, P.VELOCITY_THRESHOLD)
-    q["fraud_velocity_day"] = lambda s, d: fraud.velocity(fraud_rows(s, d), P.DAY, 3)
+    q["fraud_velocity_day"] = lambda s, d: fraud.velocity(
+        fraud.fraud_input(fraud.day_slice(silver(s, d), P.DAY)), P.DAY, 3
+    )
     q["fraud_amount_spike"] = lambda s, d: fraud.amount_spike(fraud_rows(s, d), None, P.SPIKE_FACTOR)
+    q["fraud_amount_spike_since"] = lambda s, d: fraud.amount_spike(
+        fraud_rows(s, d), None, P.SPIKE_FACTOR, since=P.SLICE_START, upper=P.SLICE_END
+    )
+    q["rolling_spike"] = lambda s, d: fraud.rolling_spike(fraud_rows(s, d), P.SPIKE_FACTOR)
     q["fraud_rapid_transfer"] = lambda s, d: fraud.rapid_transfer(
         fraud_rows(s, d), None, P.RAPID_MINUTES
     )
@@ -188,6 +208,29 @@ def _reg() -> dict[str, Query]:
         daily(s, d), "success_rate", 0, 100
     )
     q["check_at_least_one"] = lambda s, d: checks.at_least_one(daily(s, d), "transaction_count")
+    q["check_rules_bronze"] = lambda s, d: checks.count_by_rule(bronze(s, d), layer_rules()["bronze"])
+    q["check_rules_silver"] = lambda s, d: checks.count_by_rule(silver(s, d), layer_rules()["silver"])
+    q["check_rules_daily"] = lambda s, d: checks.count_by_rule(
+        gold.daily_summary(silver(s, d), median="none"), layer_rules()["daily"]
+    )
+    q["check_rules_merchant"] = lambda s, d: checks.count_by_rule(merchant(s, d), layer_rules()["merchant"])
+    q["check_failures_bronze"] = lambda s, d: checks.failed_rules(
+        bronze(s, d).select("transaction_id", "transaction_type", "status", "amount", "initiated_at", "_batch_id"),
+        layer_rules()["bronze"],
+    ).select("check", F.get_json_object("row", "$.transaction_id").alias("transaction_id"),
+             F.get_json_object("row", "$._batch_id").alias("_batch_id"))
+    # the same checks with rules that these data do break
+    q["check_unique_sender_day"] = lambda s, d: checks.violations_unique(silver(s, d), ["sender_phone", "_date"])
+    q["check_types_narrow"] = lambda s, d: checks.violations_accepted(
+        bronze(s, d), "transaction_type", TRANSACTION_TYPES[:2]
+    ).select("transaction_id", "_batch_id", "transaction_type")
+    q["check_rate_narrow"] = lambda s, d: checks.violations_range(
+        merchant(s, d), "success_rate", 50, 99
+    ).select("merchant_code", "_date", "success_rate")
+    q["check_reason_absent"] = lambda s, d: checks.at_least_one(
+        silver(s, d).filter("status = 'SUCCESS'"), "failure_reason"
+    )
+    q["bronze_sample"] = lambda s, d: reports.bronze_sample(bronze(s, d))
     # reports
     q["bronze_range"] = lambda s, d: reports.bronze_range(bronze(s, d))
     q["status_distribution"] = lambda s, d: reports.status_distribution(bronze(s, d))
@@ -203,12 +246,14 @@ def _reg() -> dict[str, Query]:
     q["batch_audit"] = lambda s, d: reports.batch_audit(bronze(s, d))
     q["bucket_distribution"] = lambda s, d: reports.bucket_distribution(silver(s, d))
     q["peak_offpeak"] = lambda s, d: reports.peak_offpeak(silver(s, d))
-    q["summary_last_7d"] = lambda s, d: reports.summary_last_days(daily(s, d), P.AS_OF)
-    q["kpi_last_7d"] = lambda s, d: reports.kpi_last_days(daily(s, d), P.AS_OF)
-    q["region_performance"] = lambda s, d: reports.region_performance(daily(s, d))
-    q["dashboard_region_7d"] = lambda s, d: reports.dashboard_region(daily(s, d), P.AS_OF)
+    q["summary_last_7d"] = lambda s, d: reports.summary_last_days(
+        gold.daily_summary(in_date_range(silver(s, d), P.LAST_DAYS_FROM, None), share=True), P.AS_OF
+    )
+    q["kpi_last_7d"] = lambda s, d: reports.kpi_last_days(recent_daily(s, d), P.AS_OF)
+    q["region_performance"] = lambda s, d: reports.region_performance(recent_daily(s, d, None))
+    q["dashboard_region_7d"] = lambda s, d: reports.dashboard_region(recent_daily(s, d), P.AS_OF)
     q["dashboard_region_7d_rounded"] = lambda s, d: reports.dashboard_region(
-        daily(s, d), P.AS_OF, rounded=True
+        recent_daily(s, d), P.AS_OF, rounded=True
     )
     q["top_merchants"] = lambda s, d: reports.top_merchants(merchant(s, d))
     q["flag_breakdown"] = lambda s, d: reports.flag_breakdown(flags(s, d))
@@ -223,5 +268,6 @@ def queries() -> dict[str, Query]:
 
     stored = (
         lake.landing_streams, lake.landing_one_batch, lake.landing_again, lake.silver_corrected,
+        lake.landing_incremental, lake.retained_silver,
     )
     return _reg() | {f.__name__: f for f in stored}

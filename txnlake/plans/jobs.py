@@ -21,6 +21,7 @@ So jobs are idempotent and a lost run can simply be repeated.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -28,7 +29,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import fraud, gold
+from ..functions.quality import AMOUNT_BUCKETS, QUALITY_FLAGS, TRANSACTION_TYPES, VALID_STATUSES
+from ..operators import checks, fraud, gold
 from ..operators.silver import in_date_range, in_time_range, normalize
 from ..sources import day_index, landings, lifecycle, pages, schemas, sinks
 from ..sources.landings import ATTEMPT_PART
@@ -122,8 +124,11 @@ def ingest_pages(
     secret: str | bytes | None = None,
     body_col: str = "body",
     landing: str | None = None,
+    tokenize: bool = True,
 ) -> dict:
-    """Flatten API pages, land good rows in Bronze, keep rejected ones."""
+    """Flatten API pages, land good rows in Bronze, keep rejected ones. Phones are
+    tokenised with ``secret`` unless ``tokenize`` is turned off."""
+    secret = pages.token_secret(secret, tokenize)
     rows = pages.flatten_pages(api_pages, body_col, secret)
     landed = lifecycle.land(rows, ingested_at, batch_id)
     metrics = ingest_bronze(landed, paths, landing or batch_id)
@@ -296,11 +301,8 @@ def detect_job(
     detected_at: datetime | str | None = None,
     **thresholds,
 ) -> dict:
-    """Flag one day's transactions and store them under that day. Spikes are held
-    against the seven days before the day and all later rows, unless
-    ``spike_since`` says otherwise."""
-    start = date.fromisoformat(str(day)[:10]) - timedelta(days=7)
-    thresholds.setdefault("spike_since", start)
+    """Flag one day's transactions and store them under that day. Only the partitions of
+    the day and of the spike history, seven days by default, are read."""
     silver = sinks.read_table(spark, paths.silver)
     flags = fraud.detect_all(
         silver, day, detected_at=detected_at or day, share=False, **thresholds
@@ -320,6 +322,61 @@ def retention_job(
     return lifecycle.retention_expired(silver, as_of, days).select("_date").distinct()
 
 
+def apply_retention(
+    spark: SparkSession,
+    paths: LakePaths,
+    as_of: date | datetime | str,
+    days: int = lifecycle.RETENTION_DAYS,
+) -> dict[str, list[str]]:
+    """Delete what is older than ``days`` before ``as_of`` from every layer and from the
+    day index. Partitions without a date stay. What was deleted is kept under
+    ``<root>/retention``; a rerun finds nothing more and changes no record."""
+    cutoff = date.fromisoformat(_day(as_of)) - timedelta(days=lifecycle.retention_days(days))
+    old = lambda v: v is not None and v < str(cutoff)
+    tables = {
+        "bronze": (paths.bronze, EVENT_DATE), "silver": (paths.silver, "_date"),
+        "daily_summary": (paths.gold_daily, "_date"), "merchant_activity": (paths.gold_merchant, "_date"),
+        "fraud_flags": (paths.flags, "_date"), "moved": (f"{paths.index}/moved", EVENT_DATE),
+    }
+    gone = {
+        name: sorted({f.rsplit("=", 1)[1] for f in sinks.drop_partitions(spark, path, column, old)})
+        for name, (path, column) in tables.items()
+    }
+    gone = {name: found for name, found in gone.items() if found}
+    if gone:
+        day_index.forget_before(spark, paths.index, cutoff)
+        record = f"{paths._p('retention')}/{_day(as_of)}.json"
+        earlier = json.loads(sinks.read_text(spark, record) or "{}")
+        both = {k: sorted({*earlier.get(k, []), *gone.get(k, [])}) for k in {*earlier, *gone}}
+        sinks.write_text(spark, record, json.dumps(both, sort_keys=True))
+    return gone
+
+
+def high_water_mark(spark: SparkSession, paths: LakePaths) -> datetime | None:
+    """The newest event time in Bronze, from the newest day folder that holds rows."""
+    days = {
+        f.rsplit("=", 1)[1]
+        for f in sinks.partition_folders(spark, paths.bronze, EVENT_DATE, lambda v: v is not None)
+    }
+    for newest in sorted(days, reverse=True):
+        rows = bronze_days(spark, paths, [date.fromisoformat(newest)])
+        mark = lifecycle.high_water_mark(rows).first()["high_water_mark"]
+        if mark is not None:
+            return mark
+    return None
+
+
+def ingest_incremental(spark: SparkSession, paths: LakePaths, rows: DataFrame, landing: str) -> dict:
+    """Land the rows of a fetch that Bronze does not hold yet: new ones, and also late
+    rows, rows without a time and corrections, which a high-water mark would skip. Only
+    the day folders that the fetch touches are compared."""
+    day = F.to_date("initiated_at").alias(EVENT_DATE)
+    days = [r[EVENT_DATE] for r in rows.select(day).distinct().collect()]
+    if sinks.exists(spark, paths.bronze):
+        rows = lifecycle.not_yet_landed(rows, bronze_days(spark, paths, days))
+    return ingest_bronze(rows, paths, landing)
+
+
 LAYER_COMMENTS = {
     "bronze": "Transactions as delivered, with audit columns; rows are only added",
     "silver": "One row per transaction with typed columns and quality flags",
@@ -381,44 +438,91 @@ def run_day(
     return out
 
 
-def check_job(spark: SparkSession, paths: LakePaths, run_id: str) -> dict:
-    """Run the layer data checks; store each failing check's rows.
+def layer_rules() -> dict[str, dict[str, Column]]:
+    """The row rules of each layer: a condition that is true for a row that breaks it."""
+    accepted = {
+        "status": VALID_STATUSES, "transaction_type": TRANSACTION_TYPES,
+        "_quality_flag": QUALITY_FLAGS, "_amount_bucket": AMOUNT_BUCKETS,
+    }
+    bronze_columns = ("transaction_id", "transaction_type", "status", "amount", "initiated_at")
+    return {
+        "bronze": {
+            **{f"bronze_{c}_not_null": checks.not_null(c) for c in bronze_columns},
+            "bronze_amount_range": checks.outside("amount", 0, 50_000_000, inclusive=False),
+            "bronze_status_accepted": checks.not_accepted("status", accepted["status"]),
+            "bronze_type_accepted": checks.not_accepted("transaction_type", accepted["transaction_type"]),
+        },
+        "silver": {
+            **{f"silver_{c.strip('_')}_not_null": checks.not_null(c)
+               for c in ("transaction_id", "_quality_flag", "_date")},
+            "silver_flag_accepted": checks.not_accepted("_quality_flag", accepted["_quality_flag"]),
+            "silver_bucket_accepted": checks.not_accepted("_amount_bucket", accepted["_amount_bucket"]),
+        },
+        "daily": {
+            "daily_date_not_null": checks.not_null("_date"),
+            "daily_count_not_null": checks.not_null("transaction_count"),
+            "daily_success_rate_range": checks.outside("success_rate", 0, 100),
+        },
+        "merchant": {
+            "merchant_code_not_null": checks.not_null("merchant_code"),
+            "merchant_success_rate_range": checks.outside("success_rate", 0, 100),
+        },
+    }
+
+
+def check_job(
+    spark: SparkSession,
+    paths: LakePaths,
+    run_id: str,
+    start: date | datetime | str | None = None,
+    end: date | datetime | str | None = None,
+) -> dict:
+    """Run the data checks of all layers over the dates from ``start`` to ``end`` (both
+    inclusive; rows without a date belong to every range); store each failing check's rows.
 
-    Returns the number of violating rows per check (0 = passed). Failures are
-    kept under ``<root>/checks/_check=<name>/_run_id=<run_id>``.
+    One write per layer evaluates all its rules, counts them on the way and keeps the
+    failures under ``<root>/checks/_check=<name>/_run_id=<run_id>``. Returns the number of
+    violating rows per check (0 = passed).
     """
-    from ..functions.quality import AMOUNT_BUCKETS, QUALITY_FLAGS, TRANSACTION_TYPES, VALID_STATUSES
-    from ..operators import checks
 
-    bronze = bronze_days(spark, paths, None)
-    silver = sinks.read_table(spark, paths.silver)
-    daily = sinks.read_table(spark, paths.gold_daily)
-    merchant = sinks.read_table(spark, paths.gold_merchant)
-    suite = {
-        "bronze_transaction_id_unique": checks.violations_unique(bronze, "transaction_id"),
-        "bronze_not_null": checks.violations_not_null(
-            bronze, ["transaction_id", "amount", "initiated_at"]
-        ),
-        "bronze_amount_range": checks.violations_range(bronze, "amount", 0, 50_000_000, False),
-        "bronze_status_accepted": checks.violations_accepted(bronze, "status", VALID_STATUSES),
-        "bronze_type_accepted": checks.violations_accepted(
-            bronze, "transaction_type", TRANSACTION_TYPES
-        ),
-        "silver_transaction_id_unique": checks.violations_unique(silver, "transaction_id"),
-        "silver_not_null": checks.violations_not_null(silver, ["transaction_id", "_quality_flag", "_date"]),
-        "silver_flag_accepted": checks.violations_accepted(silver, "_quality_flag", QUALITY_FLAGS),
-        "silver_bucket_accepted": checks.violations_accepted(silver, "_amount_bucket", AMOUNT_BUCKETS),
-        "daily_not_null": checks.violations_not_null(daily, ["_date", "transaction_count"]),
-        "daily_count_at_least_one": checks.at_least_one(daily, "transaction_count"),
-        "daily_success_rate_range": checks.violations_range(daily, "success_rate", 0, 100),
-        "merchant_code_not_null": checks.violations_not_null(merchant, "merchant_code"),
-        "merchant_success_rate_range": checks.violations_range(merchant, "success_rate", 0, 100),
+    def dated(df: DataFrame, column: str) -> DataFrame:
+        inside = F.lit(True)
+        if start is not None:
+            inside = inside & (F.col(column) >= F.to_date(F.lit(_day(start))))
+        if end is not None:
+            inside = inside & (F.col(column) <= F.to_date(F.lit(_day(end))))
+        return df if start is None and end is None else df.filter(F.col(column).isNull() | inside)
+
+    layers = {
+        "bronze": dated(bronze_table(spark, paths), EVENT_DATE).drop(EVENT_DATE, ATTEMPT_PART),
+        "silver": dated(sinks.read_table(spark, paths.silver), "_date"),
+        "daily": dated(sinks.read_table(spark, paths.gold_daily), "_date"),
+        "merchant": dated(sinks.read_table(spark, paths.gold_merchant), "_date"),
     }
-    out = {}
-    for name, violations in suite.items():
-        # each check's rows are written as JSON text so one folder holds all shapes
-        rows = violations.select(F.to_json(F.struct("*")).alias("row"))
-        out[name] = sinks.store_failures(rows, paths._p("checks"), name, run_id)["rows_written"]
+    unique = {"bronze": "bronze_transaction_id_unique", "silver": "silver_transaction_id_unique"}
+    out: dict[str, int] = {}
+    for layer, rules in layer_rules().items():
+        df = layers[layer]
+        failed = checks.failed_rules(df, rules)
+        names = list(rules)
+        if layer in unique:
+            failed = failed.unionByName(checks.repeated(df, unique[layer], "transaction_id"))
+            names.append(unique[layer])
+        if layer == "daily":
+            name = "daily_count_at_least_one"
+            empty = checks.at_least_one(df, "transaction_count")
+            failed = failed.unionByName(
+                empty.select(F.lit(name).alias("check"), F.to_json(F.struct("*")).alias("row"))
+            )
+            names.append(name)
+        rows = failed.select("row", F.col("check").alias("_check"), F.lit(run_id).alias("_run_id"))
+        for name in names:  # rows of an earlier run under this id
+            sinks.drop_partitions(spark, f"{paths._p('checks')}/_check={name}", "_run_id", run_id.__eq__)
+        out |= sinks.overwrite_partitions(
+            rows, paths._p("checks"), ["_check", "_run_id"],
+            metrics={n: F.count_if(F.col("_check") == n) for n in names},
+        )
+    del out["rows_written"]
     return out
 
 

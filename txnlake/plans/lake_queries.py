@@ -29,7 +29,7 @@ def landing_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = catalog.api_pages(spark, sf_dir)
     for stream, half in (("a", 0), ("b", 1), ("a", 0)):
         batch = body.filter(F.col("page") % 2 == half)
-        process_batch(batch, 0, paths, stream, ingested_at=P.AS_OF)
+        process_batch(batch, 0, paths, stream, P.SECRET, ingested_at=P.AS_OF)
     return _bronze(spark, paths)
 
 
@@ -70,3 +70,23 @@ def silver_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.ingest_bronze(moved_rows(spark, sf_dir), paths)
     jobs.normalize_job(spark, paths, P.DAY, P.AS_OF)
     return jobs.read_silver(spark, paths).select("transaction_id", "amount", "initiated_at", "_date")
+
+
+def landing_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after the rows before a day and then, incrementally, all deliveries."""
+    paths = _lake(spark)
+    rows = catalog.bronze(spark, sf_dir)
+    jobs.ingest_bronze(rows.filter(F.col("initiated_at") < F.lit(P.LANDED_UNTIL).cast("timestamp_ntz")), paths)
+    jobs.ingest_incremental(spark, paths, rows, "increment-1")
+    jobs.ingest_incremental(spark, paths, rows, "increment-2")  # lands nothing
+    return _bronze(spark, paths)
+
+
+def retained_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after retention was applied to all layers, twice."""
+    paths = _lake(spark)
+    jobs.ingest_bronze(catalog.bronze(spark, sf_dir), paths)
+    jobs.normalize_job(spark, paths)
+    for _ in range(2):
+        jobs.apply_retention(spark, paths, P.RETENTION_AS_OF, P.RETENTION_DAYS)
+    return jobs.read_silver(spark, paths).select("transaction_id", "amount", "_date")

@@ -9,6 +9,7 @@ is fractional (floor), ``sum(bigint)`` is HUGEINT (cast).
 
 from __future__ import annotations
 
+from ..functions.quality import TRANSACTION_TYPES
 from . import params as P
 
 # --- shared CTEs -------------------------------------------------------------
@@ -207,12 +208,15 @@ f_velocity AS (
     CAST(NULL AS DOUBLE) AS flag_detail_2
   FROM {src} p JOIN vc ON p.sender_phone = vc.sender_phone AND p._date = vc._date
 ),
-sa AS (SELECT sender_phone, avg(amount) AS avg_amount_7d FROM pass GROUP BY sender_phone),
+sd AS (SELECT sender_phone, _date, sum(amount) AS s, count(amount) AS n FROM pass GROUP BY sender_phone, _date),
+sa AS (SELECT a.sender_phone, a._date, sum(b.s) / sum(b.n) AS avg_amount_7d
+  FROM sd a JOIN sd b ON b.sender_phone = a.sender_phone AND b._date BETWEEN a._date - 7 AND a._date
+  GROUP BY a.sender_phone, a._date),
 f_spike AS (
   SELECT p.transaction_id, p.sender_phone, p.recipient_phone, p.amount, p.initiated_at, p.channel, p.region,
     'AMOUNT_SPIKE' AS flag_pattern, CAST(sround(p.amount, 2) AS VARCHAR) AS flag_detail_1,
     sround(sa.avg_amount_7d, 2) AS flag_detail_2
-  FROM {src} p JOIN sa ON p.sender_phone = sa.sender_phone
+  FROM {src} p JOIN sa ON p.sender_phone = sa.sender_phone AND p._date = sa._date
   WHERE p.amount > sa.avg_amount_7d * 5.0
 ),
 gaps AS (
@@ -551,6 +555,25 @@ def _oracle_sql() -> dict[str, str]:
     q["fraud_velocity"] = S("SELECT * FROM f_velocity", _fraud())
     q["fraud_velocity_day"] = S("SELECT * FROM f_velocity", "," + _DAY + _fraud("day_pass", 3))
     q["fraud_amount_spike"] = S("SELECT * FROM f_spike", _fraud())
+    spike = (
+        "SELECT p.transaction_id, p.sender_phone, p.recipient_phone, p.amount, p.initiated_at, p.channel, "
+        "p.region, 'AMOUNT_SPIKE' AS flag_pattern, CAST(sround(p.amount, 2) AS VARCHAR) AS flag_detail_1, "
+        "sround(mean, 2) AS flag_detail_2 "
+    )
+    q["fraud_amount_spike_since"] = S(
+        spike + "FROM pass p JOIN (SELECT sender_phone, avg(amount) AS mean FROM pass "
+        f"WHERE initiated_at >= TIMESTAMP '{P.SLICE_START}' AND initiated_at < TIMESTAMP '{P.SLICE_END}' "
+        "GROUP BY sender_phone) m ON m.sender_phone = p.sender_phone WHERE p.amount > mean * 5.0"
+    )
+    q["rolling_spike"] = S(
+        spike + "FROM (SELECT a.transaction_id, any_value(a.sender_phone) AS sender_phone, "
+        "any_value(a.recipient_phone) AS recipient_phone, any_value(a.amount) AS amount, "
+        "any_value(a.initiated_at) AS initiated_at, any_value(a.channel) AS channel, "
+        "any_value(a.region) AS region, CAST(sum(CAST(b.amount AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean "
+        "FROM pass a JOIN pass b ON b.sender_phone = a.sender_phone AND b._date BETWEEN a._date - 7 AND a._date "
+        "AND (b._date < a._date OR (b.initiated_at, b.transaction_id) <= (a.initiated_at, a.transaction_id)) "
+        "GROUP BY a.transaction_id) p WHERE p.amount > mean * 5.0"
+    )
     q["fraud_rapid_transfer"] = S("SELECT * FROM f_rapid", _fraud())
     q["fraud_off_hours"] = S("SELECT * FROM f_off", _fraud())
     q["fraud_flags_all"] = S("SELECT * FROM f_all", _fraud())
@@ -664,7 +687,55 @@ def _oracle_sql() -> dict[str, str]:
         "WHERE flag_pattern = 'AMOUNT_SPIKE' ORDER BY amount DESC, transaction_id LIMIT 20",
         _fraud(),
     )
+    def by_rule(rules: dict[str, str], src: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT '{n}' AS \"check\", count(*) FILTER (WHERE {c}) AS n_failed FROM {src}" for n, c in rules.items()
+        )
+
+    rules = {f"bronze_{c}_not_null": f"{c} IS NULL" for c in
+             ("transaction_id", "transaction_type", "status", "amount", "initiated_at")}
+    rules["bronze_amount_range"] = "amount <= 0 OR amount >= 50000000"
+    rules["bronze_status_accepted"] = f"status NOT IN {_STATUSES}"
+    rules["bronze_type_accepted"] = (
+        "transaction_type NOT IN ('PAYMENT', 'TRANSFER', 'WITHDRAWAL', 'DEPOSIT', 'REFUND')"
+    )
+    q["check_rules_bronze"] = B(by_rule(rules, "bronze"))
+    q["check_failures_bronze"] = B(" UNION ALL ".join(
+        f"SELECT '{n}' AS \"check\", transaction_id, _batch_id FROM bronze WHERE {c}" for n, c in rules.items()
+    ))
+    q["check_rules_silver"] = S(by_rule({
+        "silver_transaction_id_not_null": "transaction_id IS NULL",
+        "silver_quality_flag_not_null": "_quality_flag IS NULL", "silver_date_not_null": "_date IS NULL",
+        "silver_flag_accepted": "_quality_flag NOT IN ('PASS', 'FAIL')",
+        "silver_bucket_accepted": "_amount_bucket NOT IN ('MICRO', 'SMALL', 'MEDIUM', 'LARGE', 'XLARGE')",
+    }, "silver"))
+    rate = "success_rate < 0 OR success_rate > 100"
+    q["check_rules_daily"] = S(by_rule({
+        "daily_date_not_null": "_date IS NULL", "daily_count_not_null": "transaction_count IS NULL",
+        "daily_success_rate_range": rate,
+    }, "daily"), d)
+    q["check_rules_merchant"] = S(by_rule({
+        "merchant_code_not_null": "merchant_code IS NULL", "merchant_success_rate_range": rate,
+    }, "merchant"), m)
+    q["check_unique_sender_day"] = S(
+        "SELECT sender_phone, _date, count(*) AS n_records FROM silver WHERE sender_phone IS NOT NULL "
+        "AND _date IS NOT NULL GROUP BY sender_phone, _date HAVING count(*) > 1"
+    )
+    q["check_types_narrow"] = B(
+        "SELECT transaction_id, _batch_id, transaction_type FROM bronze "
+        "WHERE transaction_type NOT IN {}".format(str(tuple(TRANSACTION_TYPES[:2])))
+    )
+    q["check_rate_narrow"] = S(
+        "SELECT merchant_code, _date, success_rate FROM merchant WHERE success_rate < 50 OR success_rate > 99", m
+    )
+    q["check_reason_absent"] = S("SELECT 0 AS n_non_null FROM silver WHERE status = 'SUCCESS' "
+                                 "HAVING count(failure_reason) = 0")
+    q["bronze_sample"] = B("SELECT * FROM bronze ORDER BY transaction_id, _ingested_at, _batch_id LIMIT 10")
     # stored layers
+    q["landing_incremental"] = B("SELECT transaction_id, amount, initiated_at, _batch_id FROM bronze")
+    q["retained_silver"] = S(
+        "SELECT transaction_id, amount, _date FROM silver WHERE _date IS NULL OR _date >= DATE '2024-01-15'"
+    )
     landed = "transaction_id, amount, initiated_at"
     q["landing_streams"] = B(
         f"SELECT {landed}, 'stream-' || CASE WHEN ({_K} // {P.PAGE_SIZE}) % 2 = 0 THEN 'a' ELSE 'b' END "

@@ -9,6 +9,7 @@ small scale (the defaults are exercised by unit tests).
 AS_OF = "2024-01-31"
 DAY = "2024-01-15"
 LAST_N_DAYS = 7
+LAST_DAYS_FROM = "2024-01-24"  # AS_OF less LAST_N_DAYS
 VELOCITY_THRESHOLD = 5
 RAPID_MINUTES = 120
 SPIKE_FACTOR = 5.0

@@ -24,6 +24,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import sinks
 from .landings import file_name
 
@@ -75,7 +76,7 @@ def note_landing(rows: DataFrame, index: str, name: str) -> None:
     """Enter Bronze rows that are about to be landed, and which ids they move. Doing
     it again for the same rows changes nothing."""
     spark = rows.sparkSession
-    new = entries(rows)
+    new = cut_lineage(entries(rows))  # one pass over the rows
     found = new.groupBy("day").agg(F.collect_set(BUCKET).alias("buckets")).collect()
     new_days = [r["day"] for r in found]
     buckets = sorted({b for r in found for b in r["buckets"]})
@@ -140,3 +141,14 @@ def settle(spark: SparkSession, index: str, noted: dict[str, list[tuple]], days:
             sinks.write_text(spark, path, json.dumps(left))
         else:
             sinks.drop_folders(spark, [path])
+
+
+def forget_before(spark: SparkSession, index: str, cutoff: date) -> None:
+    """Drop the entries of days before ``cutoff``; those without a day stay."""
+    path = f"{index}/days"
+    if not sinks.exists(spark, path):
+        return
+    entries = spark.read.schema(DAYS_SCHEMA).parquet(path)
+    late = F.col("day").isNull() | (F.col("day") >= F.lit(cutoff))
+    buckets = {str(r[0]) for r in entries.select(BUCKET).distinct().collect()}
+    sinks.overwrite_partitions(entries.filter(late), path, BUCKET, replaces=buckets.__contains__)

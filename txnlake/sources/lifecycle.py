@@ -59,10 +59,26 @@ def incremental(
     return newer.join(existing.select(key), key, "left_anti")
 
 
-def _cutoff(as_of: date | datetime | str, days: int) -> Column:
+def not_yet_landed(incoming: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows of ``incoming`` that ``existing`` does not hold: new ids, late ones, rows
+    without a time or an id, and corrections of landed ids. Audit columns, which differ
+    between deliveries, are not compared."""
+    columns = [c for c in incoming.columns if not c.startswith("_")]
+    content = F.sha2(F.to_json(F.struct(*columns)), 256).alias("_content")
+    return incoming.withColumn("_content", content).join(
+        existing.select(content).distinct(), "_content", "left_anti"
+    ).drop("_content")
+
+
+def retention_days(days: int) -> int:
+    """``days``, if it is not below the floor."""
     if days < RETENTION_MIN_DAYS:
         raise ValueError(f"retention must be at least {RETENTION_MIN_DAYS} days")
-    return F.date_sub(F.to_date(F.lit(str(as_of)[:10])), days)
+    return days
+
+
+def _cutoff(as_of: date | datetime | str, days: int) -> Column:
+    return F.date_sub(F.to_date(F.lit(str(as_of)[:10])), retention_days(days))
 
 
 def retention_keep(

@@ -226,6 +226,15 @@ def _rows(good: DataFrame, secret: str | bytes | None) -> DataFrame:
     )
 
 
+def token_secret(secret: str | bytes | None, tokenize: bool) -> str | bytes | None:
+    """The secret that a landing uses: phones are tokenised unless that is turned off."""
+    if not tokenize:
+        return None
+    if not secret:
+        raise ValueError("tokenising phones needs a secret; pass tokenize=False to land them as they are")
+    return secret
+
+
 def flatten_pages(
     pages: DataFrame,
     body_col: str = "body",

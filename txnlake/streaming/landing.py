@@ -69,9 +69,10 @@ def process_batch(
     stream: str,
     secret: str | bytes | None = None,
     ingested_at: datetime | str | None = None,
+    tokenize: bool = True,
 ) -> None:
-    """Land one micro-batch of the stream named ``stream``. Rows without a landing time
-    of their file need ``ingested_at``."""
+    """Land one micro-batch of the stream named ``stream``, with phones tokenised unless
+    that is turned off. Rows without a landing time of their file need ``ingested_at``."""
     spark = batch.sparkSession
     batch = batch.persist()
     try:
@@ -82,9 +83,9 @@ def process_batch(
             ingested_at = batch.agg(F.convert_timezone(F.current_timezone(), F.lit("UTC"), newest)).first()[0]
         landing = f"stream-{stream}-{epoch_id:08d}"
         body = batch.select("body")
-        ingest_pages(body, paths, ingested_at, landing, secret)
+        ingest_pages(body, paths, ingested_at, landing, secret, tokenize=tokenize)
         # distinct event days of the batch: a handful of values, one per day
-        rows = pages.flatten_pages(body, "body", secret)
+        rows = pages.flatten_pages(body, "body")
         days = rows.select(F.to_date("initiated_at").alias(EVENT_DATE)).distinct()
         renormalize_dates(spark, paths, [r[EVENT_DATE] for r in days.collect()])
     finally:
@@ -100,12 +101,17 @@ def start_landing(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files: int | None = None,
+    tokenize: bool = True,
 ) -> StreamingQuery:
-    """Start the landing stream (``availableNow`` by default)."""
+    """Start the landing stream (``availableNow`` by default); phones are tokenised with
+    ``secret`` unless ``tokenize`` is turned off."""
+    pages.token_secret(secret, tokenize)
     writer = (
         page_stream(spark, source_dir, max_files)
         .writeStream.foreachBatch(
-            lambda df, eid: process_batch(df, eid, paths, stream_id(spark, checkpoint_location), secret)
+            lambda df, eid: process_batch(
+                df, eid, paths, stream_id(spark, checkpoint_location), secret, tokenize=tokenize
+            )
         )
         .option("checkpointLocation", checkpoint_location)
     )
