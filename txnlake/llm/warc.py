@@ -43,17 +43,11 @@ RECORD = (
 )
 
 
-def base32_sha1(data: Column) -> Column:
-    """Bare upper-case base32 of the SHA-1 of binary data (32 signs, no padding)."""
-    digest = F.sha1(data)
-    five = lambda i: F.conv(F.substring(digest, 5 * i + 1, 5), 16, 10).cast("long")
-    signs = []
-    for i in range(8):  # 5 hex digits are 20 bits, 4 signs
-        group = five(i)
-        for shift in (15, 10, 5, 0):
-            place = F.shiftright(group, shift).bitwiseAND(F.lit(31)) + 1
-            signs.append(F.substring(F.lit(BASE32), place.cast("int"), F.lit(1)))
-    return F.concat(*signs)
+def base32(digest: Column) -> Column:
+    """Bare upper-case base32 of 40 hex digits (32 signs): 10 hex digits are 40 bits, 8
+    signs. ``digest`` is read four times, so give a stored column, not its expression."""
+    parts = [F.lpad(F.conv(F.substring(digest, i, 10), 16, 32), 8, "0") for i in (1, 11, 21, 31)]
+    return F.translate(F.upper(F.concat(*parts)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
 def record_id(kind: str, row: Column) -> Column:
@@ -132,46 +126,27 @@ def write_archive(pages: DataFrame, path: str, least: int = 0,
     rows = pages.select(
         "page_id", "url", F.coalesce("html", F.lit("")).alias("html"),
         F.monotonically_increasing_id().alias("row"),
-    ).withColumns({
-        "n": F.octet_length("html"),
-        "digest": base32_sha1(F.encode("html", "UTF-8")),
-        "no_id": F.col("page_id").isNull(),
-    })
-    shared = F.col("n") >= least
-    # one row per payload with its text, and its key alone for the revisits
+    ).withColumns({"n": F.octet_length("html"), "sha": F.sha1(F.encode("html", "UTF-8"))})
+    # the first row of each payload, found on digests alone
     firsts = (
-        rows.filter(shared)
-        .groupBy("digest", "n")
-        .agg(F.min(F.struct("no_id", "page_id", "row", "url", "html")).alias("f"))
-        .select("digest", "n", "f.*")
+        rows.filter(F.col("n") >= least)
+        .groupBy("sha", "n")
+        .agg(F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")).alias("f"))
+        .select("sha", "n", F.col("f.row").alias("first_row"))
     )
-    keys = (
-        rows.filter(shared)
-        .groupBy("digest", "n")
-        .agg(F.min(F.struct("no_id", "page_id", "row")).alias("f"))
-        .select(F.col("digest").alias("d"), F.col("n").alias("d_n"),
-                F.col("f.row").alias("first_row"))
-    )
-    revisits = (
-        rows.filter(shared).select("page_id", "url", "row", "digest", "n")
-        .join(keys, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("d_n")))
-        .filter(F.col("row") != F.col("first_row"))
-        .select("page_id", "url", F.lit("").alias("html"), "row", "digest", "n", "first_row",
-                F.lit("revisit").alias("kind"))
-    )
-    responses = firsts.unionByName(rows.filter(~shared)).select(
-        "page_id", "url", "html", "row", "digest", "n", F.col("row").alias("first_row"),
-        F.lit("response").alias("kind"),
+    # the texts move once, to their digest; a payload with many copies is split by the join
+    known = rows.join(firsts, ["sha", "n"], "left").withColumn(
+        "first_row", F.coalesce("first_row", "row")
     )
+    kind = F.when(F.col("row") == F.col("first_row"), "response").otherwise("revisit")
     text = _records(
-        F.col("kind"), F.col("row").cast("string"), F.col("url"), F.col("html"), F.col("digest"),
+        kind, F.col("row").cast("string"), F.col("url"), F.col("html"), base32(F.col("sha")),
         F.col("n"), F.col("first_row").cast("string"), F.col("page_id"), date,
     )
     # the writer ends each value with the line feed that ends its last record
     value = F.expr("substring(value, 1, length(value) - 1)")
     (
-        responses.unionByName(revisits)
-        .select(text.alias("value"))
+        known.select(text.alias("value"))
         .select(value.alias("value"))
         .write.option("lineSep", "\n")
         .option("compression", "gzip")
