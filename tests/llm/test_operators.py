@@ -358,3 +358,22 @@ def test_pipeline_against_plain_loops(spark, tmp_path):
                   hashlib.sha256(text.encode()).hexdigest())] += 1
     got = corpus_pipeline.run(spark, folder).collect()
     assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == expected
+
+
+def test_embeddings_of_several_lengths_and_sizes(spark, tmp_path):
+    vectors = [[1.0, 0.0, 0.0], [1.0, 0.01, 0.0], [0.0, 1.0], [0.0, 1.0], [1e200, 0.0, 1e200], [1e200, 0.0, 1e200],
+               [1e-200, 0.0, 1e-200], [1.0], [-1.0], [5.0], [], [1e308, 1e308, 1e308, 1e308], [1.0, 1.0, 1.0, 1.0]]
+    path = str(tmp_path / "e")
+    spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>").write.parquet(path)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pcadedup.near_duplicates(spark.read.parquet(path)).collect()}
+    expected = {}
+    links = {i: [] for i in range(len(vectors))}
+    for i, a in enumerate(vectors):
+        for j, b in enumerate(vectors):
+            if i != j and len(a) == len(b) > 0:
+                p, q = np.array(a) / max(map(abs, a)), np.array(b) / max(map(abs, b))
+                if p @ q / np.sqrt((p @ p) * (q @ q)) >= 0.95:
+                    links[i].append(j)
+    for i in links:
+        expected[i] = (len(links[i]), min([i, *links[i]]))  # these groups are complete
+    assert got == expected

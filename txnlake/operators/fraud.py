@@ -13,10 +13,11 @@ Scale notes:
   splits a hot sender's partition of the sort-merge join.
 * rapid transfer needs each transfer's predecessor in time within
   (sender, recipient, day). A plain ``lag`` window would put a hot pair into
-  one task, so the day is split into time buckets: ``lag`` runs inside each
-  bucket, and the first row of a bucket takes the last time of the previous
-  non-empty bucket from a small per-bucket table (at most buckets-per-day rows
-  per pair). The result equals the unsplit window exactly.
+  one task, so the day is split into short time buckets. The last time of each
+  bucket, from a partial aggregate, is carried to the next non-empty bucket as a
+  row of its own, which stands before that bucket's first transfer; ``lag`` then
+  runs inside each bucket. The transfers themselves are shuffled once, and the
+  result equals the unsplit window exactly.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ VELOCITY = "VELOCITY_ANOMALY"
 SPIKE = "AMOUNT_SPIKE"
 RAPID = "RAPID_TRANSFER"
 OFF_HOURS = "OFF_HOURS_LARGE"
+GAP_BUCKET_SECONDS = 60  # a day of one pair is spread over up to 1,440 buckets
 # Survivor order when a transaction matches several patterns.
 PRECEDENCE = (VELOCITY, SPIKE, RAPID, OFF_HOURS)
 
@@ -218,7 +220,7 @@ def rolling_spike(
 def transfer_gaps(
     silver: DataFrame,
     day: date | datetime | str | None = None,
-    bucket_seconds: int = 3600,
+    bucket_seconds: int = GAP_BUCKET_SECONDS,
     drop_null_sender: bool = False,
 ) -> DataFrame:
     """TRANSFER rows with ``minutes_since_prev`` to the same recipient that day.
@@ -241,23 +243,22 @@ def transfer_gaps(
         + F.second(t)
     )
     rows = rows.withColumn("_bucket", F.floor(wall / bucket_seconds))
-    in_bucket = Window.partitionBy(*group, "_bucket").orderBy(t, F.col("transaction_id"))
-    rows = rows.withColumn("_prev_in_bucket", F.lag(t).over(in_bucket))
-
-    last = rows.groupBy(*group, "_bucket").agg(F.max(t).alias("_bucket_last"))
+    last = rows.groupBy(*group, "_bucket").agg(F.max(t).alias("_last"))
     by_bucket = Window.partitionBy(*group).orderBy("_bucket")
-    prev_bucket = last.select(
-        *group, "_bucket", F.lag("_bucket_last").over(by_bucket).alias("_prev_bucket_last")
+    carried = last.select(*group, "_bucket", F.lag("_last").over(by_bucket).alias("initiated_at")).filter(
+        F.col("initiated_at").isNotNull()
+    )
+    both = rows.withColumn("_carried", F.lit(False)).unionByName(
+        carried.withColumn("_carried", F.lit(True)), allowMissingColumns=True
+    )
+    in_bucket = Window.partitionBy(*group, "_bucket").orderBy(t, F.col("transaction_id"))
+    gap = (F.unix_timestamp(t) - F.unix_timestamp("prev_txn_time")) / 60
+    return (
+        both.withColumn("prev_txn_time", F.lag(t).over(in_bucket))
+        .filter(~F.col("_carried"))
+        .withColumn("minutes_since_prev", F.when(F.col("prev_txn_time").isNotNull(), gap))
+        .drop("_bucket", "_carried")
     )
-    keys = group + ["_bucket"]
-    r, b = rows.alias("r"), prev_bucket.alias("b")
-    cond = [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    joined = r.join(b, cond, "inner").select("r.*", F.col("b._prev_bucket_last"))
-    prev = F.coalesce(F.col("_prev_in_bucket"), F.col("_prev_bucket_last"))
-    gap = (F.unix_timestamp(t) - F.unix_timestamp(prev)) / 60
-    return joined.withColumn("prev_txn_time", prev).withColumn(
-        "minutes_since_prev", F.when(prev.isNotNull(), gap)
-    ).drop("_bucket", "_prev_in_bucket", "_prev_bucket_last")
 
 
 def rapid_transfer(
@@ -265,7 +266,7 @@ def rapid_transfer(
     day: date | datetime | str | None = None,
     minutes: float = RAPID_TRANSFER_WINDOW_MINUTES,
     drop_null_sender: bool = False,
-    bucket_seconds: int = 3600,
+    bucket_seconds: int = GAP_BUCKET_SECONDS,
 ) -> DataFrame:
     """Transfers less than ``minutes`` after the previous one to the same recipient."""
     gaps = transfer_gaps(silver, day, bucket_seconds, drop_null_sender)
