@@ -16,9 +16,10 @@ tile and a spanning forest of the links, at most one edge per vector: no list
 of pairs, also for thousands of near copies.
 
 Edge cases: vectors that are null, zero, or hold a null or non-finite component
-have no links and are components of their own, as have vectors of another
-length than most; repeated rows (same id and vector) are separate vectors;
-an empty table gives an empty result; other columns are ignored.
+have no links and are components of their own; vectors of different lengths never
+link, each length is compared by itself; components of any finite size are scaled
+before they are squared; repeated rows (same id and vector) are separate vectors; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,9 +43,7 @@ def usable(v) -> np.ndarray | None:
     if v is None:
         return None
     x = np.asarray(v, dtype=float)
-    with np.errstate(over="ignore"):
-        ok = len(x) and np.isfinite(x).all() and x.any() and np.isfinite(x @ x)
-    return x if ok else None
+    return x if len(x) and np.isfinite(x).all() and x.any() else None
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -124,9 +123,12 @@ def tile_links(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float,
             near = np.abs(exact - threshold) < 1e-12
             if near.any():  # on the edge: the plain formula decides
                 va, vb = a[p[near]], b[q[near]]
-                exact[near] = (va * vb).sum(axis=1) / (
-                    np.sqrt((va * va).sum(axis=1)) * np.sqrt((vb * vb).sum(axis=1))
-                )
+                with np.errstate(all="ignore"):
+                    plain = (va * vb).sum(axis=1) / (
+                        np.sqrt((va * va).sum(axis=1)) * np.sqrt((vb * vb).sum(axis=1))
+                    )
+                # squares beyond the range of doubles: the scaled value stands
+                exact[near] = np.where(np.isfinite(plain), plain, exact[near])
             keep = exact >= threshold
             found_i.append(p[keep])
             found_j.append(q[keep])
@@ -154,25 +156,23 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
 
 def near_duplicates(table: DataFrame, threshold: float = 0.95, tile: int = TILE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row. Thresholds above 0."""
-    spark = table.sparkSession
-    id_type = table.schema["vec_id"].dataType.simpleString()
     rows = table.select("vec_id", _packed_column()("embedding").alias("vector")).withColumn(
         "digest", F.sha2("vector", 256)
     )
     rows = stored(rows.select("vec_id", "digest", "vector"), "vectors")
-    usual = (
-        rows.filter(F.col("vector").isNotNull())
-        .groupBy(F.length("vector").alias("n")).count()
-        .orderBy(F.desc("count"), "n").first()
+    size = F.length("vector")
+    lengths = rows.filter(size.isNotNull()).select(size.alias("n")).distinct().orderBy("n").collect()
+    found = rows.filter(size.isNull()).select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
-    dim = usual["n"] // 8 if usual else 0
-    good = rows.filter(F.length("vector") == dim * 8)
-    others = rows.filter((F.length("vector") != dim * 8) | F.col("vector").isNull())
-    if not dim:
-        return others.select(
-            "vec_id", F.lit(0).cast("long").alias("n_links"),
-            F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"),
-        )
+    for length in lengths:
+        same = rows.filter(size == length["n"])
+        found = found.unionByName(_of_one_length(same, length["n"] // 8, threshold, tile))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def _of_one_length(good: DataFrame, dim: int, threshold: float, tile: int) -> DataFrame:
+    """(vec_id, n_links, component_id) of usable vectors of ``dim`` components."""
     classes = stored(
         good.groupBy("digest").agg(
             F.first("vector").alias("vector"), F.count("*").alias("copies"),
@@ -209,7 +209,7 @@ def near_duplicates(table: DataFrame, threshold: float = 0.95, tile: int = TILE)
 
     flat = flat.withColumn("cell", cell_of("x0", "x1"))
     per_cell = flat.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("pieces"))
-    tiled = flat.join(F.broadcast(per_cell), "cell").withColumn(
+    tiled = flat.join(per_cell, "cell").withColumn(
         "piece", F.pmod(F.xxhash64("digest"), F.col("pieces"))
     )
 
@@ -224,6 +224,7 @@ def near_duplicates(table: DataFrame, threshold: float = 0.95, tile: int = TILE)
 
     tiles = stored(
         tiled.select("cell", "piece", "digest", "copies", "vector", "x")
+        .repartition("cell", "piece")  # not whole cells, as the join left them
         .groupBy("cell", "piece")
         .applyInPandas(
             block, "tile string, low array<double>, high array<double>, digests array<string>, "
@@ -313,9 +314,4 @@ def near_duplicates(table: DataFrame, threshold: float = 0.95, tile: int = TILE)
         good.select("vec_id", "digest")
         .join(per_class, "digest")
         .select("vec_id", "n_links", "component_id")
-        .unionByName(
-            others.select("vec_id", F.lit(0).cast("long").alias("n_links"),
-                          F.col("vec_id").alias("component_id"))
-        )
-        .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
     )
