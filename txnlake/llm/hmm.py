@@ -177,8 +177,8 @@ class Counts:
         order = sorted(range(len(spans)), key=lambda r: -len(spans[r]))
         k = len(model.first)
         usual = np.linalg.matrix_power(model.step, 64).mean(axis=0)  # inside a text
-        for at in range(0, len(order), 1024):
-            chosen = order[at : at + 1024]
+        for at in range(0, len(order), 2048):
+            chosen = order[at : at + 2048]
             begins = firsts[chosen]
             start = np.where(begins[:, None], model.first, usual)
             _, _, alpha, grid, running = forward(start, [spans[r] for r in chosen], model, True)
@@ -347,11 +347,11 @@ def score(docs: DataFrame, states: int = STATES, passes: int = 2) -> DataFrame:
     common = {
         bytes(r.word): float(np.log10(r.n + 0.5)) for r in frequent_words(counts).collect()
     }
-    start = [
-        r.text
-        for r in training.select("text", F.xxhash64("doc_id").alias("h"))
-        .orderBy("h").limit(START).select("text").collect()
-    ]
+    # first the hashes, then only the texts below the last of them
+    h = F.xxhash64("doc_id")
+    last = training.select(h.alias("h")).orderBy("h").limit(START).agg(F.max("h")).first()[0]
+    chosen = training.filter(h <= (last if last is not None else 0)).select("text", h.alias("h"))
+    start = [r.text for r in chosen.orderBy("h", "text").limit(START).collect()]
     model = starting_model(start, states)
     for _ in range(passes):
         model = baum_welch_pass(training, model)
