@@ -728,7 +728,7 @@ def _oracle_sql() -> dict[str, str]:
     q["check_rate_narrow"] = S(
         "SELECT merchant_code, _date, success_rate FROM merchant WHERE success_rate < 50 OR success_rate > 99", m
     )
-    q["check_reason_absent"] = S("SELECT 0 AS n_non_null FROM silver WHERE status = 'SUCCESS' "
+    q["check_reason_absent"] = S("SELECT CAST(0 AS BIGINT) AS n_non_null FROM silver WHERE status = 'SUCCESS' "
                                  "HAVING count(failure_reason) = 0")
     q["bronze_sample"] = B("SELECT * FROM bronze ORDER BY transaction_id, _ingested_at, _batch_id LIMIT 10")
     # stored layers
