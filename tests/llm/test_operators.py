@@ -2,10 +2,12 @@
 
 import base64
 import hashlib
+import itertools
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +111,55 @@ def test_shingle_join_chains_and_hot_passage(spark, tmp_path, monkeypatch):
     assert Counter(map(tuple, got)) == brute_components(docs)
 
 
+def test_tile_forest_joins_what_all_pairs_join(monkeypatch):
+    rnd = np.random.default_rng(2)
+    rows = []
+    for h in range(3):
+        base = rnd.integers(0, 1 << 62, 60).astype(np.uint64)
+        for _ in range(40):
+            s = np.unique(np.concatenate([base[rnd.random(60) < 0.95], rnd.integers(
+                0, 1 << 62, rnd.integers(0, 8)).astype(np.uint64)]))
+            key = ngramjoin.set_key(s)
+            rows.append((h, 0, 0, 0, key, len(s), key if rnd.random() < 0.8 else 7, s.tobytes(),
+                         ngramjoin.bitmap(s, ngramjoin.WIDE)))
+    frame = pd.DataFrame(rows, columns="h p q side key n component set wide".split())
+    frame = frame.sort_values(["h", "p", "q", "n", "key"]).reset_index(drop=True)
+    expected, allowed = set(), set()
+    for x, y in itertools.combinations(frame.itertuples(), 2):
+        if x.h == y.h and x.component != y.component:
+            a, b = (set(np.frombuffer(z.set, np.uint64).tolist()) for z in (x, y))
+            if 100 * len(a & b) >= 80 * len(a | b):
+                expected.add((x.key, y.key))
+                allowed |= {x.key, y.key}
+    assert len(expected) > 200
+    partners = ngramjoin.with_partner(frame.drop(columns="set"))
+    assert allowed <= set(partners["key"]) and "wide" not in partners.columns
+    got = ngramjoin.tile_forest(frame.drop(columns="wide"))
+    pairs = {frozenset(p) for p in got.itertuples(index=False, name=None)}
+    assert len(got) < len(frame) and pairs <= {frozenset(p) for p in expected}
+
+    def groups(links):
+        label = {}
+        for x in frame.itertuples():  # components known before count, in each tile
+            label[x.h, x.key] = (x.h, x.component)
+        for a, b in links:
+            for h in range(3):
+                if (h, a) in label and (h, b) in label:
+                    old, new = label[h, a], label[h, b]
+                    label = {k: new if v == old else v for k, v in label.items()}
+        return {frozenset(k for k, v in label.items() if v == c) for c in label.values()}
+
+    assert groups(map(tuple, pairs)) == groups(expected)
+    empty = frame.iloc[:0]
+    assert len(ngramjoin.tile_forest(empty)) == len(ngramjoin.with_partner(empty)) == 0
+
+
+def test_shingle_join_keeps_clashing_columns(spark):
+    rows = [(1, BASE, 5, "x"), (2, BASE + " more", 6, "y"), (3, None, 7, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rank int, Set_Key string")
+    assert sorted(map(tuple, ngramjoin.keep_one(docs).collect())) == [rows[0], rows[2]]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (7, 7), (None, 3), (200, 100)]
     got = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()

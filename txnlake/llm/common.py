@@ -32,6 +32,24 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote, once all that reads them is stored itself."""
+    for df in tables:
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5. A null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5

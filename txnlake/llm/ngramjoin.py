@@ -11,14 +11,14 @@ the result.
 Classes that share a prefix shingle meet in a tile of that shingle, sorted and
 banded by size; a large tile is cut into blocks that meet in pairs. In a tile
 hashed bitmap signatures bound the overlap from above: the bits in which two
-signatures differ are at least so many elements that are not shared. Pairs that
-may still reach the similarity are verified by exact intersection of the sorted
-arrays.
+signatures differ are at least so many elements that are not shared.
 
-Only the components are asked for, so a few rounds verify each class against
-some centres of its tiles, and the full comparison is left with pairs that those
-links have not already connected. Thousands of near copies then need a few
-comparisons each. Before sets are moved, a wider bitmap bounds the pairs again.
+Only the components are asked for. One round verifies each class against some
+centres of its tiles, so that most near copies are joined by a few comparisons. In
+the full comparison bitmaps leave the classes of a tile that may still be linked
+with another component; their sets are brought into the tile and exactly
+intersected, pairs already joined in it are skipped, and it gives the links of a
+forest: fewer than it has classes, however many of its pairs are similar.
 
 Edge cases: null texts and texts without words have an empty set and are linked
 with nothing; fewer words than a shingle has are one shingle; repeated rows and
@@ -30,14 +30,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored, unused
 from .graph import components
 
 WORDS = 5
@@ -48,7 +49,7 @@ BLOCK = 1024  # classes of a tile's block
 FILTER_BITS = 1 << 24
 SLICE = 1 << 16  # bytes of text hashed at once
 WIDE = 4  # bits of a wide bitmap for each element, at least
-ROUNDS = 3  # of comparison with centres before the full one
+BLOCK_SHINGLES = 1 << 22  # shingles of a tile's block
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 SPACES = np.array([bool(SPACE.match(bytes([i]))) for i in range(256)])
 CENTRES = 8  # of a tile with at least LARGE classes, besides the smallest
@@ -176,8 +177,9 @@ def _fold(words: np.ndarray, length: int) -> np.ndarray:
 
 
 def overlap_allowed(maps: np.ndarray, widths: np.ndarray, n: np.ndarray, i: np.ndarray,
-                    j: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether the bitmaps allow the similarity, for rows i and j.
+                    j: np.ndarray, percent: int = PERCENT, fold: int = 1) -> np.ndarray:
+    """Whether the bitmaps, folded to one ``fold``-th, allow the similarity, for
+    rows i and j.
 
     Bits that differ are elements that are not shared, so twice the overlap is at
     most n_i + n_j less their number. ``maps`` holds each row's packed bitmap.
@@ -189,58 +191,110 @@ def overlap_allowed(maps: np.ndarray, widths: np.ndarray, n: np.ndarray, i: np.n
             k = chosen[at : at + (1 << 15)]
             x = np.frombuffer(b"".join(maps[i[k]]), dtype=np.uint64).reshape(len(k), -1)
             y = np.frombuffer(b"".join(maps[j[k]]), dtype=np.uint64).reshape(len(k), -1)
-            short = min(x.shape[1], y.shape[1])
+            short = max(min(x.shape[1], y.shape[1]) // fold, 1)
             differ = np.bitwise_count(_fold(x, short) ^ _fold(y, short)).sum(axis=1, dtype=np.int64)
             total = n[i[k]] + n[j[k]]
             out[k] = (total - differ) * (100 + percent) >= 2 * percent * total
     return out
 
 
-def tile_pairs(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
-    """Distinct pairs (a, b) of keys that may be similar, for many tiles at once.
-
-    ``rows`` are whole tiles sorted by (h, p, q, n): each row is compared with
-    the next, the next but one and so on, all rows in step, until the tile or
-    the size band ends."""
-    key, n, comp, side = (rows[c].to_numpy() for c in ("key", "n", "component", "side"))
-    starts = (rows[["h", "p", "q"]] != rows[["h", "p", "q"]].shift()).any(axis=1).to_numpy()
-    tile = np.cumsum(starts)
-    two_sided = (rows["p"] != rows["q"]).to_numpy()
-    found = [np.zeros((0, 2), dtype=np.int64)]
-    held, at, step = 0, np.arange(len(rows)), 1
-
-    def distinct(pairs: list[np.ndarray]) -> np.ndarray:
-        """One index pair for each pair of keys."""
-        both = np.concatenate(pairs)
-        a, b = key[both[:, 0]], key[both[:, 1]]
-        frame = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-        return both[~frame.duplicated().to_numpy()]
-
-    out = []
-
-    def flush():
-        both = distinct(found)
-        widths = rows["bits"].str.len().to_numpy()
-        keep = overlap_allowed(rows["bits"].to_numpy(), widths, n, both[:, 0], both[:, 1], percent)
-        out.append(both[keep])
-
+def tile_steps(rows: pd.DataFrame, percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i, j) of rows that share a tile and whose sizes allow the
+    similarity. ``rows`` are whole tiles sorted by (h, p, q, n): each row meets the
+    next, the next but one and so on, all rows in step, until the tile or the size
+    band ends."""
+    n, side = rows["n"].to_numpy(), rows["side"].to_numpy()
+    ids = rows[["h", "p", "q"]]
+    tile = np.cumsum((ids != ids.shift()).any(axis=1).to_numpy())
+    one_sided = (rows["p"] == rows["q"]).to_numpy()
+    at, step = np.arange(len(rows)), 1
     while len(at):
         at = at[at + step < len(rows)]
         other = at + step
         near = (tile[at] == tile[other]) & (100 * n[at] >= percent * n[other])
         at, other = at[near], other[near]
-        wanted = (comp[at] != comp[other]) & (~two_sided[at] | (side[at] != side[other]))
-        if wanted.any():
-            found.append(np.stack([at[wanted], other[wanted]], axis=1))
-            held += len(found[-1])
-        if held > 1 << 20:
-            flush()
-            found, held = found[:1], 0
+        meet = one_sided[at] | (side[at] != side[other])
+        yield at[meet], other[meet]
         step += 1
-    flush()
-    both = distinct(out)
-    a, b = key[both[:, 0]], key[both[:, 1]]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def _may_link(maps: np.ndarray, widths: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray,
+              percent: int) -> np.ndarray:
+    """The rows of (i, j) that bitmaps allow: folded ones first, then whole ones."""
+    few = np.flatnonzero(overlap_allowed(maps, widths, n, i, j, percent, WIDE))
+    return few[overlap_allowed(maps, widths, n, i[few], j[few], percent)]
+
+
+def with_partner(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
+    """The rows of whole tiles that sizes and bitmaps allow a link with a row of
+    another component. Two rows known to have partners are not compared again."""
+    n, comp, maps = (rows[c].to_numpy() for c in ("n", "component", "wide"))
+    widths = rows["wide"].str.len().to_numpy()
+    found = np.zeros(len(rows), dtype=bool)
+    for i, j in tile_steps(rows, percent):
+        wanted = (comp[i] != comp[j]) & ~(found[i] & found[j])
+        i, j = i[wanted], j[wanted]
+        k = _may_link(maps, widths, n, i, j, percent)
+        found[i[k]] = found[j[k]] = True
+    return rows[found].drop(columns="wide")
+
+
+def similar_sets(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
+    """Exact intersection of two sorted arrays against the similarity."""
+    if len(a) > len(b):
+        a, b = b, a
+    place = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int((b[place] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def tile_forest(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
+    """Links (a, b) that join the components of whole tiles as far as exact
+    intersections do: pairs already joined are skipped, so a tile gives fewer
+    links than it has rows."""
+    n, key, comp = (rows[c].to_numpy() for c in ("n", "key", "component"))
+    ids = rows[["h", "p", "q"]]
+    tile = np.cumsum((ids != ids.shift()).any(axis=1).to_numpy())
+    # components of each tile by themselves, named by numbers
+    root = pd.DataFrame({"tile": tile, "comp": comp}).groupby(["tile", "comp"]).ngroup().to_numpy()
+    root = root.copy()
+    sets = [np.frombuffer(s, dtype=np.uint64) for s in rows["set"]]
+    maps = np.empty(len(sets), dtype=object)
+    maps[:] = [bitmap(s, WIDE) for s in sets]
+    widths = np.array([len(m) for m in maps], dtype=np.int64)
+    starts = np.searchsorted(tile, tile, "left")
+    ends = np.searchsorted(tile, tile, "right")
+    out = []
+    for i, j in tile_steps(rows, percent):
+        wanted = root[i] != root[j]
+        i, j = i[wanted], j[wanted]
+        for k in _may_link(maps, widths, n, i, j, percent):
+            x, y = i[k], j[k]
+            if root[x] != root[y] and similar_sets(sets[x], sets[y], percent):
+                part = root[starts[x] : ends[x]]
+                part[part == root[x]] = root[y]
+                out.append((min(key[x], key[y]), max(key[x], key[y])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def by_tile(function: Callable[[pd.DataFrame], pd.DataFrame]
+            ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """``function`` of whole tiles, applied to a stream sorted by (h, p, q)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None  # the last tile so far may go on in the next batch
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if not len(batch):
+                continue
+            ids = batch[["h", "p", "q"]]
+            last = (ids == ids.iloc[-1]).all(axis=1).to_numpy()
+            rest = batch[last]
+            yield function(batch[~last].reset_index(drop=True))
+        if rest is not None:
+            yield function(rest.reset_index(drop=True))
+
+    return run
 
 
 def allowed_pairs(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -264,7 +318,7 @@ def allowed_pairs(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT)
 
 
 def shingle_classes(docs: DataFrame, last: np.ndarray) -> DataFrame:
-    """(doc_id, n, key, prefix, bits, wide) of every row; no prefix for empty sets."""
+    """(doc_id, n, key, prefix, wide) of every row; no prefix for empty sets."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -278,18 +332,18 @@ def shingle_classes(docs: DataFrame, last: np.ndarray) -> DataFrame:
                     "n": [len(s) for s in sets],
                     "key": [set_key(s) for s in sets],
                     "prefix": [prefix(s, last).tobytes() if len(s) else None for s in sets],
-                    "bits": [bitmap(s) if len(s) else None for s in sets],
                     "wide": [bitmap(s, WIDE) if len(s) else None for s in sets],
                 })
 
     return docs.select("doc_id", "text").mapInPandas(
-        classes, f"doc_id {id_type}, n long, key long, prefix binary, bits binary, wide binary"
+        classes, f"doc_id {id_type}, n long, key long, prefix binary, wide binary"
     )
 
 
 def common_shingles(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes that begin many prefixes, the most frequent ones. Batches
-    are counted before the shuffle; a bounded list reaches the driver."""
+    """Sorted hashes that begin many prefixes: those whose count reaches the lowest
+    power of two that at most LAST hashes reach. Batches are counted before the
+    shuffle; a bounded list reaches the driver."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         none = np.zeros(0, dtype=np.uint64)
@@ -309,14 +363,23 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
                     held, size = [], 0
         yield counted()
 
-    rows = (
+    often = stored(
         docs.select("text").mapInPandas(count, "h long, n long")
-        .groupBy("h").agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= OFTEN)
-        .orderBy(F.desc("n"), "h").limit(LAST)
-        .toPandas()
+        .groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= OFTEN)
+        .withColumn("level", F.floor(F.log2("n")).cast("int")),
+        "often",
     )
-    return np.sort(rows["h"].to_numpy(dtype=np.int64).view(np.uint64))
+    total, least = 0, None  # the lowest power of two that not too many counts reach
+    for level, n in sorted(map(tuple, often.groupBy("level").count().collect()), reverse=True):
+        total += n
+        if total > LAST:
+            break
+        least = level
+    h = np.zeros(0, dtype=np.int64)
+    if least is not None:
+        h = often.filter(F.col("level") >= least).select("h").toPandas()["h"].to_numpy(np.int64)
+    discard(often)
+    return np.sort(h.view(np.uint64))
 
 
 def shared_only(rows: DataFrame) -> DataFrame:
@@ -368,22 +431,20 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataF
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for p, q in zip(x, y):
-            a, b = np.frombuffer(p, dtype=np.uint64), np.frombuffer(q, dtype=np.uint64)
-            if len(a) > len(b):
-                a, b = b, a
-            place = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            both = int((b[place] == a).sum())
-            out.append(100 * both >= percent * (len(a) + len(b) - both))
-        return pd.Series(out, dtype=bool)
+        return pd.Series([
+            similar_sets(np.frombuffer(p, dtype=np.uint64), np.frombuffer(q, dtype=np.uint64), percent)
+            for p, q in zip(x, y)
+        ], dtype=bool)
 
     side = lambda p: sets.select(F.col("key").alias(p), F.col("set").alias("set_" + p))
-    return (
+    found = stored(
         pairs.join(side("a"), "a").join(side("b"), "b")
         .filter(similar("set_a", "set_b"))
-        .select("a", "b")
+        .select("a", "b"),
+        "links",
     )
+    discard(pairs, sets)
+    return found
 
 
 def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -454,40 +515,46 @@ def star_pairs(rows: DataFrame, step: int) -> DataFrame:
     )
 
 
-def candidate_pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Distinct (a, b) of different components that meet in a tile and may be
-    similar. ``rows``: (h, key, n, component, bits)."""
+def tile_links(rows: DataFrame, classes: DataFrame, docs: DataFrame, block: int = BLOCK,
+               percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that join the components of ``rows``, (h, key, n, component), as
+    far as all pairs that meet in a tile do.
+
+    Tiles are cut into blocks of bounded numbers of classes and shingles, which meet in
+    pairs. Bitmaps first leave the rows that may have a partner; only their sets are
+    moved into the tiles, where each gives a forest of exact links, never pairs."""
     tiles = rows.groupBy("h").agg(
-        F.count("*").alias("members"), F.min("component").alias("c0"),
-        F.max("component").alias("c1"),
-    ).filter("c0 < c1").select("h", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
+        F.count("*").alias("members"), F.sum("n").alias("shingles"),
+        F.min("component").alias("c0"), F.max("component").alias("c1"),
+    ).filter("c0 < c1").select("h", F.greatest(
+        F.ceil(F.col("members") / block), F.ceil(F.col("shingles") / BLOCK_SHINGLES)
+    ).cast("int").alias("blocks"))
     dealt = (
-        rows.join(tiles, "h")
+        rows.join(tiles, "h").join(classes.select("key", "wide"), "key")
         .withColumn("own", F.pmod(F.hash("key"), "blocks"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "h", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-            F.col("own").alias("side"), "key", "n", "component", "bits",
+            F.col("own").alias("side"), "key", "n", "component", "wide",
         )
     )
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None  # the last tile so far may go on in the next batch
-        for batch in batches:
-            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            if not len(batch):
-                continue
-            ids = batch[["h", "p", "q"]]
-            last = (ids == ids.iloc[-1]).all(axis=1).to_numpy()
-            rest = batch[last]
-            yield tile_pairs(batch[~last].reset_index(drop=True))
-        if rest is not None:
-            yield tile_pairs(rest.reset_index(drop=True))
+    def sorted_tiles(tiles: DataFrame) -> DataFrame:
+        return tiles.repartition("h", "p", "q").sortWithinPartitions("h", "p", "q", "n", "key")
 
-    return (
-        dealt.repartition("h", "p", "q").sortWithinPartitions("h", "p", "q", "n", "key")
-        .mapInPandas(compare, "a long, b long").distinct()
+    schema = "h long, p int, q int, side int, key long, n long, component long"
+    open_rows = stored(
+        sorted_tiles(dealt).mapInPandas(by_tile(partial(with_partner, percent=percent)), schema),
+        "partners",
+    )
+    sets = stored(sets_of(docs, open_rows.select("key").distinct()), "sets")
+    found = stored(
+        sorted_tiles(open_rows.join(sets, "key"))
+        .mapInPandas(by_tile(partial(tile_forest, percent=percent)), "a long, b long").distinct(),
+        "links",
     )
+    discard(open_rows, sets)
+    return found
 
 
 def link(docs: DataFrame) -> DataFrame:
@@ -507,30 +574,24 @@ def link(docs: DataFrame) -> DataFrame:
                     .select("h", "key", "n")),
         "shared",
     )
-    shared = stored(shared.join(distinct_tiles(shared), "h", "left_semi"), "tiles")
+    tiles = stored(shared.join(distinct_tiles(shared), "h", "left_semi"), "tiles")
+    discard(shared)
     classes = stored(
-        words.join(shared.select("key").distinct(), "key", "left_semi").groupBy("key", "n")
-        .agg(F.first("bits").alias("bits"), F.first("wide").alias("wide")),
+        words.join(tiles.select("key").distinct(), "key", "left_semi").groupBy("key", "n")
+        .agg(F.first("wide").alias("wide")),
         "classes",
     )
 
-    links = groups = None
-    for step in range(ROUNDS + 1):
-        left = shared.withColumn("component", F.col("key")) if groups is None else (
-            shared.join(groups.withColumnRenamed("node", "key"), "key", "left")
-            .withColumn("component", F.coalesce("component", "key"))
-        )
-        open_tiles = left.groupBy("h").agg(
-            F.min("component").alias("c0"), F.max("component").alias("c1")
-        ).filter("c0 < c1").select("h")
-        tiles = left.join(open_tiles, "h", "left_semi")
-        if step < ROUNDS:
-            pairs = star_pairs(tiles, step)
-        else:  # all pairs of a tile that are not connected yet
-            pairs = candidate_pairs(tiles.join(classes.select("key", "bits"), "key"))
-        found = stored(verified(allowed_pairs(pairs, classes), docs), "links")
-        links = found if links is None else links.unionByName(found)
-        groups = stored(components(links), "groups")
+    near = star_pairs(tiles.withColumn("component", F.col("key")), 0)
+    stars = verified(allowed_pairs(near, classes), docs)
+    joined = stored(components(stars), "groups")
+    left = (
+        tiles.join(joined.withColumnRenamed("node", "key"), "key", "left")
+        .withColumn("component", F.coalesce("component", "key"))
+    )
+    links = stars.unionByName(tile_links(left, classes, docs))
+    groups = stored(components(links), "groups")
+    discard(tiles, classes, joined)
 
     lowest = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("low"))
     merged = groups.withColumnRenamed("node", "key").join(lowest, "key")
@@ -568,18 +629,18 @@ def keep_one(docs: DataFrame) -> DataFrame:
         sets = shingle_sets(texts)
         return pd.Series([set_key(s) if len(s) else None for s in sets], dtype="Int64")
 
-    keyed = docs.withColumn("__set_key", key_of("text"))
-    first = Window.partitionBy("doc_id", "__set_key").orderBy(F.xxhash64(*docs.columns))
+    own, rank = (unused(docs, x) for x in ("set_key", "rank"))
+    keyed = docs.withColumn(own, key_of("text"))
+    first = Window.partitionBy("doc_id", own).orderBy(F.xxhash64(*docs.columns))
     return (
-        keyed.filter(F.col("__set_key").isNotNull())
+        keyed.filter(F.col(own).isNotNull())
         .join(
             chosen,
-            keyed["doc_id"].eqNullSafe(chosen["one_id"])
-            & (keyed["__set_key"] == chosen["one_key"]),
+            keyed["doc_id"].eqNullSafe(chosen["one_id"]) & (keyed[own] == chosen["one_key"]),
             "left_semi",
         )
-        .withColumn("__rank", F.row_number().over(first))
-        .filter(F.col("__rank") == 1)
+        .withColumn(rank, F.row_number().over(first))
+        .filter(F.col(rank) == 1)
         .select(*docs.columns)
-        .unionByName(keyed.filter(F.col("__set_key").isNull()).select(*docs.columns))
+        .unionByName(keyed.filter(F.col(own).isNull()).select(*docs.columns))
     )
