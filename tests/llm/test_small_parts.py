@@ -233,6 +233,20 @@ def test_tile_links_against_all_pairs():
         np.triu(u @ u.T >= 0.95, 1)))))
 
 
+def test_ids_in_any_order_decode_as_by_the_library():
+    tok, text_of, rnd = bpe.tokenizer(PATH), bpe.whole_decoder(PATH), random.Random(2)
+    size = tok.get_vocab_size()
+    for n in (0, 1, 2, 5, 50, 500):
+        for _ in range(40):  # cut code points and invalid bytes come up as well
+            ids = [rnd.randrange(size) for _ in range(n)]
+            assert text_of(ids) == tok.decode(ids, skip_special_tokens=False)
+    for i in range(size):
+        assert text_of([i]) == tok.decode([i], skip_special_tokens=False)
+    for a in range(188, 256):  # pairs of single bytes
+        for b in range(256):
+            assert text_of([a, b, a]) == tok.decode([a, b, a], skip_special_tokens=False)
+
+
 def test_shingle_sets_count_distinct_windows_whatever_the_slice():
     texts = ["", None, " \n", "one two", "a b c d e", "a a a a a a a", "A b\x0bC  d e f é", "x" * 500 + " y",
              " ".join(f"w{i % 50}" for i in range(400))] * 3

@@ -59,18 +59,22 @@ PATTERN = (
 )
 
 
+def _spec(path: str) -> dict:
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
 @functools.lru_cache(maxsize=4)
 def whole_encoder(path: str):
-    """A function from a text to its ids."""
-    tok = tokenizer(path)
+    """A function from a text to its ids. The library is loaded only where it is used,
+    as each worker holds what it loads."""
 
     def by_library(text: str) -> list[int]:
-        return tok.encode(text, add_special_tokens=False).ids
+        return tokenizer(path).encode(text, add_special_tokens=False).ids
 
-    import json
-
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+    spec = _spec(path)
     model, pre = spec["model"], spec.get("pre_tokenizer") or {}
     byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
     added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
@@ -93,6 +97,26 @@ def whole_encoder(path: str):
     return functools.partial(enc.encode, allowed_special="all")
 
 
+@functools.lru_cache(maxsize=4)
+def whole_decoder(path: str):
+    """A function from ids to their text, by a table of each token's bytes where the
+    vocabulary is byte-level, else by the library. Ids without a token give nothing."""
+    spec = _spec(path)
+    if (spec.get("decoder") or {}).get("type") != "ByteLevel":
+        return lambda ids: tokenizer(path).decode(ids, skip_special_tokens=False)
+    signs = byte_signs()
+    tokens = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    table = [b""] * (max(tokens.values(), default=-1) + 1)
+    for token, i in tokens.items():
+        table[i] = bytes(signs[c] for c in token) if set(token) <= signs.keys() else token.encode()
+
+    def decode(ids: list[int]) -> str:
+        known = (table[i] for i in ids if i < len(table))
+        return b"".join(known).decode("utf-8", "replace")
+
+    return decode
+
+
 def byte_signs() -> dict[str, int]:
     """The printable sign of each byte in byte-level vocabularies: itself where
     Latin-1 prints it, else the next free sign from U+0100 on."""
@@ -229,10 +253,8 @@ def decode_column(ids: Column, path: str) -> Column:
 
     @F.pandas_udf("string")
     def decode(packed: pd.Series) -> pd.Series:
-        tok = tokenizer(path)
-        return pd.Series(
-            [tok.decode(_unpacked(p), skip_special_tokens=False) for p in packed], dtype=object
-        )
+        text_of = whole_decoder(path)
+        return pd.Series([text_of(_unpacked(p)) for p in packed], dtype=object)
 
     return decode(ids)
 
@@ -255,9 +277,9 @@ def encode(docs: DataFrame, path: str, long_chars: int = LONG_CHARS,
 
     @F.pandas_udf("binary")
     def encode_pieces(kinds: pd.Series, bodies: pd.Series) -> pd.Series:
-        tok, ids_of = tokenizer(path), whole_encoder(path)
+        ids_of = whole_encoder(path)
         return pd.Series(
-            [_packed(ids_of(b) if k == TEXT else encode_leaf(tok, b))
+            [_packed(ids_of(b) if k == TEXT else encode_leaf(tokenizer(path), b))
              for k, b in zip(kinds, bodies)], dtype=object
         )
 
