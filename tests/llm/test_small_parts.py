@@ -247,6 +247,31 @@ def test_ids_in_any_order_decode_as_by_the_library():
             assert text_of([a, b, a]) == tok.decode([a, b, a], skip_special_tokens=False)
 
 
+def test_repeated_passages_take_larger_blocks():
+    rnd = random.Random(3)
+    for unit in ("abcdefgh ", "x", "one two three four five six seven ", "é"):
+        for n in (500, 2_000, 20_000):
+            text = unit * n
+            cut = 3 * len(text) // 4
+            other = text[:cut] + "".join(rnd.choices("abcdefghij ", k=len(text) - cut))
+            for t in (text, other):
+                signs = fuzzyhash.fingerprint(t).split(":")[1:]
+                assert all(len(x) <= fuzzyhash.LIMIT for x in signs)
+            assert fuzzyhash.likeness(fuzzyhash.fingerprint(text), fuzzyhash.fingerprint(other)) < 1
+    # each end after the block's: any text, whole or in steps, within the limit
+    for _ in range(50):
+        base = "".join(rnd.choices("ab ", k=rnd.randrange(1, 40)))
+        text = base * rnd.randrange(1, 400)
+        size, one, two = fuzzyhash.fingerprint(text).split(":")
+        data = text.encode()
+        ends, double = fuzzyhash.chunk_ends(data, int(size).bit_length() - 1)
+        if len(ends) < fuzzyhash.LIMIT:
+            assert one == fuzzyhash.signature(data, ends.tolist())
+            assert two == fuzzyhash.signature(data, ends[double].tolist())
+        else:
+            assert len(one) == len(two) == 1
+
+
 def test_shingle_sets_count_distinct_windows_whatever_the_slice():
     texts = ["", None, " \n", "one two", "a b c d e", "a a a a a a a", "A b\x0bC  d e f é", "x" * 500 + " y",
              " ".join(f"w{i % 50}" for i in range(400))] * 3

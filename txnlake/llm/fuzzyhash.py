@@ -7,8 +7,9 @@ taken from the chunk's own hash, and the fingerprint is
 the smallest power of two above a 64th of the text's bytes, so about 32 to 64
 chunks are expected, and texts whose lengths differ by less than a factor of two
 stay comparable. An edit changes the signs around it and the rest of the
-signature stays. Should a text's hash meet the condition far more often, the
-chunks after the 191st make one last chunk. Two fingerprints are
+signature stays. Should a text's hash meet the condition far more often (repeated
+passages), the block size is doubled until the signature has at most ``LIMIT``
+signs; a text where no size does that is one chunk. Two fingerprints are
 compared where their block sizes are equal or differ by a factor of two: the
 likeness is one minus the edit distance over the longer length, if the
 signatures share a run of ``RUN`` signs.
@@ -17,7 +18,7 @@ All bytes of a text are hashed; the rolling hash is seven shifted sums in numpy.
 
 Edge cases: null and empty texts have the fingerprint ``1::``; equal texts have
 equal fingerprints and likeness 1; an empty table gives an empty result;
-other columns are ignored. Repeated ids are ordered by their text.
+other columns are ignored. Repeated ids are ordered by a hash of their text.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 CHUNKS = 64  # expected at most
 LIMIT = 192  # signs of a signature
+MOST = 30  # binary logarithm of the largest block size
 RUN = 3
 WINDOW = 7
 STEP = 1 << 22  # bytes hashed at a time
@@ -62,9 +64,8 @@ def chunk_ends(data: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(data: bytes, ends: list[int]) -> str:
-    """A sign for each chunk; the last one also holds what follows the last end
-    or the ends beyond the limit."""
-    ends = ends[: LIMIT - 1]
+    """A sign for each chunk; what follows the last end is one more."""
+    ends = list(ends)
     if not ends or ends[-1] < len(data):
         ends.append(len(data))
     view = memoryview(data)
@@ -77,6 +78,11 @@ def fingerprint(text: str | None) -> str:
         return "1::"
     k = max(0, ((len(data) - 1) // CHUNKS).bit_length())
     ends, double = chunk_ends(data, k)
+    while len(ends) >= LIMIT and k < MOST:
+        k += 1
+        ends, double = chunk_ends(data, k)
+    if len(ends) >= LIMIT:
+        ends, double = ends[:0], double[:0]
     return f"{1 << k}:{signature(data, ends.tolist())}:{signature(data, ends[double].tolist())}"
 
 
