@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txnlake.plans import catalog, jobs
 from txnlake.plans.jobs import LakePaths
-from txnlake.sources import day_index, landings, pages, schemas, sinks
+from txnlake.sources import day_index, landings, lifecycle, pages, schemas, sinks
 from txnlake.streaming.landing import start_landing
 
 from .test_jobs import SF, _delivery
@@ -192,6 +192,35 @@ def test_incremental_keeps_late_rows_and_reads_touched_days(spark, tmp_path, cap
     assert any("_event_date" in line and "2024-01-15" in line for line in filters)
 
 
+def test_incremental_broadcasts_no_stored_rows_and_compares_once(spark, tmp_path, monkeypatch, capsys):
+    paths = LakePaths(str(tmp_path / "lake"))
+    rows = _delivery(spark, [("A", 1.0, "2024-01-15 10:00:00"), ("B", 2.0, None)], "1")
+    limits = {f"spark.sql.{x}autoBroadcastJoinThreshold": "1g" for x in ("", "adaptive.")}
+    old = {k: spark.conf.get(k) for k in limits}
+    given = []
+
+    def seen(new, *args):
+        given.append(new)
+        return {"rows_written": 0}
+
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        jobs.ingest_bronze(rows, paths)
+        lifecycle.not_yet_landed(rows, jobs.bronze_days(spark, paths, None)).explain("formatted")
+        lifecycle.incremental(rows, rows).explain("formatted")
+        plans = capsys.readouterr().out
+        monkeypatch.setattr(jobs, "ingest_bronze", seen)
+        jobs.ingest_incremental(spark, paths, rows, "i1")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plans and "BroadcastHashJoin" not in plans
+    given[0].explain("formatted")
+    assert "Join" not in capsys.readouterr().out  # the rows come from the stored comparison
+    assert not sinks.exists(spark, paths.staged("i1"))
+
+
 def test_retention_deletes_from_every_layer(spark, tmp_path):
     paths = LakePaths(str(tmp_path / "lake"))
     jobs.ingest_bronze(_good(spark, [

@@ -13,6 +13,7 @@ system path:
     <root>/quarantine/pages                rejected API elements
     <root>/landings                        log of landings (``sources.landings``)
     <root>/index                           days of the landed ids (``sources.day_index``)
+    <root>/staged/<landing>                rows of a landing in progress, computed once
 
 Re-running a job for the same dates replaces exactly those partitions, those left
 without rows included; landing the same delivery again replaces its rows key by key.
@@ -77,6 +78,9 @@ class LakePaths:
     def index(self) -> str:
         return self._p("index")
 
+    def staged(self, landing: str) -> str:
+        return self._p("staged", landings.file_name(landing))
+
 
 def _day(d: date | datetime | str) -> str:
     return str(d)[:10]
@@ -185,7 +189,7 @@ def moved_rows(spark: SparkSession, paths: LakePaths, days: list) -> DataFrame |
     if not others:
         return None
     ids = ids.select("transaction_id").distinct()
-    return bronze_days(spark, paths, list(others)).join(ids, "transaction_id", "left_semi")
+    return bronze_days(spark, paths, list(others)).join(ids.hint("merge"), "transaction_id", "left_semi")
 
 
 def _range_days(spark: SparkSession, paths: LakePaths, start, end) -> list:
@@ -369,12 +373,14 @@ def high_water_mark(spark: SparkSession, paths: LakePaths) -> datetime | None:
 def ingest_incremental(spark: SparkSession, paths: LakePaths, rows: DataFrame, landing: str) -> dict:
     """Land the rows of a fetch that Bronze does not hold yet: new ones, and also late
     rows, rows without a time and corrections, which a high-water mark would skip. Only
-    the day folders that the fetch touches are compared."""
+    the day folders that the fetch touches are compared, and only once."""
+    if not sinks.exists(spark, paths.bronze):
+        return ingest_bronze(rows, paths, landing)
     day = F.to_date("initiated_at").alias(EVENT_DATE)
     days = [r[EVENT_DATE] for r in rows.select(day).distinct().collect()]
-    if sinks.exists(spark, paths.bronze):
-        rows = lifecycle.not_yet_landed(rows, bronze_days(spark, paths, days))
-    return ingest_bronze(rows, paths, landing)
+    fresh = lifecycle.not_yet_landed(rows, bronze_days(spark, paths, days))
+    with sinks.staged(fresh, paths.staged(landing)) as stored:
+        return ingest_bronze(stored, paths, landing)
 
 
 LAYER_COMMENTS = {

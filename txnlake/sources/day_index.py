@@ -84,7 +84,8 @@ def note_landing(rows: DataFrame, index: str, name: str) -> None:
     if buckets:
         before = known(spark, index, buckets)
         other = before.unionByName(new).select("transaction_id", BUCKET, F.col("day").alias("other"))
-        moves = new.join(other, [BUCKET, "transaction_id"]).filter(
+        # merged: neither side is small, whatever its compressed files suggest
+        moves = new.join(other.hint("merge"), [BUCKET, "transaction_id"]).filter(
             ~F.col("day").eqNullSafe(F.col("other"))
         )
         ends = F.array(F.struct("day", "other"), F.struct(F.col("other").alias("day"), F.col("day").alias("other")))
@@ -98,7 +99,8 @@ def note_landing(rows: DataFrame, index: str, name: str) -> None:
         pairs = {(_text(a), _text(b)) for a, b in met.select(DAY, "other").distinct().collect()}
         text = F.coalesce(F.col("day").cast("string"), F.lit("")).alias("day_text")
         fresh = new.select("*", text).join(
-            before.select(BUCKET, "transaction_id", text), [BUCKET, "transaction_id", "day_text"], "left_anti"
+            before.select(BUCKET, "transaction_id", text).hint("merge"),
+            [BUCKET, "transaction_id", "day_text"], "left_anti",
         )
         sinks.append(fresh.select("transaction_id", "day", BUCKET), f"{index}/days", BUCKET)
     if rows.filter(F.col(DAY).isNull()).limit(1).count():

@@ -148,7 +148,7 @@ def publish(
         earlier = earlier.withColumn(ATTEMPT_PART, renamed[F.col(ATTEMPT_PART)])
         given = new.select(ATTEMPT_PART, key.alias("_landing_key")).distinct()
         carried = earlier.withColumn("_landing_key", key).join(
-            given, [ATTEMPT_PART, "_landing_key"], "left_anti"
+            given.hint("merge"), [ATTEMPT_PART, "_landing_key"], "left_anti"
         )
         out = out.unionByName(carried.select(*out.columns))
     sinks.overwrite_partitions(out, path, [group_col, ATTEMPT_PART])

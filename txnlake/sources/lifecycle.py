@@ -56,17 +56,21 @@ def incremental(
     """
     mark = existing.select(F.max(col)).scalar()
     newer = incoming.filter(F.col(col) > F.coalesce(mark, F.lit("0001-01-01").cast(incoming.schema[col].dataType)))
-    return newer.join(existing.select(key), key, "left_anti")
+    # no estimate of a stored table's keys is good enough to broadcast them
+    return newer.join(existing.select(key).hint("merge"), key, "left_anti")
 
 
 def not_yet_landed(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     """Rows of ``incoming`` that ``existing`` does not hold: new ids, late ones, rows
     without a time or an id, and corrections of landed ids. Audit columns, which differ
-    between deliveries, are not compared."""
+    between deliveries, are not compared.
+
+    The digests of all that is stored are sorted and merged, never broadcast: one column
+    of a well compressed table is estimated far smaller than its rows are in memory."""
     columns = [c for c in incoming.columns if not c.startswith("_")]
-    content = F.sha2(F.to_json(F.struct(*columns)), 256).alias("_content")
+    content = F.unhex(F.sha2(F.to_json(F.struct(*columns)), 256)).alias("_content")
     return incoming.withColumn("_content", content).join(
-        existing.select(content).distinct(), "_content", "left_anti"
+        existing.select(content).hint("merge"), "_content", "left_anti"
     ).drop("_content")
 
 

@@ -9,7 +9,8 @@ re-run of the same days is idempotent). Write metrics come from an
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -136,6 +137,18 @@ def drop_partitions(
     return gone
 
 
+@contextmanager
+def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``df`` computed once, for jobs that read it several times: a copy at ``path``,
+    deleted afterwards. One that a lost run left is replaced."""
+    spark = df.sparkSession
+    try:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        drop_folders(spark, [path])
+
+
 def append(
     df: DataFrame,
     path: str,
