@@ -221,6 +221,25 @@ def test_incremental_broadcasts_no_stored_rows_and_compares_once(spark, tmp_path
     assert not sinks.exists(spark, paths.staged("i1"))
 
 
+@pytest.mark.parametrize("secret", [None, "s"])
+def test_pages_are_parsed_once_for_good_and_rejected_rows(spark, tmp_path, monkeypatch, secret):
+    pg = catalog.api_pages(spark, SF).unionByName(spark.createDataFrame(
+        [(-1, "no json"), (-2, "{}"), (-3, '{"transactions":[7,{"id":"X"}]}')], "page long, body string"
+    )).persist()
+    parse, calls = pages._elements, []
+    monkeypatch.setattr(pages, "_elements", lambda *a: calls.append(a) or parse(*a))
+    split = pages.split_pages(pg, secret=secret)
+    for got, want in ((pages.good_rows(split), pages.flatten_pages(pg, secret=secret)),
+                      (pages.rejected_rows(split), pages.quarantine_pages(pg, secret=secret))):
+        assert got.columns == want.columns
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    calls.clear()
+    paths = LakePaths(str(tmp_path / "lake"))
+    jobs.ingest_pages(pg.limit(1).select("body"), paths, "2024-01-31", "b", secret, tokenize=bool(secret))
+    assert len(calls) == 1 and not sinks.exists(spark, paths.staged("b"))
+    pg.unpersist()
+
+
 def test_retention_deletes_from_every_layer(spark, tmp_path):
     paths = LakePaths(str(tmp_path / "lake"))
     jobs.ingest_bronze(_good(spark, [

@@ -131,13 +131,17 @@ def ingest_pages(
     tokenize: bool = True,
 ) -> dict:
     """Flatten API pages, land good rows in Bronze, keep rejected ones. Phones are
-    tokenised with ``secret`` unless ``tokenize`` is turned off."""
-    secret = pages.token_secret(secret, tokenize)
-    rows = pages.flatten_pages(api_pages, body_col, secret)
-    landed = lifecycle.land(rows, ingested_at, batch_id)
-    metrics = ingest_bronze(landed, paths, landing or batch_id)
-    rejected = pages.quarantine_pages(api_pages, body_col, secret).withColumn("_batch_id", F.lit(batch_id))
-    metrics["rows_quarantined"] = quarantine(rejected, paths, landing or batch_id)["rows_written"]
+    tokenised with ``secret`` unless ``tokenize`` is turned off. Pages are parsed once;
+    ``event_days`` of the metrics are the days of the good rows."""
+    landing = landing or batch_id
+    split = pages.split_pages(api_pages, body_col, pages.token_secret(secret, tokenize))
+    with sinks.staged(split, paths.staged(landing)) as stored:
+        landed = lifecycle.land(pages.good_rows(stored), ingested_at, batch_id)
+        metrics = ingest_bronze(landed, paths, landing)
+        rejected = pages.rejected_rows(stored).withColumn("_batch_id", F.lit(batch_id))
+        metrics["rows_quarantined"] = quarantine(rejected, paths, landing)["rows_written"]
+        day = F.to_date("initiated_at").alias(EVENT_DATE)
+        metrics["event_days"] = [r[EVENT_DATE] for r in landed.select(day).distinct().collect()]
     return metrics
 
 

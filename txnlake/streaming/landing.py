@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.jobs import EVENT_DATE, LakePaths, ingest_pages, normalize_days
+from ..plans.jobs import LakePaths, ingest_pages, normalize_days
 from ..sources import pages, sinks
 
 ARRIVED = "_arrived_at"
@@ -82,12 +82,9 @@ def process_batch(
             newest = F.max(F.col(ARRIVED)).cast("timestamp_ntz")
             ingested_at = batch.agg(F.convert_timezone(F.current_timezone(), F.lit("UTC"), newest)).first()[0]
         landing = f"stream-{stream}-{epoch_id:08d}"
-        body = batch.select("body")
-        ingest_pages(body, paths, ingested_at, landing, secret, tokenize=tokenize)
+        landed = ingest_pages(batch.select("body"), paths, ingested_at, landing, secret, tokenize=tokenize)
         # distinct event days of the batch: a handful of values, one per day
-        rows = pages.flatten_pages(body, "body")
-        days = rows.select(F.to_date("initiated_at").alias(EVENT_DATE)).distinct()
-        renormalize_dates(spark, paths, [r[EVENT_DATE] for r in days.collect()])
+        renormalize_dates(spark, paths, landed["event_days"])
     finally:
         batch.unpersist()
 
