@@ -111,3 +111,22 @@ def test_bitset(spark):
     assert np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist() == sorted(set(spots))
     every = np.arange(1 << 18)
     assert np.flatnonzero(bitset.holds(bits, every)).tolist() == sorted(set(spots))
+
+
+def test_levels_of_a_block_are_those_of_each_length(monkeypatch):
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({
+        "lang": ["x", "y"], "chunk": ["", ""], "ends": [True, False], "freq": [1, 2], "id": [1, 2],
+        "words": [rng.integers(0, 6, 500).astype("<u8").tobytes() for _ in range(2)],
+    })
+    block, bits = phrases._Block(rows), 12
+    bitsets = [rng.integers(0, 256, 1 << (bits - 3)).astype(np.uint8) for _ in range(5)]
+    steps, longer = [], phrases._longer
+    monkeypatch.setattr(phrases, "_longer", lambda *a: steps.append(a[2]) or longer(*a))
+    levels = [(at.copy(), h.copy(), block.checks(at, n))
+              for n, (at, h) in enumerate(block.levels(bitsets, bits, 5), 1)]
+    assert steps == [1, 2, 3, 4, 5]  # each length from the one before, once
+    for n, found in enumerate(levels, 1):
+        assert all((a == b).all() for a, b in zip(found, block.phrases(n, bitsets, bits)))

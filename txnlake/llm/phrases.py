@@ -191,24 +191,37 @@ class _Block:
         mixed = (self.rows["id"].to_numpy()[chunk].astype(np.uint64) + (offset.astype(np.uint64) << np.uint64(32)))
         return ((mixed * _SPREAD) >> np.uint64(32)).astype(np.int64)
 
-    def phrases(self, n: int, bitsets: list[np.ndarray], log2_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places where a phrase of n words starts whose shorter phrases may be
-        frequent by ``bitsets`` (of 1, 2, ... words), and its key: 64 and 32 bits."""
-        hashes, fits = self.seed, np.abs(self.room) >= 1
-        for m in range(1, n + 1):
+    def levels(
+        self, bitsets: list[np.ndarray], log2_bits: int, last: int
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For phrases of 1, 2, ... ``last`` words in one go: the places where one starts
+        whose shorter phrases may be frequent by ``bitsets`` (of 1, 2, ... words), and
+        its hash, the first 64 bits of its key."""
+        hashes, room = self.seed, np.abs(self.room)
+        fits = room >= 1
+        for m in range(1, last + 1):
             hashes = _longer(hashes, self.words, m)
-            fits &= np.abs(self.room) >= m
-            if m == n:
-                break
-            fits[fits] = holds(bitsets[m - 1], spots(hashes[fits], log2_bits))
-            fits[:-1] &= fits[1:]  # the phrase of m words one place on
-            fits[-1] = False
-        at = np.flatnonzero(fits & (self.room > 0))
+            fits &= room >= m
+            at = np.flatnonzero(fits & (self.room > 0))
+            yield at, hashes[at].view(np.int64)
+            if m < last:
+                fits[fits] = holds(bitsets[m - 1], spots(hashes[fits], log2_bits))
+                fits[:-1] &= fits[1:]  # the phrase of m words one place on
+                fits[-1] = False
+
+    def checks(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The other 32 bits of the keys of the phrases of n words at these places."""
         check = ~self.seed[at]
         for m in range(n):
             check = (check + self.words[at + m]) * np.uint64(0xC2B2AE3D27D4EB4F)
             check ^= check >> np.uint64(31)
-        return at, hashes[at].view(np.int64), (check >> np.uint64(32)).astype(np.int64)
+        return (check >> np.uint64(32)).astype(np.int64)
+
+    def phrases(self, n: int, bitsets: list[np.ndarray], log2_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the phrases of n words as in ``levels``, and their keys."""
+        for at, h in self.levels(bitsets, log2_bits, n):
+            pass
+        return at, h, self.checks(at, n)
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
@@ -291,14 +304,14 @@ def count_phrases(
                 "h": 0, "c": 0, "f": totals.astype(np.int64),
             })
             start = block.stop - block.sizes
-            for n in range(1, MAX_WORDS + 1):
-                at, h, c = block.phrases(n, bitsets, log2_bits)
+            texts = block.rows["chunk"].to_numpy(dtype=object)
+            for n, (at, h) in enumerate(block.levels(bitsets, log2_bits, MAX_WORDS), 1):
                 here = holds(chosen, spots((h ^ block.where(at)).view(np.uint64), log2_bits))
-                at, h, c = at[here], h[here], c[here]
+                at, h = at[here], h[here]
+                c = block.checks(at, n)
                 chunk = np.searchsorted(block.stop, at, side="right")
-                texts = block.rows["chunk"].to_numpy(dtype=object)
                 phrases = [
-                    " ".join(texts[k].split(" ")[i : i + n])
+                    " ".join(texts[k].split(" ", i + n)[i : i + n])
                     for k, i in zip(chunk.tolist(), (at - start[chunk]).tolist())
                 ]
                 if phrases:
