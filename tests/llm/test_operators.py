@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import itertools
+import re
 import zlib
 from collections import Counter
 
@@ -64,6 +65,43 @@ def test_bpe(docs, none):
     assert queries.encoded_digests(none, PATH).count() == 0
 
 
+def python_nodes(df):
+    """Nodes of the plan that run Python: for each of a stage every task has a worker."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return sum(len(re.findall(rf"\b{n}\b", plan)) for n in (
+        "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas"))
+
+
+def test_texts_are_encoded_and_decoded_in_one_pass(docs):
+    out = queries.encoded_digests(docs, PATH)
+    # short texts; pieces of long ones: cut, encoded, joined
+    assert python_nodes(out) == 4
+    for long_chars, leaf in ((1 << 16, 1 << 14), (50, 64)):
+        both = bpe.encode(docs, PATH, long_chars, leaf, decoded=True)
+        apart = bpe.encode(docs, PATH, long_chars, leaf).withColumn(
+            "decoded", bpe.decode_column(F.col("ids"), PATH))
+        assert both.schema == apart.schema
+        got, expected = (Counter((r.doc_id, bytes(r.ids), r.decoded) for r in x.collect())
+                         for x in (both, apart))
+        assert got == expected and len(got) > 10
+
+
+def test_near_copies_hash_each_text_once(docs):
+    # one for the rows with words, one for those without
+    assert python_nodes(ngramjoin.keep_one(docs)) == 2
+
+
+def test_the_library_is_loaded_where_a_text_is_not_split_by_spaces(monkeypatch):
+    loaded, library = [], bpe.tokenizer
+    monkeypatch.setattr(bpe, "tokenizer", lambda path: loaded.append(path) or library(path))
+    pieces = bpe.split_text(bpe.LoadedOnUse(PATH), "some words " * 50, 40, 16)
+    ids_of = bpe.whole_encoder(PATH)
+    assert bpe.assemble(bpe.LoadedOnUse(PATH), [(k, ids_of(b)) for k, b in pieces]) == ids_of("some words " * 50)
+    assert not loaded
+    assert {k for k, _ in bpe.split_text(bpe.LoadedOnUse(PATH), "x" * 200, 40, 16)} > {bpe.LEAF}
+    assert loaded
+
+
 def brute_components(docs):
     sets = []
     for i, text in all_rows(docs):

@@ -30,11 +30,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONG_CHARS = 1 << 16
 LEAF_BYTES = 1 << 14
+PASSED_ON = 500  # texts whose ids a worker holds at once
 SAFE_CUT = re.compile(r"(?<=[A-Za-z0-9]) ")
 TEXT, LEAF, LEAF_NEXT = 0, 1, 2  # LEAF_NEXT continues the pre-token of the leaf before
 
@@ -53,6 +55,17 @@ def tokenizer(path: str):
     return tok
 
 
+class LoadedOnUse:
+    """The tokenizer of a vocabulary file, loaded when it is first asked for something:
+    most texts are split and joined without it."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __getattr__(self, name: str):
+        return getattr(tokenizer(self.path), name)
+
+
 # Fixed value: the published pattern of byte-level pre-tokenization.
 PATTERN = (
     r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
@@ -237,17 +250,6 @@ def assemble(tok, pieces: list[tuple[int, list[int]]]) -> list[int]:
     return out + join_tree(tok, run)
 
 
-def encode_column(text: Column, path: str) -> Column:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
-
-    @F.pandas_udf("binary")
-    def encode(texts: pd.Series) -> pd.Series:
-        ids_of = whole_encoder(path)
-        return pd.Series([_packed(ids_of(t)) for t in texts], dtype=object)
-
-    return encode(text)
-
-
 def decode_column(ids: Column, path: str) -> Column:
     """Texts of packed ids; special tokens are kept."""
 
@@ -260,16 +262,34 @@ def decode_column(ids: Column, path: str) -> Column:
 
 
 def encode(docs: DataFrame, path: str, long_chars: int = LONG_CHARS,
-           leaf_bytes: int = LEAF_BYTES) -> DataFrame:
-    """(doc_id, ids) of every row; ``docs`` must be a table or a checkpoint, as
-    rows of long texts are numbered while they are read."""
+           leaf_bytes: int = LEAF_BYTES, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids) of every row, ids as little-endian unsigned 32-bit integers; with
+    ``decoded`` also the text that they decode to, special tokens kept, from the same
+    pass: one worker for each task and not two. ``docs`` must be a table or a
+    checkpoint, as rows of long texts are numbered while they are read."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     is_long = F.length("text") > long_chars
-    short = rows.filter(~is_long).select("doc_id", encode_column(F.col("text"), path).alias("ids"))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, ids binary" + ", decoded string" * decoded
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of = whole_encoder(path)
+        text_of = whole_decoder(path) if decoded else None
+        for batch in batches:
+            for at in range(0, batch.num_rows, PASSED_ON):
+                part = batch.slice(at, PASSED_ON)
+                ids = [_packed(ids_of(t)) for t in part.column("text").to_pylist()]
+                out = {"doc_id": part.column("doc_id"), "ids": pa.array(ids, pa.binary())}
+                if decoded:
+                    texts = [text_of(_unpacked(p)) for p in ids]
+                    out["decoded"] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_pydict(out)
+
+    short = rows.filter(~is_long).mapInArrow(code, schema)
 
     @F.pandas_udf("array<struct<kind:int,body:string>>")
     def split(texts: pd.Series) -> pd.Series:
-        tok = tokenizer(path)
+        tok = LoadedOnUse(path)
         return pd.Series(
             [[{"kind": k, "body": b} for k, b in split_text(tok, t, long_chars, leaf_bytes)]
              for t in texts], dtype=object
@@ -286,11 +306,12 @@ def encode(docs: DataFrame, path: str, long_chars: int = LONG_CHARS,
     def whole(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("pos")
         ids = assemble(
-            tokenizer(path), [(k, _unpacked(p)) for k, p in zip(group["kind"], group["ids"])]
-        )
-        return pd.DataFrame(
-            {"doc_id": group["doc_id"].iloc[:1].astype("Int64"), "ids": [_packed(ids)]}
+            LoadedOnUse(path), [(k, _unpacked(p)) for k, p in zip(group["kind"], group["ids"])]
         )
+        out = {"doc_id": group["doc_id"].iloc[:1].astype("Int64"), "ids": [_packed(ids)]}
+        if decoded:
+            out["decoded"] = [whole_decoder(path)(ids)]
+        return pd.DataFrame(out)
 
     pieces = (
         rows.filter(is_long)
@@ -299,11 +320,10 @@ def encode(docs: DataFrame, path: str, long_chars: int = LONG_CHARS,
         .select("doc_id", "row", "pos", "piece.kind", "piece.body")
         .repartition("row", "pos")
     )
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     long = (
         pieces.select("doc_id", "row", "pos", "kind",
                       encode_pieces("kind", "body").alias("ids"))
         .groupBy("row")
-        .applyInPandas(whole, f"doc_id {id_type}, ids binary")
+        .applyInPandas(whole, schema)
     )
     return short.unionByName(long)

@@ -630,7 +630,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
         return pd.Series([set_key(s) if len(s) else None for s in sets], dtype="Int64")
 
     own, rank = (unused(docs, x) for x in ("set_key", "rank"))
-    keyed = docs.withColumn(own, key_of("text"))
+    # marked as not deterministic, or a filter on the key is moved below it as a second
+    # call, which hashes each text twice, in two workers for each task
+    keyed = docs.withColumn(own, key_of.asNondeterministic()("text"))
     first = Window.partitionBy("doc_id", own).orderBy(F.xxhash64(*docs.columns))
     return (
         keyed.filter(F.col(own).isNotNull())

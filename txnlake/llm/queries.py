@@ -26,8 +26,7 @@ def tokenizer_path() -> str:
 
 
 def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
-    encoded = bpe.encode(docs, path)
-    return encoded.withColumn("decoded", bpe.decode_column(F.col("ids"), path)).select(
+    return bpe.encode(docs, path, decoded=True).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
