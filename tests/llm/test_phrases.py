@@ -130,3 +130,23 @@ def test_levels_of_a_block_are_those_of_each_length(monkeypatch):
     assert steps == [1, 2, 3, 4, 5]  # each length from the one before, once
     for n, found in enumerate(levels, 1):
         assert all((a == b).all() for a, b in zip(found, block.phrases(n, bitsets, bits)))
+
+
+def test_phrases_are_read_at_their_places_only(spark, texts, tmp_path, monkeypatch):
+    df = spark.createDataFrame(texts, "lang string, text string")
+    phrases.coded(phrases.parse(df, 4)).write.parquet(str(tmp_path / "chunks"))
+    chunks = spark.read.parquet(str(tmp_path / "chunks"))
+    written = {}
+    monkeypatch.setattr(phrases, "stored", lambda d, name: written.setdefault(name, d.localCheckpoint()))
+    for log2_bits in (3, 20):  # a bitmap that is full leaves the rows as they are
+        written.clear()
+        got = phrases.count_phrases(chunks, 15, log2_bits).collect()
+        frequent = sum(written[f"frequent-{n}"].count() for n in range(1, 6))
+        assert written["phrase-texts"].count() == frequent > 100
+        assert len({(r.lang, r.phrase) for r in got}) == len(got)
+        counts = Counter()
+        for lang, text in texts:
+            for piece in re.split("[.,;:!?\x0a-\x0d]", text or ""):
+                w = re.findall("[^\x20\x09]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in piece))
+                counts.update((lang or "und", " ".join(w[i : i + n])) for n in range(1, 6) for i in range(len(w) - n + 1))
+        assert {(r.lang, r.phrase): r.f for r in got if r.phrase} == {k: f for k, f in counts.items() if f >= 15}

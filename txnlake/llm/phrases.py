@@ -13,9 +13,9 @@
   on arrays. Level by level, phrases of n words are counted by a key of 96 bits, and
   only where both their phrases of n - 1 words may have reached ``min_count``, which a
   bitmap of fixed size tells; it errs to one side only, so no phrase is lost.
-* With its count, each key keeps the least of its places (a hash of chunk and offset).
-  One more pass over the dictionary reads the words of a frequent phrase at that place
-  only, so what it gives grows with the number of frequent phrases.
+* With its count, each key keeps the least of its places (a hash of the chunk, and the
+  offset). The words of a frequent phrase are read at that place only, by a join with
+  the chunks; a bitmap leaves out most chunks that no place names before it.
 * Scores are joins of the frequent phrases with themselves in decimals of 38 digits.
 
 A phrase inside a longer one with an equal count also lies inside one that is just one
@@ -44,6 +44,7 @@ MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
 EVERY = 32
 LOG2_BITS = 25  # 4 MB for each phrase length
 HELD_TOKENS = 2_000_000  # words that a task works on at once
+OFFSET_BITS = 31  # of a place; the chunk's hash stands above
 
 # What ends a piece; "." stands for all of them in the chunks.
 BORDERS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -146,7 +147,8 @@ def parse(docs: DataFrame, every: int = EVERY) -> DataFrame:
 
 def coded(dictionary: DataFrame) -> DataFrame:
     """The dictionary with the hashes of each chunk's words (``words``, 64 bits each, 0 for
-    a border) and of the chunk (``id``)."""
+    a border) and of the chunk (``id``), and the number of words that start in it before
+    the closing window (``own``)."""
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -155,11 +157,16 @@ def coded(dictionary: DataFrame) -> DataFrame:
             by_token = np.maximum(_token_hashes(distinct), np.uint64(1))
             by_token[[i for i, t in enumerate(distinct) if t == BORDER]] = 0
             ends = np.cumsum([len(c) for c in chunks])
-            batch["words"] = [w.tobytes() for w in np.split(by_token[ids].astype("<u8"), ends[:-1])]
+            words = np.split(by_token[ids].astype("<u8"), ends[:-1])
+            batch["words"] = [w.tobytes() for w in words]
+            batch["own"] = [
+                np.count_nonzero(w[: len(w) - (0 if last else MAX_WORDS - 1)])
+                for w, last in zip(words, batch["ends"])
+            ]
             batch["id"] = [xxhash.xxh32_intdigest(c) for c in batch["chunk"]]
             yield batch
 
-    schema = "lang string, chunk string, ends boolean, freq long, words binary, id long"
+    schema = "lang string, chunk string, ends boolean, freq long, words binary, own long, id long"
     return dictionary.select("lang", "chunk", "ends", "freq").mapInPandas(code, schema)
 
 
@@ -185,11 +192,10 @@ class _Block:
         self.room[place >= np.repeat(owned, self.sizes)] *= -1  # starts that the next chunk owns
 
     def where(self, at: np.ndarray) -> np.ndarray:
-        """A 32-bit hash of chunk and offset of each place."""
+        """The 32-bit hash of the chunk of each place, and the offset in it."""
         chunk = np.searchsorted(self.stop, at, side="right")
         offset = at - (self.stop - self.sizes)[chunk]
-        mixed = (self.rows["id"].to_numpy()[chunk].astype(np.uint64) + (offset.astype(np.uint64) << np.uint64(32)))
-        return ((mixed * _SPREAD) >> np.uint64(32)).astype(np.int64)
+        return (self.rows["id"].to_numpy()[chunk].astype(np.int64) << OFFSET_BITS) + offset
 
     def levels(
         self, bitsets: list[np.ndarray], log2_bits: int, last: int
@@ -288,50 +294,61 @@ def count_phrases(
     frequent = levels[0]
     for more in levels[1:]:
         frequent = frequent.unionByName(more)
-    # the places to read, a bitmap for all lengths
-    places = collect_bitset(
-        frequent.select(spot(F.col("h").bitwiseXOR(F.col("place"))).alias("spot")), "spot", log2_bits
+    named = stored(named_phrases(dictionary, frequent, log2_bits), "phrase-texts")
+    totals = dictionary.groupBy("lang").agg(F.sum(F.col("freq") * F.col("own")).alias("f"))
+    return named.unionByName(totals.select("lang", F.lit("").alias("phrase"), "f"))
+
+
+def _keys(seeds: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys (h, c) of phrases of one length, a row of word hashes for each, as
+    ``_Block`` gives them."""
+    h, check = seeds, ~seeds
+    for m in range(words.shape[1]):
+        h = (h ^ words[:, m]) * _SPREAD
+        h ^= h >> np.uint64(29)
+        check = (check + words[:, m]) * np.uint64(0xC2B2AE3D27D4EB4F)
+        check ^= check >> np.uint64(31)
+    return h.view(np.int64), (check >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def named_phrases(dictionary: DataFrame, frequent: DataFrame, log2_bits: int) -> DataFrame:
+    """(lang, phrase, f) of ``frequent``, (h, c, f, place, words), each read at its place.
+    What else a chunk of the same hash has there does not have the phrase's key."""
+    places = frequent.select(
+        F.shiftright("place", OFFSET_BITS).alias("id"),
+        F.col("place").bitwiseAND((1 << OFFSET_BITS) - 1).cast("int").alias("offset"),
+        F.col("words").alias("n"), "h", "c", "f",
     )
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bitsets = [np.frombuffer(b, dtype=np.uint8) for b in packed]
-        chosen = np.frombuffer(places, dtype=np.uint8)
-        for block in _blocks(batches):
-            own = block.room > 0
-            totals = np.bincount(block.lang[own], block.freq[own], len(block.langs))
-            yield pd.DataFrame({
-                "lang": pd.Series(block.langs, dtype=object), "phrase": "", "words": 0,
-                "h": 0, "c": 0, "f": totals.astype(np.int64),
-            })
-            start = block.stop - block.sizes
-            texts = block.rows["chunk"].to_numpy(dtype=object)
-            for n, (at, h) in enumerate(block.levels(bitsets, log2_bits, MAX_WORDS), 1):
-                here = holds(chosen, spots((h ^ block.where(at)).view(np.uint64), log2_bits))
-                at, h = at[here], h[here]
-                c = block.checks(at, n)
-                chunk = np.searchsorted(block.stop, at, side="right")
-                phrases = [
-                    " ".join(texts[k].split(" ", i + n)[i : i + n])
-                    for k, i in zip(chunk.tolist(), (at - start[chunk]).tolist())
-                ]
-                if phrases:
-                    yield pd.DataFrame({
-                        "lang": pd.Series(block.langs[block.lang[at]], dtype=object),
-                        "phrase": pd.Series(phrases, dtype=object), "words": n,
-                        "h": h, "c": c.astype(np.uint32).view(np.int32), "f": 0,
-                    })
-
-    found = dictionary.select("lang", "chunk", "ends", "freq", "words", "id").mapInPandas(
-        read, "lang string, phrase string, words int, h long, c int, f long"
+    packed = collect_bitset(
+        places.select(_spot_column(log2_bits)(F.xxhash64("id")).alias("spot")), "spot", log2_bits
     )
-    found = stored(
-        found.groupBy("lang", "phrase", "words", "h", "c").agg(F.sum("f").alias("f")), "phrase-texts"
+
+    @F.pandas_udf("boolean")
+    def may_be_read(hashed: pd.Series) -> pd.Series:
+        bits = np.frombuffer(packed, dtype=np.uint8)
+        return pd.Series(holds(bits, spots(hashed.to_numpy().view(np.uint64), log2_bits)))
+
+    @F.pandas_udf("boolean")
+    def has_key(lang: pd.Series, words: pd.Series, n: pd.Series, h: pd.Series, c: pd.Series) -> pd.Series:
+        out = np.zeros(len(n), dtype=bool)
+        seeds = lang.map({x: xxhash.xxh64_intdigest(x.encode()) for x in lang.unique()}).to_numpy(np.uint64)
+        whole = (words.map(len) == 8 * n).to_numpy()  # else the chunk ends before
+        for size in n.unique():
+            rows = np.flatnonzero(whole & (n == size).to_numpy())
+            found = np.frombuffer(b"".join(words.iloc[rows]), dtype="<u8").reshape(-1, size)
+            hashes, checks = _keys(seeds[rows], found)
+            out[rows] = (hashes == h.to_numpy()[rows]) & (checks == c.to_numpy()[rows])
+        return pd.Series(out)
+
+    chunks = dictionary.filter(may_be_read(F.xxhash64("id"))).select("id", "lang", "chunk", "words")
+    at = chunks.join(places, "id").select(
+        "lang", F.expr("array_join(slice(split(chunk, ' '), offset + 1, n), ' ')").alias("phrase"),
+        F.expr("substring(words, 8 * offset + 1, 8 * n)").alias("words"), "n", "h", "c", "f",
     )
-    totals = found.filter(F.col("words") == 0).select("lang", "phrase", "f")
-    named = found.filter(F.col("words") > 0).drop("f").join(
-        frequent.select("h", "c", "words", "f"), ["h", "c", "words"]
+    # a chunk that also ends a text is there twice
+    return at.filter(has_key("lang", "words", "n", "h", "c")).groupBy("lang", "phrase").agg(
+        F.max("f").alias("f")
     )
-    return named.select("lang", "phrase", "f").unionByName(totals)
 
 
 def collocations(counted: DataFrame, top: int = TOP) -> DataFrame:
