@@ -150,3 +150,14 @@ def test_phrases_are_read_at_their_places_only(spark, texts, tmp_path, monkeypat
                 w = re.findall("[^\x20\x09]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in piece))
                 counts.update((lang or "und", " ".join(w[i : i + n])) for n in range(1, 6) for i in range(len(w) - n + 1))
         assert {(r.lang, r.phrase): r.f for r in got if r.phrase} == {k: f for k, f in counts.items() if f >= 15}
+
+
+def test_a_word_equal_to_its_lang_has_a_key_of_its_own():
+    import pandas as pd
+    import xxhash
+
+    words = [np.array([xxhash.xxh64_intdigest(x)], dtype="<u8").tobytes() for x in ("es", "de")]
+    block = phrases._Block(pd.DataFrame({
+        "lang": ["es", "de"], "chunk": ["es", "de"], "ends": True, "freq": 1, "id": [1, 2], "words": words}))
+    _, h, c = block.phrases(1, [], 12)
+    assert h[0] != h[1] and c[0] != c[1]

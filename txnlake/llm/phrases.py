@@ -69,6 +69,12 @@ def _token_hashes(distinct: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(t) for t in distinct], dtype=np.uint64)
 
 
+def _lang_hash(lang: str) -> int:
+    """Seeded otherwise than words, or a lang and an equal first word would cancel out
+    and all langs share such keys."""
+    return xxhash.xxh64_intdigest(lang.encode(), seed=1)
+
+
 def _longer(hashes: np.ndarray, token_hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the phrases of n words at each place, from those of n - 1 words (the
     seeds of the places for n = 1). The last n - 1 places hold no phrase."""
@@ -179,7 +185,7 @@ class _Block:
         self.sizes = rows["words"].map(len).to_numpy() // 8
         self.stop = np.cumsum(self.sizes)
         self.langs, lang_of = np.unique(rows["lang"].to_numpy(dtype=object), return_inverse=True)
-        seeds = np.array([xxhash.xxh64_intdigest(x.encode()) for x in self.langs], dtype=np.uint64)
+        seeds = np.array([_lang_hash(x) for x in self.langs], dtype=np.uint64)
         self.seed = np.repeat(seeds[lang_of], self.sizes)
         self.lang = np.repeat(lang_of, self.sizes)
         self.freq = np.repeat(rows["freq"].to_numpy(), self.sizes)
@@ -331,7 +337,7 @@ def named_phrases(dictionary: DataFrame, frequent: DataFrame, log2_bits: int) ->
     @F.pandas_udf("boolean")
     def has_key(lang: pd.Series, words: pd.Series, n: pd.Series, h: pd.Series, c: pd.Series) -> pd.Series:
         out = np.zeros(len(n), dtype=bool)
-        seeds = lang.map({x: xxhash.xxh64_intdigest(x.encode()) for x in lang.unique()}).to_numpy(np.uint64)
+        seeds = lang.map({x: _lang_hash(x) for x in lang.unique()}).to_numpy(np.uint64)
         whole = (words.map(len) == 8 * n).to_numpy()  # else the chunk ends before
         for size in n.unique():
             rows = np.flatnonzero(whole & (n == size).to_numpy())
