@@ -161,3 +161,56 @@ def test_a_word_equal_to_its_lang_has_a_key_of_its_own():
         "lang": ["es", "de"], "chunk": ["es", "de"], "ends": True, "freq": 1, "id": [1, 2], "words": words}))
     _, h, c = block.phrases(1, [], 12)
     assert h[0] != h[1] and c[0] != c[1]
+
+
+def parts(texts, every):
+    """Words that start in the chunks of each lang, and the chunks that end a text."""
+    held, starts, ends = Counter(), Counter(), Counter()
+    size = phrases.chunk_rows([t for _, t in texts], [x for x, _ in texts], every, held)
+    for (lang, chunk, final), n in held.items():
+        words = chunk.split(b" ")
+        for w in words[: len(words) - (0 if final else 4)]:
+            starts[lang, w] += n
+        ends[lang] += n * final
+    return size, starts, ends
+
+
+@pytest.mark.parametrize("every", [1, 3, 32])
+def test_words_are_hashed_by_arrays_not_one_by_one(texts, monkeypatch, every):
+    import xxhash
+
+    texts = [(lang or "und", text or "") for lang, text in texts]
+    texts += [("en", " ".join(f"word{i}" for i in range(3000))), ("en", "\t a  \x00b " + "x" * 65 + "\t ")]
+    called, digest = [], xxhash.xxh64_intdigest
+    monkeypatch.setattr(phrases.xxhash, "xxh64_intdigest", lambda *a, **k: called.append(a[0]) or digest(*a, **k))
+    size, starts, ends = parts(texts, every)
+    assert called == [b"x" * 65]  # other words in steps of eight bytes, all at once
+    words = [(lang, phrases.tokens_of(text)) for lang, text in texts]
+    assert starts == Counter((lang, w) for lang, ws in words for w in ws) and size == sum(starts.values())
+    assert ends == Counter(lang for lang, ws in words if ws)
+
+
+def test_word_hashes_tell_words_apart():
+    words = [b"a", b"a\x00", b"\x00a", b"\x00", b"\x00\x00", "ü".encode(), b".", b"\xff"]
+    words += [b"w" * n for n in range(1, 200)] + [b"w" * n + b"\x00" for n in range(1, 200)]
+    words += [b"%016d" % (i * 10007) for i in range(100_000)]  # and some that differ in a few bytes of each eight
+    words += [b"abcdefg%cabc%cefg%c" % (i, j, k) for i in b"0123456789" for j in b"0123456789" for k in b"0123456789"]
+    assert len(set(words)) == len(words)
+    hashes, begins = phrases.word_hashes(b" ".join(words))
+    sizes = np.array([len(w) for w in words])
+    assert (begins == np.cumsum(sizes + 1) - sizes - 1).all()
+    assert len(np.unique(hashes)) == len(words)
+    assert [w for w, h in zip(words, hashes) if h < 2] == [b".", b"\xff"]
+    alone = [phrases.word_hashes(w)[0][0] for w in words[:500]]  # whatever stands around
+    assert (hashes[:500] == alone).all()
+
+
+def test_equal_hashes_stand_together():
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(-(1 << 63), 1 << 63, 300)[rng.integers(0, 300, 5000)]
+    order = phrases._grouped(hashes)
+    assert (np.sort(order) == np.arange(5000)).all()
+    assert 1 + np.count_nonzero(np.diff(hashes[order])) == len(np.unique(hashes))
+    near = rng.integers(0, 4, 5000)  # equal leading bits: not together, but all there
+    assert (np.sort(phrases._grouped(near)) == np.arange(5000)).all()
+    assert len(phrases._grouped(hashes[:0])) == 0
