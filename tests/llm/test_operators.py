@@ -466,3 +466,36 @@ def test_embeddings_of_several_lengths_and_sizes(spark, tmp_path):
     for i in links:
         expected[i] = (len(links[i]), min([i, *links[i]]))  # these groups are complete
     assert got == expected
+
+
+def test_tiles_of_embeddings_meet_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Each pair of tiles was shuffled with both tiles' vectors: disk grew with the
+    square of the rows."""
+    rnd = np.random.default_rng(8)
+    x = rnd.normal(size=(400, 12)).astype(np.float32)
+    x[200:300] = x[:100] + 0.05 * rnd.normal(size=(100, 12))
+    x[300:320] = x[0]
+    rows = [(i, v, 0) for i, v in enumerate(x.tolist())]
+    path = str(tmp_path / "e")
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(path)
+    plans, size = {}, {}
+
+    def stored(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        found = common.stored(df, name, **options)
+        size[name] = found.count()
+        return found
+
+    monkeypatch.setattr(pcadedup, "stored", stored)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in
+           pcadedup.near_duplicates(spark.read.parquet(path), tile=32).collect()}
+    assert size["tiles"] > 8
+    assert not re.search(r"\bExchange\b", plans["links"])
+    u = pcadedup.unit_rows(x)
+    link = u @ u.T >= 0.95
+    np.fill_diagonal(link, False)
+    label = np.arange(400)
+    for _ in range(400):
+        label = np.array([min(label[i], *label[link[i]]) if link[i].any() else label[i]
+                          for i in range(400)])
+    assert got == {i: (int(link[i].sum()), int(label[i])) for i in range(400)}

@@ -233,6 +233,33 @@ def test_tile_links_against_all_pairs():
         np.triu(u @ u.T >= 0.95, 1)))))
 
 
+def test_cells_and_their_margins_lose_no_link():
+    rnd = np.random.default_rng(4)
+    for dim, dtype in ((5, float), (40, np.float32), (40, float)):
+        centres = rnd.normal(size=(12, dim))
+        x = (centres[rnd.integers(0, 12, 900)] + 0.15 * rnd.normal(size=(900, dim))) * 10.0 ** rnd.integers(
+            -9, 9, (900, 1))
+        x = np.concatenate([x, rnd.normal(size=(300, dim)), x[:40] * 3]).astype(dtype)
+        x = x[rnd.permutation(len(x))]
+        axes = np.linalg.qr(rnd.normal(size=(dim, dim)))[0]
+        tiles, starts = [], np.array([0, 1, 200, 450])
+        for part in (x[:640], x[640:]):
+            # any points will do as pivots: near ones, the same one twice, far ones, none
+            pivots = np.stack([pcadedup.unit_rows(part[:1])[0] @ axes] * 2 + [
+                pcadedup.unit_rows(part[300:301])[0] @ axes, np.zeros(dim)])
+            tiles.append(pcadedup.Tile(part, axes, starts, pivots))
+        u = pcadedup.unit_rows(x)
+        link = u @ u.T >= 0.95
+        got = set()
+        for a, b, more, less in ((0, 0, 0, 0), (1, 1, 640, 640), (0, 1, 0, 640)):
+            for i, j in pcadedup.links_between(tiles[a], tiles[b], 0.95):
+                some = set(zip((i + more).tolist(), (j + less).tolist()))
+                assert len(some) == len(i) and not some & got  # each pair once
+                got |= some
+        assert got == set(zip(*map(np.ndarray.tolist, np.nonzero(np.triu(link, 1)))))
+        assert len(got) > 1000
+
+
 def test_ids_in_any_order_decode_as_by_the_library():
     tok, text_of, rnd = bpe.tokenizer(PATH), bpe.whole_decoder(PATH), random.Random(2)
     size = tok.get_vocab_size()

@@ -2,18 +2,28 @@
 
 Vectors are scaled to length 1 and rotated onto the principal axes of the whole
 table (their second moments are summed by Spark), which gathers most of a dot
-product in the first coordinates. Equal vectors are collapsed first. The rest
-are ordered along the first axes and cut into tiles of bounded size. A pair of
-tiles is skipped when the gap between their coordinates already keeps every
-cosine below the threshold; otherwise products of the leading coordinates are
-accumulated stage by stage, the rest of each product is bounded by the norms of
-the two suffixes, and a pair is dropped as soon as its bound is below the
-threshold. What is left is computed in full from the given vectors in double
-precision.
-
-A task gets two tiles. It returns how many links each vector has to the other
-tile and a spanning forest of the links, at most one edge per vector: no list
-of pairs, also for thousands of near copies.
+product in the first coordinates. Equal vectors are collapsed. The rest are dealt
+to the nearest of some pivots, vectors drawn by their digest; these cells are
+ordered along the first axes and packed into tiles of bounded size.
+
+Two bounds skip work, neither can lose a link. Linked vectors are at most
+sqrt(2 - 2t) apart, so a pair of tiles is skipped when the gap between their
+leading coordinates is larger, and for x in the cell of pivot u and y in that of v
+
+    (x.u - x.v) + (y.v - y.u) = (x - y).(u - v) <= |x - y| |u - v|
+
+leaves of two cells the few vectors near their common border. For these, products
+of the leading coordinates are taken, the rest of each product is bounded by the
+norms of the two suffixes, and a pair is dropped when its bound is below the
+threshold; where many are left, more coordinates are taken. All this is done in
+single precision with a margin for its rounding. What is left is computed in full
+from the given vectors in double precision.
+
+Tiles meet in a Cartesian product of the stored table: nothing is shuffled, so
+disk is in proportion to the input. A task gets two runs of tiles, each tile's
+vectors once. It returns how many links each vector has to the others and a
+spanning forest of the links, at most one edge per vector: no list of pairs, also
+for thousands of near copies.
 
 Edge cases: vectors that are null, zero, or hold a null or non-finite component
 have no links and are components of their own; vectors of different lengths never
@@ -25,118 +35,185 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import stored
+from .common import discard, stored
 from .graph import components
 
-TILE = 2048  # vectors of a tile
+TILE = 16384  # vectors of a tile
+TILE_BYTES = 8 << 20  # of a tile's vectors, for long vectors
+CELLS = 8  # cells of a tile, fewer if its vectors are long
+PIVOTS, PIVOT_BYTES = 16384, 16 << 20  # at most; beyond, cells grow
+RUN_BYTES = 32 << 20  # of the tiles that a task holds of either side
 AXES = 8  # coordinates that bound a tile
+LEAD = 23  # coordinates of the first product
 SLACK = 1e-6  # covers rounding in bounds; final cosines are compared exactly
+POSITIONS = 1 << 32  # a vector is numbered by tile * POSITIONS + place in the tile
 
 
-def usable(v) -> np.ndarray | None:
-    if v is None:
-        return None
-    x = np.asarray(v, dtype=float)
-    return x if len(x) and np.isfinite(x).all() and x.any() else None
+def matrices(column: pa.Array, dtype: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, vectors) of the usable vectors of a list column, by length."""
+    values = column.values.to_numpy(zero_copy_only=False).astype(dtype, copy=False)
+    starts = column.offsets.to_numpy()
+    there = ~column.is_null().to_numpy(zero_copy_only=False)
+    lengths = np.where(there, np.diff(starts), 0)
+    for n in np.unique(lengths[lengths > 0]):
+        rows = np.flatnonzero(lengths == n)
+        x = values[starts[rows][:, None] + np.arange(n)]
+        good = np.isfinite(x).all(axis=1) & x.any(axis=1)
+        yield rows[good], np.ascontiguousarray(x[good])
 
 
-def unit_rows(x: np.ndarray) -> np.ndarray:
-    scaled = x / np.abs(x).max(axis=1, keepdims=True)
-    return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
-
-
-def _packed_column():
-    """Usable vectors as packed doubles; null for the others."""
+def digest(vector: np.ndarray) -> bytes:
+    return blake2b(vector, digest_size=16).digest()
 
-    @F.pandas_udf("binary")
-    def pack(vectors: pd.Series) -> pd.Series:
-        found = map(usable, vectors)
-        return pd.Series([None if x is None else x.tobytes() for x in found], dtype=object)
 
-    return pack
+def digest_words(digests: list[bytes]) -> np.ndarray:
+    """Two 64-bit numbers of each digest."""
+    return np.frombuffer(b"".join(digests), dtype="<u8").reshape(-1, 2)
 
 
-def principal_axes(classes: DataFrame, dim: int) -> np.ndarray:
-    """Axes of the second moments of all unit vectors, largest first. Each batch
-    gives one matrix, the sum is one row."""
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    x = np.asarray(x, dtype=float)
+    scaled = x / np.abs(x).max(axis=1, keepdims=True)
+    return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
-    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((dim, dim))
-        for batch in batches:
-            if len(batch):
-                x = unit_rows(np.stack([np.frombuffer(b) for b in batch["vector"]]))
-                total += x.T @ x
-        yield pd.DataFrame({"i": np.arange(dim), "m": list(total)})
 
-    rows = (
-        classes.select("vector")
-        .mapInPandas(moments, "i int, m array<double>")
-        .select("i", F.posexplode("m").alias("j", "x"))
-        .groupBy("i", "j")
-        .agg(F.sum("x").alias("x"))
-        .collect()  # dim * dim numbers
-    )
-    total = np.zeros((dim, dim))
-    for r in rows:
-        total[r.i, r.j] = r.x
-    _, axes = np.linalg.eigh(total)
-    return axes[:, ::-1].copy()
+def rounding(dim: int) -> float:
+    """More than a dot product of unit vectors errs in single precision."""
+    return (dim + 16) * 2.0**-23
+
+
+class Tile:
+    """Vectors made ready for comparison. They lie cell by cell: each cell begins
+    at one of ``starts`` and has one of ``pivots``, rotated; any points will do."""
+
+    def __init__(self, vectors: np.ndarray, axes: np.ndarray, starts: np.ndarray, pivots: np.ndarray):
+        self.vectors, self.starts, self.pivots = vectors, starts, pivots
+        self.ends = np.append(starts[1:], len(vectors))
+        self.dim = vectors.shape[1]
+        self.rotated = (unit_rows(vectors) @ axes).astype(np.float32)
+        self.lead = self.leading(stops(self.dim)[0], slice(None))
+        self.near = pivots.astype(np.float32)
+        own = self.near[np.repeat(np.arange(len(starts)), self.ends - starts)]
+        self.own = np.einsum("ij,ij->i", self.rotated, own)
+
+    def leading(self, k: int, rows) -> np.ndarray:
+        """The first k coordinates and the norm of the others."""
+        x = self.rotated[rows]
+        if k == self.dim:
+            return x
+        rest = np.sqrt((x[:, k:] ** 2).sum(axis=1, keepdims=True))
+        return np.concatenate([x[:, :k], rest], axis=1)
+
+    def margins(self, other: Tile) -> tuple[np.ndarray, np.ndarray]:
+        """For each cell of ``other`` and each vector how much nearer it is to its own
+        pivot than to that cell's, and the least of these by cell."""
+        m = self.own[None, :] - other.near @ self.rotated.T
+        return m, np.minimum.reduceat(m, self.starts, axis=1)
+
+
+def stops(dim: int) -> list[int]:
+    """Numbers of leading coordinates that are tried, the last is all."""
+    found = [LEAD]
+    while found[-1] < dim:
+        found.append(4 * found[-1])
+    return [*found[:-1], dim]
+
+
+def links_between(a: Tile, b: Tile, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (into a and b) with cosine >= threshold, a block at a time; if b
+    is a, only pairs i < j."""
+    same, slack = a is b, rounding(a.dim) + SLACK
+    ma, least_a = a.margins(b)
+    mb, least_b = (ma, least_a) if same else b.margins(a)
+    # linked unit vectors are at most sqrt(2 - 2t) apart
+    apart = np.sqrt(((a.pivots[:, None, :] - b.pivots[None, :, :]) ** 2).sum(axis=2))
+    most = np.sqrt(max(0.0, 2 - 2 * threshold) + SLACK) * apart + 4 * slack * (1 + apart)
+    for u, v in np.argwhere(least_a.T + least_b <= most):
+        if same and u > v:
+            continue
+        left, right = slice(a.starts[u], a.ends[u]), slice(b.starts[v], b.ends[v])
+        x, y, c = ma[v, left], mb[u, right], most[u, v]
+        i = np.flatnonzero(x <= c - least_b[u, v])
+        j = np.flatnonzero(y <= c - least_a[v, u])
+        i, j = i[np.argsort(x[i])], j[np.argsort(y[j])]
+        # vectors further from the border meet fewer of the other cell
+        size = min(256, max(64, len(i) // 8))
+        reached = np.searchsorted(y[j], c - x[i[::size]], side="right")
+        i, j = i + left.start, j + right.start
+        lead_a, lead_b = a.lead[i], b.lead[j]
+        for n, block in zip(reached, _parts(len(i), size)):
+            if not n:
+                break
+            bound = lead_a[block] @ lead_b[:n].T
+            p, q = _linked(a, b, i[block], j[:n], bound, threshold, slack)
+            if same and u == v:
+                keep = p < q
+                p, q = p[keep], q[keep]
+            if len(p):
+                yield p, q
+
+
+def _linked(a: Tile, b: Tile, i: np.ndarray, j: np.ndarray, bound: np.ndarray,
+            threshold: float, slack: float) -> tuple[np.ndarray, np.ndarray]:
+    """The linked pairs of vectors ``i`` of a and ``j`` of b, whose cosines are at
+    most ``bound``."""
+    for k in stops(a.dim):
+        if k > LEAD:
+            bound = a.leading(k, i) @ b.leading(k, j).T
+        hit = bound >= threshold - slack
+        n = np.count_nonzero(hit)
+        if 64 * n <= hit.size:
+            break
+    if not n:
+        return i[:0], j[:0]
+    p, q = np.nonzero(hit)
+    # products in full leave only those near the threshold in doubt
+    sure = bound[p, q] > threshold + slack if k == a.dim else np.zeros(n, dtype=bool)
+    p, q = i[p], j[q]
+    doubt = np.flatnonzero(~sure)
+    for piece in _parts(len(doubt)):
+        at = doubt[piece]
+        sure[at] = cosines(a.vectors[p[at]], b.vectors[q[at]], threshold) >= threshold
+    return p[sure], q[sure]
+
+
+def cosines(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Of each row of a with the same row of b, in double precision."""
+    exact = np.einsum("ij,ij->i", unit_rows(a), unit_rows(b))
+    near = np.abs(exact - threshold) < 1e-12
+    if near.any():  # on the edge: the plain formula decides
+        va, vb = a[near].astype(float), b[near].astype(float)
+        with np.errstate(all="ignore"):
+            plain = (va * vb).sum(axis=1) / (
+                np.sqrt((va * va).sum(axis=1)) * np.sqrt((vb * vb).sum(axis=1))
+            )
+        # squares beyond the range of doubles: the scaled value stands
+        exact[near] = np.where(np.isfinite(plain), plain, exact[near])
+    return exact
 
 
 def tile_links(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float,
                same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (into a and b) with cosine >= threshold; ``same``: a is b, and
-    only pairs i < j are returned. Leading coordinates decide most pairs."""
-    ua, ub = unit_rows(a), unit_rows(b)
-    ra, rb = ua @ axes, ub @ axes
-    dim = ra.shape[1]
-    stops = sorted({min(dim, s) for s in (4, 8, 16, 32)} | {dim})
-    suffix = lambda r, k: np.sqrt(np.maximum((r[:, k:] ** 2).sum(axis=1), 0))
-    found_i, found_j = [], []
-    for start in range(0, len(ra), 256):  # rows at a time, to bound the product's memory
-        x = ra[start : start + 256]
-        k = stops[0]
-        product = x[:, :k] @ rb[:, :k].T
-        bound = product + suffix(x, k)[:, None] * suffix(rb, k)[None, :]
-        i, j = np.nonzero(bound >= threshold - SLACK)
-        if same:
-            keep = i + start < j
-            i, j = i[keep], j[keep]
-        value = product[i, j]
-        for k, after in zip(stops, stops[1:]):
-            if not len(i):
-                break
-            for part in _parts(len(i)):
-                value[part] += np.einsum("ij,ij->i", x[i[part], k:after], rb[j[part], k:after])
-            rest = suffix(x, after)[i] * suffix(rb, after)[j]
-            keep = value + rest >= threshold - SLACK
-            i, j, value = i[keep], j[keep], value[keep]
-        for part in _parts(len(i)):
-            p, q = i[part] + start, j[part]
-            exact = np.einsum("ij,ij->i", ua[p], ub[q])
-            near = np.abs(exact - threshold) < 1e-12
-            if near.any():  # on the edge: the plain formula decides
-                va, vb = a[p[near]], b[q[near]]
-                with np.errstate(all="ignore"):
-                    plain = (va * vb).sum(axis=1) / (
-                        np.sqrt((va * va).sum(axis=1)) * np.sqrt((vb * vb).sum(axis=1))
-                    )
-                # squares beyond the range of doubles: the scaled value stands
-                exact[near] = np.where(np.isfinite(plain), plain, exact[near])
-            keep = exact >= threshold
-            found_i.append(p[keep])
-            found_j.append(q[keep])
+    only pairs i < j are returned."""
+    one = lambda x: Tile(x, axes, np.array([0]), np.zeros((1, x.shape[1])))
+    left = one(a)
+    found = list(links_between(left, left if same else one(b), threshold))
     empty = np.zeros(0, dtype=np.int64)
-    return np.concatenate([empty, *found_i]), np.concatenate([empty, *found_j])
+    return np.concatenate([empty, *(p for p, _ in found)]), np.concatenate(
+        [empty, *(q for _, q in found)]
+    )
 
 
-def _parts(n: int, size: int = 1 << 18):
+def _parts(n: int, size: int = 1 << 16):
     return [slice(s, s + size) for s in range(0, n, size)]
 
 
@@ -154,96 +231,302 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
             return label
 
 
+class Tally:
+    """Links and components of the vectors of several tiles, as pairs come in."""
+
+    def __init__(self):
+        self.first: dict[int, int] = {}  # of each tile's places
+        self.numbers = self.copies = self.links = self.label = np.zeros(0, dtype=np.int64)
+        self.open: list[tuple[np.ndarray, np.ndarray]] = []
+        self.n_open = 0
+
+    def places(self, tile: int, copies: np.ndarray) -> int:
+        if tile not in self.first:
+            n = len(self.numbers)
+            self.first[tile] = n
+            join = lambda x, y: np.concatenate([x, y])
+            self.numbers = join(self.numbers, tile * POSITIONS + np.arange(len(copies)))
+            self.copies = join(self.copies, copies)
+            self.links = join(self.links, np.zeros(len(copies), dtype=np.int64))
+            self.label = join(self.label, np.arange(n, n + len(copies)))
+        return self.first[tile]
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        np.add.at(self.links, i, self.copies[j])
+        np.add.at(self.links, j, self.copies[i])
+        apart = self.label[i] != self.label[j]
+        self.open.append((i[apart], j[apart]))
+        self.n_open += int(apart.sum())
+        if self.n_open > 1 << 18 or len(self.open) > 4096:
+            self.join()
+
+    def join(self) -> None:
+        if self.n_open:
+            i, j = (self.label[np.concatenate(x)] for x in zip(*self.open))
+            self.label = forest(i, j, len(self.label))[self.label]
+        self.open, self.n_open = [], 0
+
+
 def near_duplicates(table: DataFrame, threshold: float = 0.95, tile: int = TILE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row. Thresholds above 0."""
-    rows = table.select("vec_id", _packed_column()("embedding").alias("vector")).withColumn(
-        "digest", F.sha2("vector", 256)
+    table = table.select("vec_id", "embedding")
+    single = isinstance(table.schema["embedding"].dataType.elementType, T.FloatType)
+    dtype = np.float32 if single else float
+    if not single:
+        table = table.withColumn("embedding", F.col("embedding").cast("array<double>"))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = np.full(batch.num_rows, None, dtype=object)
+            sizes = np.zeros(batch.num_rows, dtype=np.int32)
+            for rows, x in matrices(batch.column("embedding"), dtype):
+                for r, v in zip(rows, x):
+                    names[r] = digest(v)
+                sizes[rows] = x.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), pa.array(names, pa.binary()), pa.array(sizes)],
+                ["vec_id", "digest", "size"],
+            )
+
+    kind = table.schema["vec_id"].dataType.simpleString()
+    rows = table.mapInArrow(keyed, f"vec_id {kind}, digest binary, size int")
+    lengths = (
+        rows.filter("size > 0").groupBy("size")
+        .agg(F.approx_count_distinct("digest").alias("n")).orderBy("size").collect()
     )
-    rows = stored(rows.select("vec_id", "digest", "vector"), "vectors")
-    size = F.length("vector")
-    lengths = rows.filter(size.isNotNull()).select(size.alias("n")).distinct().orderBy("n").collect()
-    found = rows.filter(size.isNull()).select(
+    noted = [_of_one_length(table, r["size"], r["n"], dtype, threshold, tile) for r in lengths]
+    found = rows.filter("size = 0").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
-    for length in lengths:
-        same = rows.filter(size == length["n"])
-        found = found.unionByName(_of_one_length(same, length["n"] // 8, threshold, tile))
+    if noted:
+        classes = noted[0]
+        for more in noted[1:]:
+            classes = classes.unionByName(more)
+        found = found.unionByName(
+            rows.filter("size > 0").join(classes, "digest", "left").select(
+                "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                F.coalesce("component_id", "vec_id").alias("component_id"),
+            )
+        )
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _of_one_length(good: DataFrame, dim: int, threshold: float, tile: int) -> DataFrame:
-    """(vec_id, n_links, component_id) of usable vectors of ``dim`` components."""
-    classes = stored(
-        good.groupBy("digest").agg(
-            F.first("vector").alias("vector"), F.count("*").alias("copies"),
-            F.min("vec_id").alias("low"),
-        ),
-        "classes",
+def _distinct(batch: pa.RecordBatch, dim: int, dtype: type):
+    """(digests, vectors, copies, lowest ids) of a batch's usable vectors of ``dim``
+    components, equal ones once."""
+    for rows, x in matrices(batch.column("embedding"), dtype):
+        if x.shape[1] != dim or not len(x):
+            continue
+        found = pa.table({
+            "digest": pa.array([digest(v) for v in x], pa.binary()),
+            "low": batch.column("vec_id").take(pa.array(rows)), "at": np.arange(len(x)),
+        }).group_by("digest", use_threads=False).aggregate(
+            [("at", "min"), ("at", "count"), ("low", "min")]
+        )
+        names, copies, low = (
+            found[c].combine_chunks() for c in ("digest", "at_count", "low_min")
+        )
+        yield names, x[found["at_min"].to_numpy()], copies, low
+
+
+def principal_axes(table: DataFrame, dim: int, dtype: type) -> np.ndarray:
+    """Axes of the second moments of all unit vectors, largest first. Each task
+    gives one matrix, the sum is one row."""
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((dim, dim))
+        for batch in batches:
+            for _, x, _, _ in _distinct(batch, dim, dtype):
+                x = unit_rows(x)
+                total += x.T @ x
+        for i in range(dim):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(dim, i), pa.int32()), pa.array(np.arange(dim), pa.int32()),
+                 pa.array(total[i])], ["i", "j", "x"],
+            )
+
+    rows = (
+        table.mapInArrow(moments, "i int, j int, x double").groupBy("i", "j")
+        .agg(F.sum("x").alias("x")).collect()  # dim * dim numbers
     )
-    axes = principal_axes(classes, dim)
-    lead = min(AXES, dim)
-
-    @F.pandas_udf("array<double>")
-    def leading(vectors: pd.Series) -> pd.Series:
-        if not len(vectors):
-            return pd.Series([], dtype=object)
-        x = unit_rows(np.stack([np.frombuffer(b) for b in vectors])) @ axes[:, :lead]
-        return pd.Series(list(x), dtype=object)
-
-    # cells: quantiles of the first axis crossed with quantiles of the second, both
-    # over all vectors; cells above `tile` vectors are cut into several tiles
-    placed = classes.withColumn("x", leading("vector"))
-    n = classes.count()
-    side = max(1, int(np.sqrt(n / tile)))
-    cuts = lambda df, k: df.approxQuantile(
-        f"x{k}", [q / side for q in range(1, side)], 0.1 / side
-    ) if side > 1 else []
-    flat = placed.select("*", F.col("x")[0].alias("x0"), F.col("x")[min(1, lead - 1)].alias("x1"))
-    cut0, cut1 = np.array(cuts(flat, 0)), np.array(cuts(flat, 1))
-
-    @F.pandas_udf("int")
-    def cell_of(a: pd.Series, b: pd.Series) -> pd.Series:
-        p = np.searchsorted(cut0, a.to_numpy(dtype=float))
-        q = np.searchsorted(cut1, b.to_numpy(dtype=float))
-        return pd.Series((p * side + q).astype("int32"))
-
-    flat = flat.withColumn("cell", cell_of("x0", "x1"))
-    per_cell = flat.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("pieces"))
-    tiled = flat.join(per_cell, "cell").withColumn(
-        "piece", F.pmod(F.xxhash64("digest"), F.col("pieces"))
+    total = np.zeros((dim, dim))
+    for r in rows:
+        total[r.i, r.j] = r.x
+    _, axes = np.linalg.eigh(total)
+    return axes[:, ::-1].copy()
+
+
+def _pivots(table: DataFrame, dim: int, dtype: type, share: float) -> np.ndarray:
+    """Unit vectors of the share of classes with the smallest second half of a digest."""
+    limit = min(int(share * 2.0**64), 2**64 - 1)
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for names, x, _, _ in _distinct(batch, dim, dtype):
+                at = np.flatnonzero(digest_words(names.to_pylist())[:, 1] < np.uint64(limit))
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(at)), pa.array([x[r].tobytes() for r in at], pa.binary())],
+                    ["digest", "vector"],
+                )
+
+    found = (
+        table.mapInArrow(drawn, "digest binary, vector binary").dropDuplicates(["digest"])
+        .orderBy("digest").collect()
     )
+    if not found:
+        return np.zeros((1, dim))  # one cell
+    return unit_rows(np.stack([np.frombuffer(r.vector, dtype=dtype) for r in found]))
+
+
+def _cells(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The pivot nearest to each vector, up to rounding."""
+    unit, found = unit_rows(x).astype(np.float32), [np.zeros(0, dtype=np.int64)]
+    for part in _parts(len(unit), max(1, (4 << 20) // len(pivots))):
+        found.append(np.argmax(unit[part] @ pivots.T, axis=1))
+    return np.concatenate(found)
+
+
+def _packed(counts: np.ndarray, places: np.ndarray, cell: int, tile: int):
+    """Cells of ``counts`` vectors, ordered by their ``places`` on two axes, in tiles:
+    (first piece, number of pieces) of each cell, tile of each piece."""
+    strips = max(1, round(np.sqrt(counts.sum() / tile)))
+    rank = np.empty(len(counts), dtype=np.int64)
+    rank[np.argsort(places[:, 0], kind="stable")] = np.arange(len(counts))
+    order = np.lexsort((places[:, 1], rank * strips // len(counts)))
+    pieces = np.maximum(1, -(-counts // min(2 * cell, tile)))
+    first = np.empty(len(counts), dtype=np.int64)
+    first[order] = np.cumsum(pieces[order]) - pieces[order]
+    sizes = np.repeat((counts / pieces)[order], pieces[order])
+    return first, pieces, ((np.cumsum(sizes) - sizes / 2) // tile).astype(np.int32)
+
+
+def _of_one_length(
+    table: DataFrame, dim: int, n: int, dtype: type, threshold: float, tile: int
+) -> DataFrame:
+    """(digest, n_links, component_id) of the vectors of ``dim`` components that have
+    copies or links; n: how many there are, about."""
+    width = dim * np.dtype(dtype).itemsize
+    cell = max(1, tile // CELLS)
+    tile = min(tile, max(256, TILE_BYTES // width))
+    axes = principal_axes(table, dim, dtype)
+    many = min(n // cell, PIVOTS, max(1, PIVOT_BYTES // (4 * dim)))
+    pivots = _pivots(table, dim, dtype, many / n) if many > 1 else np.zeros((1, dim))
+    single = pivots.astype(np.float32)
+    kind = table.schema["vec_id"].dataType.simpleString()
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for names, x, _, _ in _distinct(batch, dim, dtype):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_cells(x, single), pa.int32()), names], ["cell", "digest"]
+                )
+
+    counts = np.zeros(len(pivots), dtype=np.int64)
+    for r in (
+        table.mapInArrow(placed, "cell int, digest binary").groupBy("cell")
+        .agg(F.approx_count_distinct("digest").alias("n")).collect()  # a row per pivot
+    ):
+        counts[r["cell"]] = r["n"]
+    first, pieces, tile_of = _packed(counts, pivots @ axes[:, [0, min(1, dim - 1)]], cell, tile)
+    order, turned = np.argsort(first), pivots @ axes
+    cell_of = np.repeat(order, pieces[order])  # of each piece
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for names, x, copies, low in _distinct(batch, dim, dtype):
+                c = _cells(x, single)
+                words = digest_words(names.to_pylist())[:, 0]
+                piece = first[c] + (words % pieces[c].astype(np.uint64)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tile_of[piece]), pa.array(piece), names,
+                     pa.array([v.tobytes() for v in x], pa.binary()), copies, low],
+                    ["tile", "piece", "digest", "vector", "copies", "low"],
+                )
 
-    def block(group: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(group["x"])
-        return pd.DataFrame({
-            "tile": [f"{group['cell'].iloc[0]:09d}-{group['piece'].iloc[0]:09d}"],
-            "low": [x.min(axis=0)], "high": [x.max(axis=0)],
-            "digests": [group["digest"].tolist()],
-            "copies": [group["copies"].to_numpy()], "vectors": [b"".join(group["vector"])],
+    def build(group: pa.Table) -> pa.Table:
+        found = group.append_column("at", pa.array(np.arange(len(group)))).group_by(
+            "digest", use_threads=False
+        ).aggregate([("at", "min"), ("copies", "sum"), ("low", "min")])
+        piece = group["piece"].to_numpy()[found["at_min"].to_numpy()]
+        order = np.argsort(piece, kind="stable")
+        found = found.take(pa.array(order))
+        own, starts = np.unique(piece[order], return_index=True)
+        joined = b"".join(group["vector"].take(found["at_min"]).to_pylist())
+        lead = unit_rows(np.frombuffer(joined, dtype=dtype).reshape(-1, dim)) @ axes[:, :AXES]
+        return pa.table({
+            "tile": group["tile"][:1].cast(pa.int32()),
+            "low": [lead.min(axis=0)], "high": [lead.max(axis=0)],
+            "starts": [starts.astype(np.int64).tobytes()], "pivots": [turned[cell_of[own]].tobytes()],
+            "vectors": [joined], "copies": [found["copies_sum"].to_numpy().tobytes()],
+            "digests": [b"".join(found["digest"].to_pylist())],
+            "ids": pa.ListArray.from_arrays([0, len(found)], found["low_min"].combine_chunks()),
         })
 
     tiles = stored(
-        tiled.select("cell", "piece", "digest", "copies", "vector", "x")
-        .repartition("cell", "piece")  # not whole cells, as the join left them
-        .groupBy("cell", "piece")
-        .applyInPandas(
-            block, "tile string, low array<double>, high array<double>, digests array<string>, "
-            "copies array<long>, vectors binary"
+        table.mapInArrow(
+            dealt, f"tile int, piece long, digest binary, vector binary, copies long, low {kind}"
+        ).groupBy("tile").applyInArrow(
+            build, "tile int, low array<double>, high array<double>, starts binary, pivots binary, "
+            f"vectors binary, copies binary, digests binary, ids array<{kind}>"
         ),
         "tiles",
     )
-    # unit vectors with cosine c are sqrt(2 - 2c) apart; a larger gap rules a pair out
-    reach = 2 - 2 * threshold + SLACK
-    bounds = tiles.select("tile", "low", "high")
-    # only tiles whose first coordinates share a stretch of that length can be near
-    width = float(np.sqrt(reach))
-    stretch = lambda p, more: bounds.select(
-        *[F.col(c).alias(f"{p}_{c}") for c in bounds.columns],
-        F.explode(F.sequence(
-            F.floor(F.col("low")[0] / width), F.floor(F.col("high")[0] / width) + more
-        )).alias("stretch"),
+    linked = stored(_compared(tiles, axes, dim, dtype, threshold, n * width), "links")
+    edges = linked.filter(F.col("node") != F.col("root")).select("node", "root")
+    marked = linked.groupBy("node").agg(F.sum("links").alias("links")).join(
+        components(edges, "node", "root"), "node"
     )
-    left, right = stretch("a", 1), stretch("b", 1)
+
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                copies = np.frombuffer(batch.column("copies")[r].as_buffer(), dtype=np.int64)
+                names = pa.FixedSizeBinaryArray.from_buffers(
+                    pa.binary(16), len(copies), [None, batch.column("digests")[r].as_buffer()]
+                )
+                node = batch.column("tile")[r].as_py() * POSITIONS + np.arange(len(copies))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node), names.cast(pa.binary()), pa.array(copies),
+                     batch.column("ids")[r].values], ["node", "digest", "copies", "low"],
+                )
+
+    noted = stored(
+        tiles.select("tile", "copies", "digests", "ids")
+        .mapInArrow(classes, f"node long, digest binary, copies long, low {kind}")
+        .join(marked, "node", "left").filter("copies > 1 or links is not null")
+        .select(
+            "digest", "low", F.coalesce("component", "node").alias("component"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        ),
+        "classes",
+    )
+    discard(tiles, linked)
+    lowest = noted.groupBy("component").agg(F.min("low").alias("component_id"))
+    # equal vectors are in one tile unless rounding placed them apart: then as linked ones
+    return noted.join(lowest, "component").groupBy("digest").agg(
+        F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id")
+    )
+
+
+def _compared(
+    tiles: DataFrame, axes: np.ndarray, dim: int, dtype: type, threshold: float, size: int
+) -> DataFrame:
+    """(node, links, root) of each pair of runs of tiles; a run is a partition of the
+    stored table. ``size``: bytes of all vectors, about."""
+    spark = tiles.sparkSession
+    runs = max(size // RUN_BYTES, int(np.sqrt(4 * spark.sparkContext.defaultParallelism))) + 1
+    spread = tiles.coalesce(runs)
+    places = spread.select("tile", F.monotonically_increasing_id()).collect()  # a row per tile
+    ranks = F.broadcast(spark.createDataFrame([tuple(p) for p in places], "tile int, rank long"))
+    sent = ["starts", "pivots", "vectors", "copies"]
+
+    def side(p: str) -> DataFrame:
+        of_run = F.monotonically_increasing_id() % (1 << 33)
+        df = spread.join(ranks, "tile").withColumn("first", of_run == 0)
+        return df.select(*[
+            F.col(c).alias(f"{p}_{c}") for c in ("tile", "rank", "first", "low", "high", *sent)
+        ])
+
     gap = F.aggregate(
         F.zip_with(
             F.zip_with("a_low", "b_high", lambda p, q: p - q),
@@ -253,65 +536,52 @@ def _of_one_length(good: DataFrame, dim: int, threshold: float, tile: int) -> Da
         F.lit(0.0),
         lambda total, d: total + d * d,
     )
-    pairs = (
-        left.join(right, "stretch")
-        .filter((F.col("a_tile") <= F.col("b_tile")) & (gap <= reach))
-        .select("a_tile", "b_tile")
-        .distinct()
-    )
-    blobs = lambda p: tiles.select(
-        F.col("tile").alias(p + "_tile"), F.col("digests").alias(p + "_digests"),
-        F.col("vectors").alias(p + "_vectors"), F.col("copies").alias(p + "_copies"),
+    # unit vectors with cosine c are sqrt(2 - 2c) apart; a larger gap rules a pair out
+    meet = (F.col("a_rank") <= F.col("b_rank")) & (gap <= 2 - 2 * threshold + SLACK)
+    run = lambda p: F.shiftright(f"{p}_rank", 33)
+    # each tile comes with the first of the other run, also if these two don't meet
+    pairs = side("a").hint("shuffle_replicate_nl").join(
+        side("b"), (run("a") <= run("b")) & (F.col("a_first") | F.col("b_first") | meet)
+    ).select(
+        "a_tile", "b_tile", meet.alias("meet"),
+        *[F.when(F.col("b_first"), F.col(f"a_{c}")).alias(f"a_{c}") for c in sent],
+        *[F.when(F.col("a_first"), F.col(f"b_{c}")).alias(f"b_{c}") for c in sent],
     )
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: dict[int, list[np.ndarray]] = {}
+        ready: dict[int, Tile] = {}
+        tally = Tally()
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                same = r.a_tile == r.b_tile
-                a = np.frombuffer(r.a_vectors).reshape(-1, dim)
-                b = a if same else np.frombuffer(r.b_vectors).reshape(-1, dim)
-                i, j = tile_links(a, b, axes, threshold, same)
-                if not len(i):
+            for r in range(batch.num_rows):
+                both = []
+                for p in "ab":
+                    t = batch.column(f"{p}_tile")[r].as_py()
+                    both.append(t)
+                    if t not in given:
+                        given[t] = [
+                            np.frombuffer(batch.column(f"{p}_{c}")[r].as_buffer(), dtype=kind)
+                            for c, kind in zip(sent, (np.int64, float, dtype, np.int64))
+                        ]
+                if not batch.column("meet")[r].as_py():
                     continue
-                names = np.array(list(r.a_digests) + ([] if same else list(r.b_digests)))
-                weight = np.array(
-                    list(r.a_copies) + ([] if same else list(r.b_copies)), dtype=np.int64
-                )
-                if not same:
-                    j = j + len(a)
-                links = np.bincount(i, weight[j], len(names)) + np.bincount(
-                    j, weight[i], len(names)
-                )
-                root = forest(i, j, len(names))
-                at = np.flatnonzero(links)
-                yield pd.DataFrame({
-                    "digest": names[at], "links": links[at].astype(np.int64),
-                    "root": names[root[at]],
-                })
-
-    linked = stored(
-        pairs.join(blobs("a"), "a_tile").join(blobs("b"), "b_tile")
-        .repartition(F.col("a_tile"), F.col("b_tile"))
-        .mapInPandas(compare, "digest string, links long, root string"),
-        "links",
-    )
-    low = classes.select("digest", "low", "copies")
-    edges = linked.filter(F.col("digest") != F.col("root")).select("digest", "root").distinct()
-    groups = components(edges, "digest", "root").withColumnRenamed("node", "digest")
-    lowest = (
-        groups.join(low, "digest").groupBy("component").agg(F.min("low").alias("component_id"))
-    )
-    per_class = (
-        low.join(linked.groupBy("digest").agg(F.sum("links").alias("links")), "digest", "left")
-        .join(groups.join(lowest, "component"), "digest", "left")
-        .select(
-            "digest",
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component_id", "low").alias("component_id"),
-        )
-    )
-    return (
-        good.select("vec_id", "digest")
-        .join(per_class, "digest")
-        .select("vec_id", "n_links", "component_id")
-    )
+                for t in both:
+                    if t not in ready:
+                        starts, pivots, vectors, _ = given[t]
+                        ready[t] = Tile(
+                            vectors.reshape(-1, dim), axes, starts, pivots.reshape(-1, dim)
+                        )
+                a, b = (ready[t] for t in both)
+                at_a, at_b = (tally.places(t, given[t][3]) for t in both)
+                for i, j in links_between(a, b, threshold):
+                    tally.add(i + at_a, j + at_b)
+        tally.join()
+        at = np.flatnonzero(tally.links)
+        for part in _parts(len(at)):
+            n = at[part]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (tally.numbers[n], tally.links[n], tally.numbers[tally.label[n]])],
+                ["node", "links", "root"],
+            )
+
+    return pairs.mapInArrow(compare, "node long, links long, root long")
