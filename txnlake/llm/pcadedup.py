@@ -20,10 +20,10 @@ single precision with a margin for its rounding. What is left is computed in ful
 from the given vectors in double precision.
 
 Tiles meet in a Cartesian product of the stored table: nothing is shuffled, so
-disk is in proportion to the input. A task gets two runs of tiles, each tile's
-vectors once. It returns how many links each vector has to the others and a
-spanning forest of the links, at most one edge per vector: no list of pairs, also
-for thousands of near copies.
+disk is in proportion to the input. A task holds a run of tiles and lets another
+run pass, each tile's vectors come once. It returns how many links each vector has
+to the others and a spanning forest of the links, at most one edge per vector: no
+list of pairs, also for thousands of near copies.
 
 Edge cases: vectors that are null, zero, or hold a null or non-finite component
 have no links and are components of their own; vectors of different lengths never
@@ -35,11 +35,12 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,10 +51,14 @@ TILE = 16384  # vectors of a tile
 TILE_BYTES = 8 << 20  # of a tile's vectors, for long vectors
 CELLS = 8  # cells of a tile, fewer if its vectors are long
 PIVOTS, PIVOT_BYTES = 16384, 16 << 20  # at most; beyond, cells grow
-RUN_BYTES = 32 << 20  # of the tiles that a task holds of either side
+HELD_BYTES = 24 << 20  # of the tiles that a task holds
+PASSING_BYTES = 512 << 20  # of those that pass it
 AXES = 8  # coordinates that bound a tile
 LEAD = 23  # coordinates of the first product
+BLOCK = 512  # rows of a product
 SLACK = 1e-6  # covers rounding in bounds; final cosines are compared exactly
+BATCH_BYTES = 8 << 20
+HEAVY, LIGHT, NONE = 0, 1, 2
 POSITIONS = 1 << 32  # a vector is numbered by tile * POSITIONS + place in the tile
 
 
@@ -70,6 +75,17 @@ def matrices(column: pa.Array, dtype: type) -> Iterator[tuple[np.ndarray, np.nda
         yield rows[good], np.ascontiguousarray(x[good])
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: int) -> Iterator[None]:
+    """The session's setting while tables are written."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def digest(vector: np.ndarray) -> bytes:
     return blake2b(vector, digest_size=16).digest()
 
@@ -80,42 +96,55 @@ def digest_words(digests: list[bytes]) -> np.ndarray:
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
-    x = np.asarray(x, dtype=float)
-    scaled = x / np.abs(x).max(axis=1, keepdims=True)
-    return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
+    x = np.array(x, dtype=float)
+    x /= np.maximum(x.max(axis=1), -x.min(axis=1))[:, None]
+    x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    return x
 
 
 def rounding(dim: int) -> float:
-    """More than a dot product of unit vectors errs in single precision."""
-    return (dim + 16) * 2.0**-23
+    """More than a dot product of unit vectors errs when it and their rotation are
+    taken in single precision."""
+    return (dim + 16) * (1 + dim**0.5) * 2.0**-23
 
 
 class Tile:
     """Vectors made ready for comparison. They lie cell by cell: each cell begins
-    at one of ``starts`` and has one of ``pivots``, rotated; any points will do."""
+    at one of ``starts`` and has one of ``pivots``; any points will do."""
 
     def __init__(self, vectors: np.ndarray, axes: np.ndarray, starts: np.ndarray, pivots: np.ndarray):
-        self.vectors, self.starts, self.pivots = vectors, starts, pivots
+        self.vectors, self.axes, self.starts, self.pivots = vectors, axes, starts, pivots
         self.ends = np.append(starts[1:], len(vectors))
         self.dim = vectors.shape[1]
-        self.rotated = (unit_rows(vectors) @ axes).astype(np.float32)
-        self.lead = self.leading(stops(self.dim)[0], slice(None))
+        # unit vectors are single * scale
+        self.single, self.scale = vectors, np.ones(len(vectors), dtype=np.float32)
+        norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype=float))
+        if vectors.dtype == np.float32 and norms.min() > 1e-30 and norms.max() < 1e30:
+            self.scale /= norms.astype(np.float32)
+        else:
+            self.single = unit_rows(vectors).astype(np.float32)
         self.near = pivots.astype(np.float32)
-        own = self.near[np.repeat(np.arange(len(starts)), self.ends - starts)]
-        self.own = np.einsum("ij,ij->i", self.rotated, own)
+        self.own = self.scale * np.concatenate([
+            self.single[s:e] @ p for s, e, p in zip(starts, self.ends, self.near)
+        ])
+        self.leads = {}
+        self.lead = self.leading(stops(self.dim)[0])
 
-    def leading(self, k: int, rows) -> np.ndarray:
-        """The first k coordinates and the norm of the others."""
-        x = self.rotated[rows]
-        if k == self.dim:
-            return x
-        rest = np.sqrt((x[:, k:] ** 2).sum(axis=1, keepdims=True))
-        return np.concatenate([x[:, :k], rest], axis=1)
+    def leading(self, k: int) -> np.ndarray:
+        """The first k coordinates on the axes and at least the norm of the others."""
+        if k not in self.leads:
+            x = (self.single @ self.axes[:, :k].astype(np.float32)) * self.scale[:, None]
+            rest = 1 - np.einsum("ij,ij->i", x, x) + np.float32(2 * rounding(self.dim))
+            self.leads[k] = np.concatenate([x, np.sqrt(np.maximum(rest, 0))[:, None]], axis=1)
+        return self.leads[k]
+
+    def whole(self, rows: np.ndarray) -> np.ndarray:
+        return self.single[rows] * self.scale[rows, None]
 
     def margins(self, other: Tile) -> tuple[np.ndarray, np.ndarray]:
         """For each cell of ``other`` and each vector how much nearer it is to its own
         pivot than to that cell's, and the least of these by cell."""
-        m = self.own[None, :] - other.near @ self.rotated.T
+        m = self.own - (other.near @ self.single.T) * self.scale
         return m, np.minimum.reduceat(m, self.starts, axis=1)
 
 
@@ -139,26 +168,35 @@ def links_between(a: Tile, b: Tile, threshold: float) -> Iterator[tuple[np.ndarr
     for u, v in np.argwhere(least_a.T + least_b <= most):
         if same and u > v:
             continue
-        left, right = slice(a.starts[u], a.ends[u]), slice(b.starts[v], b.ends[v])
-        x, y, c = ma[v, left], mb[u, right], most[u, v]
-        i = np.flatnonzero(x <= c - least_b[u, v])
-        j = np.flatnonzero(y <= c - least_a[v, u])
-        i, j = i[np.argsort(x[i])], j[np.argsort(y[j])]
-        # vectors further from the border meet fewer of the other cell
-        size = min(256, max(64, len(i) // 8))
-        reached = np.searchsorted(y[j], c - x[i[::size]], side="right")
-        i, j = i + left.start, j + right.start
-        lead_a, lead_b = a.lead[i], b.lead[j]
-        for n, block in zip(reached, _parts(len(i), size)):
-            if not n:
-                break
-            bound = lead_a[block] @ lead_b[:n].T
-            p, q = _linked(a, b, i[block], j[:n], bound, threshold, slack)
-            if same and u == v:
-                keep = p < q
-                p, q = p[keep], q[keep]
-            if len(p):
-                yield p, q
+        left, right, c = a.starts[u], b.starts[v], most[u, v]
+        x, y = ma[v, left : a.ends[u]], mb[u, right : b.ends[v]]
+        i = (x <= c - least_b[u, v]).nonzero()[0]
+        j = (y <= c - least_a[v, u]).nonzero()[0]
+        if same and u == v:
+            blocks = [(i, j)]
+        else:  # the two margins add up to c at most: the larger one, the less the other
+            bands = 2 if len(i) * len(j) < 1 << 19 else 4
+            band, y = np.clip(x.take(i) * (bands / c), 0, bands).astype(np.int8), y.take(j)
+            blocks = [
+                (i[band == k], j[y <= c * (1 - k / bands) + SLACK] if k else j)
+                for k in range(bands + 1)
+            ]
+        for rows, q in blocks:
+            if not len(rows) or not len(q):
+                continue
+            rows, q = rows + left, q + right
+            lead = b.lead.take(q, axis=0).T
+            for part in _parts(len(rows), BLOCK):
+                p = rows[part]
+                bound = a.lead.take(p, axis=0) @ lead
+                if bound.max() < threshold - slack:
+                    continue
+                found = _linked(a, b, p, q, bound, threshold, slack)
+                if same and u == v:
+                    keep = found[0] < found[1]
+                    found = found[0][keep], found[1][keep]
+                if len(found[0]):
+                    yield found
 
 
 def _linked(a: Tile, b: Tile, i: np.ndarray, j: np.ndarray, bound: np.ndarray,
@@ -166,8 +204,10 @@ def _linked(a: Tile, b: Tile, i: np.ndarray, j: np.ndarray, bound: np.ndarray,
     """The linked pairs of vectors ``i`` of a and ``j`` of b, whose cosines are at
     most ``bound``."""
     for k in stops(a.dim):
-        if k > LEAD:
-            bound = a.leading(k, i) @ b.leading(k, j).T
+        if k == a.dim:
+            bound = a.whole(i) @ b.whole(j).T
+        elif k > LEAD:
+            bound = a.leading(k)[i] @ b.leading(k)[j].T
         hit = bound >= threshold - slack
         n = np.count_nonzero(hit)
         if 64 * n <= hit.size:
@@ -179,7 +219,7 @@ def _linked(a: Tile, b: Tile, i: np.ndarray, j: np.ndarray, bound: np.ndarray,
     sure = bound[p, q] > threshold + slack if k == a.dim else np.zeros(n, dtype=bool)
     p, q = i[p], j[q]
     doubt = np.flatnonzero(~sure)
-    for piece in _parts(len(doubt)):
+    for piece in _parts(len(doubt), max(1, (1 << 19) // a.dim)):
         at = doubt[piece]
         sure[at] = cosines(a.vectors[p[at]], b.vectors[q[at]], threshold) >= threshold
     return p[sure], q[sure]
@@ -236,19 +276,22 @@ class Tally:
 
     def __init__(self):
         self.first: dict[int, int] = {}  # of each tile's places
+        self.n = self.n_open = 0
         self.numbers = self.copies = self.links = self.label = np.zeros(0, dtype=np.int64)
         self.open: list[tuple[np.ndarray, np.ndarray]] = []
-        self.n_open = 0
 
     def places(self, tile: int, copies: np.ndarray) -> int:
         if tile not in self.first:
-            n = len(self.numbers)
-            self.first[tile] = n
-            join = lambda x, y: np.concatenate([x, y])
-            self.numbers = join(self.numbers, tile * POSITIONS + np.arange(len(copies)))
-            self.copies = join(self.copies, copies)
-            self.links = join(self.links, np.zeros(len(copies), dtype=np.int64))
-            self.label = join(self.label, np.arange(n, n + len(copies)))
+            n, end = self.n, self.n + len(copies)
+            if end > len(self.label):
+                more = np.zeros(2 * end - len(self.label), dtype=np.int64)
+                self.numbers, self.copies, self.links = (
+                    np.concatenate([x, more]) for x in (self.numbers, self.copies, self.links)
+                )
+                self.label = np.concatenate([self.label, np.arange(len(self.label), 2 * end)])
+            self.first[tile], self.n = n, end
+            self.numbers[n:end] = tile * POSITIONS + np.arange(len(copies))
+            self.copies[n:end] = copies
         return self.first[tile]
 
     def add(self, i: np.ndarray, j: np.ndarray) -> None:
@@ -263,7 +306,10 @@ class Tally:
     def join(self) -> None:
         if self.n_open:
             i, j = (self.label[np.concatenate(x)] for x in zip(*self.open))
-            self.label = forest(i, j, len(self.label))[self.label]
+            nodes, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+            low = np.arange(len(self.label))
+            low[nodes] = nodes[forest(at[: len(i)], at[len(i) :], len(nodes))]
+            self.label = low[self.label]
         self.open, self.n_open = [], 0
 
 
@@ -380,9 +426,9 @@ def _pivots(table: DataFrame, dim: int, dtype: type, share: float) -> np.ndarray
 
 def _cells(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The pivot nearest to each vector, up to rounding."""
-    unit, found = unit_rows(x).astype(np.float32), [np.zeros(0, dtype=np.int64)]
-    for part in _parts(len(unit), max(1, (4 << 20) // len(pivots))):
-        found.append(np.argmax(unit[part] @ pivots.T, axis=1))
+    found = [np.zeros(0, dtype=np.int64)]
+    for part in _parts(len(x), max(1, (4 << 20) // max(pivots.shape))):
+        found.append(np.argmax(unit_rows(x[part]).astype(np.float32) @ pivots.T, axis=1))
     return np.concatenate(found)
 
 
@@ -428,7 +474,7 @@ def _of_one_length(
     ):
         counts[r["cell"]] = r["n"]
     first, pieces, tile_of = _packed(counts, pivots @ axes[:, [0, min(1, dim - 1)]], cell, tile)
-    order, turned = np.argsort(first), pivots @ axes
+    order = np.argsort(first)
     cell_of = np.repeat(order, pieces[order])  # of each piece
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -456,7 +502,7 @@ def _of_one_length(
         return pa.table({
             "tile": group["tile"][:1].cast(pa.int32()),
             "low": [lead.min(axis=0)], "high": [lead.max(axis=0)],
-            "starts": [starts.astype(np.int64).tobytes()], "pivots": [turned[cell_of[own]].tobytes()],
+            "starts": [starts.astype(np.int64).tobytes()], "pivots": [pivots[cell_of[own]].tobytes()],
             "vectors": [joined], "copies": [found["copies_sum"].to_numpy().tobytes()],
             "digests": [b"".join(found["digest"].to_pylist())],
             "ids": pa.ListArray.from_arrays([0, len(found)], found["low_min"].combine_chunks()),
@@ -469,9 +515,11 @@ def _of_one_length(
             build, "tile int, low array<double>, high array<double>, starts binary, pivots binary, "
             f"vectors binary, copies binary, digests binary, ids array<{kind}>"
         ),
-        "tiles",
+        "tiles", compression="none",
     )
-    linked = stored(_compared(tiles, axes, dim, dtype, threshold, n * width), "links")
+    # a batch of rows is held several times on its way to Python: a tile or two at once
+    with setting(table.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
+        linked = stored(_compared(tiles, axes, dim, dtype, threshold, n * width), "links")
     edges = linked.filter(F.col("node") != F.col("root")).select("node", "root")
     marked = linked.groupBy("node").agg(F.sum("links").alias("links")).join(
         components(edges, "node", "root"), "node"
@@ -512,20 +560,29 @@ def _compared(
     tiles: DataFrame, axes: np.ndarray, dim: int, dtype: type, threshold: float, size: int
 ) -> DataFrame:
     """(node, links, root) of each pair of runs of tiles; a run is a partition of the
-    stored table. ``size``: bytes of all vectors, about."""
+    stored table. A task holds one run and lets a longer one pass, tile by tile.
+    ``size``: bytes of all vectors, about."""
     spark = tiles.sparkSession
-    runs = max(size // RUN_BYTES, int(np.sqrt(4 * spark.sparkContext.defaultParallelism))) + 1
-    spread = tiles.coalesce(runs)
-    places = spread.select("tile", F.monotonically_increasing_id()).collect()  # a row per tile
+    slots = spark.sparkContext.defaultParallelism
+    runs = max(size // HELD_BYTES, int(np.sqrt(4 * slots))) + 1
+    held = tiles.coalesce(runs)
+    passing = tiles.coalesce(max(size // PASSING_BYTES, 16 * slots // runs) + 1)
+    places = held.select("tile", F.monotonically_increasing_id()).collect()  # a row per tile
     ranks = F.broadcast(spark.createDataFrame([tuple(p) for p in places], "tile int, rank long"))
     sent = ["starts", "pivots", "vectors", "copies"]
 
-    def side(p: str) -> DataFrame:
-        of_run = F.monotonically_increasing_id() % (1 << 33)
-        df = spread.join(ranks, "tile").withColumn("first", of_run == 0)
-        return df.select(*[
-            F.col(c).alias(f"{p}_{c}") for c in ("tile", "rank", "first", "low", "high", *sent)
-        ])
+    def side(run: DataFrame, p: str) -> DataFrame:
+        """A run's rows: one of no tile, then each tile with its vectors and without."""
+        first = F.monotonically_increasing_id() % (1 << 33) == 0
+        kinds = F.when(first, F.array(*map(F.lit, (NONE, HEAVY, LIGHT)))).otherwise(
+            F.array(F.lit(HEAVY), F.lit(LIGHT))
+        )
+        df = run.join(ranks, "tile").withColumn("kind", F.explode(kinds))
+        return df.select(
+            *[F.col(c).alias(f"{p}_{c}") for c in ("tile", "rank", "kind")],
+            *[F.when(F.col("kind") == LIGHT, F.col(c)).alias(f"{p}_{c}") for c in ("low", "high")],
+            *[F.when(F.col("kind") == HEAVY, F.col(c)).alias(f"{p}_{c}") for c in sent],
+        )
 
     gap = F.aggregate(
         F.zip_with(
@@ -536,47 +593,51 @@ def _compared(
         F.lit(0.0),
         lambda total, d: total + d * d,
     )
+    a_kind, b_kind, a_rank, b_rank = map(F.col, ("a_kind", "b_kind", "a_rank", "b_rank"))
     # unit vectors with cosine c are sqrt(2 - 2c) apart; a larger gap rules a pair out
-    meet = (F.col("a_rank") <= F.col("b_rank")) & (gap <= 2 - 2 * threshold + SLACK)
-    run = lambda p: F.shiftright(f"{p}_rank", 33)
-    # each tile comes with the first of the other run, also if these two don't meet
-    pairs = side("a").hint("shuffle_replicate_nl").join(
-        side("b"), (run("a") <= run("b")) & (F.col("a_first") | F.col("b_first") | meet)
+    meet = (a_kind == LIGHT) & (b_kind == LIGHT) & (a_rank <= b_rank) & (
+        gap <= 2 - 2 * threshold + SLACK
+    )
+    # the run that is held comes first, then each tile that passes, if it is not of a later run
+    comes = (a_kind == NONE) & (b_kind == HEAVY) | (a_kind == HEAVY) & (b_kind == NONE) & (
+        F.shiftright(a_rank, 33) <= F.shiftright(b_rank, 33)
+    )
+    pairs = side(passing, "a").hint("shuffle_replicate_nl").join(
+        side(held, "b"), comes | meet
     ).select(
-        "a_tile", "b_tile", meet.alias("meet"),
-        *[F.when(F.col("b_first"), F.col(f"a_{c}")).alias(f"a_{c}") for c in sent],
-        *[F.when(F.col("a_first"), F.col(f"b_{c}")).alias(f"b_{c}") for c in sent],
+        F.when(a_kind != NONE, F.col("a_tile")).alias("a_tile"),
+        F.when(b_kind != NONE, F.col("b_tile")).alias("b_tile"),
+        *[F.coalesce(f"a_{c}", f"b_{c}").alias(c) for c in sent],
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given: dict[int, list[np.ndarray]] = {}
-        ready: dict[int, Tile] = {}
-        tally = Tally()
+        given: dict[int, tuple[Tile, np.ndarray]] = {}
+        passing, tally = None, Tally()
         for batch in batches:
-            for r in range(batch.num_rows):
-                both = []
-                for p in "ab":
-                    t = batch.column(f"{p}_tile")[r].as_py()
-                    both.append(t)
-                    if t not in given:
-                        given[t] = [
-                            np.frombuffer(batch.column(f"{p}_{c}")[r].as_buffer(), dtype=kind)
-                            for c, kind in zip(sent, (np.int64, float, dtype, np.int64))
-                        ]
-                if not batch.column("meet")[r].as_py():
+            named = [batch.column(c).to_pylist() for c in ("a_tile", "b_tile")]
+            for r, (a, b) in enumerate(zip(*named)):
+                if a is None or b is None:
+                    starts, pivots, vectors, copies = (
+                        np.frombuffer(batch.column(c)[r].as_buffer(), dtype=kind)
+                        for c, kind in zip(sent, (np.int64, float, dtype, np.int64))
+                    )
+                    tile = Tile(vectors.reshape(-1, dim), axes, starts, pivots.reshape(-1, dim))
+                    if a is None:
+                        given[b] = tile, copies
+                    else:
+                        passing = a, tile, copies
                     continue
-                for t in both:
-                    if t not in ready:
-                        starts, pivots, vectors, _ = given[t]
-                        ready[t] = Tile(
-                            vectors.reshape(-1, dim), axes, starts, pivots.reshape(-1, dim)
-                        )
-                a, b = (ready[t] for t in both)
-                at_a, at_b = (tally.places(t, given[t][3]) for t in both)
-                for i, j in links_between(a, b, threshold):
+                other, copies = given[b]
+                if a == b:
+                    tile, own = other, copies
+                else:
+                    name, tile, own = passing
+                    assert name == a
+                at_a, at_b = tally.places(a, own), tally.places(b, copies)
+                for i, j in links_between(tile, other, threshold):
                     tally.add(i + at_a, j + at_b)
         tally.join()
-        at = np.flatnonzero(tally.links)
+        at = np.flatnonzero(tally.links[: tally.n])
         for part in _parts(len(at)):
             n = at[part]
             yield pa.RecordBatch.from_arrays(
