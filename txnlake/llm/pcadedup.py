@@ -636,6 +636,8 @@ def _compared(
                 at_a, at_b = tally.places(a, own), tally.places(b, copies)
                 for i, j in links_between(tile, other, threshold):
                     tally.add(i + at_a, j + at_b)
+        given = passing = tile = other = batch = None  # the worker goes on to other tasks
+        pa.default_memory_pool().release_unused()
         tally.join()
         at = np.flatnonzero(tally.links[: tally.n])
         for part in _parts(len(at)):
